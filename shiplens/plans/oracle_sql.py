@@ -110,3 +110,202 @@ def _e42():
  {r(f'stddev_samp({T})')} AS transit_time_std, {r(f'stddev_samp({C})')} AS cost_std
 FROM shipments
 GROUP BY GROUPING SETS ((service_level), (carrier, service_level), (carrier, service_level, dest_zone))"""
+
+
+# ------------------------------------------------------------ distributions
+def skew_sql(v: str) -> str:
+    return (f"((avg({v}*{v}*{v}) - 3e0*avg({v})*avg({v}*{v}) + 2e0*avg({v})*avg({v})*avg({v}))"
+            f" / pow(var_pop({v}), 1.5e0))")
+
+
+LONG = f"""(SELECT service_level, dest_zone AS zone, 'transit_time' AS metric, {T} AS v FROM shipments
+      UNION ALL SELECT service_level, dest_zone, 'shipping_cost', {C} FROM shipments)"""
+
+DIST_P = [("p10", 0.1), ("p20", 0.2), ("p30", 0.3), ("p40", 0.4), ("p60", 0.6), ("p70", 0.7),
+          ("p80", 0.8), ("p90", 0.9), ("p95", 0.95), ("p99", 0.99)]
+
+
+def dist_stats_sql() -> str:
+    ps = ",\n ".join(f"{r(q('v', p))} AS {n}" for n, p in DIST_P)
+    return f"""SELECT service_level, zone, metric, CAST(count(v) AS BIGINT) AS count, {r('avg(v)')} AS mean,
+ {r(q('v', 0.5))} AS median, {r('stddev_samp(v)')} AS std, {r('var_samp(v)')} AS var,
+ {r('min(v)')} AS min, {r('max(v)')} AS max, {r(q('v', 0.25))} AS q25, {r(q('v', 0.75))} AS q75,
+ {r(q('v', 0.75) + ' - ' + q('v', 0.25))} AS iqr, {r(skew_sql('v'))} AS skewness,
+ {r('kurtosis_pop(v)')} AS kurtosis, {ps}
+FROM {LONG} u GROUP BY service_level, zone, metric"""
+
+
+@oracle("distribution_stats")
+def _e5():
+    return dist_stats_sql()
+
+
+@oracle("all_distributions")
+def _e6():
+    return f"""SELECT g.service_level, g.zone, g.metric, d.count, d.mean, d.median, d.std, d.var, d.min, d.max,
+ d.q25, d.q75, d.iqr, d.skewness, d.kurtosis, {', '.join('d.' + n for n, _ in DIST_P)}
+FROM (SELECT DISTINCT service_level FROM shipments) sv
+CROSS JOIN (SELECT CAST(range AS INT) AS zone FROM range(1, 10)) z
+CROSS JOIN (SELECT 'transit_time' AS metric UNION ALL SELECT 'shipping_cost') m
+JOIN LATERAL (SELECT sv.service_level, z.zone, m.metric) g ON TRUE
+LEFT JOIN ({dist_stats_sql()}) d
+  ON d.service_level = g.service_level AND d.zone = g.zone AND d.metric = g.metric"""
+
+
+@oracle("jarque_bera")
+def _e7b():
+    jb = f"(n / 6e0 * (S * S + K * K / 4e0))"
+    return f"""SELECT service_level, zone, metric, n, {r(jb)} AS jb_statistic, {r(f'exp(-{jb} / 2e0)')} AS jb_p_value,
+ exp(-{jb} / 2e0) > 5e-2 AS is_normal_p05
+FROM (SELECT service_level, zone, metric, CAST(count(v) AS BIGINT) AS n, {skew_sql('v')} AS S,
+             kurtosis_pop(v) AS K FROM {LONG} u GROUP BY service_level, zone, metric) t"""
+
+
+def hist_sql(where: str, keys: list[str], bins: int, metric_col: str = T) -> str:
+    k = ", ".join(keys)
+    kc = (k + ", ") if keys else ""
+    sel_keys = ", ".join(f"g.{x}" for x in keys)
+    join_on = " AND ".join([f"b.{x} = g.{x}" for x in keys] + ["b.bin = g.bin"])
+    rj = (" AND ".join(f"c.{x} = r2.{x}" for x in keys)) or "TRUE"
+    cells = f"SELECT service_level, dest_zone AS zone, {metric_col} AS v FROM shipments WHERE {metric_col} IS NOT NULL{where}"
+    return f"""WITH c AS ({cells}),
+r AS (SELECT {kc}CASE WHEN min(v) = max(v) THEN min(v) - 5e-1 ELSE min(v) END AS lo,
+             CASE WHEN min(v) = max(v) THEN max(v) + 5e-1 ELSE max(v) END AS hi,
+             count(*) AS n FROM c {'GROUP BY ' + k if keys else ''}),
+r2 AS (SELECT *, (hi - lo) / {float(bins)!r} AS w FROM r),
+b AS (SELECT {', '.join('c.' + x for x in keys) + ', ' if keys else ''}least(CAST(floor((v - lo) / w) AS INT) + 1, {bins}) AS bin,
+             count(*) AS cnt FROM c JOIN r2 ON {rj} GROUP BY ALL),
+g AS (SELECT r2.*, CAST(s.range AS INT) AS bin FROM r2 CROSS JOIN range(1, {bins + 1}) s)
+SELECT {sel_keys + ', ' if keys else ''}g.bin, {r('g.lo + (g.bin - 5e-1) * g.w')} AS bin_center,
+ CAST(coalesce(b.cnt, 0) AS BIGINT) AS count, {r('g.w')} AS bin_width, CAST(g.n AS BIGINT) AS total_count
+FROM g LEFT JOIN b ON {join_on}"""
+
+
+@oracle("histogram")
+def _e14():
+    return hist_sql(" AND service_level = 'STANDARD' AND dest_zone = 5", [], 30)
+
+
+@oracle("histogram_all_cells")
+def _e15():
+    return hist_sql("", ["service_level", "zone"], 30)
+
+
+# ------------------------------------------------------------- comparisons
+@oracle("compare_services_2sigma")
+def _e8():
+    return f"""WITH g AS (SELECT dest_zone AS zone, service_level, count(*) AS n, avg({T}) AS mean,
+                  stddev_samp({T}) AS std FROM shipments GROUP BY dest_zone, service_level),
+h AS (SELECT *, mean - 2e0 * std AS lower_2sigma, mean + 2e0 * std AS upper_2sigma, 4e0 * std AS range_2sigma,
+             mean - 1.96e0 * std / sqrt(n) AS ci95_low, mean + 1.96e0 * std / sqrt(n) AS ci95_high FROM g),
+w AS (SELECT zone, service_level AS winner FROM (SELECT zone, service_level, row_number() OVER (
+        PARTITION BY zone ORDER BY upper_2sigma, service_level) AS rn FROM h WHERE upper_2sigma IS NOT NULL) x
+      WHERE rn = 1)
+SELECT h.zone, h.service_level, CAST(h.n AS BIGINT) AS n, {r('mean')} AS mean, {r('std')} AS std,
+ {r('lower_2sigma')} AS lower_2sigma, {r('upper_2sigma')} AS upper_2sigma, {r('range_2sigma')} AS range_2sigma,
+ {r('ci95_low')} AS ci95_low, {r('ci95_high')} AS ci95_high, w.winner = h.service_level AS is_winner
+FROM h LEFT JOIN w ON h.zone = w.zone"""
+
+
+CARRIER_STATS = f"""SELECT dest_zone AS zone, service_level, carrier, count({T}) AS sample_size, avg({T}) AS mean,
+  {q(T, 0.5)} AS median, stddev_samp({T}) AS std, {q(T, 0.25)} AS q25, {q(T, 0.75)} AS q75,
+  avg({T}) - 2e0 * stddev_samp({T}) AS lower_2sigma, avg({T}) + 2e0 * stddev_samp({T}) AS upper_2sigma,
+  1e0 / (stddev_samp({T}) + 1e-1) AS reliability_score
+FROM shipments GROUP BY dest_zone, service_level, carrier HAVING count({T}) > 5"""
+
+
+@oracle("compare_carriers")
+def _e9():
+    cols = ", ".join(f"{r(c)} AS {c}" for c in ("mean", "median", "std", "q25", "q75", "lower_2sigma",
+                                                 "upper_2sigma", "reliability_score"))
+    return f"SELECT zone, service_level, carrier, CAST(sample_size AS BIGINT) AS sample_size, {cols} FROM ({CARRIER_STATS}) c"
+
+
+CARRIER_WINNERS = f"""WITH c AS ({CARRIER_STATS}),
+m AS (SELECT *, row_number() OVER (PARTITION BY zone, service_level ORDER BY median, carrier) AS rm,
+             row_number() OVER (PARTITION BY zone, service_level ORDER BY upper_2sigma NULLS LAST, carrier) AS ru
+      FROM c),
+cw AS (SELECT zone, service_level, CAST(count(*) AS BIGINT) AS carriers_compared,
+  max(CASE WHEN rm = 1 THEN carrier END) AS winner_median,
+  max(CASE WHEN rm = 1 THEN median END) AS wm_value, avg(median) AS avg_median,
+  max(CASE WHEN ru = 1 AND upper_2sigma IS NOT NULL THEN carrier END) AS winner_2sigma,
+  max(CASE WHEN ru = 1 THEN upper_2sigma END) AS w2_value,
+  max(CASE WHEN ru = 1 AND upper_2sigma IS NOT NULL THEN median END) AS w2_median,
+  max(CASE WHEN ru = 1 AND upper_2sigma IS NOT NULL THEN std END) AS w2_std,
+  avg(upper_2sigma) AS avg_upper
+FROM m GROUP BY zone, service_level)"""
+
+
+@oracle("carrier_winners")
+def _e10():
+    return CARRIER_WINNERS + f"""
+SELECT zone, service_level, carriers_compared, winner_median, {r('wm_value')} AS winner_median_value,
+ {r('avg_median - wm_value')} AS winner_median_advantage, winner_2sigma, {r('w2_value')} AS winner_2sigma_value,
+ {r('w2_median')} AS winner_2sigma_median, {r('w2_std')} AS winner_2sigma_std,
+ {r('avg_upper - w2_value')} AS winner_2sigma_advantage, winner_median AS winner FROM cw"""
+
+
+ZONE_WINNERS = f"""zc AS (SELECT *, median / reliability_score AS score FROM ({CARRIER_STATS}) c0
+       WHERE median IS NOT NULL AND upper_2sigma IS NOT NULL AND reliability_score IS NOT NULL),
+zr AS (SELECT *, row_number() OVER (PARTITION BY zone ORDER BY score, carrier, service_level) AS r1,
+              row_number() OVER (PARTITION BY zone ORDER BY upper_2sigma, carrier, service_level) AS r2 FROM zc),
+zw AS (SELECT zone,
+  max(CASE WHEN r1 = 1 THEN carrier END) AS median_carrier, max(CASE WHEN r1 = 1 THEN service_level END) AS median_service_level,
+  max(CASE WHEN r1 = 1 THEN median END) AS median_value, max(CASE WHEN r1 = 1 THEN reliability_score END) AS median_reliability,
+  max(CASE WHEN r2 = 1 THEN carrier END) AS sigma_carrier, max(CASE WHEN r2 = 1 THEN service_level END) AS sigma_service_level,
+  max(CASE WHEN r2 = 1 THEN upper_2sigma END) AS sigma_upper_2sigma, max(CASE WHEN r2 = 1 THEN median END) AS sigma_median,
+  max(CASE WHEN r2 = 1 THEN std END) AS sigma_std
+FROM zr GROUP BY zone)"""
+
+
+@oracle("zone_overall_winners")
+def _e11():
+    return "WITH " + ZONE_WINNERS + f"""
+SELECT zone, median_carrier, median_service_level, {r('median_value')} AS median_value,
+ {r('median_reliability')} AS median_reliability, sigma_carrier, sigma_service_level,
+ {r('sigma_upper_2sigma')} AS sigma_upper_2sigma, {r('sigma_median')} AS sigma_median, {r('sigma_std')} AS sigma_std
+FROM zw"""
+
+
+@oracle("carrier_win_tally")
+def _e12():
+    return CARRIER_WINNERS + ",\n" + ZONE_WINNERS + """,
+wins AS (SELECT 'cell_median' AS kind, winner_median AS carrier, CAST(NULL AS VARCHAR) AS service_level FROM cw
+  UNION ALL SELECT 'cell_2sigma', winner_2sigma, NULL FROM cw
+  UNION ALL SELECT 'zone_median', median_carrier, NULL FROM zw
+  UNION ALL SELECT 'zone_2sigma', sigma_carrier, NULL FROM zw
+  UNION ALL SELECT 'combo_median', winner_median, service_level FROM cw
+  UNION ALL SELECT 'combo_2sigma', winner_2sigma, service_level FROM cw),
+t AS (SELECT kind, carrier, service_level, CAST(count(*) AS BIGINT) AS wins FROM wins GROUP BY kind, carrier, service_level)
+SELECT kind, carrier, service_level, wins,
+ row_number() OVER (PARTITION BY kind ORDER BY wins DESC, carrier, service_level NULLS FIRST) = 1 AS is_top FROM t"""
+
+
+@oracle("best_service_percentile")
+def _e13():
+    p = 80
+    return f"""WITH t AS (SELECT dest_zone, service_level, {q(T, p / 100.0)} AS thr, count(*) AS n FROM shipments
+                GROUP BY dest_zone, service_level),
+k AS (SELECT s.dest_zone, s.service_level, s.{T}, t.thr, t.n FROM shipments s JOIN t
+        ON s.dest_zone = t.dest_zone AND s.service_level = t.service_level WHERE s.{T} <= t.thr),
+a AS (SELECT dest_zone AS zone, service_level, {r(q(T, 0.5))} AS metric_value, {r('max(thr)')} AS percentile_threshold,
+        CAST(count(*) AS BIGINT) AS records_in_percentile, CAST(max(n) AS BIGINT) AS total_shipments,
+        {r('count(*) / max(n) * 100')} AS percentile_coverage, 'median' AS method FROM k GROUP BY dest_zone, service_level),
+w AS (SELECT zone, service_level AS winner FROM (SELECT zone, service_level, row_number() OVER (
+        PARTITION BY zone ORDER BY metric_value, service_level) AS rn FROM a WHERE metric_value IS NOT NULL) x WHERE rn = 1)
+SELECT a.*, w.winner = a.service_level AS is_winner FROM a LEFT JOIN w ON a.zone = w.zone"""
+
+
+@oracle("carrier_grid_2sigma")
+def _p20():
+    e4 = percentile_filtered_sql([50], ["median"], False)
+    return f"""WITH e AS ({e4}),
+g AS (SELECT carrier, service_level, zone, median_transit_time AS metric_value, transit_time_std AS std,
+        greatest(0e0, median_transit_time - 2e0 * transit_time_std) AS lower,
+        median_transit_time + 2e0 * transit_time_std AS upper FROM e),
+w AS (SELECT service_level, zone, carrier AS winner FROM (SELECT service_level, zone, carrier, row_number() OVER (
+        PARTITION BY service_level, zone ORDER BY metric_value, carrier) AS rn FROM g WHERE metric_value IS NOT NULL) x
+      WHERE rn = 1)
+SELECT g.carrier, g.service_level, g.zone, g.metric_value, g.std, {r('g.lower')} AS lower, {r('g.upper')} AS upper,
+ w.winner = g.carrier AS is_winner
+FROM g LEFT JOIN w ON g.service_level = w.service_level AND g.zone = w.zone"""

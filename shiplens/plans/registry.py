@@ -43,3 +43,24 @@ register("carrier_zone_percentile")(su.carrier_zone_percentile)
 register("percentile_cube")(su.percentile_cube)
 register("distribution_metadata")(su.distribution_metadata)
 register("summary_rollup")(su.summary_rollup)
+
+# distributions
+from shiplens.operators import distributions as di  # noqa: E402
+
+register("distribution_stats")(di.distribution_stats)
+register("all_distributions")(di.all_distributions)
+register("jarque_bera")(di.jarque_bera)
+register("shapiro_wilk")(di.shapiro_wilk)
+register("histogram")(di.histogram)
+register("histogram_all_cells")(di.histogram_all_cells)
+
+# comparisons and winners
+from shiplens.operators import comparisons as co  # noqa: E402
+
+register("compare_services_2sigma")(co.compare_services_2sigma)
+register("compare_carriers")(co.compare_carriers)
+register("carrier_winners")(co.carrier_winners)
+register("zone_overall_winners")(co.zone_overall_winners)
+register("carrier_win_tally")(co.carrier_win_tally)
+register("best_service_percentile")(co.best_service_percentile)
+register("carrier_grid_2sigma")(co.carrier_grid_2sigma)

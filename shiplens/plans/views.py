@@ -73,6 +73,11 @@ def with_views(body: str, *extra_ctes: tuple[str, str]) -> str:
         if re.search(rf"\b{name}\b", text):
             add(name)
     ctes = [f"{n} AS ({VIEW_SQL[n]}\n)" for n in need] + [f"{n} AS ({sql}\n)" for n, sql in extra_ctes]
+    stripped = body.lstrip()
+    if stripped[:5].upper() == "WITH ":
+        # merge the body's own CTE list after the views
+        ctes.append(stripped[5:])
+        return "WITH " + ",\n".join(ctes)
     if not ctes:
         return body
     return "WITH " + ",\n".join(ctes) + "\n" + body

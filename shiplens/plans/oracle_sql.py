@@ -309,3 +309,247 @@ w AS (SELECT service_level, zone, carrier AS winner FROM (SELECT service_level,
 SELECT g.carrier, g.service_level, g.zone, g.metric_value, g.std, {r('g.lower')} AS lower, {r('g.upper')} AS upper,
  w.winner = g.carrier AS is_winner
 FROM g LEFT JOIN w ON g.service_level = w.service_level AND g.zone = w.zone"""
+
+
+# ----------------------------------------------------------------- reports
+def _pattern(key_sql: str, alias: str) -> str:
+    return f"""SELECT {key_sql} AS {alias}, {r(f'avg({T})')} AS {T}_mean, {r(f'stddev_samp({T})')} AS {T}_std,
+ CAST(count({T}) AS BIGINT) AS {T}_count, {r(f'avg({C})')} AS {C}_mean, {r(f'stddev_samp({C})')} AS {C}_std
+FROM shipments GROUP BY {key_sql}"""
+
+
+@oracle("dow_pattern")
+def _e16():
+    return _pattern("dayname(ship_date)", "day_of_week")
+
+
+@oracle("monthly_pattern")
+def _e17():
+    return _pattern("CAST(month(ship_date) AS INT)", "month")
+
+
+def _share_sql(row: str, col: str, rn: str, cn: str, pct: bool) -> str:
+    tail = (f"{r('coalesce(c.n, 0) / sum(coalesce(c.n, 0)) OVER (PARTITION BY g.' + rn + ') * 1e2')} AS share_pct"
+            if pct else "CAST(coalesce(c.n, 0) AS BIGINT) AS count")
+    return f"""WITH c AS (SELECT {row} AS {rn}, {col} AS {cn}, count(*) AS n FROM shipments GROUP BY 1, 2),
+g AS (SELECT a.{rn}, b.{cn} FROM (SELECT DISTINCT {rn} FROM c) a CROSS JOIN (SELECT DISTINCT {cn} FROM c) b)
+SELECT g.{rn}, g.{cn}, {tail} FROM g LEFT JOIN c ON g.{rn} = c.{rn} AND g.{cn} = c.{cn}"""
+
+
+@oracle("service_trends")
+def _e18():
+    return _share_sql("CAST(month(ship_date) AS INT)", "service_level", "month", "service_level", True)
+
+
+@oracle("flow_matrix")
+def _e19():
+    return _share_sql("origin_zone", "dest_zone", "origin_zone", "dest_zone", False)
+
+
+@oracle("carrier_dominance")
+def _e20():
+    return _share_sql("dest_zone", "carrier", "dest_zone", "carrier", True)
+
+
+@oracle("distance_performance")
+def _e21():
+    return f"""SELECT zone_distance, row_number() OVER (ORDER BY n DESC, zone_distance) = 1 AS is_most_common,
+ {r('tm')} AS {T}_mean, {r('ts')} AS {T}_std, {r('cm')} AS {C}_mean, {r('cs')} AS {C}_std, n
+FROM (SELECT abs(dest_zone - origin_zone) AS zone_distance, avg({T}) AS tm, stddev_samp({T}) AS ts,
+             avg({C}) AS cm, stddev_samp({C}) AS cs, CAST(count(*) AS BIGINT) AS n FROM shipments GROUP BY 1) t"""
+
+
+PKG_CAT = """CASE WHEN package_volume_cubic_in <= 0 THEN NULL WHEN package_volume_cubic_in <= 100 THEN 'Small'
+ WHEN package_volume_cubic_in <= 500 THEN 'Medium' WHEN package_volume_cubic_in <= 1000 THEN 'Large'
+ WHEN package_volume_cubic_in IS NOT NULL THEN 'XLarge' END"""
+
+
+@oracle("size_impact")
+def _e22():
+    return f"""WITH x AS (SELECT {PKG_CAT} AS package_category, {T}, {C} FROM shipments),
+g AS (SELECT package_category, avg({T}) AS tm, stddev_samp({T}) AS ts, avg({C}) AS cm, stddev_samp({C}) AS cs,
+             CAST(count(*) AS BIGINT) AS n, {q(C, 0.5)} AS cmed FROM x WHERE package_category IS NOT NULL GROUP BY 1),
+cats AS (SELECT * FROM (VALUES ('Small'), ('Medium'), ('Large'), ('XLarge')) v(package_category))
+SELECT cats.package_category, {r('tm')} AS {T}_mean, {r('ts')} AS {T}_std, {r('cm')} AS {C}_mean,
+ {r('cs')} AS {C}_std, CAST(coalesce(n, 0) AS BIGINT) AS n, {r('cmed')} AS {C}_median
+FROM cats LEFT JOIN g ON cats.package_category = g.package_category"""
+
+
+@oracle("weight_impact")
+def _e23():
+    return f"""WITH rg AS (SELECT min(package_weight_lbs) AS mn, max(package_weight_lbs) AS mx FROM shipments),
+x AS (SELECT s.{T}, s.{C}, CASE WHEN (rg.mx - rg.mn) / 1e1 = 0 THEN 1 ELSE
+        least(10, greatest(1, CAST(ceil((s.package_weight_lbs - rg.mn) / ((rg.mx - rg.mn) / 1e1)) AS INT))) END AS bin
+      FROM shipments s CROSS JOIN rg),
+g AS (SELECT bin, avg({C}) AS cm, stddev_samp({C}) AS cs, avg({T}) AS tm, stddev_samp({T}) AS ts,
+             CAST(count(*) AS BIGINT) AS n FROM x GROUP BY bin),
+grid AS (SELECT CAST(b.range AS INT) AS bin,
+  CASE WHEN b.range = 1 THEN rg.mn - (rg.mx - rg.mn) * 1e-3 ELSE rg.mn + (b.range - 1) * ((rg.mx - rg.mn) / 1e1) END AS lft,
+  CASE WHEN b.range = 10 THEN rg.mx ELSE rg.mn + b.range * ((rg.mx - rg.mn) / 1e1) END AS rgt
+  FROM range(1, 11) b CROSS JOIN rg)
+SELECT grid.bin, CAST(round(lft * 1e1) / 1e1 AS VARCHAR) || '-' || CAST(round(rgt * 1e1) / 1e1 AS VARCHAR) AS weight_range,
+ {r('cm')} AS {C}_mean, {r('cs')} AS {C}_std, {r('tm')} AS {T}_mean, {r('ts')} AS {T}_std,
+ CAST(coalesce(n, 0) AS BIGINT) AS n
+FROM grid LEFT JOIN g ON grid.bin = g.bin"""
+
+
+BAND = "CASE WHEN insurance_value > 500 THEN 'high_value' WHEN insurance_value <= 500 THEN 'regular_value' END"
+
+
+@oracle("value_comparison")
+def _e24a():
+    return f"""SELECT {BAND} AS value_band, CAST(count(*) AS BIGINT) AS n, {r(f'avg({T})')} AS avg_transit,
+ {r(f'avg({C})')} AS avg_cost FROM shipments WHERE {BAND} IS NOT NULL GROUP BY 1"""
+
+
+@oracle("value_service_counts")
+def _e24b():
+    return f"""SELECT {BAND} AS value_band, service_level, CAST(count(*) AS BIGINT) AS n FROM shipments
+WHERE {BAND} IS NOT NULL GROUP BY 1, 2"""
+
+
+def _scorecard_sql(key: str, count: bool) -> str:
+    n = ", CAST(count(*) AS BIGINT) AS n" if count else ""
+    return f"""SELECT {key}, {r(f'avg({T})')} AS {T}_mean, {r(f'stddev_samp({T})')} AS {T}_std,
+ {r(f'avg({C})')} AS {C}_mean, {r(f'stddev_samp({C})')} AS {C}_std{n},
+ {r(q(T, 0.5))} AS {T}_median, {r(q(C, 0.5))} AS {C}_median FROM shipments GROUP BY {key}"""
+
+
+@oracle("carrier_scorecard")
+def _e25():
+    return _scorecard_sql("carrier", True)
+
+
+@oracle("carrier_consistency")
+def _e26():
+    return f"SELECT carrier, {r(f'stddev_samp({T}) / avg({T})')} AS consistency_index FROM shipments GROUP BY carrier"
+
+
+@oracle("service_effectiveness")
+def _e27():
+    return _scorecard_sql("service_level", False)
+
+
+@oracle("cost_efficiency")
+def _e28():
+    return f"""SELECT carrier, service_level, {r(f'avg({C} / nullif({T}, 0e0))')} AS cost_per_day
+FROM shipments GROUP BY carrier, service_level"""
+
+
+LANE_F = [C, T, "package_weight_lbs", "insurance_value"]
+
+
+@oracle("lane_profile")
+def _e29():
+    cols = ", ".join(f"{r(f'avg({c})')} AS {c}" for c in LANE_F)
+    return f"SELECT origin_zone, dest_zone, {cols}, CAST(count(*) AS BIGINT) AS n FROM shipments GROUP BY 1, 2"
+
+
+@oracle("lane_zscores")
+def _e30():
+    cols = ", ".join(f"avg({c}) AS {c}" for c in LANE_F)
+    z = ", ".join(f"{r(f'({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER ()')} AS z_{c}" for c in LANE_F)
+    return f"SELECT origin_zone, dest_zone, {z} FROM (SELECT origin_zone, dest_zone, {cols} FROM shipments GROUP BY 1, 2) lp"
+
+
+@oracle("iqr_outliers")
+def _e33():
+    return f"""WITH l AS (SELECT 'transit_time' AS metric, {T} AS v FROM shipments UNION ALL
+                SELECT 'shipping_cost', {C} FROM shipments),
+qq AS (SELECT metric, {q('v', 0.25)} AS q1, {q('v', 0.75)} AS q3 FROM l GROUP BY metric),
+f AS (SELECT metric, q1, q3, q1 - 1.5e0 * (q3 - q1) AS lo, q3 + 1.5e0 * (q3 - q1) AS hi FROM qq),
+j AS (SELECT l.metric, l.v, f.lo, f.hi, (l.v < f.lo OR l.v > f.hi) AS o, greatest(f.lo - l.v, l.v - f.hi) AS ex
+      FROM l JOIN f ON l.metric = f.metric),
+a AS (SELECT metric, count(*) AS n, CAST(sum(CASE WHEN o THEN 1 ELSE 0 END) AS BIGINT) AS oc FROM j GROUP BY metric),
+t AS (SELECT metric, v, ex, row_number() OVER (PARTITION BY metric ORDER BY ex DESC, v DESC) AS rk FROM j WHERE o),
+e AS (SELECT metric, string_agg(CAST(round(v * 1e6) / 1e6 AS VARCHAR), ',' ORDER BY ex DESC, v DESC) AS examples
+      FROM t WHERE rk <= 10 GROUP BY metric)
+SELECT f.metric, {r('f.q1')} AS q1, {r('f.q3')} AS q3, {r('f.lo')} AS lower_fence, {r('f.hi')} AS upper_fence,
+ a.oc AS outlier_count, {r('a.oc / a.n * 1e2')} AS outlier_pct, e.examples
+FROM f JOIN a ON f.metric = a.metric LEFT JOIN e ON f.metric = e.metric"""
+
+
+@oracle("rare_combinations")
+def _e34():
+    return f"""WITH c AS (SELECT carrier, service_level, CAST(count(*) AS BIGINT) AS n FROM shipments GROUP BY 1, 2),
+t AS (SELECT {q('n', 0.1)} AS thr FROM c)
+SELECT carrier, service_level, n, {r('thr')} AS threshold FROM c, t WHERE n < thr"""
+
+
+DAILY = f"""d AS (SELECT ship_date, CAST(count(*) AS BIGINT) AS volume FROM shipments GROUP BY ship_date),
+t AS (SELECT {q('volume', 0.9)} AS thr FROM d)"""
+
+
+@oracle("capacity_insights")
+def _e35():
+    return f"""WITH {DAILY}
+SELECT {r('avg(volume)')} AS avg_daily_volume, {r('max(thr)')} AS peak_threshold,
+ CAST(sum(CASE WHEN volume > thr THEN 1 ELSE 0 END) AS BIGINT) AS stress_days, CAST(count(*) AS BIGINT) AS active_days
+FROM d, t"""
+
+
+@oracle("peak_days")
+def _e36():
+    return f"WITH {DAILY}\nSELECT ship_date, volume FROM d, t WHERE volume > thr"
+
+
+TREND = f"""m AS (SELECT CAST(month(ship_date) AS INT) AS month, avg({T}) AS mt FROM shipments GROUP BY 1),
+p AS (SELECT mt, CAST(row_number() OVER (ORDER BY month) - 1 AS DOUBLE) AS pos FROM m),
+tr AS (SELECT regr_slope(mt, pos) AS slope, CAST(count(*) AS BIGINT) AS months FROM p)"""
+
+
+@oracle("performance_trend")
+def _e37():
+    return f"""WITH {TREND}
+SELECT {r('slope')} AS trend_slope, months, CASE WHEN slope > 1e-1 THEN 'High' ELSE 'Low' END AS degradation_risk,
+ CASE WHEN slope < 0 THEN 'Improving' ELSE 'Declining' END AS trend FROM tr"""
+
+
+@oracle("cheapest_by_zone")
+def _e38():
+    return f"""WITH g AS (SELECT dest_zone, carrier, avg({C}) AS mc FROM shipments GROUP BY 1, 2),
+k AS (SELECT *, row_number() OVER (PARTITION BY dest_zone ORDER BY mc, carrier) AS lo,
+             row_number() OVER (PARTITION BY dest_zone ORDER BY mc DESC, carrier) AS hi FROM g)
+SELECT dest_zone AS zone, max(CASE WHEN lo = 1 THEN carrier END) AS cheapest_carrier,
+ max(CASE WHEN hi = 1 THEN carrier END) AS most_expensive_carrier,
+ {r('max(CASE WHEN hi = 1 THEN mc END) - max(CASE WHEN lo = 1 THEN mc END)')} AS potential_savings
+FROM k GROUP BY dest_zone"""
+
+
+@oracle("top_routes")
+def _e39a():
+    return """SELECT CAST(origin_zone AS VARCHAR) || '->' || CAST(dest_zone AS VARCHAR) AS route, CAST(count(*) AS BIGINT) AS n
+FROM shipments GROUP BY 1 ORDER BY n DESC, route LIMIT 10"""
+
+
+@oracle("top_zip_routes")
+def _e39b():
+    return """SELECT origin_zip || '->' || dest_zip AS route, CAST(count(*) AS BIGINT) AS n
+FROM lanes GROUP BY 1 ORDER BY n DESC, route LIMIT 10"""
+
+
+@oracle("top_shipping_days")
+def _e40():
+    return """SELECT dayname(ship_date) AS day_of_week, CAST(count(*) AS BIGINT) AS n FROM shipments
+GROUP BY 1 ORDER BY n DESC, day_of_week LIMIT 3"""
+
+
+@oracle("comprehensive_report")
+def _e41():
+    return f"""WITH {TREND},
+days AS (SELECT dayname(ship_date) AS k, count(*) AS n FROM shipments GROUP BY 1 ORDER BY n DESC, k LIMIT 3),
+dist AS (SELECT abs(dest_zone - origin_zone) AS k, count(*) AS n FROM shipments GROUP BY 1 ORDER BY n DESC, k LIMIT 1),
+val AS (SELECT {BAND} AS b, count(*) AS n FROM shipments WHERE {BAND} IS NOT NULL GROUP BY 1),
+fast AS (SELECT carrier AS k, avg({T}) AS m FROM shipments GROUP BY 1 ORDER BY m, k LIMIT 1),
+tq AS (SELECT {q(T, 0.25)} AS q1, {q(T, 0.75)} AS q3, count(*) AS n FROM shipments),
+tf AS (SELECT q1 - 1.5e0 * (q3 - q1) AS lo, q3 + 1.5e0 * (q3 - q1) AS hi, n FROM tq),
+toc AS (SELECT CAST(sum(CASE WHEN s.{T} < tf.lo OR s.{T} > tf.hi THEN 1 ELSE 0 END) AS BIGINT) AS oc, max(tf.n) AS n
+        FROM shipments s CROSS JOIN tf)
+SELECT 'temporal' AS section, 'top_shipping_day' AS metric, k AS key, CAST(n AS DOUBLE) AS value FROM days
+UNION ALL SELECT 'geographic', 'most_common_distance', CAST(k AS VARCHAR), CAST(n AS DOUBLE) FROM dist
+UNION ALL SELECT 'package', b || '_count', NULL, CAST(n AS DOUBLE) FROM val
+UNION ALL SELECT 'performance', 'fastest_carrier', k, {r('m')} FROM fast
+UNION ALL SELECT 'anomalies', 'transit_outliers', NULL, CAST(oc AS DOUBLE) FROM toc
+UNION ALL SELECT 'anomalies', 'transit_outlier_pct', NULL, {r('oc / n * 1e2')} FROM toc
+UNION ALL SELECT 'insights', 'trend_slope', CASE WHEN slope < 0 THEN 'Improving' ELSE 'Declining' END, {r('slope')} FROM tr
+UNION ALL SELECT 'insights', 'degradation_risk', CASE WHEN slope > 1e-1 THEN 'High' ELSE 'Low' END, {r('slope')} FROM tr"""

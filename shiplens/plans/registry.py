@@ -64,3 +64,14 @@ register("zone_overall_winners")(co.zone_overall_winners)
 register("carrier_win_tally")(co.carrier_win_tally)
 register("best_service_percentile")(co.best_service_percentile)
 register("carrier_grid_2sigma")(co.carrier_grid_2sigma)
+
+# business-intelligence reports
+from shiplens.operators import reports as rp  # noqa: E402
+
+for _n in ("dow_pattern monthly_pattern service_trends flow_matrix carrier_dominance distance_performance "
+           "size_impact weight_impact value_comparison value_service_counts carrier_scorecard "
+           "carrier_consistency service_effectiveness cost_efficiency lane_profile lane_zscores iqr_outliers "
+           "rare_combinations capacity_insights peak_days performance_trend cheapest_by_zone top_routes "
+           "top_shipping_days comprehensive_report").split():
+    register(_n)(getattr(rp, _n))
+register("top_zip_routes", tb.lanes)(rp.top_zip_routes)

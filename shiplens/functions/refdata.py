@@ -124,7 +124,7 @@ REQUEST_RANGES = {
     "insurance_value": (0.0, 10000.0),
 }
 REQUEST_REQUIRED = ["ship_date", "zone", "carrier", "service_level", "package_weight_lbs",
-                    "package_length_in", "package_width_in", "package_height_in"]
+                    "package_length_in", "package_width_in", "package_height_in", "insurance_value"]
 
 # Zone-only serving defaults (rolling medians and encoding priors).
 ZONE_ONLY_MEDIAN_TIME, ZONE_ONLY_MEDIAN_COST = 4.0, 15.0

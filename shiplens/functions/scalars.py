@@ -87,7 +87,11 @@ def with_zip_zone(df: DataFrame, zip_col: str, out: str, chart: str = "utils") -
     dim = F.broadcast(prefix_zone_table(df.sparkSession, chart).select(
         F.col("prefix").alias(f"_{out}_p"), F.col("zone").alias(out)))
     x = df.withColumn(f"_{out}_k", zip_prefix(zip_col))
-    return x.join(dim, x[f"_{out}_k"] == dim[f"_{out}_p"], "left").drop(f"_{out}_k", f"_{out}_p")
+    x = x.join(dim, x[f"_{out}_k"] == dim[f"_{out}_p"], "left")
+    # a numeric prefix outside 0..999 falls back to the default zone, like an unmatched one
+    z = F.when(F.col(f"_{out}_k").isNull(), F.lit(None).cast("int")).otherwise(
+        F.coalesce(F.col(out), F.lit(rd.DEFAULT_ZIP_ZONE)))
+    return x.withColumn(out, z).drop(f"_{out}_k", f"_{out}_p")
 
 
 def rate_zone(dist) -> Column:
@@ -144,8 +148,8 @@ def round_half_up(x, digits: int) -> Column:
 def expected_transit(base="base_days", offset="days_offset") -> Column:
     """Base + carrier offset, clamped to 1..30, 1 decimal."""
     t = _c(base) + _c(offset)
-    t = F.greatest(F.lit(rd.MIN_TRANSIT_DAYS), F.least(t, F.lit(rd.MAX_TRANSIT_DAYS)))
-    return round_half_up(t, 1)
+    c = F.greatest(F.lit(rd.MIN_TRANSIT_DAYS), F.least(t, F.lit(rd.MAX_TRANSIT_DAYS)))
+    return F.when(t.isNull(), F.lit(None).cast("double")).otherwise(round_half_up(c, 1))
 
 
 def expected_cost(base="base_cost", mult="cost_mult", billable="billable_weight", month="month") -> Column:
@@ -153,7 +157,8 @@ def expected_cost(base="base_cost", mult="cost_mult", billable="billable_weight"
     wf = F.lit(1e0) + (_c(billable) - F.lit(1e0)) * F.lit(rd.BILLABLE_COST_STEP)
     fuel = F.lit(1e0) + (_c(month) % 12) * F.lit(rd.FUEL_STEP)
     c = _c(base) * _c(mult) * wf * fuel
-    return F.greatest(F.lit(rd.MIN_COST_USD), round_half_up(c, 2))
+    return F.when(c.isNull(), F.lit(None).cast("double")).otherwise(
+        F.greatest(F.lit(rd.MIN_COST_USD), round_half_up(c, 2)))
 
 
 # P14 ---------------------------------------------------- linear rate model

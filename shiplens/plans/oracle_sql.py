@@ -553,3 +553,224 @@ UNION ALL SELECT 'anomalies', 'transit_outliers', NULL, CAST(oc AS DOUBLE) FROM
 UNION ALL SELECT 'anomalies', 'transit_outlier_pct', NULL, {r('oc / n * 1e2')} FROM toc
 UNION ALL SELECT 'insights', 'trend_slope', CASE WHEN slope < 0 THEN 'Improving' ELSE 'Declining' END, {r('slope')} FROM tr
 UNION ALL SELECT 'insights', 'degradation_risk', CASE WHEN slope > 1e-1 THEN 'High' ELSE 'Low' END, {r('slope')} FROM tr"""
+
+
+# ------------------------------------------------------------ data quality
+from shiplens.functions import refdata as _rd  # noqa: E402
+
+
+def dlit(v) -> str:
+    """A DOUBLE literal in both engines."""
+    return f"{float(v)!r}e0"
+
+
+def _reasons_sql() -> str:
+    parts = [f"CASE WHEN {f} IS NULL THEN 'missing:{f}' END" for f in _rd.REQUEST_REQUIRED]
+    for f, (lo, hi) in _rd.REQUEST_RANGES.items():
+        lo_s, hi_s = (str(lo), str(hi)) if f == "zone" else (dlit(lo), dlit(hi))
+        parts.append(f"CASE WHEN {f} < {lo_s} OR {f} > {hi_s} THEN 'range:{f}' END")
+    cl = ", ".join(f"'{c}'" for c in _rd.REQUEST_CARRIERS)
+    sl = ", ".join(f"'{c}'" for c in _rd.REQUEST_SERVICES)
+    parts.append(f"CASE WHEN NOT carrier IN ({cl}) THEN 'enum:carrier' END")
+    parts.append(f"CASE WHEN NOT service_level IN ({sl}) THEN 'enum:service_level' END")
+    return "concat_ws(';', " + ", ".join(parts) + ")"
+
+
+@oracle("request_validation")
+def _a6():
+    return f"""SELECT request_id, l_linenumber, reasons = '' AS valid, reasons
+FROM (SELECT request_id, l_linenumber, {_reasons_sql()} AS reasons FROM requests) v"""
+
+
+@oracle("drop_missing_targets")
+def _a7():
+    return """SELECT l_orderkey, l_linenumber, ship_date, carrier, service_level, dest_zone, transit_time_raw, shipping_cost_raw
+FROM shipments_raw WHERE transit_time_raw IS NOT NULL AND shipping_cost_raw IS NOT NULL AND ship_date IS NOT NULL"""
+
+
+@oracle("dataset_profile")
+def _a8():
+    return """SELECT CAST(count(*) AS BIGINT) AS total_rows, min(ship_date) AS min_date, max(ship_date) AS max_date,
+ CAST(count(DISTINCT carrier) AS BIGINT) AS carriers, CAST(count(DISTINCT service_level) AS BIGINT) AS service_levels,
+ CAST(count(DISTINCT origin_zone) AS BIGINT) AS origin_zones, CAST(count(DISTINCT dest_zone) AS BIGINT) AS dest_zones,
+ CAST(sum(CASE WHEN transit_time_raw IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_transit_time,
+ CAST(sum(CASE WHEN shipping_cost_raw IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_shipping_cost
+FROM shipments_raw"""
+
+
+@oracle("describe_targets")
+def _a9():
+    cols = ["transit_time_raw", "shipping_cost_raw", "package_weight_lbs", "package_volume_cubic_in", "insurance_value"]
+    u = " UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS v FROM shipments_raw" for c in cols)
+    return f"""SELECT column_name AS "column", CAST(count(v) AS BIGINT) AS count, {r('avg(v)')} AS mean,
+ {r('stddev_samp(v)')} AS std, {r('min(v)')} AS min, {r(q('v', 0.25))} AS p25, {r(q('v', 0.5))} AS p50,
+ {r(q('v', 0.75))} AS p75, {r('max(v)')} AS max FROM ({u}) u GROUP BY column_name"""
+
+
+@oracle("service_value_counts")
+def _a10a():
+    return "SELECT service_level, CAST(count(*) AS BIGINT) AS n FROM shipments GROUP BY service_level"
+
+
+@oracle("zone_value_counts")
+def _a10b():
+    return "SELECT dest_zone AS zone, CAST(count(*) AS BIGINT) AS n FROM shipments GROUP BY dest_zone ORDER BY zone"
+
+
+@oracle("training_profile")
+def _a11():
+    lst = lambda c: f"array_to_string(list_sort(list_distinct(list({c}))), ',')"
+    return f"""SELECT CAST(count(*) AS BIGINT) AS total_shipments, {lst('carrier')} AS carriers,
+ {lst('service_level')} AS service_levels, {lst('dest_zone')} AS zones_covered, min(ship_date) AS min_date,
+ max(ship_date) AS max_date, CAST(15 AS BIGINT) AS features_count FROM shipments"""
+
+
+# ------------------------------------------------------------- row rules
+@oracle("calendar_features")
+def _p1():
+    return """SELECT l_orderkey, l_linenumber, ship_date, CAST(isodow(ship_date) - 1 AS INT) AS dow,
+ CAST(month(ship_date) AS INT) AS month, CAST(dayofyear(ship_date) AS INT) AS day_of_year,
+ CAST(quarter(ship_date) AS INT) AS quarter, dayname(ship_date) AS day_of_week FROM shipments"""
+
+
+@oracle("cyclical_features")
+def _p2():
+    d = "CAST(isodow(ship_date) - 1 AS INT)"
+    m = "CAST(month(ship_date) AS INT)"
+    return f"""SELECT l_orderkey, l_linenumber, ship_date,
+ {r(f'sin(2e0 * pi() * {d} / 7e0)')} AS dow_sin, {r(f'cos(2e0 * pi() * {d} / 7e0)')} AS dow_cos,
+ {r(f'sin(2e0 * pi() * {m} / 1.2e1)')} AS month_sin, {r(f'cos(2e0 * pi() * {m} / 1.2e1)')} AS month_cos FROM shipments"""
+
+
+@oracle("route_keys")
+def _p3():
+    return """SELECT l_orderkey, l_linenumber, CAST(origin_zone AS VARCHAR) || '->' || CAST(dest_zone AS VARCHAR) AS route,
+ CAST(origin_zone AS VARCHAR) || '::' || service_level AS origin_service, carrier || '::' || service_level AS carrier_service
+FROM shipments"""
+
+
+PKG = """(package_length_in * package_width_in * package_height_in)"""
+
+
+@oracle("package_features")
+def _p4():
+    dim = f"({PKG} / 1.66e2)"
+    return f"""SELECT l_orderkey, l_linenumber, {r(PKG)} AS package_volume, {r(dim)} AS dimensional_weight,
+ {r(f'CASE WHEN package_weight_lbs IS NULL OR {dim} IS NULL THEN NULL ELSE greatest(package_weight_lbs, {dim}) END')} AS billable_weight,
+ {r(f'package_weight_lbs / ({PKG} + 1e0)')} AS weight_to_volume_ratio FROM shipments"""
+
+
+def _intervals_sql(chart: str) -> str:
+    rows = ", ".join(f"({i}, {lo}, {hi}, {z})" for i, (lo, hi, z) in enumerate(_rd.zip_chart(chart)))
+    return f"iv(ord, lo, hi, zone) AS (VALUES {rows})"
+
+
+def zip_zone_sql(chart: str = "utils") -> str:
+    def zone(p):
+        return (f"CASE WHEN {p} IS NULL THEN NULL ELSE CAST(coalesce((SELECT arg_min(iv.zone, iv.ord) FROM iv "
+                f"WHERE {p} BETWEEN iv.lo AND iv.hi), {_rd.DEFAULT_ZIP_ZONE}) AS INT) END")
+    return f"""WITH {_intervals_sql(chart)},
+lp AS (SELECT o_orderkey, origin_zip, dest_zip, TRY_CAST(substr(origin_zip, 1, 3) AS INTEGER) AS op,
+              TRY_CAST(substr(dest_zip, 1, 3) AS INTEGER) AS dp FROM lanes),
+zz AS (SELECT o_orderkey, origin_zip, {zone('op')} AS origin_zone, dest_zip, {zone('dp')} AS dest_zone,
+ concat_ws(';', CASE WHEN op IS NULL THEN 'bad:origin_zip' END, CASE WHEN dp IS NULL THEN 'bad:dest_zip' END) AS reasons
+ FROM lp)"""
+
+
+@oracle("zip_zone_lookup")
+def _p7():
+    return zip_zone_sql() + "\nSELECT * FROM zz"
+
+
+@oracle("zip_lane_zone")
+def _p8():
+    return zip_zone_sql() + """
+SELECT o_orderkey, origin_zone, dest_zone, abs(origin_zone - dest_zone) AS zone_distance,
+ least(9, greatest(1, abs(origin_zone - dest_zone) + 1)) AS rate_zone FROM zz"""
+
+
+def _rate_cte() -> str:
+    rc = ", ".join(f"('{s}', {z + 1}, {dlit(_rd.BASE_TRANSIT_DAYS[s][z])}, {dlit(_rd.BASE_COST_USD[s][z])})"
+                   for s in _rd.RATE_SERVICES for z in range(9))
+    ce = ", ".join(f"('{c}', {dlit(_rd.CARRIER_DAYS_OFFSET[c])}, {dlit(_rd.CARRIER_COST_MULT[c])})"
+                   for c in _rd.CARRIER_DAYS_OFFSET)
+    return f"""rc(svc, rz, base_days, base_cost) AS (VALUES {rc}),
+ce(car, days_offset, cost_mult) AS (VALUES {ce}),
+rq AS (SELECT q.request_id, q.l_linenumber, q.ship_date, q.carrier, q.service_level, q.zone AS rate_zone,
+  q.package_weight_lbs, q.package_length_in, q.package_width_in, q.package_height_in, rc.base_days, rc.base_cost,
+  coalesce(ce.days_offset, 0e0) AS days_offset, coalesce(ce.cost_mult, 1e0) AS cost_mult
+  FROM requests q LEFT JOIN rc ON q.service_level = rc.svc AND q.zone = rc.rz LEFT JOIN ce ON q.carrier = ce.car)"""
+
+
+@oracle("rate_card_lookup")
+def _p10():
+    return f"WITH {_rate_cte()}\nSELECT request_id, l_linenumber, service_level, rate_zone, base_days, base_cost FROM rq"
+
+
+@oracle("expected_transit")
+def _p11():
+    t = "(base_days + days_offset)"
+    return f"""WITH {_rate_cte()}
+SELECT request_id, l_linenumber, carrier, service_level, rate_zone,
+ {r(f'CASE WHEN {t} IS NULL THEN NULL ELSE round(greatest(1.0e0, least({t}, 30.0e0)) * 1e1) / 1e1 END')} AS expected_transit_days
+FROM rq"""
+
+
+@oracle("expected_cost")
+def _p12():
+    vol = PKG
+    dim = f"({vol} / 1.66e2)"
+    bill = f"(CASE WHEN package_weight_lbs IS NULL OR {dim} IS NULL THEN NULL ELSE greatest(package_weight_lbs, {dim}) END)"
+    c = f"(base_cost * cost_mult * (1e0 + ({bill} - 1e0) * 0.08e0) * (1e0 + (month(ship_date) % 12) * 0.005e0))"
+    return f"""WITH {_rate_cte()}
+SELECT request_id, l_linenumber, carrier, service_level, rate_zone,
+ {r(f'CASE WHEN {c} IS NULL THEN NULL ELSE greatest(3.0e0, round({c} * 1e2) / 1e2) END')} AS expected_cost_usd FROM rq"""
+
+
+@oracle("distance_category_counts")
+def _p13():
+    return """WITH code AS (SELECT n.n_nationkey, r.r_name || '_' || n.n_name AS code FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey),
+j AS (SELECT split_part(sc.code, '_', 1) AS o, split_part(cc.code, '_', 1) AS d
+      FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+      JOIN code cc ON c.c_nationkey = cc.n_nationkey JOIN supplier s ON l.l_suppkey = s.s_suppkey
+      JOIN code sc ON s.s_nationkey = sc.n_nationkey)
+SELECT CASE WHEN o = d THEN 'domestic' WHEN (o IN ('US', 'CANADA') AND d IN ('US', 'CANADA')) OR (o = 'EU' AND d = 'EU')
+  THEN 'regional' ELSE 'international' END AS distance_category, CAST(count(*) AS BIGINT) AS n FROM j GROUP BY 1"""
+
+
+@oracle("zone_labels")
+def _p9():
+    return """SELECT TRY_CAST(regexp_extract('Zone_' || CAST(origin_zone AS VARCHAR), '_(\\d+)$', 1) AS INTEGER) AS zone,
+ CAST(count(*) AS BIGINT) AS n FROM shipments GROUP BY 1"""
+
+
+def _linear_sql() -> str:
+    sp = ", ".join(f"('{s}', {dlit(a)}, {dlit(b)}, {dlit(c)})" for s, (a, b, c) in _rd.SERVICE_SPECS.items())
+    ca = ", ".join(f"('{c}', {dlit(a)}, {dlit(b)})" for c, (a, b) in _rd.CARRIER_ADJUSTMENTS.items())
+    days = "greatest(0.8e0, (base_time + (dest_zone - 1) * zone_factor) * greatest(0.7e0, least(1.4e0, time_mult)))"
+    cost = ("greatest(2.5e0, (base_cost + (dest_zone - 1) * zone_factor * 5e-1 + package_weight_lbs * 0.3e0"
+            " + package_volume_cubic_in * 0.0005e0) * CASE WHEN package_weight_lbs > 1.0e1 THEN 1.2e0"
+            " WHEN package_weight_lbs < 1.0e0 THEN 0.9e0 ELSE 1e0 END * greatest(0.75e0, least(1.35e0, cm)))")
+    return f"""sp(svc, base_time, zone_factor, base_cost) AS (VALUES {sp}),
+ca(car, time_mult, cm) AS (VALUES {ca}),
+lm AS (SELECT s.l_orderkey, s.l_linenumber, s.carrier, s.service_level, s.{T}, s.{C}, {days} AS model_days, {cost} AS model_cost
+       FROM shipments s LEFT JOIN sp ON s.service_level = sp.svc LEFT JOIN ca ON s.carrier = ca.car)"""
+
+
+@oracle("linear_rate_model")
+def _p14():
+    return f"WITH {_linear_sql()}\nSELECT l_orderkey, l_linenumber, {r('model_days')} AS model_days, {r('model_cost')} AS model_cost FROM lm"
+
+
+@oracle("rate_residuals")
+def _p15():
+    return f"""WITH {_linear_sql()}
+SELECT carrier, service_level, CAST(count(*) AS BIGINT) AS n, {r(f'avg({T} - model_days)')} AS mean_days_residual,
+ {r(f'avg(abs({T} - model_days))')} AS mae_days, {r(f'avg({C} - model_cost)')} AS mean_cost_residual,
+ {r(f'avg(abs({C} - model_cost))')} AS mae_cost FROM lm GROUP BY carrier, service_level"""
+
+
+@oracle("default_ship_date")
+def _p19():
+    return """SELECT request_id, l_linenumber, coalesce(ship_date, DATE '2024-06-30') AS ship_date,
+ ship_date IS NULL AS date_defaulted FROM requests"""

@@ -75,3 +75,26 @@ for _n in ("dow_pattern monthly_pattern service_trends flow_matrix carrier_domin
            "top_shipping_days comprehensive_report").split():
     register(_n)(getattr(rp, _n))
 register("top_zip_routes", tb.lanes)(rp.top_zip_routes)
+
+# data quality and profiles
+from shiplens.operators import quality as qa  # noqa: E402
+
+register("request_validation", tb.requests)(qa.request_validation)
+register("drop_missing_targets", tb.shipments_raw)(qa.drop_missing_targets)
+register("dataset_profile", tb.shipments_raw)(qa.dataset_profile)
+register("describe_targets", tb.shipments_raw)(qa.describe_targets)
+register("service_value_counts")(qa.service_value_counts)
+register("zone_value_counts")(qa.zone_value_counts)
+register("training_profile")(qa.training_profile)
+
+# row rules
+from shiplens.operators import rules as ru  # noqa: E402
+
+for _n in "calendar_features cyclical_features route_keys package_features zone_labels rate_residuals".split():
+    register(_n)(getattr(ru, _n))
+register("linear_rate_model")(ru.linear_rate_model_q)
+register("zip_zone_lookup", tb.lanes)(ru.zip_zone_lookup)
+register("zip_lane_zone", tb.lanes)(ru.zip_lane_zone)
+for _n in "rate_card_lookup expected_transit expected_cost default_ship_date".split():
+    register(_n, tb.requests)(getattr(ru, _n))
+register_raw("distance_category_counts")(ru.distance_category_counts)

@@ -129,7 +129,9 @@ def percentiles(df: DataFrame, keys: Sequence[str], value, probs: Sequence[float
         F.min("_start").alias("_s"), F.max("_end").alias("_e"),
         F.first("_h").alias("_h"))
     ok = (F.col("_s") <= F.floor(F.col("_h"))) & (F.col("_e") >= F.ceil(F.col("_h")))
-    val = F.col("_xl") + (F.col("_h") - F.floor(F.col("_h"))) * (F.col("_xh") - F.col("_xl"))
+    frac = F.col("_h") - F.floor(F.col("_h"))
+    # weighted form lo*(1-d) + hi*d: an exact midpoint is rounded once (same bits as SQL engines)
+    val = F.col("_xl") * (F.lit(1e0) - frac) + F.col("_xh") * frac
     res = res.select(*keys, "i", F.when(ok, val).otherwise(
         F.raise_error(F.lit("percentile bracket missed its rank")).cast("double")).alias("v"))
     return res.groupBy(*keys).agg(*[

@@ -774,3 +774,192 @@ SELECT carrier, service_level, CAST(count(*) AS BIGINT) AS n, {r(f'avg({T} - mod
 def _p19():
     return """SELECT request_id, l_linenumber, coalesce(ship_date, DATE '2024-06-30') AS ship_date,
  ship_date IS NULL AS date_defaulted FROM requests"""
+
+
+# --------------------------------------------------------- feature pipeline
+ORDER_COLS = ("ship_date, l_orderkey, l_linenumber, origin_zone, dest_zone, carrier, service_level, "
+              "package_weight_lbs, package_length_in, package_width_in, package_height_in, "
+              f"package_volume_cubic_in, insurance_value, {T}, {C}")
+SPLIT = f"""sp AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY {ORDER_COLS}) <= floor(count(*) OVER () * 8e-1)
+                 THEN 'train' ELSE 'valid' END AS split FROM shipments)"""
+KEYS = """ks AS (SELECT *, CAST(origin_zone AS VARCHAR) || '->' || CAST(dest_zone AS VARCHAR) AS route,
+       CAST(origin_zone AS VARCHAR) || '::' || service_level AS origin_service, carrier || '::' || service_level AS carrier_service
+       FROM sp)"""
+ENC_COLS = ["route", "origin_zone", "dest_zone", "carrier", "service_level", "origin_service", "carrier_service"]
+
+
+@oracle("time_split")
+def _m1():
+    return f"""WITH {SPLIT}
+SELECT split, CAST(count(*) AS BIGINT) AS n, min(ship_date) AS min_date, max(ship_date) AS max_date FROM sp GROUP BY split"""
+
+
+def enc_sql(src: str, k: float, s: float) -> str:
+    u = " UNION ALL ".join(f"SELECT '{c}' AS enc_col, CAST({c} AS VARCHAR) AS category, {T}, {C} FROM {src}"
+                           for c in ENC_COLS)
+    parts = []
+    for t, col in (("time", T), ("cost", C)):
+        lam = f"(1e0 / (1e0 + exp(-(n_{t} - {dlit(k)}) / {dlit(s)})))"
+        parts.append(f"""SELECT enc_col, category, '{t}' AS target, n_{t} AS n, mean_{t} AS mean, {lam} AS smoothing,
+  prior_{t} * (1e0 - {lam}) + mean_{t} * {lam} AS enc, prior_{t} AS prior FROM g""")
+    return f"""u AS ({u}),
+pr AS (SELECT avg({T}) AS prior_time, avg({C}) AS prior_cost FROM {src}),
+g AS (SELECT enc_col, category, CAST(count({T}) AS BIGINT) AS n_time, avg({T}) AS mean_time,
+             CAST(count({C}) AS BIGINT) AS n_cost, avg({C}) AS mean_cost, max(pr.prior_time) AS prior_time,
+             max(pr.prior_cost) AS prior_cost FROM u CROSS JOIN pr GROUP BY enc_col, category),
+enc AS ({' UNION ALL '.join(parts)})"""
+
+
+ENC_OUT = f"""SELECT enc_col, category, target, n, {r('mean')} AS mean, {r('smoothing')} AS smoothing, {r('enc')} AS enc,
+ {r('prior')} AS prior FROM enc"""
+
+
+@oracle("target_encoding")
+def _m2():
+    return f"""WITH {SPLIT}, {KEYS}, tr AS (SELECT * FROM ks WHERE split = 'train'),
+{enc_sql('tr', 200, 20)}
+{ENC_OUT}"""
+
+
+@oracle("serving_encodings")
+def _m5():
+    return f"""WITH sp AS (SELECT * FROM shipments), {KEYS},
+{enc_sql('ks', 100, 10)}
+{ENC_OUT}"""
+
+
+def apply_enc_sql(src: str, cat_exprs: dict) -> tuple[str, str]:
+    """LEFT JOINs of the encoding table per column; returns (joins, select list)."""
+    joins, sel = [], []
+    for i, c in enumerate(ENC_COLS):
+        joins.append(f"LEFT JOIN (SELECT category, max(CASE WHEN target = 'time' THEN enc END) AS et, "
+                     f"max(CASE WHEN target = 'cost' THEN enc END) AS ec FROM enc WHERE enc_col = '{c}' GROUP BY category) e{i} "
+                     f"ON CAST({cat_exprs.get(c, src + '.' + c)} AS VARCHAR) = e{i}.category")
+        sel.append(f"coalesce(e{i}.et, pri.pt) AS {c}_te_time")
+        sel.append(f"coalesce(e{i}.ec, pri.pc) AS {c}_te_cost")
+    joins.append("CROSS JOIN (SELECT max(CASE WHEN target = 'time' THEN prior END) AS pt, "
+                 "max(CASE WHEN target = 'cost' THEN prior END) AS pc FROM enc) pri")
+    return "\n".join(joins), ", ".join(sel)
+
+
+@oracle("target_encoded_rows")
+def _m2rows():
+    joins, sel = apply_enc_sql("ks", {})
+    encs = [f"{c}_te_{t}" for c in ENC_COLS for t in ("time", "cost")]
+    return f"""WITH {SPLIT}, {KEYS}, tr AS (SELECT * FROM ks WHERE split = 'train'),
+{enc_sql('tr', 200, 20)},
+x AS (SELECT ks.l_orderkey, ks.l_linenumber, ks.ship_date, ks.carrier, ks.service_level, ks.origin_zone, ks.dest_zone, {sel}
+      FROM ks {joins})
+SELECT l_orderkey, l_linenumber, ship_date, carrier, service_level, origin_zone, dest_zone,
+ {', '.join(f"{r(e)} AS {e}" for e in encs)} FROM x"""
+
+
+MED_WINDOW = "PARTITION BY route ORDER BY ship_date RANGE BETWEEN INTERVAL 30 DAYS PRECEDING AND INTERVAL 1 DAY PRECEDING"
+GLOBAL_MED = f"gm AS (SELECT {q(T, 0.5)} AS gt, {q(C, 0.5)} AS gc FROM shipments)"
+
+
+@oracle("route_30d_median")
+def _m3():
+    return f"""WITH sp AS (SELECT * FROM shipments), {KEYS}, {GLOBAL_MED}
+SELECT l_orderkey, l_linenumber, route, ship_date,
+ {r(f'coalesce({q(T, 0.5)} OVER w, gm.gt)')} AS route_30d_median_time,
+ {r(f'coalesce({q(C, 0.5)} OVER w, gm.gc)')} AS route_30d_median_cost
+FROM ks CROSS JOIN gm WINDOW w AS ({MED_WINDOW})"""
+
+
+@oracle("request_history_features")
+def _m4():
+    return f"""WITH {GLOBAL_MED},
+u AS (SELECT CAST(origin_zone AS VARCHAR) || '->' || CAST(dest_zone AS VARCHAR) AS route, ship_date, {T} AS ht, {C} AS hc,
+             CAST(NULL AS BIGINT) AS request_id, CAST(NULL AS INT) AS l_linenumber, FALSE AS is_req FROM shipments
+      UNION ALL
+      SELECT CAST(zone AS VARCHAR) || '->' || CAST(zone AS VARCHAR), ship_date, NULL, NULL, request_id, l_linenumber, TRUE
+      FROM requests WHERE ship_date IS NOT NULL AND zone BETWEEN 1 AND 9),
+m AS (SELECT request_id, l_linenumber, route, ship_date, is_req, {q('ht', 0.5)} OVER w AS mt, {q('hc', 0.5)} OVER w AS mc
+      FROM u WINDOW w AS ({MED_WINDOW}))
+SELECT request_id, l_linenumber, route, ship_date, {r('coalesce(mt, gm.gt)')} AS route_30d_median_time,
+ {r('coalesce(mc, gm.gc)')} AS route_30d_median_cost FROM m CROSS JOIN gm WHERE is_req"""
+
+
+TIME_F = ["dow_sin", "dow_cos", "month_sin", "month_cos", "package_weight_lbs", "package_volume",
+          "dimensional_weight", "billable_weight", "weight_to_volume_ratio", "route_30d_median_time",
+          "route_te_time", "origin_zone_te_time", "dest_zone_te_time", "carrier_te_time",
+          "service_level_te_time", "origin_service_te_time", "carrier_service_te_time"]
+COST_F = [f.replace("_time", "_cost") for f in TIME_F]
+
+
+def _row_feats(src: str) -> str:
+    d = f"CAST(isodow({src}.ship_date) - 1 AS INT)"
+    m = f"CAST(month({src}.ship_date) AS INT)"
+    vol = f"({src}.package_length_in * {src}.package_width_in * {src}.package_height_in)"
+    dim = f"({vol} / 1.66e2)"
+    w = f"{src}.package_weight_lbs"
+    return (f"sin(2e0 * pi() * {d} / 7e0) AS dow_sin, cos(2e0 * pi() * {d} / 7e0) AS dow_cos, "
+            f"sin(2e0 * pi() * {m} / 1.2e1) AS month_sin, cos(2e0 * pi() * {m} / 1.2e1) AS month_cos, "
+            f"{vol} AS package_volume, {dim} AS dimensional_weight, "
+            f"CASE WHEN {w} IS NULL OR {dim} IS NULL THEN NULL ELSE greatest({w}, {dim}) END AS billable_weight, "
+            f"{w} / ({vol} + 1e0) AS weight_to_volume_ratio")
+
+
+def feature_matrix_sql(target: str) -> str:
+    feats = TIME_F if target == "time" else COST_F
+    joins, sel = apply_enc_sql("ks", {})
+    label = T if target == "time" else C
+    return f"""WITH {SPLIT}, {KEYS}, {GLOBAL_MED}, tr AS (SELECT * FROM ks WHERE split = 'train'),
+{enc_sql('tr', 200, 20)},
+md AS (SELECT l_orderkey, l_linenumber, ship_date, route, {', '.join(c for c in ORDER_COLS.split(', ') if c not in ('l_orderkey', 'l_linenumber', 'ship_date'))},
+        coalesce({q(T, 0.5)} OVER w, gm.gt) AS route_30d_median_time, coalesce({q(C, 0.5)} OVER w, gm.gc) AS route_30d_median_cost
+       FROM ks CROSS JOIN gm WINDOW w AS ({MED_WINDOW})),
+x AS (SELECT ks.l_orderkey, ks.l_linenumber, ks.split, ks.package_weight_lbs, ks.{label} AS label, md.route_30d_median_time,
+        md.route_30d_median_cost, {_row_feats('ks')}, {sel}
+      FROM ks JOIN md ON {' AND '.join(f'ks.{c} IS NOT DISTINCT FROM md.{c}' for c in ORDER_COLS.split(', '))} {joins})
+SELECT l_orderkey, l_linenumber, split, {', '.join(f'{r(c)} AS {c}' for c in feats)}, label FROM x"""
+
+
+@oracle("feature_matrix_time")
+def _m6t():
+    return feature_matrix_sql("time")
+
+
+@oracle("feature_matrix_cost")
+def _m6c():
+    return feature_matrix_sql("cost")
+
+
+@oracle("serving_features_zone_only")
+def _m13():
+    cats = {"route": "CAST(rq.zone AS VARCHAR) || '->' || CAST(rq.zone AS VARCHAR)", "origin_zone": "rq.zone",
+            "dest_zone": "rq.zone", "origin_service": "CAST(rq.zone AS VARCHAR) || '::' || rq.service_level",
+            "carrier_service": "rq.carrier || '::' || rq.service_level", "carrier": "rq.carrier",
+            "service_level": "rq.service_level"}
+    joins, sel = apply_enc_sql("rq", cats)
+    cols = sorted(set(TIME_F + COST_F))
+    return f"""WITH {SPLIT}, {KEYS}, tr AS (SELECT * FROM ks WHERE split = 'train'),
+{enc_sql('tr', 200, 20)},
+x AS (SELECT rq.request_id, rq.l_linenumber, rq.package_weight_lbs, {_row_feats('rq')},
+        {dlit(_rd.ZONE_ONLY_MEDIAN_TIME)} AS route_30d_median_time, {dlit(_rd.ZONE_ONLY_MEDIAN_COST)} AS route_30d_median_cost,
+        {sel} FROM requests rq {joins})
+SELECT request_id, l_linenumber, {', '.join(f'{r(c)} AS {c}' for c in cols)} FROM x"""
+
+
+@oracle("carrier_quotes")
+def _m14():
+    cars = ", ".join(f"('{c}', {dlit(_rd.CARRIER_DAYS_OFFSET.get(c, 0.0))}, {dlit(_rd.CARRIER_COST_MULT.get(c, 1.0))})"
+                     for c in _rd.QUOTE_CARRIERS)
+    rc = ", ".join(f"('{s}', {z + 1}, {dlit(_rd.BASE_TRANSIT_DAYS[s][z])}, {dlit(_rd.BASE_COST_USD[s][z])})"
+                   for s in _rd.RATE_SERVICES for z in range(9))
+    vol = "(package_length_in * package_width_in * package_height_in)"
+    dim = f"({vol} / 1.66e2)"
+    bill = f"(CASE WHEN package_weight_lbs IS NULL OR {dim} IS NULL THEN NULL ELSE greatest(package_weight_lbs, {dim}) END)"
+    t = "(base_days + off)"
+    c = f"(base_cost * mult * (1e0 + ({bill} - 1e0) * 0.08e0) * (1e0 + (month(ship_date) % 12) * 0.005e0))"
+    days = f"CASE WHEN {t} IS NULL THEN NULL ELSE round(greatest(1.0e0, least({t}, 30.0e0)) * 1e1) / 1e1 END"
+    cost = f"CASE WHEN {c} IS NULL THEN NULL ELSE greatest(3.0e0, round({c} * 1e2) / 1e2) END"
+    return f"""WITH cq(carrier, off, mult) AS (VALUES {cars}),
+rc(svc, rz, base_days, base_cost) AS (VALUES {rc}),
+rq AS (SELECT *, row_number() OVER () AS rid FROM requests),
+x AS (SELECT rq.rid, rq.request_id, rq.l_linenumber, cq.carrier, {days} AS d, {cost} AS c
+      FROM rq CROSS JOIN cq LEFT JOIN rc ON rq.service_level = rc.svc AND rq.zone = rc.rz),
+k AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY c NULLS LAST, carrier) AS rk FROM x)
+SELECT request_id, l_linenumber, carrier, {r('d')} AS expected_transit_days, {r('c')} AS expected_cost_usd,
+ CAST(rk AS INT) AS rank, rk = 1 AS is_best FROM k"""

@@ -98,3 +98,16 @@ register("zip_lane_zone", tb.lanes)(ru.zip_lane_zone)
 for _n in "rate_card_lookup expected_transit expected_cost default_ship_date".split():
     register(_n, tb.requests)(getattr(ru, _n))
 register_raw("distance_category_counts")(ru.distance_category_counts)
+
+# feature pipeline
+from shiplens.operators import features as fe  # noqa: E402
+
+register("time_split")(fe.time_split_summary)
+for _n in ("target_encoding serving_encodings target_encoded_rows route_30d_median feature_matrix_time "
+           "feature_matrix_cost").split():
+    register(_n)(getattr(fe, _n))
+register("carrier_quotes", tb.requests)(fe.carrier_quotes)
+register_raw("request_history_features")(
+    lambda spark, d: fe.request_history_features(tb.requests(spark, d), tb.shipments(spark, d)))
+register_raw("serving_features_zone_only")(
+    lambda spark, d: fe.serving_features_zone_only(tb.requests(spark, d), tb.shipments(spark, d)))

@@ -65,3 +65,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
+
+
+def materialize_small(df):
+    """Cut the lineage of a small derived table (cut positions, encoding maps, thresholds).
+
+    Reliable checkpoint into the shared checkpoint folder (never a local
+    checkpoint): survives executor loss and keeps downstream plans flat.
+    Only used for tables whose size is bounded by the number of groups.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -205,53 +205,73 @@ def _window_median(x: Column, w) -> Column:
     return F.when(n > 0, lo * (F.lit(1e0) - d) + hi * d)
 
 
-def rolling_route_medians(targets: DataFrame, history: DataFrame, route_col: str = "route",
+def rolling_route_medians(targets: DataFrame, history: DataFrame | None = None, route_col: str = "route",
                           days: int = WINDOW_DAYS) -> DataFrame:
-    """Trailing ``days``-day median of history time / cost on the same route, excluding the
-    target's own day, for every target row (NULL when no history).
+    """Add the trailing ``days``-day median of history time / cost on the same route,
+    excluding the target's own day (NULL when there is no history), to every target row.
 
-    targets: (_tid, route, ship_date); history: (route, ship_date, transit, cost).
+    ``history`` = None means the targets are their own history (they must then carry the
+    time / cost columns).  Target rows keep all their columns through the window, so no
+    row id and no join back are needed.
     """
     blk = F.floor(_epoch_day(F.col("ship_date")) / F.lit(days)).cast("long")
-    t = targets.select("_tid", route_col, "ship_date", F.lit(None).cast("double").alias("_ht"),
-                       F.lit(None).cast("double").alias("_hc"), blk.alias("_blk"))
-    h = history.select(F.lit(None).cast("long").alias("_tid"), route_col, "ship_date",
-                       F.col(TIME).alias("_ht"), F.col(COST).alias("_hc"), blk.alias("_blk"))
-    h2 = h.withColumn("_blk", F.col("_blk") + 1)  # the same rows as history of the next block
-    u = t.unionByName(h).unionByName(h2).withColumn("_day", _epoch_day(F.col("ship_date")))
+    cols = targets.columns
+    if history is None:
+        t = targets.select(*cols, F.lit(True).alias("_is_t"), F.col(TIME).alias("_ht"),
+                           F.col(COST).alias("_hc"), blk.alias("_blk"))
+        h_src = t
+    else:
+        t = targets.select(*cols, F.lit(True).alias("_is_t"), F.lit(None).cast("double").alias("_ht"),
+                           F.lit(None).cast("double").alias("_hc"), blk.alias("_blk"))
+        typed = {f.name: f.dataType for f in targets.schema.fields}
+        h_src = history.select(*[F.col(c) if c in (route_col, "ship_date") else F.lit(None).cast(typed[c]).alias(c)
+                                 for c in cols], F.lit(False).alias("_is_t"), F.col(TIME).alias("_ht"),
+                               F.col(COST).alias("_hc"), blk.alias("_blk"))
+        t = t.unionByName(h_src)
+    # the history rows once more, as history of the next block
+    nxt = h_src.where(F.col("_ht").isNotNull() | F.col("_hc").isNotNull()).withColumn(
+        "_is_t", F.lit(False)).withColumn("_blk", F.col("_blk") + 1)
+    u = t.unionByName(nxt).withColumn("_day", _epoch_day(F.col("ship_date")))
     w = Window.partitionBy(route_col, "_blk").orderBy("_day").rangeBetween(-days, -1)
-    res = u.select("_tid", _window_median(F.col("_ht"), w).alias("route_30d_median_time"),
+    res = u.select(*cols, "_is_t", _window_median(F.col("_ht"), w).alias("route_30d_median_time"),
                    _window_median(F.col("_hc"), w).alias("route_30d_median_cost"))
-    return res.where(F.col("_tid").isNotNull())
+    return res.where("_is_t").drop("_is_t")
+
+
+def _global_medians(s: DataFrame) -> DataFrame:
+    return percentiles(s.select(TIME), [], TIME, [0.5], ["_gt"]).crossJoin(
+        percentiles(s.select(COST), [], COST, [0.5], ["_gc"]))
+
+
+def with_route_medians(rows: DataFrame, fallback_from: DataFrame, history: DataFrame | None = None) -> DataFrame:
+    """Rolling route medians with the global-median fallback (one-row broadcast)."""
+    med = rolling_route_medians(rows, history)
+    g = _global_medians(fallback_from)
+    return med.crossJoin(F.broadcast(g)).withColumn(
+        "route_30d_median_time", F.coalesce("route_30d_median_time", "_gt")).withColumn(
+        "route_30d_median_cost", F.coalesce("route_30d_median_cost", "_gc")).drop("_gt", "_gc")
 
 
 def route_30d_median(s: DataFrame, train_only: bool = False) -> DataFrame:
     """M3: trailing 30-day route medians of time and cost; a row without history gets the
     global median of all rows (``train_only``: of the train split)."""
-    ks = with_keys(s).withColumn("_tid", F.monotonically_increasing_id())
-    med = rolling_route_medians(ks.select("_tid", "route", "ship_date"), ks.select("route", "ship_date", TIME, COST))
-    base = train_rows(s) if train_only else s
-    g = percentiles(base.select(TIME), [], TIME, [0.5], ["_gt"]).crossJoin(
-        percentiles(base.select(COST), [], COST, [0.5], ["_gc"]))
-    out = ks.join(med, "_tid").crossJoin(F.broadcast(g))
+    ks = with_keys(s).select("l_orderkey", "l_linenumber", "route", "ship_date", TIME, COST)
+    out = with_route_medians(ks, train_rows(s) if train_only else s)
     return out.select("l_orderkey", "l_linenumber", "route", "ship_date",
-                      r6(F.coalesce("route_30d_median_time", "_gt")).alias("route_30d_median_time"),
-                      r6(F.coalesce("route_30d_median_cost", "_gc")).alias("route_30d_median_cost"))
+                      r6("route_30d_median_time").alias("route_30d_median_time"),
+                      r6("route_30d_median_cost").alias("route_30d_median_cost"))
 
 
 def request_history_features(req: DataFrame, s: DataFrame) -> DataFrame:
     """M4: trailing 30-day medians on route 'z->z' from the shipment history for each valid
     request (zone 1..9, dated); fallback: global history median."""
-    q = req.where(F.col("ship_date").isNotNull() & F.col("zone").between(1, 9)).withColumn(
-        "route", sc.route_key(F.col("zone"), F.col("zone"))).withColumn("_tid", F.monotonically_increasing_id())
+    q = req.where(F.col("ship_date").isNotNull() & F.col("zone").between(1, 9)).select(
+        "request_id", "l_linenumber", sc.route_key(F.col("zone"), F.col("zone")).alias("route"), "ship_date")
     hist = with_keys(s).select("route", "ship_date", TIME, COST)
-    med = rolling_route_medians(q.select("_tid", "route", "ship_date"), hist)
-    g = percentiles(s.select(TIME), [], TIME, [0.5], ["_gt"]).crossJoin(
-        percentiles(s.select(COST), [], COST, [0.5], ["_gc"]))
-    out = q.join(med, "_tid").crossJoin(F.broadcast(g))
+    out = with_route_medians(q, s, hist)
     return out.select("request_id", "l_linenumber", "route", "ship_date",
-                      r6(F.coalesce("route_30d_median_time", "_gt")).alias("route_30d_median_time"),
-                      r6(F.coalesce("route_30d_median_cost", "_gc")).alias("route_30d_median_cost"))
+                      r6("route_30d_median_time").alias("route_30d_median_time"),
+                      r6("route_30d_median_cost").alias("route_30d_median_cost"))
 
 
 # ---------------------------------------------------------------------- M6
@@ -264,18 +284,12 @@ COST_FEATURES = [f.replace("_time", "_cost") for f in TIME_FEATURES]
 
 def feature_table(s: DataFrame) -> DataFrame:
     """All model inputs per row: calendar/cyclical, package, rolling medians, encodings, split."""
-    sp = time_split(s)
-    ks = with_keys(sp).withColumn("_tid", F.monotonically_increasing_id())
+    ks = with_keys(time_split(s))
     ks = ks.select("*", F.weekday("ship_date").alias("dow"), F.month("ship_date").alias("month"))
     ks = ks.select("*", *sc.cyclical(F.col("dow"), 7, "dow"), *sc.cyclical(F.col("month"), 12, "month"),
                    *sc.package_columns())
-    med = rolling_route_medians(ks.select("_tid", "route", "ship_date"), ks.select("route", "ship_date", TIME, COST))
-    g = percentiles(s.select(TIME), [], TIME, [0.5], ["_gt"]).crossJoin(
-        percentiles(s.select(COST), [], COST, [0.5], ["_gc"]))
-    x = ks.join(med, "_tid").crossJoin(F.broadcast(g)).withColumn(
-        "route_30d_median_time", F.coalesce("route_30d_median_time", "_gt")).withColumn(
-        "route_30d_median_cost", F.coalesce("route_30d_median_cost", "_gc")).drop("_gt", "_gc")
-    enc = encodings(ks.where(F.col("split") == "train"), 200, 20)
+    x = with_route_medians(ks, s)
+    enc = encodings(x.where(F.col("split") == "train"), 200, 20)
     return apply_encodings(x, enc)
 
 

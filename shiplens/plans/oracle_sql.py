@@ -963,3 +963,67 @@ x AS (SELECT rq.rid, rq.request_id, rq.l_linenumber, cq.carrier, {days} AS d, {c
 k AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY c NULLS LAST, carrier) AS rk FROM x)
 SELECT request_id, l_linenumber, carrier, {r('d')} AS expected_transit_days, {r('c')} AS expected_cost_usd,
  CAST(rk AS INT) AS rank, rk = 1 AS is_best FROM k"""
+
+
+# --------------------------------------------------------- streaming twins
+@oracle("daily_prediction_counts")
+def _s1():
+    return """WITH d AS (SELECT CAST(ts AS DATE) AS day, CAST(count(*) AS BIGINT) AS n FROM prediction_events WHERE success GROUP BY 1)
+SELECT day, n FROM d WHERE day >= (SELECT max(day) FROM d) - INTERVAL 30 DAYS"""
+
+
+@oracle("prediction_stats")
+def _s1b():
+    return """WITH d AS (SELECT CAST(ts AS DATE) AS day, CAST(count(*) AS BIGINT) AS n FROM prediction_events WHERE success GROUP BY 1),
+k AS (SELECT * FROM d WHERE day >= (SELECT max(day) FROM d) - INTERVAL 30 DAYS)
+SELECT max(day) AS date, arg_max(n, day) AS today,
+ (SELECT CAST(count(*) AS BIGINT) FROM prediction_events WHERE success) AS total,
+ CAST(floor(avg(n) + 5e-1) AS BIGINT) AS average_daily, CAST(count(*) AS BIGINT) AS active_days FROM k"""
+
+
+@oracle("response_time_stats")
+def _s2():
+    return """WITH t AS (SELECT response_ms FROM prediction_events ORDER BY ts DESC, request_id DESC LIMIT 1000),
+r AS (SELECT response_ms, row_number() OVER (ORDER BY response_ms) AS rk, count(*) OVER () AS n FROM t)
+SELECT CAST(floor(avg(response_ms) + 5e-1) AS BIGINT) AS average_ms,
+ CAST(floor(max(CASE WHEN rk = floor(n / 2) + 1 THEN response_ms END) + 5e-1) AS BIGINT) AS median_ms,
+ CAST(floor(min(response_ms) + 5e-1) AS BIGINT) AS min_ms, CAST(floor(max(response_ms) + 5e-1) AS BIGINT) AS max_ms,
+ (SELECT CAST(count(*) AS BIGINT) FROM prediction_events) AS total_requests, CAST(count(*) AS BIGINT) AS recent_samples
+FROM r"""
+
+
+@oracle("stream_service_summary")
+def _s4():
+    return f"""SELECT service_level, CAST(count(*) AS BIGINT) AS n, {r(f'avg({T})')} AS avg_transit_time,
+ {r(f'stddev_samp({T})')} AS transit_time_std, {r(f'avg({C})')} AS avg_cost, {r(f'stddev_samp({C})')} AS cost_std
+FROM shipments GROUP BY service_level"""
+
+
+@oracle("stream_score")
+def _s3():
+    vol = "(package_length_in * package_width_in * package_height_in)"
+    dim = f"({vol} / 1.66e2)"
+    bill = f"(CASE WHEN package_weight_lbs IS NULL OR {dim} IS NULL THEN NULL ELSE greatest(package_weight_lbs, {dim}) END)"
+    t = "(base_days + days_offset)"
+    c = f"(base_cost * cost_mult * (1e0 + ({bill} - 1e0) * 0.08e0) * (1e0 + (month(ship_date) % 12) * 0.005e0))"
+    return f"""WITH {_rate_cte()},
+v AS (SELECT q.request_id, q.l_linenumber, q.ship_date, q.package_weight_lbs, q.package_length_in, q.package_width_in,
+        q.package_height_in, rc.base_days, rc.base_cost, coalesce(ce.days_offset, 0e0) AS days_offset,
+        coalesce(ce.cost_mult, 1e0) AS cost_mult, {_reasons_sql()} AS reasons
+      FROM requests q LEFT JOIN rc ON q.service_level = rc.svc AND q.zone = rc.rz LEFT JOIN ce ON q.carrier = ce.car)
+SELECT request_id, l_linenumber, reasons = '' AS success, reasons,
+ CASE WHEN reasons = '' THEN {r(f'CASE WHEN {t} IS NULL THEN NULL ELSE round(greatest(1.0e0, least({t}, 30.0e0)) * 1e1) / 1e1 END')} END AS predicted_transit_days,
+ CASE WHEN reasons = '' THEN {r(f'CASE WHEN {c} IS NULL THEN NULL ELSE greatest(3.0e0, round({c} * 1e2) / 1e2) END')} END AS predicted_cost_usd
+FROM v"""
+
+
+@oracle("baseline_eval")
+def _m9b():
+    md = f"""md AS (SELECT split, {T}, {C}, coalesce({q(T, 0.5)} OVER w, gm.gt) AS mt, coalesce({q(C, 0.5)} OVER w, gm.gc) AS mc
+       FROM ks CROSS JOIN gm WINDOW w AS ({MED_WINDOW}))"""
+    return f"""WITH {SPLIT}, {KEYS}, {GLOBAL_MED}, {md}
+SELECT 'time' AS target, CAST(count(*) AS BIGINT) AS n, {r(f'avg(abs({T} - mt))')} AS mae,
+ {r(f'sqrt(avg(({T} - mt) * ({T} - mt)))')} AS rmse FROM md WHERE split = 'valid'
+UNION ALL
+SELECT 'cost', CAST(count(*) AS BIGINT), {r(f'avg(abs({C} - mc))')}, {r(f'sqrt(avg(({C} - mc) * ({C} - mc)))')}
+FROM md WHERE split = 'valid'"""

@@ -111,3 +111,60 @@ register_raw("request_history_features")(
     lambda spark, d: fe.request_history_features(tb.requests(spark, d), tb.shipments(spark, d)))
 register_raw("serving_features_zone_only")(
     lambda spark, d: fe.serving_features_zone_only(tb.requests(spark, d), tb.shipments(spark, d)))
+
+# streaming jobs: batch twins of the stream transformations
+from shiplens.streaming import jobs as sj  # noqa: E402
+
+register("daily_prediction_counts", tb.prediction_events)(sj.daily_prediction_counts)
+register("prediction_stats", tb.prediction_events)(sj.prediction_stats)
+register("response_time_stats", tb.prediction_events)(sj.response_time_stats)
+register("stream_service_summary")(sj.stream_service_summary)
+register("stream_score", tb.requests)(sj.score_requests)
+
+# models (rows-only checks, except the route-median baseline)
+from shiplens.operators import models as mo  # noqa: E402
+
+QUERY_MAX_ITER = 20  # boosting rounds for the registered model queries
+
+register("baseline_eval")(mo.baseline_eval)
+register("model_eval")(lambda s: mo.model_eval(s, max_iter=QUERY_MAX_ITER))
+register("lane_segments")(mo.lane_segments)
+register("segment_summary")(mo.segment_summary)
+
+
+@register_raw("train_time_model")
+def _train_time(spark, d):
+    """M7: time regressor fitted on the train split; predictions for every row."""
+    ft = mo.training_table(tb.shipments(spark, d))
+    m = mo.fit_regressor(ft, "time", maxIter=QUERY_MAX_ITER)
+    return m.transform(ft).select("l_orderkey", "l_linenumber", "split", "transit_time_days", "pred_time")
+
+
+@register_raw("train_cost_model")
+def _train_cost(spark, d):
+    """M7: cost regressor fitted on the train split; predictions for every row."""
+    ft = mo.training_table(tb.shipments(spark, d))
+    m = mo.fit_regressor(ft, "cost", maxIter=QUERY_MAX_ITER)
+    return m.transform(ft).select("l_orderkey", "l_linenumber", "split", "shipping_cost_usd", "pred_cost")
+
+
+@register_raw("quantile_predictions")
+def _quantiles(spark, d):
+    """M8: leaf-quantile q10/q50/q90 of both targets for the validation rows."""
+    ft = mo.training_table(tb.shipments(spark, d))
+    out = ft.where("is_valid")
+    for t in ("time", "cost"):
+        qm, qt = mo.fit_quantile_tree(ft, t)
+        out = mo.quantile_predictions(out, qm, qt, t)
+    return out.select("l_orderkey", "l_linenumber", *[f"q{int(q * 100)}_{t}" for t in ("time", "cost")
+                                                      for q in mo.QUANTILES])
+
+
+register_raw("batch_predict")(lambda spark, d: mo.model_predictions_query(spark, d, False, QUERY_MAX_ITER))
+register_raw("predict_with_quantiles")(lambda spark, d: mo.model_predictions_query(spark, d, True, QUERY_MAX_ITER))
+register_raw("predict_transit_only")(
+    lambda spark, d: mo.predict_transit_only(mo.model_predictions_query(spark, d, False, QUERY_MAX_ITER)))
+register_raw("predict_cost_only")(
+    lambda spark, d: mo.predict_cost_only(mo.model_predictions_query(spark, d, False, QUERY_MAX_ITER)))
+register_raw("batch_summary")(
+    lambda spark, d: mo.batch_summary(mo.model_predictions_query(spark, d, False, QUERY_MAX_ITER)))

@@ -45,7 +45,7 @@ def _by_mod(key, names: list[str]):
     return _case(key, {i: n for i, n in enumerate(names[:-1])}, names[-1])
 
 
-def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def shipments(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
     """Fact view ``shipments``: lineitem x orders x customer x supplier x part.
 
     Join order puts the two large inputs (lineitem, orders) in one
@@ -53,7 +53,7 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     (smaller side), supplier and part are dimension joins that adaptive
     execution turns into broadcasts when their runtime size allows it.
     """
-    l = table(spark, sf_dir, "lineitem").select(
+    l = (lineitem if lineitem is not None else table(spark, sf_dir, "lineitem")).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
         "l_extendedprice", "l_tax", "l_shipdate")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority",
@@ -126,9 +126,9 @@ def lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
          .alias("dest_zip"))
 
 
-def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+def requests(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
     """Prediction requests (one per lineitem) including invalid ones."""
-    l = table(spark, sf_dir, "lineitem").select(
+    l = (lineitem if lineitem is not None else table(spark, sf_dir, "lineitem")).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
         "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_size")
@@ -152,9 +152,9 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_extendedprice") / F.lit(1e1)).alias("insurance_value"))
 
 
-def prediction_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def prediction_events(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """Request log: one event per prediction call."""
-    e = table(spark, sf_dir, "events")
+    e = events if events is not None else table(spark, sf_dir, "events")
     return e.select(F.col("event_id").alias("request_id"), "ts",
                     (F.col("event_type") != "error").alias("success"),
                     F.col("value").alias("response_ms"))
@@ -162,3 +162,13 @@ def prediction_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def union_all(dfs: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), dfs)
+
+
+def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int = 1) -> DataFrame:
+    """A driver table as a Structured Streaming file source (schema from the static table).
+
+    The glob keeps the source on one table's files inside the shared folder.
+    """
+    schema = table(spark, sf_dir, name).schema
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+            .parquet(f"{sf_dir.rstrip('/')}/{name}.parque[t]"))

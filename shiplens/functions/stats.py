@@ -21,6 +21,27 @@ def r6(c) -> Column:
     return F.round(c.cast("double") * F.lit(1e6)) / F.lit(1e6)
 
 
+def r9(c) -> Column:
+    """Rounding for order statistics (percentiles, fences): 9 digits.
+
+    Order statistics of values with <= 6 decimals, interpolated at quarter
+    positions, have <= 8-9 decimals, so 9-digit rounding never meets an exact
+    tie; they carry no summation drift, so the extra digits are stable.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    return F.round(c.cast("double") * F.lit(1e9)) / F.lit(1e9)
+
+
+def exact_avg(c) -> Column:
+    """Mean from an exact DECIMAL(38,7) sum (cost values carry <= 7 decimals).
+
+    The sum is exact and its conversion and the division are each correctly
+    rounded, so every engine produces the same double (exact ties included).
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    return F.sum(c.cast("decimal(38,7)")).cast("double") / F.count(c)
+
+
 def cnt(c=None) -> Column:
     """count(*) or count(col) as BIGINT."""
     return (F.count(F.lit(1)) if c is None else F.count(c)).cast("long")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiplens.functions.quantiles import null_safe_join, percentiles
-from shiplens.functions.stats import COST, TIME, cnt, r6
+from shiplens.functions.stats import COST, TIME, cnt, r6, r9
 
 METRIC_NAMES = {"transit_time": TIME, "shipping_cost": COST}
 DIST_PROBS = [0.25, 0.75, 0.5, 0.1, 0.2, 0.3, 0.4, 0.6, 0.7, 0.8, 0.9, 0.95, 0.99]
@@ -52,9 +52,10 @@ def distribution_stats(s: DataFrame, service_level: str | None = None, zone: int
     qs = percentiles(long, CELL, "v", DIST_PROBS, DIST_NAMES)
     out = null_safe_join(g, qs, CELL)
     out = out.withColumn("iqr", F.col("q75") - F.col("q25"))
-    floats = ["mean", "median", "std", "var", "min", "max", "q25", "q75", "iqr", "skewness",
-              "kurtosis"] + [n for n in DIST_NAMES if n.startswith("p")]
-    return out.select(*CELL, "count", *[r6(c).alias(c) for c in floats])
+    floats = ["mean", "std", "var", "min", "max", "skewness", "kurtosis"]
+    order_stats = ["median", "q25", "q75", "iqr"] + [n for n in DIST_NAMES if n.startswith("p")]
+    return out.select(*CELL, "count", *[r6(c).alias(c) for c in floats],
+                      *[r9(c).alias(c) for c in order_stats])
 
 
 def all_distributions(s: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from shiplens.functions.quantiles import null_safe_join, percentiles
 from shiplens.functions.scalars import day_name, package_category, weight_bins
-from shiplens.functions.stats import COST, TIME, cnt, r6
+from shiplens.functions.stats import COST, TIME, cnt, r6, r9
 from shiplens.sources.tables import union_all
 
 SIZE_CATEGORIES = ["Small", "Medium", "Large", "XLarge"]
@@ -216,8 +216,8 @@ def iqr_outliers(s: DataFrame, examples: int = 10) -> DataFrame:
         F.sort_array(F.collect_list(F.struct(-F.col("excess"), -F.col("v"), F.col("v")))),
         lambda t: (F.round(t.getField("v") * F.lit(1e6)) / F.lit(1e6)).cast("string")), ",").alias("examples"))
     res = q.join(agg, "metric").join(ex, "metric", "left")
-    return res.select("metric", r6("q1").alias("q1"), r6("q3").alias("q3"),
-                      r6("lower_fence").alias("lower_fence"), r6("upper_fence").alias("upper_fence"),
+    return res.select("metric", r9("q1").alias("q1"), r9("q3").alias("q3"),
+                      r9("lower_fence").alias("lower_fence"), r9("upper_fence").alias("upper_fence"),
                       "outlier_count", r6(F.col("outlier_count") / F.col("n") * F.lit(1e2)).alias("outlier_pct"),
                       "examples")
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiplens.functions.quantiles import null_safe_join, percentiles
-from shiplens.functions.stats import COST, TIME, cnt, r6, sorted_list
+from shiplens.functions.stats import COST, TIME, cnt, exact_avg, r6, sorted_list
 
 CELL = ["carrier", "service_level", "dest_zone"]
 
@@ -78,7 +78,7 @@ def percentile_filtered(s: DataFrame, percentiles_: Sequence[float] = (50,),
                                   F.max("threshold").alias("percentile_threshold"))
     kept = tagged.where("kept")
     agg = kept.groupBy(*pk).agg(
-        cnt().alias("records_in_percentile"), F.avg(TIME).alias("_mean_t"), F.avg(COST).alias("_mean_c"),
+        cnt().alias("records_in_percentile"), exact_avg(TIME).alias("_mean_t"), exact_avg(COST).alias("_mean_c"),
         F.stddev_samp(TIME).alias("transit_time_std"), F.stddev_samp(COST).alias("cost_std"))
     out = null_safe_join(tot, agg, pk)
     if "median" in methods:

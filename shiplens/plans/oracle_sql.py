@@ -16,6 +16,10 @@ def r(expr: str) -> str:
     return f"(round(CAST({expr} AS DOUBLE) * 1e6) / 1e6)"
 
 
+def r9(expr: str) -> str:
+    return f"(round(CAST({expr} AS DOUBLE) * 1e9) / 1e9)"
+
+
 def q(expr: str, p: float) -> str:
     return f"quantile_cont({expr}, {p!r})"
 
@@ -64,8 +68,8 @@ def percentile_filtered_sql(pcts, methods, with_pm: bool) -> str:
     parts = []
     for p in pcts:
         for m in methods:
-            agg_t = q(T, 0.5) if m == "median" else f"avg({T})"
-            agg_c = q(C, 0.5) if m == "median" else f"avg({C})"
+            agg_t = q(T, 0.5) if m == "median" else f"CAST(sum(CAST({T} AS DECIMAL(38,7))) AS DOUBLE) / count({T})"
+            agg_c = q(C, 0.5) if m == "median" else f"CAST(sum(CAST({C} AS DECIMAL(38,7))) AS DOUBLE) / count({C})"
             pm = f"CAST({float(p)!r} AS DOUBLE) AS percentile, '{m}' AS method, " if with_pm else ""
             parts.append(f"""SELECT carrier, service_level, dest_zone AS zone, {pm}
  CAST(max(n) AS BIGINT) AS total_shipments, CAST(count(*) AS BIGINT) AS records_in_percentile,
@@ -126,11 +130,11 @@ DIST_P = [("p10", 0.1), ("p20", 0.2), ("p30", 0.3), ("p40", 0.4), ("p60", 0.6),
 
 
 def dist_stats_sql() -> str:
-    ps = ",\n ".join(f"{r(q('v', p))} AS {n}" for n, p in DIST_P)
+    ps = ",\n ".join(f"{r9(q('v', p))} AS {n}" for n, p in DIST_P)
     return f"""SELECT service_level, zone, metric, CAST(count(v) AS BIGINT) AS count, {r('avg(v)')} AS mean,
- {r(q('v', 0.5))} AS median, {r('stddev_samp(v)')} AS std, {r('var_samp(v)')} AS var,
- {r('min(v)')} AS min, {r('max(v)')} AS max, {r(q('v', 0.25))} AS q25, {r(q('v', 0.75))} AS q75,
- {r(q('v', 0.75) + ' - ' + q('v', 0.25))} AS iqr, {r(skew_sql('v'))} AS skewness,
+ {r9(q('v', 0.5))} AS median, {r('stddev_samp(v)')} AS std, {r('var_samp(v)')} AS var,
+ {r('min(v)')} AS min, {r('max(v)')} AS max, {r9(q('v', 0.25))} AS q25, {r9(q('v', 0.75))} AS q75,
+ {r9(q('v', 0.75) + ' - ' + q('v', 0.25))} AS iqr, {r(skew_sql('v'))} AS skewness,
  {r('kurtosis_pop(v)')} AS kurtosis, {ps}
 FROM {LONG} u GROUP BY service_level, zone, metric"""
 
@@ -464,7 +468,7 @@ a AS (SELECT metric, count(*) AS n, CAST(sum(CASE WHEN o THEN 1 ELSE 0 END) AS B
 t AS (SELECT metric, v, ex, row_number() OVER (PARTITION BY metric ORDER BY ex DESC, v DESC) AS rk FROM j WHERE o),
 e AS (SELECT metric, string_agg(CAST(round(v * 1e6) / 1e6 AS VARCHAR), ',' ORDER BY ex DESC, v DESC) AS examples
       FROM t WHERE rk <= 10 GROUP BY metric)
-SELECT f.metric, {r('f.q1')} AS q1, {r('f.q3')} AS q3, {r('f.lo')} AS lower_fence, {r('f.hi')} AS upper_fence,
+SELECT f.metric, {r9('f.q1')} AS q1, {r9('f.q3')} AS q3, {r9('f.lo')} AS lower_fence, {r9('f.hi')} AS upper_fence,
  a.oc AS outlier_count, {r('a.oc / a.n * 1e2')} AS outlier_pct, e.examples
 FROM f JOIN a ON f.metric = a.metric LEFT JOIN e ON f.metric = e.metric"""
 

@@ -110,6 +110,8 @@ def start_daily_counts(spark: SparkSession, sf_dir: str, sink_table: str, base:
     """S1 stream: success events -> 1-day tumbling windows, watermark 30 days, update mode
     into an in-memory table (one row per kept day)."""
     ev = tb.prediction_events(spark, sf_dir, tb.stream_table(spark, sf_dir, "events"))
+    # event time must be a session-zone TIMESTAMP for the watermark (the files hold NTZ; zone is UTC)
+    ev = ev.withColumn("ts", F.col("ts").cast("timestamp"))
     agg = (ev.where("success").withWatermark("ts", f"{KEEP_DAYS} days")
            .groupBy(F.window("ts", "1 day").alias("w")).agg(cnt().alias("n"))
            .select(F.to_date(F.col("w.start")).alias("day"), "n"))

@@ -51,21 +51,71 @@ def null_safe_join(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "
     return out.drop(*[f"__r_{c}" for c in keys])
 
 
+# Largest group handed to Spark's one-pass exact ``percentile`` (a value -> count map
+# per group): above it the bracket path below is used.
+EXACT_GROUP_LIMIT = 200_000
+
+
 def percentiles(df: DataFrame, keys: Sequence[str], value, probs: Sequence[float],
-                names: Sequence[str] | None = None, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                names: Sequence[str] | None = None, accuracy: int = DEFAULT_ACCURACY,
+                exact_limit: int | None = None) -> DataFrame:
     """Exact percentiles of ``value`` per group of ``keys``.
 
     Returns one row per group with at least one non-NULL value: the key
     columns plus one DOUBLE column per probability (``names``).
+
+    A cheap count pass checks the largest group first: when every group has at
+    most ``exact_limit`` rows, the one-pass ``percentile`` aggregate is used
+    (its per-group map is bounded by that check); otherwise the bracket path.
     """
     keys = list(keys)
     names = list(names) if names else [f"p{int(round(p * 100))}" for p in probs]
+    xcol = F.col(value) if isinstance(value, str) else value
+    d = df.select(*keys, xcol.cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    limit = EXACT_GROUP_LIMIT if exact_limit is None else exact_limit
+    largest = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    if largest is None or largest <= limit:
+        return _percentiles_small(d, keys, probs, names)
+    return _percentiles_bracket(d, keys, probs, names, accuracy)
+
+
+def percentiles_multi(df: DataFrame, keys: Sequence[str], specs, accuracy: int = DEFAULT_ACCURACY,
+                      exact_limit: int | None = None) -> DataFrame:
+    """Percentiles of several columns per group in one pass: ``specs`` is a list of
+    (value column, probabilities, output names).  One size check for all columns; on
+    the bracket path each column runs its own bracket and the results are joined."""
+    keys = list(keys)
+    cols = [F.col(v) if isinstance(v, str) else v for v, _, _ in specs]
+    d = df.select(*keys, *[c.cast("double").alias(f"_x{i}") for i, c in enumerate(cols)])
+    limit = EXACT_GROUP_LIMIT if exact_limit is None else exact_limit
+    largest = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    if largest is None or largest <= limit:
+        aggs = [F.percentile(f"_x{i}", [float(p) for p in probs]).alias(f"_p{i}")
+                for i, (_, probs, _) in enumerate(specs)]
+        g = d.groupBy(*keys).agg(*aggs)
+        return g.select(*keys, *[F.col(f"_p{i}")[j].alias(n) for i, (_, _, names) in enumerate(specs)
+                                 for j, n in enumerate(names)])
+    out = None
+    for i, (_, probs, names) in enumerate(specs):
+        di = d.select(*keys, F.col(f"_x{i}").alias("_x")).where(F.col("_x").isNotNull())
+        r = _percentiles_bracket(di, keys, probs, list(names), accuracy)
+        out = r if out is None else null_safe_join(out, r, keys, "full")
+    return out
+
+
+def _percentiles_small(d: DataFrame, keys: list[str], probs: Sequence[float], names: list[str]) -> DataFrame:
+    """One aggregate: Spark's exact percentile (groups proven small)."""
+    g = d.groupBy(*keys).agg(F.percentile("_x", [float(p) for p in probs]).alias("_p"))
+    return g.select(*keys, *[F.col("_p")[i].alias(n) for i, n in enumerate(names)])
+
+
+def _percentiles_bracket(d: DataFrame, keys: list[str], probs: Sequence[float], names: list[str],
+                         accuracy: int) -> DataFrame:
+    """Bracket path: per-task memory independent of group size."""
     order = sorted(range(len(probs)), key=lambda i: probs[i])
     ps = [float(probs[i]) for i in order]
     nm = [names[i] for i in order]
     m = len(ps)
-    xcol = F.col(value) if isinstance(value, str) else value
-    d = df.select(*keys, xcol.cast("double").alias("_x")).where(F.col("_x").isNotNull())
 
     margin = 3.0 / accuracy
     lo_q = [p - margin for p in ps]

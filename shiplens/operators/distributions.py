@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from shiplens.functions.quantiles import null_safe_join, percentiles
 from shiplens.functions.stats import COST, TIME, cnt, r6, r9
+from shiplens.session import materialize_small
 
 METRIC_NAMES = {"transit_time": TIME, "shipping_cost": COST}
 DIST_PROBS = [0.25, 0.75, 0.5, 0.1, 0.2, 0.3, 0.4, 0.6, 0.7, 0.8, 0.9, 0.95, 0.99]
@@ -209,6 +210,8 @@ def _histograms(df: DataFrame, keys: list[str], bins: int) -> DataFrame:
                      F.when(same, F.col("_mn") - F.lit(5e-1)).otherwise(F.col("_mn")).alias("_lo"),
                      F.when(same, F.col("_mx") + F.lit(5e-1)).otherwise(F.col("_mx")).alias("_hi"))
     rng = rng.withColumn("_w", (F.col("_hi") - F.col("_lo")) / F.lit(float(bins)))
+    # one row per cell: materialised so the counting pass and the bin grid share one scan
+    rng = materialize_small(rng)
     b = F.least(F.floor((F.col("v") - F.col("_lo")) / F.col("_w")).cast("int") + 1, F.lit(bins))
     counts = (null_safe_join(df, rng, keys) if keys else df.crossJoin(F.broadcast(rng)))
     counts = counts.groupBy(*keys, b.alias("bin")).agg(cnt().alias("count"))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from shiplens.functions import refdata as rd
 from shiplens.functions import scalars as sc
-from shiplens.functions.quantiles import null_safe_join, percentiles
+from shiplens.functions.quantiles import percentiles, percentiles_multi
 from shiplens.functions.stats import COST, TIME, cnt, r6
 from shiplens.session import materialize_small
 
@@ -210,37 +210,29 @@ def rolling_route_medians(targets: DataFrame, history: DataFrame | None = None,
     """Add the trailing ``days``-day median of history time / cost on the same route,
     excluding the target's own day (NULL when there is no history), to every target row.
 
-    ``history`` = None means the targets are their own history (they must then carry the
-    time / cost columns).  Target rows keep all their columns through the window, so no
-    row id and no join back are needed.
+    ``history`` = None means the targets are their own history (they then carry the
+    time / cost columns).  All rows of one (route, day) share the same frame, so the
+    window runs on the distinct (route, day) targets only, next to the history rows;
+    the medians are equi-joined back on (route, ship_date).
     """
+    hist = targets if history is None else history
     blk = F.floor(_epoch_day(F.col("ship_date")) / F.lit(days)).cast("long")
-    cols = targets.columns
-    if history is None:
-        t = targets.select(*cols, F.lit(True).alias("_is_t"), F.col(TIME).alias("_ht"),
-                           F.col(COST).alias("_hc"), blk.alias("_blk"))
-        h_src = t
-    else:
-        t = targets.select(*cols, F.lit(True).alias("_is_t"), F.lit(None).cast("double").alias("_ht"),
-                           F.lit(None).cast("double").alias("_hc"), blk.alias("_blk"))
-        typed = {f.name: f.dataType for f in targets.schema.fields}
-        h_src = history.select(*[F.col(c) if c in (route_col, "ship_date") else F.lit(None).cast(typed[c]).alias(c)
-                                 for c in cols], F.lit(False).alias("_is_t"), F.col(TIME).alias("_ht"),
-                               F.col(COST).alias("_hc"), blk.alias("_blk"))
-        t = t.unionByName(h_src)
-    # the history rows once more, as history of the next block
-    nxt = h_src.where(F.col("_ht").isNotNull() | F.col("_hc").isNotNull()).withColumn(
-        "_is_t", F.lit(False)).withColumn("_blk", F.col("_blk") + 1)
-    u = t.unionByName(nxt).withColumn("_day", _epoch_day(F.col("ship_date")))
+    tdays = targets.select(route_col, "ship_date").distinct().select(
+        route_col, "ship_date", F.lit(True).alias("_is_t"), F.lit(None).cast("double").alias("_ht"),
+        F.lit(None).cast("double").alias("_hc"), blk.alias("_blk"))
+    h = hist.select(route_col, "ship_date", F.lit(False).alias("_is_t"), F.col(TIME).cast("double").alias("_ht"),
+                    F.col(COST).cast("double").alias("_hc"), blk.alias("_blk"))
+    # history rows once more as history of the next block: a partition spans <= 2 blocks
+    u = tdays.unionByName(h).unionByName(h.withColumn("_blk", F.col("_blk") + 1))
+    u = u.withColumn("_day", _epoch_day(F.col("ship_date")))
     w = Window.partitionBy(route_col, "_blk").orderBy("_day").rangeBetween(-days, -1)
-    res = u.select(*cols, "_is_t", _window_median(F.col("_ht"), w).alias("route_30d_median_time"),
-                   _window_median(F.col("_hc"), w).alias("route_30d_median_cost"))
-    return res.where("_is_t").drop("_is_t")
+    med = u.select(route_col, "ship_date", "_is_t", _window_median(F.col("_ht"), w).alias("route_30d_median_time"),
+                   _window_median(F.col("_hc"), w).alias("route_30d_median_cost")).where("_is_t").drop("_is_t")
+    return targets.join(med, [route_col, "ship_date"], "left")
 
 
 def _global_medians(s: DataFrame) -> DataFrame:
-    return percentiles(s.select(TIME), [], TIME, [0.5], ["_gt"]).crossJoin(
-        percentiles(s.select(COST), [], COST, [0.5], ["_gc"]))
+    return percentiles_multi(s, [], [(TIME, [0.5], ["_gt"]), (COST, [0.5], ["_gc"])])
 
 
 def with_route_medians(rows: DataFrame, fallback_from: DataFrame, history: DataFrame | None = None) -> DataFrame:

@@ -74,16 +74,21 @@ def model_eval(s: DataFrame, max_iter: int = 50) -> DataFrame:
     """M9: MAE / RMSE of both regressors on the validation rows; MAE, pinball loss and coverage
     of the quantile bounds."""
     ft = training_table(s)
+    return evaluate(dict(fit_all(s, max_iter=max_iter, ft=ft), training_table=ft))
+
+
+def evaluate(f: dict) -> DataFrame:
+    """M9 on fitted artefacts (see :func:`fit_all`)."""
+    ft = f["training_table"]
     rows = []
     for t in ("time", "cost"):
         label = fe.TARGETS[t]
-        m = fit_regressor(ft, t, maxIter=max_iter)
+        m = f[f"model_{t}"]
         p = m.transform(ft).where("is_valid").select((F.col(label) - F.col(f"pred_{t}")).alias("e"))
         rows.append(p.agg(F.lit(t).alias("target"), F.lit("point").alias("model"), cnt().alias("n"),
                           F.avg(F.abs("e")).alias("mae"), F.sqrt(F.avg(F.col("e") * F.col("e"))).alias("rmse"),
                           F.lit(None).cast("double").alias("pinball"), F.lit(None).cast("double").alias("coverage")))
-        qm, qt = fit_quantile_tree(ft, t)
-        qp = quantile_predictions(ft.where("is_valid"), qm, qt, t)
+        qp = quantile_predictions(ft.where("is_valid"), f[f"qmodel_{t}"], f[f"qtable_{t}"], t)
         for q in QUANTILES:
             c = f"q{int(q * 100)}_{t}"
             e = F.col(label) - F.col(c)
@@ -112,9 +117,9 @@ def baseline_eval(s: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ scoring
-def fit_all(s: DataFrame, max_iter: int = 50) -> dict:
+def fit_all(s: DataFrame, max_iter: int = 50, ft: DataFrame | None = None) -> dict:
     """Train everything the scorer needs: encodings, both regressors, quantile trees."""
-    ft = training_table(s)
+    ft = training_table(s) if ft is None else ft
     enc = fe.encodings(fe.with_keys(ft.where(~F.col("is_valid"))), 200, 20)
     out = {"encodings": enc}
     for t in ("time", "cost"):
@@ -191,9 +196,23 @@ def segment_summary(s: DataFrame) -> DataFrame:
                                       cnt().alias("lanes"))
 
 
+_FITTED: dict = {}
+
+
+def fitted_for(spark, sf_dir: str, max_iter: int = 20) -> dict:
+    """Artefacts trained once per (session, data folder, rounds) and reused by every scoring
+    query of that session: train once, score many."""
+    from shiplens.sources import tables as tb
+    key = (id(spark), sf_dir.rstrip("/"), max_iter)
+    if key not in _FITTED:
+        s = tb.shipments(spark, sf_dir)
+        ft = training_table(s)
+        _FITTED[key] = dict(fit_all(s, max_iter=max_iter, ft=ft), training_table=ft)
+    return _FITTED[key]
+
+
 def model_predictions_query(spark, sf_dir: str, quantiles: bool = False, max_iter: int = 20) -> DataFrame:
-    """Train on the shipments of ``sf_dir`` and score its requests (M10 / M12 query)."""
+    """Score the requests of ``sf_dir`` with models trained on its shipments (M10 / M12 query)."""
     from shiplens.sources import tables as tb
-    models = fit_all(tb.shipments(spark, sf_dir), max_iter=max_iter)
-    return batch_predict(tb.requests(spark, sf_dir), models, quantiles)
+    return batch_predict(tb.requests(spark, sf_dir), fitted_for(spark, sf_dir, max_iter), quantiles)
 

@@ -12,15 +12,16 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shiplens.functions.quantiles import null_safe_join, percentiles
+from shiplens.functions.quantiles import null_safe_join, percentiles, percentiles_multi
 from shiplens.functions.scalars import day_name, package_category, weight_bins
 from shiplens.functions.stats import COST, TIME, cnt, r6, r9
+from shiplens.session import materialize_small
 from shiplens.sources.tables import union_all
 
 SIZE_CATEGORIES = ["Small", "Medium", "Large", "XLarge"]
 
 
-def _mean_std_count(prefix: str, col: str, count: bool = False, median: bool = False):
+def _mean_std_count(prefix: str, col: str, count: bool = False):
     out = [F.avg(col).alias(f"{prefix}_mean"), F.stddev_samp(col).alias(f"{prefix}_std")]
     if count:
         out.append(cnt(col).alias(f"{prefix}_count"))
@@ -103,7 +104,8 @@ def size_impact(s: DataFrame) -> DataFrame:
 def weight_impact(s: DataFrame, bins: int = 10) -> DataFrame:
     """By equal-width weight bin (10 bins, right-closed, first widened by 0.1% of the
     range): cost and time mean/std; label 'left-right' (1 decimal) is display only."""
-    rng = s.agg(F.min("package_weight_lbs").alias("_mn"), F.max("package_weight_lbs").alias("_mx"))
+    # one-row range, materialised: the binning pass and the label grid share one scan
+    rng = materialize_small(s.agg(F.min("package_weight_lbs").alias("_mn"), F.max("package_weight_lbs").alias("_mx")))
     x = s.select("package_weight_lbs", TIME, COST).crossJoin(F.broadcast(rng))  # 1-row side
     x = x.withColumn("bin", weight_bins(F.col("package_weight_lbs"), F.col("_mn"), F.col("_mx"), bins))
     g = x.groupBy("bin").agg(*_mean_std_count(COST, COST), *_mean_std_count(TIME, TIME),
@@ -140,9 +142,8 @@ def value_service_counts(s: DataFrame) -> DataFrame:
 def _scorecard(s: DataFrame, key: str, count: bool) -> DataFrame:
     extra = [cnt().alias("n")] if count else []
     g = s.groupBy(key).agg(*_mean_std_count(TIME, TIME), *_mean_std_count(COST, COST), *extra)
-    med = percentiles(s, [key], TIME, [0.5], [f"{TIME}_median"])
-    medc = percentiles(s, [key], COST, [0.5], [f"{COST}_median"])
-    out = null_safe_join(null_safe_join(g, med, [key]), medc, [key])
+    med = percentiles_multi(s, [key], [(TIME, [0.5], [f"{TIME}_median"]), (COST, [0.5], [f"{COST}_median"])])
+    out = null_safe_join(g, med, [key])
     return _round_all(out, [key])
 
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiplens.functions.quantiles import null_safe_join, percentiles
+from shiplens.functions.quantiles import null_safe_join, percentiles, percentiles_multi
 from shiplens.functions.stats import COST, TIME, cnt, exact_avg, r6, sorted_list
 
 CELL = ["carrier", "service_level", "dest_zone"]
@@ -37,9 +37,8 @@ def service_summary(s: DataFrame) -> DataFrame:
 def _with_medians(s: DataFrame, keys: Sequence[str], extra=()) -> DataFrame:
     keys = list(keys)
     g = s.groupBy(*keys).agg(cnt().alias("total_shipments"), *_moments(), *extra)
-    mt = percentiles(s, keys, TIME, [0.5], ["median_transit_time"])
-    mc = percentiles(s, keys, COST, [0.5], ["median_cost"])
-    out = null_safe_join(null_safe_join(g, mt, keys), mc, keys)
+    med = percentiles_multi(s, keys, [(TIME, [0.5], ["median_transit_time"]), (COST, [0.5], ["median_cost"])])
+    out = null_safe_join(g, med, keys)
     rest = [c for c in out.columns if c not in keys and c != "total_shipments"]
     return out.select(*keys, "total_shipments",
                       *[r6(c).alias(c) if c != "zones_served" else F.col(c) for c in rest])
@@ -82,9 +81,8 @@ def percentile_filtered(s: DataFrame, percentiles_: Sequence[float] = (50,),
         F.stddev_samp(TIME).alias("transit_time_std"), F.stddev_samp(COST).alias("cost_std"))
     out = null_safe_join(tot, agg, pk)
     if "median" in methods:
-        med = percentiles(kept, pk, TIME, [0.5], ["_med_t"])
-        medc = percentiles(kept, pk, COST, [0.5], ["_med_c"])
-        out = null_safe_join(null_safe_join(out, med, pk), medc, pk)
+        med = percentiles_multi(kept, pk, [(TIME, [0.5], ["_med_t"]), (COST, [0.5], ["_med_c"])])
+        out = null_safe_join(out, med, pk)
     meth = s.sparkSession.createDataFrame([(m,) for m in methods], "method string")
     out = out.crossJoin(F.broadcast(meth))
     mt = F.when(F.col("method") == "median", F.col("_med_t")) if "median" in methods else None

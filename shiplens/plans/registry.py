@@ -127,7 +127,7 @@ from shiplens.operators import models as mo  # noqa: E402
 QUERY_MAX_ITER = 20  # boosting rounds for the registered model queries
 
 register("baseline_eval")(mo.baseline_eval)
-register("model_eval")(lambda s: mo.model_eval(s, max_iter=QUERY_MAX_ITER))
+register_raw("model_eval")(lambda spark, d: mo.evaluate(mo.fitted_for(spark, d, QUERY_MAX_ITER)))
 register("lane_segments")(mo.lane_segments)
 register("segment_summary")(mo.segment_summary)
 
@@ -135,27 +135,26 @@ register("segment_summary")(mo.segment_summary)
 @register_raw("train_time_model")
 def _train_time(spark, d):
     """M7: time regressor fitted on the train split; predictions for every row."""
-    ft = mo.training_table(tb.shipments(spark, d))
-    m = mo.fit_regressor(ft, "time", maxIter=QUERY_MAX_ITER)
-    return m.transform(ft).select("l_orderkey", "l_linenumber", "split", "transit_time_days", "pred_time")
+    f = mo.fitted_for(spark, d, QUERY_MAX_ITER)
+    return f["model_time"].transform(f["training_table"]).select(
+        "l_orderkey", "l_linenumber", "split", "transit_time_days", "pred_time")
 
 
 @register_raw("train_cost_model")
 def _train_cost(spark, d):
     """M7: cost regressor fitted on the train split; predictions for every row."""
-    ft = mo.training_table(tb.shipments(spark, d))
-    m = mo.fit_regressor(ft, "cost", maxIter=QUERY_MAX_ITER)
-    return m.transform(ft).select("l_orderkey", "l_linenumber", "split", "shipping_cost_usd", "pred_cost")
+    f = mo.fitted_for(spark, d, QUERY_MAX_ITER)
+    return f["model_cost"].transform(f["training_table"]).select(
+        "l_orderkey", "l_linenumber", "split", "shipping_cost_usd", "pred_cost")
 
 
 @register_raw("quantile_predictions")
 def _quantiles(spark, d):
     """M8: leaf-quantile q10/q50/q90 of both targets for the validation rows."""
-    ft = mo.training_table(tb.shipments(spark, d))
-    out = ft.where("is_valid")
+    f = mo.fitted_for(spark, d, QUERY_MAX_ITER)
+    out = f["training_table"].where("is_valid")
     for t in ("time", "cost"):
-        qm, qt = mo.fit_quantile_tree(ft, t)
-        out = mo.quantile_predictions(out, qm, qt, t)
+        out = mo.quantile_predictions(out, f[f"qmodel_{t}"], f[f"qtable_{t}"], t)
     return out.select("l_orderkey", "l_linenumber", *[f"q{int(q * 100)}_{t}" for t in ("time", "cost")
                                                       for q in mo.QUANTILES])
 

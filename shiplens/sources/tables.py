@@ -48,10 +48,9 @@ def _by_mod(key, names: list[str]):
 def shipments(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
     """Fact view ``shipments``: lineitem x orders x customer x supplier x part.
 
-    Join order puts the two large inputs (lineitem, orders) in one
-    sort-merge/hash join on the order key; customer is joined to orders first
-    (smaller side), supplier and part are dimension joins that adaptive
-    execution turns into broadcasts when their runtime size allows it.
+    Customer is joined to orders first (the smaller side); lineitem meets the
+    supplier / part dimensions (broadcast when small) and then orders x
+    customer in one shuffle join on the order key.
     """
     l = (lineitem if lineitem is not None else table(spark, sf_dir, "lineitem")).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
@@ -62,9 +61,12 @@ def shipments(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = Non
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_size")
     oc = o.join(c, o.o_custkey == c.c_custkey).drop("o_custkey", "c_custkey")
-    j = (l.join(oc, l.l_orderkey == oc.o_orderkey)
-         .join(s, l.l_suppkey == s.s_suppkey)
-         .join(p, l.l_partkey == p.p_partkey))
+    # dimensions first, the order join last: the fact never looks like the small
+    # side to the static planner, so lineitem x orders is a shuffle join that
+    # adaptive execution turns into a broadcast only when the orders side is small
+    j = (l.join(s, l.l_suppkey == s.s_suppkey)
+         .join(p, l.l_partkey == p.p_partkey)
+         .join(oc, l.l_orderkey == oc.o_orderkey))
     prio = F.substring(F.col("o_orderpriority"), 1, 1)
     size = F.col("p_size")
     length = F.lit(4e0) + size * F.lit(3e-1)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiplens.functions.quantiles import null_safe_join, percentiles
-from shiplens.functions.stats import COST, TIME, cnt, r6
+from shiplens.functions.stats import COST, TIME, cnt, exact_avg, r6
 from shiplens.operators.summaries import percentile_filtered
 
 METRICS = {"transit_time_days": TIME, "shipping_cost_usd": COST}
@@ -34,7 +34,7 @@ def compare_services_2sigma(s: DataFrame, zones: Sequence[int] | None = None) ->
     """Per zone x service: mean, std, mean +/- 2s, 4s, 95% CI of the mean; zone winner
     = lowest upper 2-sigma bound."""
     g = _zones(s, zones).groupBy(F.col("dest_zone").alias("zone"), "service_level").agg(
-        cnt().alias("n"), F.avg(TIME).alias("mean"), F.stddev_samp(TIME).alias("std"))
+        cnt().alias("n"), exact_avg(TIME).alias("mean"), F.stddev_samp(TIME).alias("std"))
     m, sd = F.col("mean"), F.col("std")
     half = F.lit(1.96e0) * sd / F.sqrt(F.col("n"))
     g = g.select("zone", "service_level", "n", "mean", "std",
@@ -55,7 +55,7 @@ def _carrier_stats(s: DataFrame, zones, metric: str) -> DataFrame:
     keys = ["zone", "service_level", "carrier"]
     base = _zones(s, zones).select(F.col("dest_zone").alias("zone"), "service_level", "carrier",
                                    F.col(col).alias("v"))
-    g = base.groupBy(*keys).agg(cnt("v").alias("sample_size"), F.avg("v").alias("mean"),
+    g = base.groupBy(*keys).agg(cnt("v").alias("sample_size"), exact_avg("v").alias("mean"),
                                 F.stddev_samp("v").alias("std")).where(F.col("sample_size") > 5)
     qs = percentiles(base, keys, "v", [0.5, 0.25, 0.75], ["median", "q25", "q75"])
     out = null_safe_join(g, qs, keys)

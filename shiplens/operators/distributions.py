@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiplens.functions.quantiles import null_safe_join, percentiles
-from shiplens.functions.stats import COST, TIME, cnt, r6, r9
+from shiplens.functions.stats import COST, TIME, cnt, exact_avg, r6, r9
 from shiplens.session import materialize_small
 
 METRIC_NAMES = {"transit_time": TIME, "shipping_cost": COST}
@@ -47,7 +47,7 @@ def distribution_stats(s: DataFrame, service_level: str | None = None, zone: int
     s = _filter(s, service_level, zone)
     long = metric_long(s, [metric] if metric else ("transit_time", "shipping_cost"))
     g = long.groupBy(*CELL).agg(
-        cnt("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
+        cnt("v").alias("count"), exact_avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
         F.var_samp("v").alias("var"), F.min("v").alias("min"), F.max("v").alias("max"),
         F.skewness("v").alias("skewness"), F.kurtosis("v").alias("kurtosis"))
     qs = percentiles(long, CELL, "v", DIST_PROBS, DIST_NAMES)

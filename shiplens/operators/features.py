@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from shiplens.functions import refdata as rd
 from shiplens.functions import scalars as sc
 from shiplens.functions.quantiles import percentiles, percentiles_multi
-from shiplens.functions.stats import COST, TIME, cnt, r6
+from shiplens.functions.stats import COST, TIME, cnt, exact_avg, r6
 from shiplens.session import materialize_small
 
 TARGETS = {"time": TIME, "cost": COST}
@@ -124,9 +124,9 @@ def encodings(train: DataFrame, min_samples_leaf: float = 200, smoothing: float
     long = train.select(TIME, COST, F.explode(F.array(*[
         F.struct(F.lit(c).alias("enc_col"), F.col(c).cast("string").alias("category")) for c in columns
     ])).alias("_e")).select("_e.enc_col", "_e.category", TIME, COST)
-    g = long.groupBy("enc_col", "category").agg(cnt(TIME).alias("n_time"), F.avg(TIME).alias("mean_time"),
-                                                cnt(COST).alias("n_cost"), F.avg(COST).alias("mean_cost"))
-    pr = train.agg(F.avg(TIME).alias("prior_time"), F.avg(COST).alias("prior_cost"))
+    g = long.groupBy("enc_col", "category").agg(cnt(TIME).alias("n_time"), exact_avg(TIME).alias("mean_time"),
+                                                cnt(COST).alias("n_cost"), exact_avg(COST).alias("mean_cost"))
+    pr = train.agg(exact_avg(TIME).alias("prior_time"), exact_avg(COST).alias("prior_cost"))
     g = g.crossJoin(F.broadcast(pr))  # one-row priors
     outs = []
     for t in ("time", "cost"):

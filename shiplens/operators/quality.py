@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shiplens.functions import refdata as rd
 from shiplens.functions.quantiles import null_safe_join, percentiles
-from shiplens.functions.stats import cnt, r6, sorted_list
+from shiplens.functions.stats import cnt, exact_avg, r6, sorted_list
 
 
 def validation_reasons() -> Column:
@@ -60,7 +60,7 @@ def describe_targets(raw: DataFrame) -> DataFrame:
     long = raw.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in DESCRIBE_COLUMNS
     ])).alias("_c")).select("_c.column", "_c.v")
-    g = long.groupBy("column").agg(cnt("v").alias("count"), F.avg("v").alias("mean"),
+    g = long.groupBy("column").agg(cnt("v").alias("count"), exact_avg("v").alias("mean"),
                                    F.stddev_samp("v").alias("std"), F.min("v").alias("min"),
                                    F.max("v").alias("max"))
     q = percentiles(long, ["column"], "v", [0.25, 0.5, 0.75], ["p25", "p50", "p75"])

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from shiplens.functions.quantiles import null_safe_join, percentiles, percentiles_multi
 from shiplens.functions.scalars import day_name, package_category, weight_bins
-from shiplens.functions.stats import COST, TIME, cnt, r6, r9
+from shiplens.functions.stats import COST, TIME, cnt, exact_avg, r6, r9
 from shiplens.session import materialize_small
 from shiplens.sources.tables import union_all
 
@@ -22,7 +22,7 @@ SIZE_CATEGORIES = ["Small", "Medium", "Large", "XLarge"]
 
 
 def _mean_std_count(prefix: str, col: str, count: bool = False):
-    out = [F.avg(col).alias(f"{prefix}_mean"), F.stddev_samp(col).alias(f"{prefix}_std")]
+    out = [exact_avg(col).alias(f"{prefix}_mean"), F.stddev_samp(col).alias(f"{prefix}_std")]
     if count:
         out.append(cnt(col).alias(f"{prefix}_count"))
     return out
@@ -126,8 +126,8 @@ def value_comparison(s: DataFrame) -> DataFrame:
     """Insured value > 500 (high) vs <= 500 (regular): count, mean time, mean cost."""
     band = F.when(F.col("insurance_value") > 500, "high_value").when(
         F.col("insurance_value") <= 500, "regular_value")
-    g = s.groupBy(band.alias("value_band")).agg(cnt().alias("n"), F.avg(TIME).alias("avg_transit"),
-                                                F.avg(COST).alias("avg_cost"))
+    g = s.groupBy(band.alias("value_band")).agg(cnt().alias("n"), exact_avg(TIME).alias("avg_transit"),
+                                                exact_avg(COST).alias("avg_cost"))
     return _round_all(g.where(F.col("value_band").isNotNull()), ["value_band"])
 
 
@@ -154,7 +154,7 @@ def carrier_scorecard(s: DataFrame) -> DataFrame:
 
 def carrier_consistency(s: DataFrame) -> DataFrame:
     """Coefficient of variation of transit time per carrier."""
-    g = s.groupBy("carrier").agg((F.stddev_samp(TIME) / F.avg(TIME)).alias("consistency_index"))
+    g = s.groupBy("carrier").agg((F.stddev_samp(TIME) / exact_avg(TIME)).alias("consistency_index"))
     return _round_all(g, ["carrier"])
 
 
@@ -179,7 +179,7 @@ def lane_profile(s: DataFrame) -> DataFrame:
 
 
 def _lane_means(s: DataFrame) -> DataFrame:
-    return s.groupBy("origin_zone", "dest_zone").agg(*[F.avg(c).alias(c) for c in LANE_FEATURES],
+    return s.groupBy("origin_zone", "dest_zone").agg(*[exact_avg(c).alias(c) for c in LANE_FEATURES],
                                                      cnt().alias("n"))
 
 
@@ -254,7 +254,7 @@ def peak_days(s: DataFrame) -> DataFrame:
 def performance_trend(s: DataFrame) -> DataFrame:
     """Mean transit per month, OLS slope over the month positions 0..n-1; risk High
     if slope > 0.1; trend Declining if slope >= 0."""
-    m = s.groupBy(F.month("ship_date").alias("month")).agg(F.avg(TIME).alias("mean_transit"))
+    m = s.groupBy(F.month("ship_date").alias("month")).agg(exact_avg(TIME).alias("mean_transit"))
     pos = F.row_number().over(Window.orderBy("month")) - 1  # <= 12 aggregated rows
     m = m.withColumn("pos", pos.cast("double"))
     t = m.agg(F.regr_slope("mean_transit", "pos").alias("slope"), cnt().alias("months"))
@@ -266,7 +266,7 @@ def performance_trend(s: DataFrame) -> DataFrame:
 def cheapest_by_zone(s: DataFrame) -> DataFrame:
     """Per destination zone: cheapest and dearest carrier by mean cost and the gap
     (ties: alphabetical)."""
-    g = s.groupBy("dest_zone", "carrier").agg(F.avg(COST).alias("mean_cost"))
+    g = s.groupBy("dest_zone", "carrier").agg(exact_avg(COST).alias("mean_cost"))
     lo = F.row_number().over(Window.partitionBy("dest_zone").orderBy("mean_cost", "carrier"))
     hi = F.row_number().over(Window.partitionBy("dest_zone").orderBy(F.col("mean_cost").desc(), "carrier"))
     g = g.select("*", lo.alias("_lo"), hi.alias("_hi"))
@@ -319,7 +319,7 @@ def comprehensive_report(s: DataFrame) -> DataFrame:
     val = value_comparison(base).select(F.lit("package").alias("section"),
                                         F.concat("value_band", F.lit("_count")).alias("metric"),
                                         F.lit(None).cast("string").alias("key"), dbl("n").alias("value"))
-    fast = (base.groupBy("carrier").agg(F.avg(TIME).alias("m"))
+    fast = (base.groupBy("carrier").agg(exact_avg(TIME).alias("m"))
             .agg(F.min_by("carrier", F.struct("m", "carrier")).alias("key"), F.min("m").alias("value"))
             .select(F.lit("performance").alias("section"), F.lit("fastest_carrier").alias("metric"),
                     "key", r6("value").alias("value")))

@@ -19,7 +19,7 @@ CELL = ["carrier", "service_level", "dest_zone"]
 
 
 def _moments(prefix_time="transit_time", prefix_cost="cost"):
-    return [F.avg(TIME).alias(f"avg_{prefix_time}"), F.avg(COST).alias(f"avg_{prefix_cost}"),
+    return [exact_avg(TIME).alias(f"avg_{prefix_time}"), exact_avg(COST).alias(f"avg_{prefix_cost}"),
             F.stddev_samp(TIME).alias(f"{prefix_time}_std"),
             F.stddev_samp(COST).alias(f"{prefix_cost}_std")]
 
@@ -125,7 +125,7 @@ def distribution_metadata(s: DataFrame) -> DataFrame:
         F.struct(F.lit("shipping_cost").alias("metric"), F.col(COST).alias("v")))).alias("_m")
     ).select("service_level", "zone", "_m.metric", "_m.v")
     keys = ["service_level", "zone", "metric"]
-    g = long.groupBy(*keys).agg(F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
+    g = long.groupBy(*keys).agg(exact_avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
                                 F.min("v").alias("min"), F.max("v").alias("max"),
                                 cnt("v").alias("count"))
     med = percentiles(long, keys, "v", [0.5], ["median"])

@@ -16,6 +16,11 @@ def r(expr: str) -> str:
     return f"(round(CAST({expr} AS DOUBLE) * 1e6) / 1e6)"
 
 
+def eavg(x: str) -> str:
+    """Mean from an exact DECIMAL(38,7) sum (same steps as the Spark side)."""
+    return f"(CAST(sum(CAST({x} AS DECIMAL(38,7))) AS DOUBLE) / count({x}))"
+
+
 def r9(expr: str) -> str:
     return f"(round(CAST({expr} AS DOUBLE) * 1e9) / 1e9)"
 
@@ -38,7 +43,7 @@ def oracle(name: str):
 @oracle("service_summary")
 def _e1():
     return f"""SELECT service_level, CAST(count(*) AS BIGINT) AS total_shipments,
- {r(f'avg({T})')} AS avg_transit_time, {r(f'avg({C})')} AS avg_cost,
+ {r(eavg(T))} AS avg_transit_time, {r(eavg(C))} AS avg_cost,
  {r(f'stddev_samp({T})')} AS transit_time_std, {r(f'stddev_samp({C})')} AS cost_std,
  array_to_string(list_sort(list_distinct(list(dest_zone))), ',') AS zones_served
 FROM shipments GROUP BY service_level"""
@@ -48,7 +53,7 @@ def _summary(keys: str, zones: bool, zone_alias: bool) -> str:
     sel = keys.replace("dest_zone", "dest_zone AS zone") if zone_alias else keys
     extra = ",\n array_to_string(list_sort(list_distinct(list(dest_zone))), ',') AS zones_served" if zones else ""
     return f"""SELECT {sel}, CAST(count(*) AS BIGINT) AS total_shipments,
- {r(f'avg({T})')} AS avg_transit_time, {r(f'avg({C})')} AS avg_cost,
+ {r(eavg(T))} AS avg_transit_time, {r(eavg(C))} AS avg_cost,
  {r(f'stddev_samp({T})')} AS transit_time_std, {r(f'stddev_samp({C})')} AS cost_std,
  {r(q(T, 0.5))} AS median_transit_time, {r(q(C, 0.5))} AS median_cost{extra}
 FROM shipments GROUP BY {keys}"""
@@ -98,7 +103,7 @@ def _a12():
 
 @oracle("distribution_metadata")
 def _a13():
-    return f"""SELECT service_level, zone, metric, {r('avg(v)')} AS mean, {r('stddev_samp(v)')} AS std,
+    return f"""SELECT service_level, zone, metric, {r(eavg('v'))} AS mean, {r('stddev_samp(v)')} AS std,
  {r(q('v', 0.5))} AS median, {r('min(v)')} AS min, {r('max(v)')} AS max, CAST(count(v) AS BIGINT) AS count
 FROM (SELECT service_level, dest_zone AS zone, 'transit_time' AS metric, {T} AS v FROM shipments
       UNION ALL SELECT service_level, dest_zone, 'shipping_cost', {C} FROM shipments) u
@@ -110,7 +115,7 @@ def _e42():
     return f"""SELECT CASE WHEN grouping(carrier) = 1 THEN 'service' WHEN grouping(dest_zone) = 1 THEN 'carrier_service'
  ELSE 'carrier_service_zone' END AS level, carrier, service_level, dest_zone AS zone,
  CAST(count(*) AS BIGINT) AS total_shipments,
- {r(f'avg({T})')} AS avg_transit_time, {r(f'avg({C})')} AS avg_cost,
+ {r(eavg(T))} AS avg_transit_time, {r(eavg(C))} AS avg_cost,
  {r(f'stddev_samp({T})')} AS transit_time_std, {r(f'stddev_samp({C})')} AS cost_std
 FROM shipments
 GROUP BY GROUPING SETS ((service_level), (carrier, service_level), (carrier, service_level, dest_zone))"""
@@ -131,7 +136,7 @@ DIST_P = [("p10", 0.1), ("p20", 0.2), ("p30", 0.3), ("p40", 0.4), ("p60", 0.6),
 
 def dist_stats_sql() -> str:
     ps = ",\n ".join(f"{r9(q('v', p))} AS {n}" for n, p in DIST_P)
-    return f"""SELECT service_level, zone, metric, CAST(count(v) AS BIGINT) AS count, {r('avg(v)')} AS mean,
+    return f"""SELECT service_level, zone, metric, CAST(count(v) AS BIGINT) AS count, {r(eavg('v'))} AS mean,
  {r9(q('v', 0.5))} AS median, {r('stddev_samp(v)')} AS std, {r('var_samp(v)')} AS var,
  {r('min(v)')} AS min, {r('max(v)')} AS max, {r9(q('v', 0.25))} AS q25, {r9(q('v', 0.75))} AS q75,
  {r9(q('v', 0.75) + ' - ' + q('v', 0.25))} AS iqr, {r(skew_sql('v'))} AS skewness,
@@ -198,7 +203,7 @@ def _e15():
 # ------------------------------------------------------------- comparisons
 @oracle("compare_services_2sigma")
 def _e8():
-    return f"""WITH g AS (SELECT dest_zone AS zone, service_level, count(*) AS n, avg({T}) AS mean,
+    return f"""WITH g AS (SELECT dest_zone AS zone, service_level, count(*) AS n, {eavg(T)} AS mean,
                   stddev_samp({T}) AS std FROM shipments GROUP BY dest_zone, service_level),
 h AS (SELECT *, mean - 2e0 * std AS lower_2sigma, mean + 2e0 * std AS upper_2sigma, 4e0 * std AS range_2sigma,
              mean - 1.96e0 * std / sqrt(n) AS ci95_low, mean + 1.96e0 * std / sqrt(n) AS ci95_high FROM g),
@@ -211,9 +216,9 @@ SELECT h.zone, h.service_level, CAST(h.n AS BIGINT) AS n, {r('mean')} AS mean, {
 FROM h LEFT JOIN w ON h.zone = w.zone"""
 
 
-CARRIER_STATS = f"""SELECT dest_zone AS zone, service_level, carrier, count({T}) AS sample_size, avg({T}) AS mean,
+CARRIER_STATS = f"""SELECT dest_zone AS zone, service_level, carrier, count({T}) AS sample_size, {eavg(T)} AS mean,
   {q(T, 0.5)} AS median, stddev_samp({T}) AS std, {q(T, 0.25)} AS q25, {q(T, 0.75)} AS q75,
-  avg({T}) - 2e0 * stddev_samp({T}) AS lower_2sigma, avg({T}) + 2e0 * stddev_samp({T}) AS upper_2sigma,
+  {eavg(T)} - 2e0 * stddev_samp({T}) AS lower_2sigma, {eavg(T)} + 2e0 * stddev_samp({T}) AS upper_2sigma,
   1e0 / (stddev_samp({T}) + 1e-1) AS reliability_score
 FROM shipments GROUP BY dest_zone, service_level, carrier HAVING count({T}) > 5"""
 
@@ -317,8 +322,8 @@ FROM g LEFT JOIN w ON g.service_level = w.service_level AND g.zone = w.zone"""
 
 # ----------------------------------------------------------------- reports
 def _pattern(key_sql: str, alias: str) -> str:
-    return f"""SELECT {key_sql} AS {alias}, {r(f'avg({T})')} AS {T}_mean, {r(f'stddev_samp({T})')} AS {T}_std,
- CAST(count({T}) AS BIGINT) AS {T}_count, {r(f'avg({C})')} AS {C}_mean, {r(f'stddev_samp({C})')} AS {C}_std
+    return f"""SELECT {key_sql} AS {alias}, {r(eavg(T))} AS {T}_mean, {r(f'stddev_samp({T})')} AS {T}_std,
+ CAST(count({T}) AS BIGINT) AS {T}_count, {r(eavg(C))} AS {C}_mean, {r(f'stddev_samp({C})')} AS {C}_std
 FROM shipments GROUP BY {key_sql}"""
 
 
@@ -359,8 +364,8 @@ def _e20():
 def _e21():
     return f"""SELECT zone_distance, row_number() OVER (ORDER BY n DESC, zone_distance) = 1 AS is_most_common,
  {r('tm')} AS {T}_mean, {r('ts')} AS {T}_std, {r('cm')} AS {C}_mean, {r('cs')} AS {C}_std, n
-FROM (SELECT abs(dest_zone - origin_zone) AS zone_distance, avg({T}) AS tm, stddev_samp({T}) AS ts,
-             avg({C}) AS cm, stddev_samp({C}) AS cs, CAST(count(*) AS BIGINT) AS n FROM shipments GROUP BY 1) t"""
+FROM (SELECT abs(dest_zone - origin_zone) AS zone_distance, {eavg(T)} AS tm, stddev_samp({T}) AS ts,
+             {eavg(C)} AS cm, stddev_samp({C}) AS cs, CAST(count(*) AS BIGINT) AS n FROM shipments GROUP BY 1) t"""
 
 
 PKG_CAT = """CASE WHEN package_volume_cubic_in <= 0 THEN NULL WHEN package_volume_cubic_in <= 100 THEN 'Small'
@@ -371,7 +376,7 @@ PKG_CAT = """CASE WHEN package_volume_cubic_in <= 0 THEN NULL WHEN package_volum
 @oracle("size_impact")
 def _e22():
     return f"""WITH x AS (SELECT {PKG_CAT} AS package_category, {T}, {C} FROM shipments),
-g AS (SELECT package_category, avg({T}) AS tm, stddev_samp({T}) AS ts, avg({C}) AS cm, stddev_samp({C}) AS cs,
+g AS (SELECT package_category, {eavg(T)} AS tm, stddev_samp({T}) AS ts, {eavg(C)} AS cm, stddev_samp({C}) AS cs,
              CAST(count(*) AS BIGINT) AS n, {q(C, 0.5)} AS cmed FROM x WHERE package_category IS NOT NULL GROUP BY 1),
 cats AS (SELECT * FROM (VALUES ('Small'), ('Medium'), ('Large'), ('XLarge')) v(package_category))
 SELECT cats.package_category, {r('tm')} AS {T}_mean, {r('ts')} AS {T}_std, {r('cm')} AS {C}_mean,
@@ -385,7 +390,7 @@ def _e23():
 x AS (SELECT s.{T}, s.{C}, CASE WHEN (rg.mx - rg.mn) / 1e1 = 0 THEN 1 ELSE
         least(10, greatest(1, CAST(ceil((s.package_weight_lbs - rg.mn) / ((rg.mx - rg.mn) / 1e1)) AS INT))) END AS bin
       FROM shipments s CROSS JOIN rg),
-g AS (SELECT bin, avg({C}) AS cm, stddev_samp({C}) AS cs, avg({T}) AS tm, stddev_samp({T}) AS ts,
+g AS (SELECT bin, {eavg(C)} AS cm, stddev_samp({C}) AS cs, {eavg(T)} AS tm, stddev_samp({T}) AS ts,
              CAST(count(*) AS BIGINT) AS n FROM x GROUP BY bin),
 grid AS (SELECT CAST(b.range AS INT) AS bin,
   CASE WHEN b.range = 1 THEN rg.mn - (rg.mx - rg.mn) * 1e-3 ELSE rg.mn + (b.range - 1) * ((rg.mx - rg.mn) / 1e1) END AS lft,
@@ -402,8 +407,8 @@ BAND = "CASE WHEN insurance_value > 500 THEN 'high_value' WHEN insurance_value <
 
 @oracle("value_comparison")
 def _e24a():
-    return f"""SELECT {BAND} AS value_band, CAST(count(*) AS BIGINT) AS n, {r(f'avg({T})')} AS avg_transit,
- {r(f'avg({C})')} AS avg_cost FROM shipments WHERE {BAND} IS NOT NULL GROUP BY 1"""
+    return f"""SELECT {BAND} AS value_band, CAST(count(*) AS BIGINT) AS n, {r(eavg(T))} AS avg_transit,
+ {r(eavg(C))} AS avg_cost FROM shipments WHERE {BAND} IS NOT NULL GROUP BY 1"""
 
 
 @oracle("value_service_counts")
@@ -414,8 +419,8 @@ WHERE {BAND} IS NOT NULL GROUP BY 1, 2"""
 
 def _scorecard_sql(key: str, count: bool) -> str:
     n = ", CAST(count(*) AS BIGINT) AS n" if count else ""
-    return f"""SELECT {key}, {r(f'avg({T})')} AS {T}_mean, {r(f'stddev_samp({T})')} AS {T}_std,
- {r(f'avg({C})')} AS {C}_mean, {r(f'stddev_samp({C})')} AS {C}_std{n},
+    return f"""SELECT {key}, {r(eavg(T))} AS {T}_mean, {r(f'stddev_samp({T})')} AS {T}_std,
+ {r(eavg(C))} AS {C}_mean, {r(f'stddev_samp({C})')} AS {C}_std{n},
  {r(q(T, 0.5))} AS {T}_median, {r(q(C, 0.5))} AS {C}_median FROM shipments GROUP BY {key}"""
 
 
@@ -426,7 +431,7 @@ def _e25():
 
 @oracle("carrier_consistency")
 def _e26():
-    return f"SELECT carrier, {r(f'stddev_samp({T}) / avg({T})')} AS consistency_index FROM shipments GROUP BY carrier"
+    return f"SELECT carrier, {r(f'stddev_samp({T}) / {eavg(T)}')} AS consistency_index FROM shipments GROUP BY carrier"
 
 
 @oracle("service_effectiveness")
@@ -445,13 +450,13 @@ LANE_F = [C, T, "package_weight_lbs", "insurance_value"]
 
 @oracle("lane_profile")
 def _e29():
-    cols = ", ".join(f"{r(f'avg({c})')} AS {c}" for c in LANE_F)
+    cols = ", ".join(f"{r(eavg(c))} AS {c}" for c in LANE_F)
     return f"SELECT origin_zone, dest_zone, {cols}, CAST(count(*) AS BIGINT) AS n FROM shipments GROUP BY 1, 2"
 
 
 @oracle("lane_zscores")
 def _e30():
-    cols = ", ".join(f"avg({c}) AS {c}" for c in LANE_F)
+    cols = ", ".join(f"{eavg(c)} AS {c}" for c in LANE_F)
     z = ", ".join(f"{r(f'({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER ()')} AS z_{c}" for c in LANE_F)
     return f"SELECT origin_zone, dest_zone, {z} FROM (SELECT origin_zone, dest_zone, {cols} FROM shipments GROUP BY 1, 2) lp"
 
@@ -497,7 +502,7 @@ def _e36():
     return f"WITH {DAILY}\nSELECT ship_date, volume FROM d, t WHERE volume > thr"
 
 
-TREND = f"""m AS (SELECT CAST(month(ship_date) AS INT) AS month, avg({T}) AS mt FROM shipments GROUP BY 1),
+TREND = f"""m AS (SELECT CAST(month(ship_date) AS INT) AS month, {eavg(T)} AS mt FROM shipments GROUP BY 1),
 p AS (SELECT mt, CAST(row_number() OVER (ORDER BY month) - 1 AS DOUBLE) AS pos FROM m),
 tr AS (SELECT regr_slope(mt, pos) AS slope, CAST(count(*) AS BIGINT) AS months FROM p)"""
 
@@ -511,7 +516,7 @@ SELECT {r('slope')} AS trend_slope, months, CASE WHEN slope > 1e-1 THEN 'High' E
 
 @oracle("cheapest_by_zone")
 def _e38():
-    return f"""WITH g AS (SELECT dest_zone, carrier, avg({C}) AS mc FROM shipments GROUP BY 1, 2),
+    return f"""WITH g AS (SELECT dest_zone, carrier, {eavg(C)} AS mc FROM shipments GROUP BY 1, 2),
 k AS (SELECT *, row_number() OVER (PARTITION BY dest_zone ORDER BY mc, carrier) AS lo,
              row_number() OVER (PARTITION BY dest_zone ORDER BY mc DESC, carrier) AS hi FROM g)
 SELECT dest_zone AS zone, max(CASE WHEN lo = 1 THEN carrier END) AS cheapest_carrier,
@@ -544,7 +549,7 @@ def _e41():
 days AS (SELECT dayname(ship_date) AS k, count(*) AS n FROM shipments GROUP BY 1 ORDER BY n DESC, k LIMIT 3),
 dist AS (SELECT abs(dest_zone - origin_zone) AS k, count(*) AS n FROM shipments GROUP BY 1 ORDER BY n DESC, k LIMIT 1),
 val AS (SELECT {BAND} AS b, count(*) AS n FROM shipments WHERE {BAND} IS NOT NULL GROUP BY 1),
-fast AS (SELECT carrier AS k, avg({T}) AS m FROM shipments GROUP BY 1 ORDER BY m, k LIMIT 1),
+fast AS (SELECT carrier AS k, {eavg(T)} AS m FROM shipments GROUP BY 1 ORDER BY m, k LIMIT 1),
 tq AS (SELECT {q(T, 0.25)} AS q1, {q(T, 0.75)} AS q3, count(*) AS n FROM shipments),
 tf AS (SELECT q1 - 1.5e0 * (q3 - q1) AS lo, q3 + 1.5e0 * (q3 - q1) AS hi, n FROM tq),
 toc AS (SELECT CAST(sum(CASE WHEN s.{T} < tf.lo OR s.{T} > tf.hi THEN 1 ELSE 0 END) AS BIGINT) AS oc, max(tf.n) AS n
@@ -606,7 +611,7 @@ FROM shipments_raw"""
 def _a9():
     cols = ["transit_time_raw", "shipping_cost_raw", "package_weight_lbs", "package_volume_cubic_in", "insurance_value"]
     u = " UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS v FROM shipments_raw" for c in cols)
-    return f"""SELECT column_name AS "column", CAST(count(v) AS BIGINT) AS count, {r('avg(v)')} AS mean,
+    return f"""SELECT column_name AS "column", CAST(count(v) AS BIGINT) AS count, {r(eavg('v'))} AS mean,
  {r('stddev_samp(v)')} AS std, {r('min(v)')} AS min, {r(q('v', 0.25))} AS p25, {r(q('v', 0.5))} AS p50,
  {r(q('v', 0.75))} AS p75, {r('max(v)')} AS max FROM ({u}) u GROUP BY column_name"""
 
@@ -807,9 +812,9 @@ def enc_sql(src: str, k: float, s: float) -> str:
         parts.append(f"""SELECT enc_col, category, '{t}' AS target, n_{t} AS n, mean_{t} AS mean, {lam} AS smoothing,
   prior_{t} * (1e0 - {lam}) + mean_{t} * {lam} AS enc, prior_{t} AS prior FROM g""")
     return f"""u AS ({u}),
-pr AS (SELECT avg({T}) AS prior_time, avg({C}) AS prior_cost FROM {src}),
-g AS (SELECT enc_col, category, CAST(count({T}) AS BIGINT) AS n_time, avg({T}) AS mean_time,
-             CAST(count({C}) AS BIGINT) AS n_cost, avg({C}) AS mean_cost, max(pr.prior_time) AS prior_time,
+pr AS (SELECT {eavg(T)} AS prior_time, {eavg(C)} AS prior_cost FROM {src}),
+g AS (SELECT enc_col, category, CAST(count({T}) AS BIGINT) AS n_time, {eavg(T)} AS mean_time,
+             CAST(count({C}) AS BIGINT) AS n_cost, {eavg(C)} AS mean_cost, max(pr.prior_time) AS prior_time,
              max(pr.prior_cost) AS prior_cost FROM u CROSS JOIN pr GROUP BY enc_col, category),
 enc AS ({' UNION ALL '.join(parts)})"""
 
@@ -989,7 +994,7 @@ SELECT max(day) AS date, arg_max(n, day) AS today,
 def _s2():
     return """WITH t AS (SELECT response_ms FROM prediction_events ORDER BY ts DESC, request_id DESC LIMIT 1000),
 r AS (SELECT response_ms, row_number() OVER (ORDER BY response_ms) AS rk, count(*) OVER () AS n FROM t)
-SELECT CAST(floor(avg(response_ms) + 5e-1) AS BIGINT) AS average_ms,
+SELECT CAST(floor((CAST(sum(CAST(response_ms AS DECIMAL(38,7))) AS DOUBLE) / count(response_ms)) + 5e-1) AS BIGINT) AS average_ms,
  CAST(floor(max(CASE WHEN rk = floor(n / 2) + 1 THEN response_ms END) + 5e-1) AS BIGINT) AS median_ms,
  CAST(floor(min(response_ms) + 5e-1) AS BIGINT) AS min_ms, CAST(floor(max(response_ms) + 5e-1) AS BIGINT) AS max_ms,
  (SELECT CAST(count(*) AS BIGINT) FROM prediction_events) AS total_requests, CAST(count(*) AS BIGINT) AS recent_samples
@@ -998,8 +1003,8 @@ FROM r"""
 
 @oracle("stream_service_summary")
 def _s4():
-    return f"""SELECT service_level, CAST(count(*) AS BIGINT) AS n, {r(f'avg({T})')} AS avg_transit_time,
- {r(f'stddev_samp({T})')} AS transit_time_std, {r(f'avg({C})')} AS avg_cost, {r(f'stddev_samp({C})')} AS cost_std
+    return f"""SELECT service_level, CAST(count(*) AS BIGINT) AS n, {r(eavg(T))} AS avg_transit_time,
+ {r(f'stddev_samp({T})')} AS transit_time_std, {r(eavg(C))} AS avg_cost, {r(f'stddev_samp({C})')} AS cost_std
 FROM shipments GROUP BY service_level"""
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shiplens.functions import scalars as sc
-from shiplens.functions.stats import COST, TIME, cnt, r6
+from shiplens.functions.stats import COST, TIME, cnt, exact_avg, r6
 from shiplens.operators.quality import validation_reasons
 from shiplens.sources import tables as tb
 
@@ -62,7 +62,7 @@ def response_time_stats(ev: DataFrame, tail: int = TAIL) -> DataFrame:
 def _tail_stats(last: DataFrame, total: DataFrame) -> DataFrame:
     r = last.select("response_ms", F.row_number().over(Window.orderBy("response_ms")).alias("_rk"),
                     F.count(F.lit(1)).over(Window.partitionBy()).alias("_n"))  # <= tail rows
-    s = r.agg(js_round(F.avg("response_ms")).alias("average_ms"),
+    s = r.agg(js_round(exact_avg("response_ms")).alias("average_ms"),
               js_round(F.max(F.when(F.col("_rk") == F.floor(F.col("_n") / 2) + 1, F.col("response_ms"))))
               .alias("median_ms"),
               js_round(F.min("response_ms")).alias("min_ms"), js_round(F.max("response_ms")).alias("max_ms"),
@@ -75,8 +75,8 @@ def _tail_stats(last: DataFrame, total: DataFrame) -> DataFrame:
 def service_running_summary(s: DataFrame) -> DataFrame:
     """Per service: n, mean and sample std of time and cost (mergeable aggregates)."""
     return s.groupBy("service_level").agg(
-        cnt().alias("n"), F.avg(TIME).alias("avg_transit_time"), F.stddev_samp(TIME).alias("transit_time_std"),
-        F.avg(COST).alias("avg_cost"), F.stddev_samp(COST).alias("cost_std"))
+        cnt().alias("n"), exact_avg(TIME).alias("avg_transit_time"), F.stddev_samp(TIME).alias("transit_time_std"),
+        exact_avg(COST).alias("avg_cost"), F.stddev_samp(COST).alias("cost_std"))
 
 
 def stream_service_summary(s: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from shiplens.functions import refdata as rd
 from shiplens.functions import scalars as sc
 from shiplens.functions.quantiles import percentiles, percentiles_multi
 from shiplens.functions.stats import COST, TIME, cnt, exact_avg, r6
-from shiplens.session import materialize_small
+from shiplens.session import materialize, materialize_small
 
 TARGETS = {"time": TIME, "cost": COST}
 ENC_COLUMNS = ["route", "origin_zone", "dest_zone", "carrier", "service_level", "origin_service",
@@ -56,23 +56,24 @@ def time_split(df: DataFrame, fraction: float = TRAIN_FRACTION, order_columns=OR
     cumulative sum over that small count table.  Joins are against one-row
     results (broadcast).
     """
+    df = materialize(df)  # several passes below: scan one written copy
     x = df.withColumn("_blk", F.shiftright(F.col("l_orderkey"), 16))
-    n = x.agg(cnt().alias("_n"))
-    cut = n.select((F.floor(F.col("_n") * F.lit(float(fraction)))).cast("long").alias("_cut"))
-    # level 1: days
-    days = x.groupBy("ship_date").agg(cnt().alias("n")).crossJoin(F.broadcast(cut))
-    l1 = _locate(days, "ship_date", "_cut", "ship_date").crossJoin(F.broadcast(cut)) \
-        .select("ship_date_at_cut", (F.col("_cut") - F.col("ship_date_before")).alias("_k1"))
-    # level 2: order-key blocks inside the cut day
-    x1 = x.join(F.broadcast(l1), F.col("ship_date") == F.col("ship_date_at_cut"))
-    blks = x1.groupBy("_blk").agg(cnt().alias("n")).crossJoin(F.broadcast(l1.select("_k1")))
+    # pass 1: rows per day (a calendar-sized table); n and the cut come from it
+    days = materialize_small(x.groupBy("ship_date").agg(cnt().alias("n")))
+    cut = days.agg(F.floor(F.sum("n") * F.lit(float(fraction))).cast("long").alias("_cut"))
+    l1 = _locate(days.crossJoin(F.broadcast(cut)), "ship_date", "_cut", "ship_date").crossJoin(
+        F.broadcast(cut)).select("ship_date_at_cut", (F.col("_cut") - F.col("ship_date_before")).alias("_k1"))
+    # pass 2: rows per order key inside the cut day only (bounded by one day's orders)
+    keys = materialize_small(
+        x.join(F.broadcast(l1), F.col("ship_date") == F.col("ship_date_at_cut"))
+         .groupBy("_blk", "l_orderkey").agg(cnt().alias("n")))
+    # order-key block, then order key: cumulative sums over small tables
+    blks = keys.groupBy("_blk").agg(F.sum("n").alias("n")).crossJoin(F.broadcast(l1.select("_k1")))
     l2 = _locate(blks, "_blk", "_k1", "_blk").crossJoin(F.broadcast(l1)).select(
         "ship_date_at_cut", "_blk_at_cut", (F.col("_k1") - F.col("_blk_before")).alias("_k2"))
-    # level 3: order keys inside that block
-    x2 = x.join(F.broadcast(l2), (F.col("ship_date") == F.col("ship_date_at_cut"))
-                & (F.col("_blk") == F.col("_blk_at_cut")))
-    keys = x2.groupBy("l_orderkey").agg(cnt().alias("n")).crossJoin(F.broadcast(l2.select("_k2")))
-    l3 = _locate(keys, "l_orderkey", "_k2", "l_orderkey").crossJoin(F.broadcast(l2)).select(
+    inblk = keys.join(F.broadcast(l2), F.col("_blk") == F.col("_blk_at_cut")).select(
+        "l_orderkey", "n", "_k2")
+    l3 = _locate(inblk, "l_orderkey", "_k2", "l_orderkey").crossJoin(F.broadcast(l2)).select(
         "ship_date_at_cut", "_blk_at_cut", "l_orderkey_at_cut",
         (F.col("_k2") - F.col("l_orderkey_before")).alias("_k3"))
     # the cut coordinates are one row: materialise them so the labelling plan stays flat
@@ -194,9 +195,9 @@ def _epoch_day(d) -> Column:
     return F.datediff(d, F.lit("1970-01-01").cast("date"))
 
 
-def _window_median(x: Column, w) -> Column:
-    """Median (linear interpolation) of the values in a window frame; NULL on an empty frame."""
-    arr = F.array_sort(F.collect_list(x).over(w))
+def _array_median(values: Column) -> Column:
+    """Median (linear interpolation) of an array of values; NULL when empty."""
+    arr = F.array_sort(values)
     n = F.size(arr)
     h = (n - 1).cast("double") * F.lit(5e-1)
     lo = F.element_at(arr, (F.floor(h) + 1).cast("int"))
@@ -226,8 +227,11 @@ def rolling_route_medians(targets: DataFrame, history: DataFrame | None = None,
     u = tdays.unionByName(h).unionByName(h.withColumn("_blk", F.col("_blk") + 1))
     u = u.withColumn("_day", _epoch_day(F.col("ship_date")))
     w = Window.partitionBy(route_col, "_blk").orderBy("_day").rangeBetween(-days, -1)
-    med = u.select(route_col, "ship_date", "_is_t", _window_median(F.col("_ht"), w).alias("route_30d_median_time"),
-                   _window_median(F.col("_hc"), w).alias("route_30d_median_cost")).where("_is_t").drop("_is_t")
+    # frames are collected for every row of the window, but sorted only for the targets
+    fr = u.select(route_col, "ship_date", "_is_t", F.collect_list("_ht").over(w).alias("_at"),
+                  F.collect_list("_hc").over(w).alias("_ac")).where("_is_t")
+    med = fr.select(route_col, "ship_date", _array_median(F.col("_at")).alias("route_30d_median_time"),
+                    _array_median(F.col("_ac")).alias("route_30d_median_cost"))
     return targets.join(med, [route_col, "ship_date"], "left")
 
 
@@ -247,6 +251,7 @@ def with_route_medians(rows: DataFrame, fallback_from: DataFrame, history: DataF
 def route_30d_median(s: DataFrame, train_only: bool = False) -> DataFrame:
     """M3: trailing 30-day route medians of time and cost; a row without history gets the
     global median of all rows (``train_only``: of the train split)."""
+    s = materialize(s)
     ks = with_keys(s).select("l_orderkey", "l_linenumber", "route", "ship_date", TIME, COST)
     out = with_route_medians(ks, train_rows(s) if train_only else s)
     return out.select("l_orderkey", "l_linenumber", "route", "ship_date",
@@ -259,6 +264,7 @@ def request_history_features(req: DataFrame, s: DataFrame) -> DataFrame:
     request (zone 1..9, dated); fallback: global history median."""
     q = req.where(F.col("ship_date").isNotNull() & F.col("zone").between(1, 9)).select(
         "request_id", "l_linenumber", sc.route_key(F.col("zone"), F.col("zone")).alias("route"), "ship_date")
+    s = materialize(s)
     hist = with_keys(s).select("route", "ship_date", TIME, COST)
     out = with_route_medians(q, s, hist)
     return out.select("request_id", "l_linenumber", "route", "ship_date",
@@ -276,7 +282,8 @@ COST_FEATURES = [f.replace("_time", "_cost") for f in TIME_FEATURES]
 
 def feature_table(s: DataFrame) -> DataFrame:
     """All model inputs per row: calendar/cyclical, package, rolling medians, encodings, split."""
-    ks = with_keys(time_split(s))
+    s = materialize(s)
+    ks = materialize(with_keys(time_split(s)))
     ks = ks.select("*", F.weekday("ship_date").alias("dow"), F.month("ship_date").alias("month"))
     ks = ks.select("*", *sc.cyclical(F.col("dow"), 7, "dow"), *sc.cyclical(F.col("month"), 12, "month"),
                    *sc.package_columns())

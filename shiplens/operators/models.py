@@ -106,7 +106,9 @@ def evaluate(f: dict) -> DataFrame:
 def baseline_eval(s: DataFrame) -> DataFrame:
     """M9 baseline: the trailing 30-day route median used as the prediction, on the
     validation rows (MAE, RMSE per target)."""
-    ks = fe.with_keys(fe.time_split(s))
+    from shiplens.session import materialize
+    s = materialize(s)
+    ks = materialize(fe.with_keys(fe.time_split(s)))
     v = fe.with_route_medians(ks, s).where(F.col("split") == "valid")
     outs = []
     for t, label in fe.TARGETS.items():

@@ -76,3 +76,22 @@ def materialize_small(df):
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    Used at the entry of multi-pass operators (positional split, rolling medians,
+    feature table) so that every pass scans one columnar copy instead of re-running
+    the upstream joins; lineage is cut at the written table.  A DataFrame that is
+    already such a copy is returned as is.
+    """
+    import uuid
+    if getattr(df, "_shiplens_materialized", False):
+        return df
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    out = spark.read.parquet(path)
+    out._shiplens_materialized = True
+    return out

@@ -347,25 +347,25 @@ def carrier_quotes(req: DataFrame, sort_by: str = "cost") -> DataFrame:
     rc = F.broadcast(sc.rate_card_table(spark).select(F.col("service_level").alias("_s"),
                                                      F.col("rate_zone").alias("_z"), "base_days", "base_cost"))
     b = base.join(rc, (F.col("service_level") == F.col("_s")) & (F.col("rate_zone") == F.col("_z")), "left")
-    quotes = []
-    for c in carriers:
-        days = sc.expected_transit(F.col("base_days"), F.lit(rd.CARRIER_DAYS_OFFSET.get(c, 0.0)))
-        cost = sc.expected_cost(F.col("base_cost"), F.lit(rd.CARRIER_COST_MULT.get(c, 1.0)))
-        quotes.append((c, days, cost))
-    key = (lambda d, c: c) if sort_by == "cost" else (lambda d, c: d)
+    # the quotes once, as columns; the ranking below only references them
+    b = b.select("request_id", "l_linenumber", *[
+        e for i, c in enumerate(carriers) for e in (
+            sc.expected_transit(F.col("base_days"), F.lit(rd.CARRIER_DAYS_OFFSET.get(c, 0.0))).alias(f"_d{i}"),
+            sc.expected_cost(F.col("base_cost"), F.lit(rd.CARRIER_COST_MULT.get(c, 1.0))).alias(f"_c{i}"))])
+    key = (lambda i: F.col(f"_c{i}")) if sort_by == "cost" else (lambda i: F.col(f"_d{i}"))
     structs = []
-    for i, (c, d, co) in enumerate(quotes):
+    for i, c in enumerate(carriers):
         better = F.lit(0)
-        for j, (c2, d2, co2) in enumerate(quotes):
+        for j, c2 in enumerate(carriers):
             if i == j:
                 continue
-            k1, k2 = key(d, co), key(d2, co2)
+            k1, k2 = key(i), key(j)
             # the other quote ranks ahead when its score is lower, or equal with a smaller name
             ahead = (k2 < k1) | ((k2 == k1) & F.lit(c2 < c)) | (k1.isNull() & k2.isNotNull()) | \
                 (k1.isNull() & k2.isNull() & F.lit(c2 < c))
             better = better + F.when(ahead, 1).otherwise(0)
-        structs.append(F.struct(F.lit(c).alias("carrier"), d.alias("expected_transit_days"),
-                                co.alias("expected_cost_usd"), (better + 1).alias("rank")))
+        structs.append(F.struct(F.lit(c).alias("carrier"), F.col(f"_d{i}").alias("expected_transit_days"),
+                                F.col(f"_c{i}").alias("expected_cost_usd"), (better + 1).alias("rank")))
     x = b.select("request_id", "l_linenumber", F.explode(F.array(*structs)).alias("_q"))
     return x.select("request_id", "l_linenumber", "_q.carrier", r6("_q.expected_transit_days").alias(
         "expected_transit_days"), r6("_q.expected_cost_usd").alias("expected_cost_usd"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -86,7 +87,6 @@ def materialize(df):
     the upstream joins; lineage is cut at the written table.  A DataFrame that is
     already such a copy is returned as is.
     """
-    import uuid
     if getattr(df, "_shiplens_materialized", False):
         return df
     spark = df.sparkSession

@@ -206,8 +206,12 @@ def _array_median(values: Column) -> Column:
     return F.when(n > 0, lo * (F.lit(1e0) - d) + hi * d)
 
 
+# Largest (route, 30-day block) the window path takes; above it the exploded path runs.
+WINDOW_ROWS_LIMIT = 2_000_000
+
+
 def rolling_route_medians(targets: DataFrame, history: DataFrame | None = None, route_col: str = "route",
-                          days: int = WINDOW_DAYS) -> DataFrame:
+                          days: int = WINDOW_DAYS, method: str = "auto") -> DataFrame:
     """Add the trailing ``days``-day median of history time / cost on the same route,
     excluding the target's own day (NULL when there is no history), to every target row.
 
@@ -218,6 +222,12 @@ def rolling_route_medians(targets: DataFrame, history: DataFrame | None = None,
     """
     hist = targets if history is None else history
     blk = F.floor(_epoch_day(F.col("ship_date")) / F.lit(days)).cast("long")
+    if method == "auto":
+        largest = hist.groupBy(route_col, blk.alias("_b")).agg(F.count(F.lit(1)).alias("_n")).agg(
+            F.max("_n")).first()[0]
+        method = "window" if (largest or 0) <= WINDOW_ROWS_LIMIT else "exploded"
+    if method == "exploded":
+        return _exploded_route_medians(targets, hist, route_col, days)
     tdays = targets.select(route_col, "ship_date").distinct().select(
         route_col, "ship_date", F.lit(True).alias("_is_t"), F.lit(None).cast("double").alias("_ht"),
         F.lit(None).cast("double").alias("_hc"), blk.alias("_blk"))
@@ -235,6 +245,19 @@ def rolling_route_medians(targets: DataFrame, history: DataFrame | None = None,
     return targets.join(med, [route_col, "ship_date"], "left")
 
 
+def _exploded_route_medians(targets: DataFrame, hist: DataFrame, route_col: str, days: int) -> DataFrame:
+    """Hot-route path: each history row is copied to the <= ``days`` target days it serves
+    (d+1 .. d+days, only days that have targets), then exact per-(route, day) medians by
+    the size-checked percentile helper (bracketed for huge groups)."""
+    tdays = targets.select(route_col, F.col("ship_date").alias("_td")).distinct()
+    ex = hist.select(route_col, F.explode(F.sequence(F.date_add("ship_date", 1), F.date_add("ship_date", days)))
+                     .alias("_td"), TIME, COST)
+    ex = ex.join(tdays, [route_col, "_td"], "left_semi")
+    med = percentiles_multi(ex, [route_col, "_td"], [(TIME, [0.5], ["route_30d_median_time"]),
+                                                     (COST, [0.5], ["route_30d_median_cost"])])
+    return targets.join(med.withColumnRenamed("_td", "ship_date"), [route_col, "ship_date"], "left")
+
+
 def _global_medians(s: DataFrame) -> DataFrame:
     return percentiles_multi(s, [], [(TIME, [0.5], ["_gt"]), (COST, [0.5], ["_gc"])])
 

@@ -98,3 +98,15 @@ def test_time_split_boundary_day(spark):
     out = {r["l_orderkey"]: r["split"] for r in fe.time_split(df).collect()}
     assert len(out) == 10
     assert [k for k, v in sorted(out.items()) if v == "train"] == list(range(8))
+
+
+def test_rolling_median_paths_agree(spark):
+    import random
+    random.seed(3)
+    d0 = dt.date(2024, 1, 1)
+    rows = [(d0 + dt.timedelta(days=random.randint(0, 90)), random.randint(1, 2), 2, "UPS", "X",
+             round(random.uniform(1, 9), 3), round(random.uniform(3, 30), 2)) for _ in range(400)]
+    ks = fe.with_keys(_ship(spark, rows)).select("route", "ship_date", "transit_time_days", "shipping_cost_usd")
+    a = sorted(tuple(r) for r in fe.rolling_route_medians(ks, method="window").collect())
+    b = sorted(tuple(r) for r in fe.rolling_route_medians(ks, method="exploded").collect())
+    assert len(a) == 400 and a == b

@@ -56,12 +56,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder used to cut lineage.
 
     The cluster names it in ``spark.checkpoint.dir``; it is read from the
-    session.  Only when it is unset (local tests) a fresh scratch folder is
-    created and registered.
+    session.  Only when it is unset on a ``local`` master (tests, one machine) a
+    fresh scratch folder is created and registered; on any other master a
+    missing setting is an error, because executors share no local disk.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and "
+                               f"all executors share (master {sc.master})")
         d = tempfile.mkdtemp(prefix="shiplens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
@@ -94,4 +98,16 @@ def materialize(df):
     df.write.mode("overwrite").parquet(path)
     out = spark.read.parquet(path)
     out._shiplens_materialized = True
+    out._shiplens_path = path
     return out
+
+
+def release(df) -> None:
+    """Delete the copy that ``materialize`` wrote for ``df``, once nothing reads it any more."""
+    path = getattr(df, "_shiplens_path", None)
+    if path is None:
+        return
+    spark = df.sparkSession
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    df._shiplens_path = None

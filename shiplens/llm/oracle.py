@@ -14,7 +14,7 @@ WITH RECURSIVE t AS (
 s AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
     WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' '))) END AS g FROM t),
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS g FROM t),
 n AS (SELECT doc_id, CAST(len(g) AS BIGINT) AS n FROM s),
 x AS (SELECT doc_id, unnest(g) AS g FROM s),
 p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),

@@ -15,9 +15,11 @@ per document with the smallest ``doc_id`` that links lead to.
 3. *Signature trees.*  In a chunk the sets, in order of size, are leaves of a tree
    whose nodes hold OR-combined token bitmaps and size ranges.  A dual traversal
    from the root against itself drops node pairs whose sizes are too far apart or
-   whose largest possible overlap, popcount(OR_x & OR_y), is below what the
-   threshold needs.  Bitmaps have one bit per token seen twice in the chunk, so at
-   the leaves the count is the exact overlap and the threshold is decided exactly.
+   whose largest possible overlap, popcount(OR_x & OR_y) plus the tokens that share a
+   bit, is below what the threshold needs.  The bitmaps (4 to 8 bits a token) are all
+   that moves to the chunk.  Only sets of pairs that survive the leaves are fetched in
+   full; a second tree of them, with one bit per token that two sets of the chunk hold,
+   counts overlaps exactly and decides the threshold.
 4. Links become components; a block of several chunks whose sets are not all in one
    component yet gets its remaining chunk pairs (of compatible sizes) joined too.
 
@@ -42,6 +44,7 @@ CHUNK = 256            # sets in one signature tree
 CHUNK_TOKENS = 1 << 21  # tokens in one signature tree, about (one set at least)
 FANOUT = 8             # children of a tree node
 CELLS = 1 << 22        # cells of the count table that finds frequent tokens
+SMALL = 250_000        # rows of a broadcast list of documents (8 MB)
 HOT = 64               # a token whose cell is seen this often is ordered last
 
 
@@ -73,6 +76,15 @@ def digest(s: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
+def bitmap(s: np.ndarray) -> np.ndarray:
+    """Hashed token bitmap of a set, 4 to 8 bits a token (a power of two, 64 at least)."""
+    width = max(64, 1 << (4 * len(s) - 1).bit_length())
+    out = np.zeros(width >> 6, dtype=np.uint64)
+    at = ((s >> np.uint64(20)) & np.uint64(width - 1)).astype(np.int64)
+    np.bitwise_or.at(out, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
+    return out
+
+
 def _scanner(k: int):
     """doc rows (doc_id, n, hi, lo) and rows (cell, seen) of the frequent cells of the task."""
     def run(batches):
@@ -123,7 +135,7 @@ def _prefixer(k: int, num: int, den: int, hot):
         for batch in batches:
             for part in tx.slices(batch, "text"):
                 ids = tx.column(part, "doc_id")
-                rows, n, hi, lo, pre = [], [], [], [], []
+                rows, hi, lo, pre, maps = [], [], [], [], []
                 for i, s in enumerate(shingle_sets(tx.column(part, "text"), k)):
                     if not len(s):
                         continue
@@ -134,16 +146,16 @@ def _prefixer(k: int, num: int, den: int, hot):
                     t = cold[:p] if len(cold) >= p else np.concatenate([cold, s[late == 1][:p - len(cold)]])
                     a, b = digest(s)
                     rows.append(i)
-                    n.append(len(s))
                     hi.append(a)
                     lo.append(b)
                     pre.append(t.view(np.int64))
+                    maps.append(bitmap(s).tobytes())
                 counts = np.array([len(x) for x in pre], dtype=np.int64)
                 flat = np.concatenate(pre) if pre else np.zeros(0, dtype=np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [ids.take(pa.array(rows, pa.int64())), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()),
-                     tx.list_array(flat, counts, pa.int64())],
-                    names=["doc_id", "hi", "lo", "prefix"])
+                     tx.list_array(flat, counts, pa.int64()), pa.array(maps, pa.binary())],
+                    names=["doc_id", "hi", "lo", "prefix", "bits"])
     return run
 
 
@@ -169,41 +181,57 @@ def _setter(k: int):
 # --------------------------------------------------------------- signature tree
 
 class SignatureTree:
-    """Sets as leaves in order of size; inner nodes hold OR bitmaps and size ranges."""
+    """Sets as leaves in order of size; inner nodes hold OR bitmaps and size ranges.
 
-    def __init__(self, sets: list[np.ndarray], fanout: int = FANOUT):
-        sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    ``maps`` are the leaves' bitmaps (rows of uint64), ``sizes`` their set sizes.  Where
+    several tokens of a set may share a bit, a leaf's spare is its size less its bits; a
+    node keeps the largest.  Overlap(A, B) <= popcount(or_x & or_y) + min(spare_x, spare_y).
+    """
+
+    def __init__(self, maps: np.ndarray, sizes: np.ndarray, fanout: int = FANOUT):
         self.order = np.argsort(sizes, kind="stable")
-        flat = np.concatenate([sets[i] for i in self.order])
-        row = np.repeat(np.arange(len(sets)), sizes[self.order])
-        tokens, inverse, count = np.unique(flat, return_inverse=True, return_counts=True)
-        shared = count >= 2  # a token of one set alone is in no overlap
+        maps, low = maps[self.order], sizes[self.order]
+        high, spare = low, low - np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
+        self.exact = False
+        self.fanout, self.levels = fanout, [(maps, low, high, spare)]
+        while len(maps) > 1:
+            cut = np.arange(0, len(maps), fanout)
+            maps = np.bitwise_or.reduceat(maps, cut, axis=0)
+            low, high = np.minimum.reduceat(low, cut), np.maximum.reduceat(high, cut)
+            spare = np.maximum.reduceat(spare, cut)
+            self.levels.append((maps, low, high, spare))
+
+    @classmethod
+    def of_sets(cls, sets: list[np.ndarray], fanout: int = FANOUT) -> "SignatureTree":
+        """Exact bitmaps: one bit per token that two of the sets hold (others are in no overlap)."""
+        sizes = np.array([len(s) for s in sets], dtype=np.int64)
+        row = np.repeat(np.arange(len(sets)), sizes)
+        _, inverse, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        shared = count >= 2
         bit = np.cumsum(shared) - 1
         keep = shared[inverse]
         at, who = bit[inverse[keep]], row[keep]
         maps = np.zeros((len(sets), max(1, -(-int(shared.sum()) // 64))), dtype=np.uint64)
         np.bitwise_or.at(maps, (who, at >> 6), np.uint64(1) << (at & 63).astype(np.uint64))
-        low = high = sizes[self.order]
-        self.fanout, self.levels = fanout, [(maps, low, high)]
-        while len(maps) > 1:
-            cut = np.arange(0, len(maps), fanout)
-            maps = np.bitwise_or.reduceat(maps, cut, axis=0)
-            low, high = np.minimum.reduceat(low, cut), np.maximum.reduceat(high, cut)
-            self.levels.append((maps, low, high))
+        tree = cls(maps, sizes, fanout)
+        tree.exact = True
+        tree.levels = [(m, a, b, np.zeros_like(c)) for m, a, b, c in tree.levels]
+        return tree
 
     @staticmethod
-    def _overlap(maps, x, y):
+    def _count(maps, x, y, how):
         out = np.empty(len(x), dtype=np.int64)
         step = max(1, (1 << 20) // maps.shape[1])
         for i in range(0, len(x), step):
-            out[i:i + step] = np.bitwise_count(maps[x[i:i + step]] & maps[y[i:i + step]]).sum(axis=1, dtype=np.int64)
+            out[i:i + step] = np.bitwise_count(how(maps[x[i:i + step]], maps[y[i:i + step]])).sum(axis=1, dtype=np.int64)
         return out
 
-    def links(self, num: int, den: int) -> np.ndarray:
-        """Pairs (positions in the input) with den * overlap >= num * union, by dual traversal."""
+    def pairs(self, num: int, den: int) -> np.ndarray:
+        """Pairs (positions in the input) that may link, by dual traversal; with exact
+        bitmaps those with den * overlap >= num * union."""
         x = y = np.zeros(1, dtype=np.int64)
         for level in range(len(self.levels) - 1, -1, -1):
-            maps, low, high = self.levels[level]
+            maps, low, high, spare = self.levels[level]
             if level < len(self.levels) - 1:  # children of the pairs that are left
                 kids = np.arange(self.fanout)
                 cx = (x[:, None] * self.fanout + np.repeat(kids, self.fanout)).ravel()
@@ -215,16 +243,40 @@ class SignatureTree:
             # leaves are in order of size, so y never holds smaller sets than x
             ok = den * high[x] >= num * low[y]
             x, y = x[ok], y[ok]
-            shared = self._overlap(maps, x, y)
-            if level:
-                least = np.maximum(low[x] + low[y], 0)
-                ok = (num + den) * shared >= num * least
-            else:
-                ok = den * shared >= num * (low[x] + low[y] - shared)
+            shared = self._count(maps, x, y, np.bitwise_and) + np.minimum(spare[x], spare[y])
+            if not level and not self.exact:  # a bit of A that B lacks is a token of A that B lacks
+                shared = np.minimum(shared, low[x] - self._count(maps, x, y, lambda a, b: a & ~b))
+                shared = np.minimum(shared, low[y] - self._count(maps, x, y, lambda a, b: b & ~a))
+            # den * o >= num * (a + b - o), least for the smallest sets of both nodes
+            ok = (num + den) * shared >= num * (low[x] + low[y])
             x, y = x[ok], y[ok]
         return np.stack([self.order[x], self.order[y]], axis=1)
 
 
+def fold(m: np.ndarray, words: int) -> np.ndarray:
+    """A bitmap OR-folded to ``words`` uint64 words (both powers of two)."""
+    return np.bitwise_or.reduce(m.reshape(-1, words), axis=0)
+
+
+def likely(sizes: np.ndarray, maps: list[np.ndarray], num: int, den: int) -> set[int]:
+    """Positions of the sets that have a possible partner.  Bitmaps are compared by width:
+    one tree for every width, of its sets and the next wider ones folded to it."""
+    width = np.array([len(m) for m in maps])
+    out: set[int] = set()
+    for w in np.unique(width).tolist():
+        own = np.flatnonzero(width == w)
+        # sizes a partner of these can have (the narrowest width holds a wide range of sizes)
+        more = np.flatnonzero((width > w) & (num * sizes <= den * sizes[own].max()))
+        at = np.concatenate([own, more])
+        if len(at) < 2:
+            continue
+        tree = SignatureTree(np.stack([fold(maps[i], w) for i in at.tolist()]), sizes[at])
+        for i, j in tree.pairs(num, den).tolist():
+            if i < len(own) or j < len(own):
+                out.update((int(at[i]), int(at[j])))
+    return out
+
+
 def forest(m: int, pairs: np.ndarray) -> list[tuple[int, int]]:
     """(member, least member) for each non-least member of the parts that pairs connect."""
     up = list(range(m))
@@ -241,46 +293,75 @@ def forest(m: int, pairs: np.ndarray) -> list[tuple[int, int]]:
     return [(i, top(i)) for i in range(m) if top(i) != i]
 
 
+def _by_unit(batches, read, solve, out):
+    """Rows in order of unit: ``solve`` each unit's nodes and values, ``out`` a batch of answers."""
+    unit, nodes, values, answers = None, [], [], []
+    for batch in batches:
+        units = tx.column(batch, "unit").to_pylist()
+        ids = tx.column(batch, "node").to_pylist()
+        get = read(batch)
+        for i, u in enumerate(units):
+            if u != unit:
+                answers += solve(unit, nodes, values)
+                unit, nodes, values = u, [], []
+            nodes.append(ids[i])
+            values.append(get(i))
+        if len(answers) > 4096:
+            yield out(answers)
+            answers = []
+    answers += solve(unit, nodes, values)
+    yield out(answers)
+
+
+def _pruner(num: int, den: int):
+    """Rows (unit, node, n, bits) in order of unit -> (unit, node) of the sets that may link there."""
+    def read(batch):
+        n, bits = tx.column(batch, "n").to_pylist(), tx.column(batch, "bits")
+        return lambda i: (n[i], np.frombuffer(bits[i].as_buffer(), np.uint64).copy())
+
+    def solve(unit, nodes, values):
+        if len(nodes) < 2:
+            return []
+        sizes = np.array([n for n, _ in values], dtype=np.int64)
+        return [(unit, nodes[i]) for i in sorted(likely(sizes, [m for _, m in values], num, den))]
+
+    def out(rows):
+        return pa.RecordBatch.from_arrays([pa.array([u for u, _ in rows], pa.string()),
+                                           pa.array([n for _, n in rows], pa.int64())], names=["unit", "node"])
+    return lambda batches: _by_unit(batches, read, solve, out)
+
+
 def _joiner(num: int, den: int):
-    """Rows (unit, node, tokens), sorted by unit and node -> links (a, b) of each unit."""
-    def solve(nodes, sets):
+    """Rows (unit, node, tokens) in order of unit -> links (a, b), a spanning forest a unit."""
+    def read(batch):
+        tokens = tx.column(batch, "tokens")
+        flat, off = tokens.values.to_numpy(zero_copy_only=False), tokens.offsets.to_numpy()
+        return lambda i: np.array(flat[off[i]:off[i + 1]], dtype=np.int64)
+
+    def solve(unit, nodes, sets):
         nodes, at = np.unique(np.array(nodes, dtype=np.int64), return_index=True)
         if len(nodes) < 2:
             return []
-        pairs = SignatureTree([sets[i] for i in at]).links(num, den)
+        pairs = SignatureTree.of_sets([sets[i] for i in at]).pairs(num, den)
         return [(int(nodes[i]), int(nodes[j])) for i, j in forest(len(nodes), pairs)]
 
     def out(links):
         return pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()),
                                            pa.array([b for _, b in links], pa.int64())], names=["a", "b"])
-
-    def run(batches):
-        unit, nodes, sets, links = None, [], [], []
-        for batch in batches:
-            units = tx.column(batch, "unit").to_pylist()
-            ids = tx.column(batch, "node").to_pylist()
-            tokens = tx.column(batch, "tokens")
-            flat, off = tokens.values.to_numpy(zero_copy_only=False), tokens.offsets.to_numpy()
-            for i, u in enumerate(units):
-                if u != unit:
-                    links += solve(nodes, sets)
-                    unit, nodes, sets = u, [], []
-                nodes.append(ids[i])
-                sets.append(np.array(flat[off[i]:off[i + 1]], dtype=np.int64))
-            if len(links) > 4096:
-                yield out(links)
-                links = []
-        links += solve(nodes, sets)
-        yield out(links)
-    return run
+    return lambda batches: _by_unit(batches, read, solve, out)
 
 
-def _links(units: DataFrame, classes: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Links among the members (unit, node) of every unit, by one signature tree each."""
-    need = units.select("node").distinct().join(classes, "node").select("node", "hi", "lo", F.col("first_id").alias("doc_id"))
+def _links(units: DataFrame, bitmaps: DataFrame, classes: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Links among the members (unit, node) of every unit."""
+    left = materialize(units.join(bitmaps, "node").repartition("unit").sortWithinPartitions("unit")
+                       .mapInArrow(_pruner(num, den), "unit string, node long"))
+    need = materialize(left.select("node").distinct().join(classes, "node")
+                       .select("node", "hi", "lo", F.col("first_id").alias("doc_id")))
+    if need.count() <= SMALL:  # 32 bytes a row: text stays where it is; beyond that both sides shuffle
+        need = F.broadcast(need)
     sets = docs.join(need, "doc_id").select("node", "hi", "lo", "text").mapInArrow(
         _setter(k), "node long, tokens array<long>")
-    dealt = units.join(sets, "node").repartition("unit").sortWithinPartitions("unit", "node")
+    dealt = left.join(sets, "node").repartition("unit").sortWithinPartitions("unit")
     return materialize(dealt.mapInArrow(_joiner(num, den), "a long, b long"))
 
 
@@ -308,22 +389,22 @@ def jaccard_classes(documents: DataFrame, k: int = 4, num: int = 85, den: int =
                           .withColumn("node", F.monotonically_increasing_id()))
     prefixes = materialize(
         docs.filter("doc_id IS NOT NULL").mapInArrow(
-            _prefixer(k, num, den, hot), "doc_id long, hi long, lo long, prefix array<long>")
+            _prefixer(k, num, den, hot), "doc_id long, hi long, lo long, prefix array<long>, bits binary")
         .withColumnRenamed("doc_id", "first_id").join(classes, ["hi", "lo", "first_id"])
-        .dropDuplicates(["hi", "lo", "first_id"]).select("node", "prefix"))
+        .dropDuplicates(["hi", "lo", "first_id"]).select("node", "n", "prefix", "bits"))
+    bitmaps = prefixes.select("node", "n", "bits")
     # blocks: (lead, node) of all sets that share a prefix token with the lead
     tokens = prefixes.select("node", F.explode("prefix").alias("token"))
     shared = tokens.groupBy("token").agg(F.min("node").alias("lead"), F.max("node").alias("last")) \
         .filter("lead <> last").select("token", "lead")
     stars = materialize(tokens.join(shared, "token").filter("lead <> node").select("lead", "node").distinct()
                         .join(classes.select("node", "n"), "node"))
-    release(prefixes)
     sizes = stars.groupBy("lead").agg(F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("n") / CHUNK_TOKENS)).alias("chunks"))
     dealt = stars.join(sizes, "lead").withColumn(
         "chunk", F.when(F.col("chunks") > 1, F.pmod(F.xxhash64("node"), "chunks")).otherwise(F.lit(0)))
     members = dealt.select(F.concat_ws("/", "lead", "chunk").alias("unit"), "node").unionAll(
         dealt.select("lead", "chunk").distinct().select(F.concat_ws("/", "lead", "chunk"), F.col("lead")))
-    found = _links(members, classes, docs, k, num, den)
+    found = _links(members, bitmaps, classes, docs, k, num, den)
     parts = components(found)
     # blocks of several chunks that are not one component yet: the pairs of their chunks
     big = dealt.filter("chunks > 1").select("lead", "node", "n", "chunks")
@@ -345,9 +426,10 @@ def jaccard_classes(documents: DataFrame, k: int = 4, num: int = 85, den: int =
             F.concat_ws("/", "a.lead", "a.band", "a.chunk", "b.band", "b.chunk").alias("unit"),
             F.array_distinct(F.array(F.struct("a.band", "a.chunk"), F.struct("b.band", "b.chunk"))).alias("sides"))
         pairs = pairs.select("lead", "unit", F.explode("sides").alias("s")).select("lead", "unit", "s.band", "s.chunk")
-        more = _links(big.join(pairs, ["lead", "band", "chunk"]).select("unit", "node"), classes, docs, k, num, den)
+        more = _links(big.join(pairs, ["lead", "band", "chunk"]).select("unit", "node"), bitmaps, classes, docs, k, num, den)
         release(parts)
         parts = components(found.unionAll(more))
+    release(prefixes)
     release(stars)
     release(big)
     whole = classes.join(parts, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shiplens.llm import oracle
 from shiplens.sources.tables import table
@@ -40,7 +41,41 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"), k=4, num=85, den=100)
 
 
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sainte-Lague mix of all documents by source."""
+    from shiplens.llm.mixing import mix_sources
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows of 13 words found in documents."""
+    from shiplens.llm.decontam import find_contamination
+    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13)
+    return found.select("row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest neighbours of every hundredth vector."""
+    from shiplens.llm.ann import nearest
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that repeat across documents, kept in the first document only."""
+    from shiplens.llm.linededup import dedup_lines
+    done = dedup_lines(table(spark, sf_dir, "documents"), min_chars=10)
+    return done.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as ARC archives, converted to WARC and read back."""
+    from shiplens.llm.warc import convert_pages
+    return convert_pages(table(spark, sf_dir, "pages"))[1].select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {f.__name__: _op(f) for f in (
-    op1_ngram_jaccard,
+    op1_ngram_jaccard, op2_mix_sources, op4_decontaminate, op5_nearest_neighbours, op8_line_dedup, op10_warc,
 )}
 ORACLE = {k: v for k, v in oracle.SQL.items() if k in QUERIES}

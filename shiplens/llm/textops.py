@@ -182,3 +182,44 @@ def list_array(values: np.ndarray, counts: np.ndarray, type_: pa.DataType) -> pa
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
+
+
+class Lines(Words):
+    """Lines of all rows (split at \\n), stripped of white space at both ends.
+
+    ``start, end`` are the stripped byte ranges (an all-blank line has start == end),
+    ``whole_start, whole_end`` the lines as they stand in ``raw``; ``chars`` counts code
+    points of the stripped line.
+    """
+
+    __slots__ = ("raw", "whole_start", "whole_end", "chars")
+
+    def __init__(self, arr: pa.Array):
+        raw, off = text_bytes(arr)
+        n, rows = len(raw), len(off) - 1
+        breaks = np.flatnonzero(raw == 10)
+        # a row's lines start at its own start and after each of its breaks
+        row_of_break = np.searchsorted(off, breaks, side="right") - 1
+        per_row = np.bincount(row_of_break, minlength=rows)[:rows] + 1
+        self.first = np.concatenate([[0], np.cumsum(per_row)]).astype(np.int64)
+        self.row = np.repeat(np.arange(rows), per_row)
+        order = np.lexsort((np.concatenate([off[:-1], breaks + 1]),
+                            np.concatenate([np.arange(rows), row_of_break])))
+        self.whole_start = np.concatenate([off[:-1], breaks + 1])[order].astype(np.int64)
+        end = np.empty(len(self.whole_start), dtype=np.int64)
+        end[:-1] = self.whole_start[1:] - 1
+        last = self.first[1:] - 1
+        end[last] = off[1:]
+        self.whole_end = end
+        solid = np.flatnonzero(IS_WORD[raw])
+        a, b = np.searchsorted(solid, self.whole_start), np.searchsorted(solid, end)
+        has = b > a
+        self.start = self.whole_start.copy()
+        self.end = self.whole_start.copy()
+        self.start[has] = solid[a[has]]
+        self.end[has] = solid[b[has] - 1] + 1
+        points = np.zeros(n + 1, dtype=np.int64)
+        np.cumsum((raw & 0xC0) != 0x80, out=points[1:])
+        self.chars = points[self.end] - points[self.start]
+        self.raw, self.data, self.offsets = raw, LOWER[raw], off
+        self._sum = None

@@ -47,6 +47,16 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text, learned from the rows of the other four folds."""
+    from shiplens.llm import langid
+    docs = table(spark, sf_dir, "documents")
+    out = langid.held_out(5, 0)
+    field = langid.train(docs.filter(F.col("doc_id").isNotNull() & ~out))
+    return langid.predict(docs, field).select("row.doc_id", "lang_pred", "score").select(
+        "doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows of 13 words found in documents."""
     from shiplens.llm.decontam import find_contamination
@@ -61,6 +71,17 @@ def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text, learned from the labels of two of three folds."""
+    from shiplens.llm import quality
+    from shiplens.llm.langid import held_out
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = held_out(3, 1)
+    ranker = quality.train(docs, labels.filter(F.col("doc_id").isNotNull() & ~out))
+    return quality.score(docs, ranker).select("row.doc_id", "score", "predicted").select(
+        "doc_id", out.alias("held_out"), "score", "predicted")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that repeat across documents, kept in the first document only."""
     from shiplens.llm.linededup import dedup_lines
@@ -76,6 +97,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: _op(f) for f in (
-    op1_ngram_jaccard, op2_mix_sources, op4_decontaminate, op5_nearest_neighbours, op8_line_dedup, op10_warc,
+    op1_ngram_jaccard, op2_mix_sources, op3_language_id, op4_decontaminate, op5_nearest_neighbours, op6_quality,
+    op8_line_dedup, op10_warc,
 )}
 ORACLE = {k: v for k, v in oracle.SQL.items() if k in QUERIES}

@@ -82,6 +82,13 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", out.alias("held_out"), "score", "predicted")
 
 
+def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with keyed surrogates for its personal data."""
+    from shiplens.llm.pii import replace_pii
+    return replace_pii(table(spark, sf_dir, "documents")).select(
+        "row.doc_id", "n_replaced", F.col("clean").alias("text"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that repeat across documents, kept in the first document only."""
     from shiplens.llm.linededup import dedup_lines
@@ -89,6 +96,15 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masked pseudo-log-likelihood of every document under a network trained on all of them."""
+    from shiplens.llm import lmscore
+    docs = table(spark, sf_dir, "documents")
+    return lmscore.score(docs, lmscore.train(docs)).select(
+        "row.doc_id", "n_tokens", "n_unknown", "log_likelihood",
+        (F.col("log_likelihood") / F.greatest(F.col("n_tokens"), F.lit(1))).alias("mean_log_likelihood"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as ARC archives, converted to WARC and read back."""
     from shiplens.llm.warc import convert_pages
@@ -98,6 +114,6 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: _op(f) for f in (
     op1_ngram_jaccard, op2_mix_sources, op3_language_id, op4_decontaminate, op5_nearest_neighbours, op6_quality,
-    op8_line_dedup, op10_warc,
+    op7_pii_surrogates, op8_line_dedup, op9_lm_score, op10_warc,
 )}
 ORACLE = {k: v for k, v in oracle.SQL.items() if k in QUERIES}

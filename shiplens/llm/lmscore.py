@@ -191,7 +191,7 @@ def _trainer(network, rate: float, seed: int):
                 ids = net.tokens(w)
                 # which windows: by the words around and their place in the document, not by the plan
                 draw = tx.mix64(w.hashes() + (np.arange(len(w)) - w.first[w.row]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
-                at = np.flatnonzero(draw < np.uint64(rate * 2 ** 64))
+                at = np.flatnonzero(draw < np.uint64(min(int(rate * 2 ** 64), 2 ** 64 - 1)))
                 held.append((net.contexts(ids, w, at), ids[at]))
                 if sum(len(t) for _, t in held) >= BATCH:
                     ctx, target = (np.concatenate(x) for x in zip(*held))

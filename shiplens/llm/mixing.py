@@ -6,9 +6,9 @@
    integer number of blocks: seat by seat to the highest quotient target / (2 * seats + 1).
    The same rule splits a source's blocks over its shards by their size.
 3. A shard (a bounded part of one source, documents in seeded order) lays its documents
-   end to end and takes its quota: whole passes while the quota exceeds its blocks,
-   then the blocks with the smallest seeded hashes.  A document takes the words of its
-   that lie in taken blocks, once for every pass.
+   end to end and takes the words of its quota: whole passes while they exceed its own,
+   then blocks in the order of their seeded hashes, the last one up to the word that fills
+   the quota.  A document takes its words that lie in taken blocks, once for every pass.
 
 Text never moves: word counts are taken in the scan and (doc_id, source, size) is all that
 is shuffled.  Shards hold a bounded number of words whatever the size of a source.
@@ -124,20 +124,19 @@ def _taker(block: int, seed: int):
         end = np.cumsum(size)
         total = int(end[-1])
         n = -(-total // block)
-        quota = int(pdf["quota"].iloc[0])
-        passes, rest = divmod(quota, n) if n else (0, 0)
-        chosen = np.zeros(n, np.int64)
+        passes, rest = divmod(int(pdf["quota"].iloc[0]) * block, total) if total else (0, 0)
+        got = np.zeros(n, np.int64)  # words taken of each block, from its beginning
         if rest:
-            key = _mix(np.arange(n) + int(pdf["shard"].iloc[0]) * 1_000_003, seed)
-            chosen[np.argsort(key, kind="stable")[:rest]] = 1
-        width = np.full(n, block, np.int64)
-        if n:
+            width = np.full(n, block, np.int64)
             width[-1] = total - (n - 1) * block
-        upto = np.concatenate([[0], np.cumsum(chosen * width)])  # taken words before each block
+            order = np.argsort(_mix(np.arange(n) + int(pdf["shard"].iloc[0]) * 1_000_003, seed), kind="stable")
+            before = np.cumsum(width[order]) - width[order]
+            got[order] = np.clip(rest - before, 0, width[order])
+        upto = np.concatenate([[0], np.cumsum(got)])
 
         def words(p):  # taken words among the first p of the shard
             b = p // block
-            return upto[b] + np.where(b < n, np.append(chosen, 0)[np.minimum(b, n)], 0) * (p - b * block)
+            return upto[b] + np.minimum(p - b * block, np.append(got, 0)[b])
         pdf["taken"] = passes * size + words(end) - words(end - size)
         return pdf[["doc_id", "size", "source_size", "target", "taken"]]
     return take
@@ -161,8 +160,8 @@ def mix_sources(documents: DataFrame, weights=WEIGHTS, cap: int = CAP, block: in
 
     def apportion(pdf):
         pdf = pdf.sort_values("source", na_position="last", kind="stable").reset_index(drop=True)
-        n = -(-pdf["source_size"].to_numpy(np.int64) // block)
-        pdf["blocks"] = sainte_lague(pdf["target"], round(pdf["target"].sum() / block), cap * n)
+        most = cap * pdf["source_size"].to_numpy(np.int64) // block
+        pdf["blocks"] = sainte_lague(pdf["target"], round(pdf["target"].sum() / block), most)
         return pdf[["source", "source_size", "target", "shards", "blocks"]]
 
     quotas = targets.withColumn("every", F.lit(0)).groupBy("every").applyInPandas(  # one row per source
@@ -175,7 +174,7 @@ def mix_sources(documents: DataFrame, weights=WEIGHTS, cap: int = CAP, block: in
     def split(pdf):
         pdf = pdf.sort_values("shard").reset_index(drop=True)
         size = pdf["shard_size"].to_numpy(np.int64)
-        pdf["quota"] = sainte_lague(size, int(pdf["blocks"].iloc[0]), cap * -(-size // block))
+        pdf["quota"] = sainte_lague(size, int(pdf["blocks"].iloc[0]), cap * size // block)
         return pdf[["source", "shard", "source_size", "target", "quota"]]
 
     shard_quotas = per_shard.join(quotas.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))) \

@@ -17,10 +17,6 @@ from shiplens.session import get_session  # noqa: E402
 
 def main():
     args = sys.argv[1:]
-    if "--bracket" in args:  # force the bracket percentile path for every group size
-        from shiplens.functions import quantiles
-        quantiles.EXACT_GROUP_LIMIT = 0
-        args.remove("--bracket")
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
     names = args[1:] or list(QUERIES)
     spark = get_session("local[8]", 8)

@@ -6,23 +6,18 @@ ignored; an empty group has no row.
 
 Spark's exact ``percentile`` aggregate keeps a value -> count map per group and
 merges it in one task, so a hot group (a third of all rows, continuous values)
-would hold every distinct value in one reducer.  Here instead:
-
-1. one partial-aggregating pass computes per group ``n`` and an approximate
-   bracket ``[lo_p, hi_p]`` around each requested rank (``percentile_approx``
-   at ``p -/+ 3/accuracy``; its rank error is at most ``n/accuracy``, so the
-   true order statistics lie inside the bracket);
-2. a second pass maps every row to ``(keys, slot, x-if-inside-a-bracket)``
-   and counts: rows outside every bracket collapse to one count per slot,
-   rows inside keep their value (at most ~6n/accuracy distinct values per
-   bracket);
-3. the small bracket table is ranked with a window and the two order
-   statistics around ``h`` are picked.
-
-Both passes are map-side combined, the join with the per-group bracket table
-is a broadcast whenever adaptive execution sees that table is small (one row
-per group), and no task ever holds more than one bracket.  A missed bracket
-(impossible by the sketch guarantee) raises instead of returning a wrong value.
+would hold every distinct value in one reducer.  Here, at every size:
+
+1. the input is evaluated once, reduced to ``(keys, value, count)`` (summed
+   map-side) and written;
+2. that table is range-partitioned by (keys, value) and written with its slice
+   number: a group is spread over as many slices as it fills;
+3. row counts per (keys, slice) tell which slice holds each wanted rank;
+4. only those slices are ranked, each by itself, and the two order statistics
+   around ``h`` are picked.
+
+No task ranks more than one slice, and no step depends on a sketch or on a size
+check.
 """
 
 from __future__ import annotations
@@ -32,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_ACCURACY = 10000
+from shiplens.session import materialize
 
 
 def null_safe_join(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -51,143 +46,61 @@ def null_safe_join(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "
     return out.drop(*[f"__r_{c}" for c in keys])
 
 
-# Largest group handed to Spark's one-pass exact ``percentile`` (a value -> count map
-# per group): above it the bracket path below is used.
-EXACT_GROUP_LIMIT = 200_000
-
-
 def percentiles(df: DataFrame, keys: Sequence[str], value, probs: Sequence[float],
-                names: Sequence[str] | None = None, accuracy: int = DEFAULT_ACCURACY,
-                exact_limit: int | None = None) -> DataFrame:
+                names: Sequence[str] | None = None) -> DataFrame:
     """Exact percentiles of ``value`` per group of ``keys``.
 
     Returns one row per group with at least one non-NULL value: the key
     columns plus one DOUBLE column per probability (``names``).
-
-    A cheap count pass checks the largest group first: when every group has at
-    most ``exact_limit`` rows, the one-pass ``percentile`` aggregate is used
-    (its per-group map is bounded by that check); otherwise the bracket path.
     """
-    keys = list(keys)
     names = list(names) if names else [f"p{int(round(p * 100))}" for p in probs]
-    xcol = F.col(value) if isinstance(value, str) else value
-    d = df.select(*keys, xcol.cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    limit = EXACT_GROUP_LIMIT if exact_limit is None else exact_limit
-    largest = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    if largest is None or largest <= limit:
-        return _percentiles_small(d, keys, probs, names)
-    return _percentiles_bracket(d, keys, probs, names, accuracy)
+    return percentiles_multi(df, keys, [(value, probs, names)])
 
 
-def percentiles_multi(df: DataFrame, keys: Sequence[str], specs, accuracy: int = DEFAULT_ACCURACY,
-                      exact_limit: int | None = None) -> DataFrame:
+def percentiles_multi(df: DataFrame, keys: Sequence[str], specs) -> DataFrame:
     """Percentiles of several columns per group in one pass: ``specs`` is a list of
-    (value column, probabilities, output names).  One size check for all columns; on
-    the bracket path each column runs its own bracket and the results are joined."""
+    (value column, probabilities, output names); a group has a row when one of the
+    columns has a non-NULL value in it."""
     keys = list(keys)
-    cols = [F.col(v) if isinstance(v, str) else v for v, _, _ in specs]
-    d = df.select(*keys, *[c.cast("double").alias(f"_x{i}") for i, c in enumerate(cols)])
-    limit = EXACT_GROUP_LIMIT if exact_limit is None else exact_limit
-    largest = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    if largest is None or largest <= limit:
-        aggs = [F.percentile(f"_x{i}", [float(p) for p in probs]).alias(f"_p{i}")
-                for i, (_, probs, _) in enumerate(specs)]
-        g = d.groupBy(*keys).agg(*aggs)
-        return g.select(*keys, *[F.col(f"_p{i}")[j].alias(n) for i, (_, _, names) in enumerate(specs)
-                                 for j, n in enumerate(names)])
-    out = None
-    for i, (_, probs, names) in enumerate(specs):
-        di = d.select(*keys, F.col(f"_x{i}").alias("_x")).where(F.col("_x").isNotNull())
-        r = _percentiles_bracket(di, keys, probs, list(names), accuracy)
-        out = r if out is None else null_safe_join(out, r, keys, "full")
-    return out
-
-
-def _percentiles_small(d: DataFrame, keys: list[str], probs: Sequence[float], names: list[str]) -> DataFrame:
-    """One aggregate: Spark's exact percentile (groups proven small)."""
-    g = d.groupBy(*keys).agg(F.percentile("_x", [float(p) for p in probs]).alias("_p"))
-    return g.select(*keys, *[F.col("_p")[i].alias(n) for i, n in enumerate(names)])
-
-
-def _percentiles_bracket(d: DataFrame, keys: list[str], probs: Sequence[float], names: list[str],
-                         accuracy: int) -> DataFrame:
-    """Bracket path: per-task memory independent of group size."""
-    order = sorted(range(len(probs)), key=lambda i: probs[i])
-    ps = [float(probs[i]) for i in order]
-    nm = [names[i] for i in order]
-    m = len(ps)
-
-    margin = 3.0 / accuracy
-    lo_q = [p - margin for p in ps]
-    hi_q = [p + margin for p in ps]
-    sketch_q = sorted({q for q in lo_q + hi_q if 0.0 < q < 1.0})
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    if sketch_q:
-        aggs.append(F.percentile_approx("_x", sketch_q, accuracy).alias("_a"))
-    st = d.groupBy(*keys).agg(*aggs)
-    # Groups of at most ``accuracy`` rows keep every value (bounded by
-    # ``accuracy``); above that the sketch margin of 3n/accuracy >= 3 ranks
-    # also covers the shift between its rank ceil(q*n) and p*(n-1).
-    small = F.col("_n") <= accuracy
-    bounds = []
-    for i in range(m):
-        lo = (F.lit(float("-inf")) if lo_q[i] <= 0.0
-              else F.when(small, F.lit(float("-inf"))).otherwise(F.col("_a")[sketch_q.index(lo_q[i])]))
-        hi = (F.lit(float("inf")) if hi_q[i] >= 1.0
-              else F.when(small, F.lit(float("inf"))).otherwise(F.col("_a")[sketch_q.index(hi_q[i])]))
-        bounds += [lo.alias(f"_lo{i}"), hi.alias(f"_hi{i}")]
-    st = st.select(*keys, "_n", *bounds)
-
-    # pass 2: slot = number of lower bounds <= x; keep x only inside a bracket
-    j = d.crossJoin(F.broadcast(st)) if not keys else null_safe_join(d, st, keys)
-    x = F.col("_x")
-    slot = sum((F.when(x >= F.col(f"_lo{i}"), 1).otherwise(0) for i in range(m)), F.lit(0))
-    inside = F.lit(False)
-    for i in range(m):
-        inside = inside | ((x >= F.col(f"_lo{i}")) & (x <= F.col(f"_hi{i}")))
-    g = (j.select(*keys, slot.alias("_slot"), F.when(inside, x).alias("_xv"))
-         .groupBy(*keys, "_slot", "_xv").agg(F.count(F.lit(1)).alias("_f")))
-
-    # rows strictly below lo_i are those with slot <= i
-    below = g.groupBy(*keys).agg(*[
-        F.sum(F.when(F.col("_slot") <= i, F.col("_f")).otherwise(0)).alias(f"_b{i}")
-        for i in range(m)])
-
-    band = null_safe_join(g.where(F.col("_xv").isNotNull()), st, keys)
-    band = band.select(*keys, "_n", F.explode(F.array(*[
-        F.when((F.col("_xv") >= F.col(f"_lo{i}")) & (F.col("_xv") <= F.col(f"_hi{i}")),
-               F.struct(F.lit(i).alias("i"), F.col("_xv").alias("x"), F.col("_f").alias("f")))
-        for i in range(m)])).alias("_e")).where(F.col("_e").isNotNull())
-    band = band.select(*keys, "_n", "_e.i", "_e.x", "_e.f")
-    # distinct values inside one bracket: bounded by the sketch error
-    band = band.groupBy(*keys, "_n", "i", "x").agg(F.sum("f").alias("f"))
-    w = (Window.partitionBy(*keys, "i").orderBy("x")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    band = band.withColumn("_cum", F.sum("f").over(w))
-    band = null_safe_join(band, below, keys)
-    b_i = F.element_at(F.array(*[F.col(f"_b{i}") for i in range(m)]), F.col("i") + 1)
-    p_i = F.element_at(F.array(*[F.lit(p) for p in ps]), F.col("i") + 1)
-    band = band.select(*keys, "i", "x", "_n",
-                       (b_i + F.col("_cum") - 1).alias("_end"),
-                       (b_i + F.col("_cum") - F.col("f")).alias("_start"),
-                       (p_i * (F.col("_n") - 1)).alias("_h"), b_i.alias("_below"))
-    lo_pos = F.floor(F.col("_h"))
-    hi_pos = F.ceil(F.col("_h"))
-    res = band.groupBy(*keys, "i").agg(
-        F.min(F.when(F.col("_end") >= lo_pos, F.col("x"))).alias("_xl"),
-        F.min(F.when(F.col("_end") >= hi_pos, F.col("x"))).alias("_xh"),
-        F.min("_start").alias("_s"), F.max("_end").alias("_e"),
-        F.first("_h").alias("_h"))
-    ok = (F.col("_s") <= F.floor(F.col("_h"))) & (F.col("_e") >= F.ceil(F.col("_h")))
+    values = [(F.col(v) if isinstance(v, str) else v).cast("double") for v, _, _ in specs]
+    long = df.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(m).alias("m"), x.alias("x")) for m, x in enumerate(values)])).alias("_v")) \
+        .select(*keys, F.col("_v.m").alias("_m"), F.col("_v.x").alias("_x")).where(F.col("_x").isNotNull())
+    km = keys + ["_m"]
+    counted = materialize(long.groupBy(*km, "_x").agg(F.count(F.lit(1)).alias("_f")))
+    ranged = materialize(counted.repartitionByRange(*km, "_x").withColumn("_slice", F.spark_partition_id()))
+
+    # rows per group and slice: slices are in order of value
+    per = ranged.groupBy(*km, "_slice").agg(F.sum("_f").alias("_c"))
+    group = Window.partitionBy(*km)
+    upto = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    per = per.select(*km, "_slice", "_c", (F.sum("_c").over(upto) - F.col("_c")).alias("_before"),
+                     F.sum("_c").over(group).alias("_n"))
+    ranks = F.element_at(F.array(*[F.array(*[
+        F.struct(F.lit(i).alias("i"), (F.lit(float(p)) * (F.col("_n") - 1)).alias("h")) for i, p in enumerate(probs)])
+        for _, probs, _ in specs]), F.col("_m") + 1)
+    wanted = per.select("*", F.explode(ranks).alias("_r")).select("*", F.explode(F.array(
+        F.struct(F.lit(0).alias("hi"), F.floor("_r.h").alias("pos")),
+        F.struct(F.lit(1).alias("hi"), F.ceil("_r.h").alias("pos")))).alias("_p")) \
+        .where((F.col("_p.pos") >= F.col("_before")) & (F.col("_p.pos") < F.col("_before") + F.col("_c"))) \
+        .groupBy(*km, "_slice", "_n").agg(F.collect_list(F.struct(
+            F.col("_r.i").alias("i"), F.col("_r.h").alias("h"), F.col("_p.hi").alias("hi"),
+            (F.col("_p.pos") - F.col("_before")).alias("pos"))).alias("_want"))  # two per probability
+
+    inside = null_safe_join(ranged, wanted, km + ["_slice"])
+    w = Window.partitionBy(*km, "_slice").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hits = inside.withColumn("_end", F.sum("_f").over(w)).select(*km, "_x", "_n", F.explode(F.filter(
+        "_want", lambda t: (t["pos"] < F.col("_end")) & (t["pos"] >= F.col("_end") - F.col("_f")))).alias("_t"))
+    found = hits.groupBy(*km, F.col("_t.i").alias("_i")).agg(
+        F.max(F.when(F.col("_t.hi") == 0, F.col("_x"))).alias("_xl"),
+        F.max(F.when(F.col("_t.hi") == 1, F.col("_x"))).alias("_xh"), F.max("_t.h").alias("_h"))
     frac = F.col("_h") - F.floor(F.col("_h"))
     # weighted form lo*(1-d) + hi*d: an exact midpoint is rounded once (same bits as SQL engines)
-    val = F.col("_xl") * (F.lit(1e0) - frac) + F.col("_xh") * frac
-    res = res.select(*keys, "i", F.when(ok, val).otherwise(
-        F.raise_error(F.lit("percentile bracket missed its rank")).cast("double")).alias("v"))
-    return res.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("i") == i, F.col("v"))).alias(nm[i]) for i in range(m)])
+    found = found.withColumn("_val", F.col("_xl") * (F.lit(1e0) - frac) + F.col("_xh") * frac)
+    return found.groupBy(*keys).agg(*[
+        F.max(F.when((F.col("_m") == m) & (F.col("_i") == i), F.col("_val"))).alias(n)
+        for m, (_, _, names) in enumerate(specs) for i, n in enumerate(names)])
 
 
-def median(df: DataFrame, keys: Sequence[str], value, name: str = "median",
-           accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    return percentiles(df, keys, value, [0.5], [name], accuracy)
+def median(df: DataFrame, keys: Sequence[str], value, name: str = "median") -> DataFrame:
+    return percentiles(df, keys, value, [0.5], [name])

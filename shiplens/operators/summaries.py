@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shiplens.functions.quantiles import null_safe_join, percentiles, percentiles_multi
 from shiplens.functions.stats import COST, TIME, cnt, exact_avg, r6, sorted_list
+from shiplens.session import materialize
 
 CELL = ["carrier", "service_level", "dest_zone"]
 
@@ -36,6 +37,7 @@ def service_summary(s: DataFrame) -> DataFrame:
 
 def _with_medians(s: DataFrame, keys: Sequence[str], extra=()) -> DataFrame:
     keys = list(keys)
+    s = materialize(s.select(*dict.fromkeys([*keys, "dest_zone", TIME, COST])))  # two passes, one evaluation
     g = s.groupBy(*keys).agg(cnt().alias("total_shipments"), *_moments(), *extra)
     med = percentiles_multi(s, keys, [(TIME, [0.5], ["median_transit_time"]), (COST, [0.5], ["median_cost"])])
     out = null_safe_join(g, med, keys)
@@ -59,23 +61,24 @@ def percentile_filtered(s: DataFrame, percentiles_: Sequence[float] = (50,),
                         methods: Sequence[str] = ("median",), keys: Sequence[str] = CELL) -> DataFrame:
     """E4 / A12 core: keep rows whose transit time is <= the group's p-th percentile.
 
-    One threshold table for all ``percentiles_`` (one bracket pass), one
-    broadcast-size join back, rows expanded only into the percentile sets
-    they belong to, one aggregate (+ medians) per (keys, percentile).
+    The needed columns are written once.  One threshold table for all
+    ``percentiles_`` is joined back, totals are counted per group, and each row is
+    expanded only into the percentile sets that keep it; then one aggregate
+    (+ medians) per (keys, percentile).
     """
     keys = list(keys)
+    s = materialize(s.select(*keys, TIME, COST))
     pcts = [float(p) for p in percentiles_]
     names = [f"_t{i}" for i in range(len(pcts))]
-    thr = percentiles(s, keys, TIME, [p / 100.0 for p in pcts], names)
-    j = null_safe_join(s.select(*keys, TIME, COST), thr, keys)
-    tagged = j.select(*keys, TIME, COST, F.explode(F.array(*[
-        F.struct(F.lit(p).alias("percentile"), F.col(n).alias("threshold"),
-                 (F.col(TIME) <= F.col(n)).alias("kept"))
-        for p, n in zip(pcts, names)])).alias("_p")).select(*keys, TIME, COST, "_p.*")
+    thr = materialize(percentiles(s, keys, TIME, [p / 100.0 for p in pcts], names))
     pk = keys + ["percentile"]
-    tot = tagged.groupBy(*pk).agg(cnt().alias("total_shipments"),
-                                  F.max("threshold").alias("percentile_threshold"))
-    kept = tagged.where("kept")
+    per = F.explode(F.array(*[F.struct(F.lit(p).alias("percentile"), F.col(n).alias("percentile_threshold"))
+                              for p, n in zip(pcts, names)])).alias("_p")
+    tot = null_safe_join(s.groupBy(*keys).agg(cnt().alias("total_shipments")), thr, keys, "left").select(
+        *keys, "total_shipments", per).select(*keys, "total_shipments", "_p.*")
+    kept = null_safe_join(s, thr, keys).select(*keys, TIME, COST, F.explode(F.filter(
+        F.array(*[F.when(F.col(TIME) <= F.col(n), F.lit(p)) for p, n in zip(pcts, names)]),
+        lambda p: p.isNotNull())).alias("percentile"))
     agg = kept.groupBy(*pk).agg(
         cnt().alias("records_in_percentile"), exact_avg(TIME).alias("_mean_t"), exact_avg(COST).alias("_mean_c"),
         F.stddev_samp(TIME).alias("transit_time_std"), F.stddev_samp(COST).alias("cost_std"))

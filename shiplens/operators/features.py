@@ -26,6 +26,7 @@ from shiplens.functions import refdata as rd
 from shiplens.functions import scalars as sc
 from shiplens.functions.quantiles import percentiles, percentiles_multi
 from shiplens.functions.stats import COST, TIME, cnt, exact_avg, r6
+from shiplens.operators.rules import AS_OF_DATE
 from shiplens.session import materialize, materialize_small
 
 TARGETS = {"time": TIME, "cost": COST}
@@ -160,16 +161,27 @@ def serving_encodings(s: DataFrame) -> DataFrame:
                                                                                       "prior")])
 
 
+# categories of one encoded column that are broadcast (about 64 bytes each); beyond it the join shuffles
+BROADCAST_CATEGORIES = 100_000
+
+
 def apply_encodings(df: DataFrame, enc: DataFrame, columns: Sequence[str] = ENC_COLUMNS) -> DataFrame:
-    """Add <col>_te_time / <col>_te_cost; unseen categories get the prior (broadcast left joins:
-    the encoding table has one row per category and column)."""
+    """Add <col>_te_time / <col>_te_cost; unseen categories get the prior.
+
+    ``enc`` is a written table with one row per category and target.  The categories of
+    each column are counted first: a column's map is broadcast when it is known to be
+    small, so the fact stays where it is; a larger one is joined by a shuffle.
+    """
     pri = enc.groupBy("target").agg(F.first("prior").alias("prior"))
     pr = pri.groupBy().pivot("target", ["time", "cost"]).agg(F.first("prior"))
     out = df.crossJoin(F.broadcast(pr.select(F.col("time").alias("_prior_time"), F.col("cost").alias("_prior_cost"))))
+    sizes = {r["enc_col"]: r["n"] for r in enc.groupBy("enc_col").agg(F.count("*").alias("n")).collect()}
     wide = enc.groupBy("enc_col", "category").pivot("target", ["time", "cost"]).agg(F.first("enc"))
     for c in columns:
         m = wide.where(F.col("enc_col") == c).select(F.col("category").alias(f"_k_{c}"),
                                                      F.col("time").alias(f"_et_{c}"), F.col("cost").alias(f"_ec_{c}"))
+        if sizes.get(c, 0) <= 2 * BROADCAST_CATEGORIES:  # two rows a category
+            m = F.broadcast(m)
         out = out.join(m, F.col(c).cast("string") == F.col(f"_k_{c}"), "left")
         out = out.withColumn(f"{c}_te_time", F.coalesce(F.col(f"_et_{c}"), F.col("_prior_time"))) \
                  .withColumn(f"{c}_te_cost", F.coalesce(F.col(f"_ec_{c}"), F.col("_prior_cost"))) \
@@ -282,20 +294,28 @@ def route_30d_median(s: DataFrame, train_only: bool = False) -> DataFrame:
                       r6("route_30d_median_cost").alias("route_30d_median_cost"))
 
 
-def request_history_features(req: DataFrame, s: DataFrame) -> DataFrame:
-    """M4: trailing 30-day medians on route 'z->z' from the shipment history for each valid
-    request (zone 1..9, dated); fallback: global history median."""
-    q = req.where(F.col("ship_date").isNotNull() & F.col("zone").between(1, 9)).select(
-        "request_id", "l_linenumber", sc.route_key(F.col("zone"), F.col("zone")).alias("route"), "ship_date")
+def request_history_features(req: DataFrame, s: DataFrame, as_of: str = AS_OF_DATE) -> DataFrame:
+    """M4: trailing 30-day medians on route 'z->z' from the shipment history for every request.
+
+    An undated request is dated ``as_of`` (P19); a route without history in its window, a
+    zone outside 1..9 among them, gets the global history medians.  ``reason`` names what
+    was wrong with the request ('' when nothing).
+    """
+    zone = F.col("zone")
+    q = req.select("request_id", "l_linenumber", sc.route_key(zone, zone).alias("route"),
+                   F.concat_ws(";", F.when(F.col("ship_date").isNull(), F.lit("missing:ship_date")),
+                               F.when(zone.isNull() | ~zone.between(1, 9), F.lit("range:zone"))).alias("reason"),
+                   sc.default_ship_date(F.col("ship_date"), as_of).alias("ship_date"))
     s = materialize(s)
     hist = with_keys(s).select("route", "ship_date", TIME, COST)
     out = with_route_medians(q, s, hist)
-    return out.select("request_id", "l_linenumber", "route", "ship_date",
+    return out.select("request_id", "l_linenumber", "route", "ship_date", "reason",
                       r6("route_30d_median_time").alias("route_30d_median_time"),
                       r6("route_30d_median_cost").alias("route_30d_median_cost"))
 
 
 # ---------------------------------------------------------------------- M6
+# fixed values: the model's features, in order
 TIME_FEATURES = ["dow_sin", "dow_cos", "month_sin", "month_cos", "package_weight_lbs", "package_volume",
                  "dimensional_weight", "billable_weight", "weight_to_volume_ratio", "route_30d_median_time",
                  "route_te_time", "origin_zone_te_time", "dest_zone_te_time", "carrier_te_time",

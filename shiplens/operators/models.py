@@ -1,8 +1,8 @@
 """Models: transit / cost regressors, quantile bounds, evaluation, scoring, lane segments
 (M7-M12, E31, E32).
 
-Training uses Spark ML (tree aggregation across executors); the feature table
-is persisted for the iterations.  Quantile bounds follow the quantile
+Training uses Spark ML (tree aggregation across executors) over a feature table
+that is written once.  Quantile bounds follow the quantile
 regression forest idea (Meinshausen 2006): the rows of each leaf of a
 regression tree form an empirical conditional distribution; its exact
 percentiles (distributed helper) are joined back by leaf id.
@@ -10,7 +10,6 @@ percentiles (distributed helper) are joined back by leaf id.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
@@ -22,10 +21,12 @@ from shiplens.functions.quantiles import percentiles
 from shiplens.functions.stats import COST, cnt, r6
 from shiplens.operators import features as fe
 from shiplens.operators.reports import LANE_FEATURES, _lane_means
+from shiplens.session import materialize
 
 QUANTILES = (0.1, 0.5, 0.9)
-GBT_PARAMS = dict(lossType="absolute", maxDepth=6, stepSize=0.05, featureSubsetStrategy="0.8",
-                  subsamplingRate=0.8, minInstancesPerNode=100, maxIter=50, seed=42, maxBins=64)
+# fixed values: objective, tree and sampling settings of the boosted models
+GBT_PARAMS = dict(lossType="absolute", maxDepth=6, stepSize=0.1, featureSubsetStrategy="0.8",
+                  subsamplingRate=0.8, minInstancesPerNode=100, maxIter=60, seed=42, maxBins=64)
 
 
 def _features(target: str):
@@ -33,19 +34,33 @@ def _features(target: str):
 
 
 def training_table(s: DataFrame) -> DataFrame:
-    """M6 feature table (both targets) persisted for the training iterations."""
-    return fe.feature_table(s).withColumn("is_valid", F.col("split") == "valid").persist(
-        StorageLevel.MEMORY_AND_DISK)
+    """M6 feature table (both targets), written once for the training iterations."""
+    return materialize(fe.feature_table(s).withColumn("is_valid", F.col("split") == "valid"))
 
 
 def fit_regressor(ft: DataFrame, target: str = "time", **overrides) -> PipelineModel:
-    """M7: gradient-boosted trees with absolute loss; early stopping on the validation rows."""
+    """M7: gradient-boosted trees with absolute loss, all rounds fitted on the train rows.
+
+    The rounds kept are those with the least validation error (every prefix of the ensemble
+    is evaluated).  The seed makes a shorter fit the prefix of a longer one, so the best
+    prefix is fitted again when it is not the whole.
+    """
     params = dict(GBT_PARAMS, **overrides)
     label = fe.TARGETS[target]
     asm = VectorAssembler(inputCols=_features(target), outputCol="features", handleInvalid="keep")
-    gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol=f"pred_{target}",
-                       validationIndicatorCol="is_valid", **params)
-    return Pipeline(stages=[asm, gbt]).fit(ft)
+    x = asm.transform(ft).select(label, "features", "is_valid")
+    train, valid = x.where(~F.col("is_valid")), x.where("is_valid")
+
+    def fit(rounds):
+        return GBTRegressor(featuresCol="features", labelCol=label, predictionCol=f"pred_{target}",
+                            **dict(params, maxIter=rounds)).fit(train)
+    model = fit(params["maxIter"])
+    if valid.limit(1).count():
+        errors = model.evaluateEachIteration(valid, params["lossType"])
+        best = min(range(len(errors)), key=errors.__getitem__) + 1
+        if best < len(errors):
+            model = fit(best)
+    return PipelineModel([asm, model])
 
 
 def fit_quantile_tree(ft: DataFrame, target: str = "time", max_depth: int = 6,
@@ -70,43 +85,38 @@ def quantile_predictions(ft: DataFrame, qmodel: PipelineModel, qtable: DataFrame
     return x.join(F.broadcast(qtable), f"leaf_{target}", "left")
 
 
-def model_eval(s: DataFrame, max_iter: int = 50) -> DataFrame:
+def model_eval(s: DataFrame, **overrides) -> DataFrame:
     """M9: MAE / RMSE of both regressors on the validation rows; MAE, pinball loss and coverage
     of the quantile bounds."""
     ft = training_table(s)
-    return evaluate(dict(fit_all(s, max_iter=max_iter, ft=ft), training_table=ft))
+    return evaluate(dict(fit_all(s, ft=ft, **overrides), training_table=ft))
 
 
 def evaluate(f: dict) -> DataFrame:
-    """M9 on fitted artefacts (see :func:`fit_all`)."""
-    ft = f["training_table"]
-    rows = []
+    """M9 on fitted artefacts (see :func:`fit_all`): every row is scored once, all figures come
+    from one aggregate."""
+    x = f["training_table"].where("is_valid")
+    for t in ("time", "cost"):
+        x = f[f"model_{t}"].transform(x).drop("features")
+        x = quantile_predictions(x, f[f"qmodel_{t}"], f[f"qtable_{t}"], t)
+    cells = []
     for t in ("time", "cost"):
-        label = fe.TARGETS[t]
-        m = f[f"model_{t}"]
-        p = m.transform(ft).where("is_valid").select((F.col(label) - F.col(f"pred_{t}")).alias("e"))
-        rows.append(p.agg(F.lit(t).alias("target"), F.lit("point").alias("model"), cnt().alias("n"),
-                          F.avg(F.abs("e")).alias("mae"), F.sqrt(F.avg(F.col("e") * F.col("e"))).alias("rmse"),
-                          F.lit(None).cast("double").alias("pinball"), F.lit(None).cast("double").alias("coverage")))
-        qp = quantile_predictions(ft.where("is_valid"), f[f"qmodel_{t}"], f[f"qtable_{t}"], t)
-        for q in QUANTILES:
-            c = f"q{int(q * 100)}_{t}"
-            e = F.col(label) - F.col(c)
-            pin = F.avg(F.greatest(F.lit(q) * e, F.lit(q - 1.0) * e))
-            cov = F.avg(F.when(F.col(label) <= F.col(c), 1.0).otherwise(0.0))
-            rows.append(qp.agg(F.lit(t).alias("target"), F.lit(f"q{int(q * 100)}").alias("model"), cnt().alias("n"),
-                               F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
-                               pin.alias("pinball"), cov.alias("coverage")))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
+        label = F.col(fe.TARGETS[t])
+        for name, col, q in [("point", f"pred_{t}", None), *[(f"q{int(q * 100)}", f"q{int(q * 100)}_{t}", q) for q in QUANTILES]]:
+            e = label - F.col(col)
+            none = F.lit(None).cast("double")
+            cells.append(F.struct(
+                F.lit(t).alias("target"), F.lit(name).alias("model"), cnt().alias("n"), F.avg(F.abs(e)).alias("mae"),
+                F.sqrt(F.avg(e * e)).alias("rmse"),
+                (none if q is None else F.avg(F.greatest(F.lit(q) * e, F.lit(q - 1.0) * e))).alias("pinball"),
+                (none if q is None else F.avg(F.when(label <= F.col(col), 1.0).otherwise(0.0))).alias("coverage")))
+    out = x.agg(F.array(*cells).alias("_c")).select(F.explode("_c").alias("_c")).select("_c.*")
     return out.select("target", "model", "n", *[r6(c).alias(c) for c in ("mae", "rmse", "pinball", "coverage")])
 
 
 def baseline_eval(s: DataFrame) -> DataFrame:
     """M9 baseline: the trailing 30-day route median used as the prediction, on the
     validation rows (MAE, RMSE per target)."""
-    from shiplens.session import materialize
     s = materialize(s)
     ks = materialize(fe.with_keys(fe.time_split(s)))
     v = fe.with_route_medians(ks, s).where(F.col("split") == "valid")
@@ -119,13 +129,14 @@ def baseline_eval(s: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ scoring
-def fit_all(s: DataFrame, max_iter: int = 50, ft: DataFrame | None = None) -> dict:
-    """Train everything the scorer needs: encodings, both regressors, quantile trees."""
+def fit_all(s: DataFrame, ft: DataFrame | None = None, **overrides) -> dict:
+    """Train everything the scorer needs: encodings, both regressors (``overrides`` of
+    GBT_PARAMS), quantile trees."""
     ft = training_table(s) if ft is None else ft
     enc = fe.encodings(fe.with_keys(ft.where(~F.col("is_valid"))), 200, 20)
     out = {"encodings": enc}
     for t in ("time", "cost"):
-        out[f"model_{t}"] = fit_regressor(ft, t, maxIter=max_iter)
+        out[f"model_{t}"] = fit_regressor(ft, t, **overrides)
         out[f"qmodel_{t}"], out[f"qtable_{t}"] = fit_quantile_tree(ft, t)
     return out
 
@@ -150,6 +161,13 @@ def batch_predict(req: DataFrame, models: dict, quantiles: bool = False) -> Data
     return f.select("request_id", "l_linenumber", ok.alias("success"), "reasons", *cols)
 
 
+def batch_outcomes(pred: DataFrame) -> DataFrame:
+    """Which requests were scored, and why not; the parts of M10 that do not hang on a model."""
+    return pred.select("request_id", "l_linenumber", "success", "reasons",
+                       F.col("predicted_transit_days").isNotNull().alias("has_transit"),
+                       F.col("predicted_cost_usd").isNotNull().alias("has_cost"))
+
+
 def predict_transit_only(pred: DataFrame) -> DataFrame:
     """Time-only projection of M10."""
     return pred.select("request_id", "l_linenumber", "success", "predicted_transit_days")
@@ -176,7 +194,7 @@ def lane_segments(s: DataFrame, k: int = 4, seeds: int = 10, base_seed: int = 42
         "origin_zone", "dest_zone", *LANE_FEATURES,
         *[((F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}")).alias(f"z_{c}") for c in LANE_FEATURES])
     z = VectorAssembler(inputCols=[f"z_{c}" for c in LANE_FEATURES], outputCol="features").transform(z)
-    z = z.persist(StorageLevel.MEMORY_AND_DISK)
+    z = materialize(z.coalesce(1))  # one row per pair of zones: ten fits scan one small file
     best = None
     for i in range(seeds):
         m = KMeans(k=k, seed=base_seed + i, featuresCol="features", predictionCol="raw_segment").fit(z)
@@ -201,20 +219,20 @@ def segment_summary(s: DataFrame) -> DataFrame:
 _FITTED: dict = {}
 
 
-def fitted_for(spark, sf_dir: str, max_iter: int = 20) -> dict:
-    """Artefacts trained once per (session, data folder, rounds) and reused by every scoring
-    query of that session: train once, score many."""
+def fitted_for(spark, sf_dir: str) -> dict:
+    """Artefacts trained once per (application, data folder) and reused by the scoring queries:
+    train once, score many.  They are models and written tables; nothing stays persisted."""
     from shiplens.sources import tables as tb
-    key = (id(spark), sf_dir.rstrip("/"), max_iter)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _FITTED:
+        _FITTED.clear()  # of an earlier session or folder
         s = tb.shipments(spark, sf_dir)
         ft = training_table(s)
-        _FITTED[key] = dict(fit_all(s, max_iter=max_iter, ft=ft), training_table=ft)
+        _FITTED[key] = dict(fit_all(s, ft=ft), training_table=ft)
     return _FITTED[key]
 
 
-def model_predictions_query(spark, sf_dir: str, quantiles: bool = False, max_iter: int = 20) -> DataFrame:
+def model_predictions_query(spark, sf_dir: str, quantiles: bool = False) -> DataFrame:
     """Score the requests of ``sf_dir`` with models trained on its shipments (M10 / M12 query)."""
     from shiplens.sources import tables as tb
-    return batch_predict(tb.requests(spark, sf_dir), fitted_for(spark, sf_dir, max_iter), quantiles)
-
+    return batch_predict(tb.requests(spark, sf_dir), fitted_for(spark, sf_dir), quantiles)

@@ -591,6 +591,24 @@ def _a6():
 FROM (SELECT request_id, l_linenumber, {_reasons_sql()} AS reasons FROM requests) v"""
 
 
+@oracle("batch_summary")
+def _m10_summary():
+    return f"""SELECT CAST(count(*) AS BIGINT) AS count, CAST(sum(CASE WHEN reasons = '' THEN 1 ELSE 0 END) AS BIGINT) AS successful_count
+FROM (SELECT {_reasons_sql()} AS reasons FROM requests) v"""
+
+
+@oracle("batch_outcomes")
+def _m10_outcomes():
+    return f"""SELECT request_id, l_linenumber, reasons = '' AS success, reasons, reasons = '' AS has_transit, reasons = '' AS has_cost
+FROM (SELECT request_id, l_linenumber, {_reasons_sql()} AS reasons FROM requests) v"""
+
+
+@oracle("rejected_requests")
+def _a6_rejected():
+    return f"""SELECT request_id, l_linenumber, reasons
+FROM (SELECT request_id, l_linenumber, {_reasons_sql()} AS reasons FROM requests) v WHERE reasons <> ''"""
+
+
 @oracle("drop_missing_targets")
 def _a7():
     return """SELECT l_orderkey, l_linenumber, ship_date, carrier, service_level, dest_zone, transit_time_raw, shipping_cost_raw
@@ -880,16 +898,19 @@ FROM ks CROSS JOIN gm WINDOW w AS ({MED_WINDOW})"""
 def _m4():
     return f"""WITH {GLOBAL_MED},
 u AS (SELECT CAST(origin_zone AS VARCHAR) || '->' || CAST(dest_zone AS VARCHAR) AS route, ship_date, {T} AS ht, {C} AS hc,
-             CAST(NULL AS BIGINT) AS request_id, CAST(NULL AS INT) AS l_linenumber, FALSE AS is_req FROM shipments
+             CAST(NULL AS BIGINT) AS request_id, CAST(NULL AS INT) AS l_linenumber, FALSE AS is_req, '' AS reason FROM shipments
       UNION ALL
-      SELECT CAST(zone AS VARCHAR) || '->' || CAST(zone AS VARCHAR), ship_date, NULL, NULL, request_id, l_linenumber, TRUE
-      FROM requests WHERE ship_date IS NOT NULL AND zone BETWEEN 1 AND 9),
-m AS (SELECT request_id, l_linenumber, route, ship_date, is_req, {q('ht', 0.5)} OVER w AS mt, {q('hc', 0.5)} OVER w AS mc
+      SELECT CAST(zone AS VARCHAR) || '->' || CAST(zone AS VARCHAR), coalesce(ship_date, DATE '2024-06-30'), NULL, NULL,
+        request_id, l_linenumber, TRUE, concat_ws(';', CASE WHEN ship_date IS NULL THEN 'missing:ship_date' END,
+          CASE WHEN zone IS NULL OR zone NOT BETWEEN 1 AND 9 THEN 'range:zone' END)
+      FROM requests),
+m AS (SELECT request_id, l_linenumber, route, ship_date, is_req, reason, {q('ht', 0.5)} OVER w AS mt, {q('hc', 0.5)} OVER w AS mc
       FROM u WINDOW w AS ({MED_WINDOW}))
-SELECT request_id, l_linenumber, route, ship_date, {r('coalesce(mt, gm.gt)')} AS route_30d_median_time,
+SELECT request_id, l_linenumber, route, ship_date, reason, {r('coalesce(mt, gm.gt)')} AS route_30d_median_time,
  {r('coalesce(mc, gm.gc)')} AS route_30d_median_cost FROM m CROSS JOIN gm WHERE is_req"""
 
 
+# fixed values: the model's features, in order (stated here by themselves: the oracle checks the operators)
 TIME_F = ["dow_sin", "dow_cos", "month_sin", "month_cos", "package_weight_lbs", "package_volume",
           "dimensional_weight", "billable_weight", "weight_to_volume_ratio", "route_30d_median_time",
           "route_te_time", "origin_zone_te_time", "dest_zone_te_time", "carrier_te_time",

@@ -80,6 +80,7 @@ register("top_zip_routes", tb.lanes)(rp.top_zip_routes)
 from shiplens.operators import quality as qa  # noqa: E402
 
 register("request_validation", tb.requests)(qa.request_validation)
+register("rejected_requests", tb.requests)(lambda r: qa.split_valid(r)[1].select("request_id", "l_linenumber", "reasons"))
 register("drop_missing_targets", tb.shipments_raw)(qa.drop_missing_targets)
 register("dataset_profile", tb.shipments_raw)(qa.dataset_profile)
 register("describe_targets", tb.shipments_raw)(qa.describe_targets)
@@ -124,10 +125,8 @@ register("stream_score", tb.requests)(sj.score_requests)
 # models (rows-only checks, except the route-median baseline)
 from shiplens.operators import models as mo  # noqa: E402
 
-QUERY_MAX_ITER = 20  # boosting rounds for the registered model queries
-
 register("baseline_eval")(mo.baseline_eval)
-register_raw("model_eval")(lambda spark, d: mo.evaluate(mo.fitted_for(spark, d, QUERY_MAX_ITER)))
+register_raw("model_eval")(lambda spark, d: mo.evaluate(mo.fitted_for(spark, d)))
 register("lane_segments")(mo.lane_segments)
 register("segment_summary")(mo.segment_summary)
 
@@ -135,23 +134,23 @@ register("segment_summary")(mo.segment_summary)
 @register_raw("train_time_model")
 def _train_time(spark, d):
     """M7: time regressor fitted on the train split; predictions for every row."""
-    f = mo.fitted_for(spark, d, QUERY_MAX_ITER)
-    return f["model_time"].transform(f["training_table"]).select(
+    ft = mo.training_table(tb.shipments(spark, d))
+    return mo.fit_regressor(ft, "time").transform(ft).select(
         "l_orderkey", "l_linenumber", "split", "transit_time_days", "pred_time")
 
 
 @register_raw("train_cost_model")
 def _train_cost(spark, d):
     """M7: cost regressor fitted on the train split; predictions for every row."""
-    f = mo.fitted_for(spark, d, QUERY_MAX_ITER)
-    return f["model_cost"].transform(f["training_table"]).select(
+    ft = mo.training_table(tb.shipments(spark, d))
+    return mo.fit_regressor(ft, "cost").transform(ft).select(
         "l_orderkey", "l_linenumber", "split", "shipping_cost_usd", "pred_cost")
 
 
 @register_raw("quantile_predictions")
 def _quantiles(spark, d):
     """M8: leaf-quantile q10/q50/q90 of both targets for the validation rows."""
-    f = mo.fitted_for(spark, d, QUERY_MAX_ITER)
+    f = mo.fitted_for(spark, d)
     out = f["training_table"].where("is_valid")
     for t in ("time", "cost"):
         out = mo.quantile_predictions(out, f[f"qmodel_{t}"], f[f"qtable_{t}"], t)
@@ -159,11 +158,12 @@ def _quantiles(spark, d):
                                                       for q in mo.QUANTILES])
 
 
-register_raw("batch_predict")(lambda spark, d: mo.model_predictions_query(spark, d, False, QUERY_MAX_ITER))
-register_raw("predict_with_quantiles")(lambda spark, d: mo.model_predictions_query(spark, d, True, QUERY_MAX_ITER))
+register_raw("batch_predict")(lambda spark, d: mo.model_predictions_query(spark, d))
+register_raw("predict_with_quantiles")(lambda spark, d: mo.model_predictions_query(spark, d, True))
 register_raw("predict_transit_only")(
-    lambda spark, d: mo.predict_transit_only(mo.model_predictions_query(spark, d, False, QUERY_MAX_ITER)))
+    lambda spark, d: mo.predict_transit_only(mo.model_predictions_query(spark, d)))
 register_raw("predict_cost_only")(
-    lambda spark, d: mo.predict_cost_only(mo.model_predictions_query(spark, d, False, QUERY_MAX_ITER)))
+    lambda spark, d: mo.predict_cost_only(mo.model_predictions_query(spark, d)))
+register_raw("batch_outcomes")(lambda spark, d: mo.batch_outcomes(mo.model_predictions_query(spark, d)))
 register_raw("batch_summary")(
-    lambda spark, d: mo.batch_summary(mo.model_predictions_query(spark, d, False, QUERY_MAX_ITER)))
+    lambda spark, d: mo.batch_summary(mo.model_predictions_query(spark, d)))

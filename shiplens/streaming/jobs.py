@@ -3,13 +3,17 @@
 The same transformation functions run on a static DataFrame (batch twin, the
 oracle-checked query) and on a streaming one (``readStream`` file source):
 
-* S1 daily prediction counts: watermark 30 days, tumbling 1-day windows;
+* S1 daily prediction counts: watermark 30 days, tumbling 1-day windows, update mode,
+  the changed days upserted into a durable table; late rows are counted;
 * S2 response-time stats: ``foreachBatch`` keeping a <= 1000-row tail table;
 * S3 stream scoring: requests validated and scored, appended to a sink;
-* S4 incremental service summary: mergeable streaming aggregates, update mode.
+* S4 incremental service summary: mergeable streaming aggregates, update mode, upserted
+  into a durable table.
 
-State and tails live under the query's checkpoint location (shared storage),
-so a restarted query resumes exactly where it stopped.
+State and tables live on shared storage.  The small tables are written as one folder
+per micro-batch (a replayed batch overwrites its own), and folders older than the one
+before the latest are deleted, so a restarted query resumes exactly where it stopped
+and nothing piles up.
 """
 
 from __future__ import annotations
@@ -37,9 +41,7 @@ def js_round(c) -> F.Column:
 def daily_prediction_counts(ev: DataFrame, keep_days: int = KEEP_DAYS) -> DataFrame:
     """Successful predictions per UTC day for the last ``keep_days`` days before the latest day."""
     d = ev.where("success").groupBy(F.to_date("ts").alias("day")).agg(cnt().alias("n"))
-    last = d.agg(F.max("day").alias("_last"))
-    return d.crossJoin(F.broadcast(last)).where(
-        F.col("day") >= F.date_sub(F.col("_last"), keep_days)).select("day", "n")
+    return _last_days(d, keep_days)
 
 
 def prediction_stats(ev: DataFrame, keep_days: int = KEEP_DAYS) -> DataFrame:
@@ -105,21 +107,79 @@ def _ckpt(spark: SparkSession, name: str, base: str | None) -> str:
     return os.path.join(root, "streams", name)
 
 
-def start_daily_counts(spark: SparkSession, sf_dir: str, sink_table: str, base: str | None = None,
-                       available_now: bool = True):
-    """S1 stream: success events -> 1-day tumbling windows, watermark 30 days, update mode
-    into an in-memory table (one row per kept day)."""
-    ev = tb.prediction_events(spark, sf_dir, tb.stream_table(spark, sf_dir, "events"))
+def _fs(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _epochs(spark: SparkSession, folder: str) -> list[int]:
+    """Completed epochs below ``folder`` (a listing; no data is read)."""
+    path, fs = _fs(spark, folder)
+    if not fs.exists(path):
+        return []
+    names = [x.getPath().getName() for x in fs.listStatus(path)]
+    return sorted(int(n[6:]) for n in names if n.startswith("epoch=")
+                  and fs.exists(_fs(spark, f"{folder}/{n}/_SUCCESS")[0]))
+
+
+def _read_epoch(spark: SparkSession, folder: str, below: int | None = None) -> DataFrame | None:
+    """The latest completed epoch (before ``below``), or None."""
+    have = [e for e in _epochs(spark, folder) if below is None or e < below]
+    return spark.read.parquet(f"{folder}/epoch={have[-1]}") if have else None
+
+
+def _write_epoch(df: DataFrame, folder: str, epoch: int) -> None:
+    """Write an epoch, then delete all but it and its predecessor (which a replay reads)."""
+    df.write.mode("overwrite").parquet(f"{folder}/epoch={epoch}")
+    for e in [e for e in _epochs(df.sparkSession, folder) if e < epoch][:-1]:
+        path, fs = _fs(df.sparkSession, f"{folder}/epoch={e}")
+        fs.delete(path, True)
+
+
+def _upsert(folder: str, key: str, keep=lambda df: df):
+    """foreachBatch function: rows of a batch replace those of the same key in a small table."""
+    def merge(batch: DataFrame, epoch: int):
+        prev = _read_epoch(batch.sparkSession, folder, below=epoch)
+        both = batch if prev is None else batch.unionByName(prev.join(batch.select(key), key, "left_anti"))
+        _write_epoch(keep(both), folder, epoch)
+    return merge
+
+
+def _last_days(d: DataFrame, keep_days: int = KEEP_DAYS) -> DataFrame:
+    last = d.agg(F.max("day").alias("_last"))
+    return d.crossJoin(F.broadcast(last)).where(F.col("day") >= F.date_sub(F.col("_last"), keep_days)).select("day", "n")
+
+
+def start_daily_counts(spark: SparkSession, sf_dir: str, out_dir: str, base: str | None = None,
+                       available_now: bool = True, events: DataFrame | None = None):
+    """S1 stream: success events -> 1-day tumbling windows, watermark 30 days, update mode; each
+    batch upserts its changed days below ``out_dir`` (the last 30 days stay)."""
+    ev = tb.prediction_events(spark, sf_dir, events if events is not None else tb.stream_table(spark, sf_dir, "events"))
     # event time must be a session-zone TIMESTAMP for the watermark (the files hold NTZ; zone is UTC)
     ev = ev.withColumn("ts", F.col("ts").cast("timestamp"))
     agg = (ev.where("success").withWatermark("ts", f"{KEEP_DAYS} days")
            .groupBy(F.window("ts", "1 day").alias("w")).agg(cnt().alias("n"))
            .select(F.to_date(F.col("w.start")).alias("day"), "n"))
-    w = (agg.writeStream.outputMode("complete").format("memory").queryName(sink_table)
-         .option("checkpointLocation", _ckpt(spark, sink_table, base)))
+    w = (agg.writeStream.outputMode("update").foreachBatch(_upsert(out_dir, "day", _last_days))
+         .option("checkpointLocation", _ckpt(spark, "daily_counts", base)))
     return (w.trigger(availableNow=True) if available_now else w).start()
 
 
+def read_daily_counts(spark: SparkSession, out_dir: str) -> DataFrame:
+    """S1 result of the latest completed micro-batch."""
+    return _read_epoch(spark, out_dir)
+
+
+def late_rows(query) -> int:
+    """Spark's count of rows dropped because they came after the watermark; 0 means none.
+
+    Rows are summed per task and day before the state operators drop them, and each state
+    operator of the plan counts for itself, so it tells that and where rows were late, not
+    their exact number."""
+    return sum(op.numRowsDroppedByWatermark if hasattr(op, "numRowsDroppedByWatermark") else op["numRowsDroppedByWatermark"]
+               for p in query.recentProgress for op in (p.stateOperators if hasattr(p, "stateOperators") else p["stateOperators"]))
+
+
 def start_response_tail(spark: SparkSession, sf_dir: str, tail_dir: str, base: str | None = None,
                         tail: int = TAIL, available_now: bool = True):
     """S2 stream: each micro-batch merges its rows into a <= ``tail``-row table of the most
@@ -127,44 +187,25 @@ def start_response_tail(spark: SparkSession, sf_dir: str, tail_dir: str, base: s
     ev = tb.prediction_events(spark, sf_dir, tb.stream_table(spark, sf_dir, "events"))
 
     def merge(batch: DataFrame, epoch: int):
-        # epoch-versioned outputs: a replayed epoch overwrites its own folder (idempotent)
         sp = batch.sparkSession
-        prev_epoch = _latest_epoch(sp, tail_dir, below=epoch)
-        rows = batch.select("request_id", "ts", "response_ms")
-        if prev_epoch is None:
-            both = rows
-            tot_df = batch.agg(cnt().alias("total"))
-        else:
-            prev = sp.read.parquet(f"{tail_dir}/tail/epoch={prev_epoch}")
-            both = prev.unionByName(rows)
-            tot_df = sp.read.parquet(f"{tail_dir}/total/epoch={prev_epoch}").crossJoin(
-                batch.agg(cnt().alias("_n"))).select((F.col("total") + F.col("_n")).alias("total"))
+        rows, total = batch.select("request_id", "ts", "response_ms"), batch.agg(cnt().alias("total"))
+        prev, before = (_read_epoch(sp, f"{tail_dir}/{x}", below=epoch) for x in ("tail", "total"))
+        if prev is not None:
+            rows = prev.unionByName(rows)
+        if before is not None:
+            total = total.unionByName(before).agg(F.sum("total").alias("total"))
         # top-k merge: at most ``tail`` rows survive, computed per task then merged
-        both.orderBy(F.col("ts").desc(), F.col("request_id").desc()).limit(tail) \
-            .write.mode("overwrite").parquet(f"{tail_dir}/tail/epoch={epoch}")
-        tot_df.write.mode("overwrite").parquet(f"{tail_dir}/total/epoch={epoch}")
+        _write_epoch(rows.orderBy(F.col("ts").desc(), F.col("request_id").desc()).limit(tail), f"{tail_dir}/tail", epoch)
+        _write_epoch(total, f"{tail_dir}/total", epoch)
 
     w = ev.writeStream.foreachBatch(merge).option("checkpointLocation", _ckpt(spark, "response_tail", base))
     return (w.trigger(availableNow=True) if available_now else w).start()
 
 
-def _latest_epoch(spark: SparkSession, tail_dir: str, below: int | None = None):
-    from pyspark.errors import AnalysisException
-    try:
-        t = spark.read.parquet(f"{tail_dir}/total")
-    except AnalysisException:
-        return None
-    if below is not None:
-        t = t.where(F.col("epoch") < below)
-    return t.agg(F.max("epoch")).first()[0]
-
-
 def read_response_stats(spark: SparkSession, tail_dir: str) -> DataFrame:
     """S2 result of the latest completed micro-batch."""
-    e = _latest_epoch(spark, tail_dir)
-    last = spark.read.parquet(f"{tail_dir}/tail/epoch={e}")
-    total = spark.read.parquet(f"{tail_dir}/total/epoch={e}").select(F.col("total").alias("total_requests"))
-    return _tail_stats(last, total)
+    total = _read_epoch(spark, f"{tail_dir}/total").select(F.col("total").alias("total_requests"))
+    return _tail_stats(_read_epoch(spark, f"{tail_dir}/tail"), total)
 
 
 def start_stream_score(spark: SparkSession, sf_dir: str, out_dir: str, base: str | None = None,
@@ -177,11 +218,17 @@ def start_stream_score(spark: SparkSession, sf_dir: str, out_dir: str, base: str
     return (w.trigger(availableNow=True) if available_now else w).start()
 
 
-def start_service_summary(spark: SparkSession, sf_dir: str, sink_table: str, base: str | None = None,
+def start_service_summary(spark: SparkSession, sf_dir: str, out_dir: str, base: str | None = None,
                           available_now: bool = True):
     """S4 stream: lineitem arrivals joined to the static dimensions, per-service running
-    count/mean/std (state = mergeable aggregation buffers), complete output."""
+    count/mean/std (state = mergeable aggregation buffers), update mode; each batch
+    upserts the services it changed below ``out_dir``."""
     s = tb.shipments(spark, sf_dir, tb.stream_table(spark, sf_dir, "lineitem"))
-    w = (stream_service_summary(s).writeStream.outputMode("complete").format("memory").queryName(sink_table)
-         .option("checkpointLocation", _ckpt(spark, sink_table, base)))
+    w = (stream_service_summary(s).writeStream.outputMode("update").foreachBatch(_upsert(out_dir, "service_level"))
+         .option("checkpointLocation", _ckpt(spark, "service_summary", base)))
     return (w.trigger(availableNow=True) if available_now else w).start()
+
+
+def read_service_summary(spark: SparkSession, out_dir: str) -> DataFrame:
+    """S4 result of the latest completed micro-batch."""
+    return _read_epoch(spark, out_dir)

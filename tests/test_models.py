@@ -11,7 +11,8 @@ from shiplens.sources import tables as tb
 @pytest.fixture(scope="module")
 def fitted(spark, sf_dir):
     s = tb.shipments(spark, sf_dir)
-    return s, mo.fit_all(s, max_iter=8)
+    ft = mo.training_table(s)
+    return s, dict(mo.fit_all(s, ft=ft, maxIter=20, minInstancesPerNode=20), training_table=ft)
 
 
 def test_quantiles_monotone_and_cover(spark, sf_dir, fitted):
@@ -22,14 +23,25 @@ def test_quantiles_monotone_and_cover(spark, sf_dir, fitted):
     assert pred.count() > 0
 
 
-def test_model_beats_or_matches_baseline_order_of_magnitude(spark, sf_dir):
-    s = tb.shipments(spark, sf_dir)
-    ev = {(r["target"], r["model"]): r for r in mo.model_eval(s, max_iter=8).collect()}
+def test_boosting_beats_the_route_median(fitted):
+    """Many trees, and a validation error below the route-median baseline."""
+    s, models = fitted
+    ev = {(r["target"], r["model"]): r for r in mo.evaluate(models).collect()}
     base = {r["target"]: r for r in mo.baseline_eval(s).collect()}
+    assert set(ev) == {(t, m) for t in ("time", "cost") for m in ("point", "q10", "q50", "q90")}
     for t in ("time", "cost"):
-        assert ev[(t, "point")]["mae"] < 3 * base[t]["mae"]
-        cov10, cov90 = ev[(t, "q10")]["coverage"], ev[(t, "q90")]["coverage"]
-        assert cov10 < cov90
+        assert models[f"model_{t}"].stages[-1].getNumTrees > 5
+        assert ev[(t, "point")]["mae"] < 0.9 * base[t]["mae"]
+        assert ev[(t, "q10")]["coverage"] < ev[(t, "q90")]["coverage"]
+
+
+def test_best_prefix_is_kept(fitted):
+    _, models = fitted
+    ft = models["training_table"]
+    m = models["model_time"].stages[-1]
+    x = models["model_time"].stages[0].transform(ft.where("is_valid"))
+    errors = m.evaluateEachIteration(x, "absolute")
+    assert errors[-1] == min(errors)
 
 
 def test_save_load_same_predictions(spark, sf_dir, fitted, tmp_dir):

@@ -7,10 +7,9 @@ Scale notes
   successively finer keys (day -> order-key block -> order key -> row), each
   level a small aggregate with a cumulative sum over at most a few thousand
   rows; only the rows of one order key are ever ranked together.
-* M3/M4 (trailing 30-day route median, same day excluded): the window is
-  partitioned by (route, 30-day block); every row is also copied, as history
-  only, into the next block, so a partition holds at most 60 days of one
-  route whatever the history length.
+* M3/M4 (trailing 30-day route median, same day excluded): counts per (route,
+  day, value bucket) are summed over the trailing days and name the bucket of the
+  middle ranks; exact values are read only there.
 * Encodings (M2/M5) are one aggregate over all encoded columns at once
   (unpivoted), then joined back; the encoding table has one row per category.
 """
@@ -24,7 +23,7 @@ from pyspark.sql import functions as F
 
 from shiplens.functions import refdata as rd
 from shiplens.functions import scalars as sc
-from shiplens.functions.quantiles import percentiles, percentiles_multi
+from shiplens.functions.quantiles import percentiles_multi
 from shiplens.functions.stats import COST, TIME, cnt, exact_avg, r6
 from shiplens.operators.rules import AS_OF_DATE
 from shiplens.session import materialize, materialize_small
@@ -207,69 +206,77 @@ def _epoch_day(d) -> Column:
     return F.datediff(d, F.lit("1970-01-01").cast("date"))
 
 
-def _array_median(values: Column) -> Column:
-    """Median (linear interpolation) of an array of values; NULL when empty."""
-    arr = F.array_sort(values)
-    n = F.size(arr)
-    h = (n - 1).cast("double") * F.lit(5e-1)
-    lo = F.element_at(arr, (F.floor(h) + 1).cast("int"))
-    hi = F.element_at(arr, (F.ceil(h) + 1).cast("int"))
-    d = h - F.floor(h)
-    return F.when(n > 0, lo * (F.lit(1e0) - d) + hi * d)
-
-
-# Largest (route, 30-day block) the window path takes; above it the exploded path runs.
-WINDOW_ROWS_LIMIT = 2_000_000
+# value buckets of a route: a frame's median is read from one or two of them
+MEDIAN_BUCKETS = 32
 
 
 def rolling_route_medians(targets: DataFrame, history: DataFrame | None = None, route_col: str = "route",
-                          days: int = WINDOW_DAYS, method: str = "auto") -> DataFrame:
+                          days: int = WINDOW_DAYS, buckets: int = MEDIAN_BUCKETS) -> DataFrame:
     """Add the trailing ``days``-day median of history time / cost on the same route,
     excluding the target's own day (NULL when there is no history), to every target row.
 
     ``history`` = None means the targets are their own history (they then carry the
-    time / cost columns).  All rows of one (route, day) share the same frame, so the
-    window runs on the distinct (route, day) targets only, next to the history rows;
-    the medians are equi-joined back on (route, ship_date).
+    time / cost columns).  All rows of one (route, day) share the same frame, so medians are
+    taken per distinct (route, day) and equi-joined back.  One path at every size:
+
+    1. a sketch per route cuts its values into buckets (any cut gives the same result);
+    2. rows are counted per (route, day, bucket), one row a day, and the counts are summed
+       over the trailing days: a window over calendar days, not over history rows;
+    3. the summed counts name the bucket of each middle rank and the rank inside it;
+    4. only that bucket's values in the frame are read and ranked.
     """
     hist = targets if history is None else history
-    blk = F.floor(_epoch_day(F.col("ship_date")) / F.lit(days)).cast("long")
-    if method == "auto":
-        largest = hist.groupBy(route_col, blk.alias("_b")).agg(F.count(F.lit(1)).alias("_n")).agg(
-            F.max("_n")).first()[0]
-        method = "window" if (largest or 0) <= WINDOW_ROWS_LIMIT else "exploded"
-    if method == "exploded":
-        return _exploded_route_medians(targets, hist, route_col, days)
-    tdays = targets.select(route_col, "ship_date").distinct().select(
-        route_col, "ship_date", F.lit(True).alias("_is_t"), F.lit(None).cast("double").alias("_ht"),
-        F.lit(None).cast("double").alias("_hc"), blk.alias("_blk"))
-    h = hist.select(route_col, "ship_date", F.lit(False).alias("_is_t"), F.col(TIME).cast("double").alias("_ht"),
-                    F.col(COST).cast("double").alias("_hc"), blk.alias("_blk"))
-    # history rows once more as history of the next block: a partition spans <= 2 blocks
-    u = tdays.unionByName(h).unionByName(h.withColumn("_blk", F.col("_blk") + 1))
-    u = u.withColumn("_day", _epoch_day(F.col("ship_date")))
-    w = Window.partitionBy(route_col, "_blk").orderBy("_day").rangeBetween(-days, -1)
-    # frames are collected for every row of the window, but sorted only for the targets
-    fr = u.select(route_col, "ship_date", "_is_t", F.collect_list("_ht").over(w).alias("_at"),
-                  F.collect_list("_hc").over(w).alias("_ac")).where("_is_t")
-    med = fr.select(route_col, "ship_date", _array_median(F.col("_at")).alias("route_30d_median_time"),
-                    _array_median(F.col("_ac")).alias("route_30d_median_cost"))
+    km = ["_r", "_m"]
+    long = hist.where(F.col(route_col).isNotNull() & F.col("ship_date").isNotNull()).select(
+        F.col(route_col).alias("_r"), _epoch_day(F.col("ship_date")).alias("_d"), F.explode(F.array(
+            F.struct(F.lit("time").alias("m"), F.col(TIME).cast("double").alias("x")),
+            F.struct(F.lit("cost").alias("m"), F.col(COST).cast("double").alias("x")))).alias("_v")) \
+        .select("_r", "_d", F.col("_v.m").alias("_m"), F.col("_v.x").alias("_x")).where(F.col("_x").isNotNull())
+    cuts = long.groupBy(*km).agg(F.percentile_approx("_x", [i / buckets for i in range(1, buckets)], 1000).alias("_cuts"))
+    binned = materialize(long.join(cuts, km).withColumn(
+        "_b", F.size(F.filter("_cuts", lambda c: c < F.col("_x")))).drop("_cuts"))
+
+    names = [f"_c{i}" for i in range(buckets)]
+    daily = binned.groupBy(*km, "_d").agg(*[F.sum((F.col("_b") == i).cast("long")).alias(n) for i, n in enumerate(names)])
+    wanted = targets.where(F.col(route_col).isNotNull() & F.col("ship_date").isNotNull()).select(
+        F.col(route_col).alias("_r"), _epoch_day(F.col("ship_date")).alias("_d")).distinct() \
+        .withColumn("_m", F.explode(F.array(F.lit("time"), F.lit("cost"))))
+    cal = daily.withColumn("_t", F.lit(False)).unionByName(wanted.select(
+        "*", F.lit(True).alias("_t"), *[F.lit(0).cast("long").alias(n) for n in names]))
+    frame = Window.partitionBy(*km).orderBy("_d").rangeBetween(-days, -1)
+    sums = cal.select(*km, "_d", "_t", F.array(*[F.coalesce(F.sum(n).over(frame), F.lit(0)) for n in names]).alias("_s")).where("_t")
+    sums = sums.withColumn("_n", F.aggregate("_s", F.lit(0).cast("long"), lambda a, x: a + x)).where("_n > 0") \
+        .withColumn("_h", (F.col("_n") - 1).cast("double") * F.lit(5e-1))
+
+    def place(pos):
+        """(bucket, rank inside it) of a rank: walk the counts until they pass it."""
+        start = F.struct(F.lit(0).alias("b"), F.lit(0).cast("long").alias("cum"), F.lit(False).alias("done"))
+        end = F.aggregate("_s", start, lambda a, x: F.when(
+            a["done"] | (a["cum"] + x > pos), F.struct(a["b"].alias("b"), a["cum"].alias("cum"), F.lit(True).alias("done")))
+            .otherwise(F.struct((a["b"] + 1).alias("b"), (a["cum"] + x).alias("cum"), F.lit(False).alias("done"))))
+        return end
+    lo, hi = F.floor("_h"), F.ceil("_h")
+    ranks = sums.select(*km, F.col("_d").alias("_td"), "_h", F.explode(F.array(*[
+        F.struct(F.lit(k).alias("hi"), place(p).alias("at"), p.alias("pos")) for k, p in ((0, lo), (1, hi))])).alias("_p")) \
+        .groupBy(*km, "_td", "_h", F.col("_p.at.b").alias("_b")).agg(F.collect_list(F.struct(  # one or two ranks
+            F.col("_p.hi").alias("hi"), (F.col("_p.pos") - F.col("_p.at.cum")).alias("pos"))).alias("_want")) \
+        .withColumn("_blk", F.floor(F.col("_td") / days))
+    # a day's values serve targets of its own block of days and of the next
+    values = binned.withColumn("_blk", F.explode(F.array(F.floor(F.col("_d") / days), F.floor(F.col("_d") / days) + 1)))
+    near = values.join(ranks, [*km, "_b", "_blk"]).where((F.col("_td") - F.col("_d")).between(1, days))
+    w = Window.partitionBy(*km, "_td", "_b").orderBy("_x")
+    hits = near.withColumn("_rank", F.row_number().over(w) - 1).select(*km, "_td", "_h", "_x", F.explode(
+        F.filter("_want", lambda t: t["pos"] == F.col("_rank"))).alias("_t"))
+    mid = hits.groupBy(*km, "_td", "_h").agg(*[F.max(F.when(F.col("_t.hi") == k, F.col("_x"))).alias(n) for k, n in ((0, "_xl"), (1, "_xh"))])
+    part = F.col("_h") - F.floor("_h")
+    mid = mid.withColumn("_med", F.col("_xl") * (F.lit(1e0) - part) + F.col("_xh") * part)
+    med = mid.groupBy("_r", "_td").agg(*[F.max(F.when(F.col("_m") == t, F.col("_med"))).alias(f"route_30d_median_{t}")
+                                         for t in ("time", "cost")])
+    med = med.select(F.col("_r").alias(route_col), F.date_add(F.lit("1970-01-01").cast("date"), F.col("_td").cast("int")).alias("ship_date"),
+                     "route_30d_median_time", "route_30d_median_cost")
     return targets.join(med, [route_col, "ship_date"], "left")
 
 
-def _exploded_route_medians(targets: DataFrame, hist: DataFrame, route_col: str, days: int) -> DataFrame:
-    """Hot-route path: each history row is copied to the <= ``days`` target days it serves
-    (d+1 .. d+days, only days that have targets), then exact per-(route, day) medians by
-    the size-checked percentile helper (bracketed for huge groups)."""
-    tdays = targets.select(route_col, F.col("ship_date").alias("_td")).distinct()
-    ex = hist.select(route_col, F.explode(F.sequence(F.date_add("ship_date", 1), F.date_add("ship_date", days)))
-                     .alias("_td"), TIME, COST)
-    ex = ex.join(tdays, [route_col, "_td"], "left_semi")
-    med = percentiles_multi(ex, [route_col, "_td"], [(TIME, [0.5], ["route_30d_median_time"]),
-                                                     (COST, [0.5], ["route_30d_median_cost"])])
-    return targets.join(med.withColumnRenamed("_td", "ship_date"), [route_col, "ship_date"], "left")
-
-
 def _global_medians(s: DataFrame) -> DataFrame:
     return percentiles_multi(s, [], [(TIME, [0.5], ["_gt"]), (COST, [0.5], ["_gc"])])
 

@@ -100,13 +100,23 @@ def test_time_split_boundary_day(spark):
     assert [k for k, v in sorted(out.items()) if v == "train"] == list(range(8))
 
 
-def test_rolling_median_paths_agree(spark):
+def test_rolling_median_equals_brute_force(spark):
+    """Ties, sparse days, a hot day, a missing value and different bucket counts."""
     import random
+    import statistics
     random.seed(3)
     d0 = dt.date(2024, 1, 1)
-    rows = [(d0 + dt.timedelta(days=random.randint(0, 90)), random.randint(1, 2), 2, "UPS", "X",
-             round(random.uniform(1, 9), 3), round(random.uniform(3, 30), 2)) for _ in range(400)]
+    rows = [(d0 + dt.timedelta(days=random.choice([5, random.randint(0, 120)])), random.randint(1, 2), 2, "UPS", "X",
+             round(random.uniform(1, 9), 1), None if i % 50 == 0 else round(random.uniform(3, 30), 2)) for i in range(500)]
     ks = fe.with_keys(_ship(spark, rows)).select("route", "ship_date", "transit_time_days", "shipping_cost_usd")
-    a = sorted(tuple(r) for r in fe.rolling_route_medians(ks, method="window").collect())
-    b = sorted(tuple(r) for r in fe.rolling_route_medians(ks, method="exploded").collect())
-    assert len(a) == 400 and a == b
+    flat = [tuple(r) for r in ks.collect()]
+    want = []
+    for route, day, t, c in flat:
+        near = [r for r in flat if r[0] == route and 1 <= (day - r[1]).days <= 30]
+        mid = [statistics.median(v) if v else None for v in ([r[k] for r in near if r[k] is not None] for k in (2, 3))]
+        want.append((route, day, t, c, *mid))
+    key = lambda r: tuple((x is not None, x) for x in r)
+    for buckets in (32, 3):
+        got = fe.rolling_route_medians(ks, buckets=buckets).select(
+            "route", "ship_date", "transit_time_days", "shipping_cost_usd", "route_30d_median_time", "route_30d_median_cost").collect()
+        assert [tuple(r) for r in sorted(got, key=key)] == sorted(want, key=key)

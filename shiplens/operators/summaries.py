@@ -7,14 +7,15 @@ task); medians come from :func:`shiplens.functions.quantiles.percentiles`.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiplens.functions.quantiles import null_safe_join, percentiles, percentiles_multi
 from shiplens.functions.stats import COST, TIME, cnt, exact_avg, r6, sorted_list
-from shiplens.session import materialize
+from shiplens.session import checkpoint_dir, materialize
 
 CELL = ["carrier", "service_level", "dest_zone"]
 
@@ -113,6 +114,10 @@ def carrier_zone_percentile(s: DataFrame, percentile: float = 50, method: str =
 
 
 CUBE_PERCENTILES = (50, 70, 80, 85, 90, 95)
+CUBE_SCHEMA = ("carrier string, service_level string, zone int, percentile double, method string, total_shipments long, "
+               "records_in_percentile long, percentile_coverage double, percentile_threshold double, "
+               "avg_transit_time double, median_transit_time double, avg_cost double, median_cost double, "
+               "transit_time_std double, cost_std double")
 
 
 def percentile_cube(s: DataFrame) -> DataFrame:
@@ -121,6 +126,28 @@ def percentile_cube(s: DataFrame) -> DataFrame:
         "dest_zone", "zone")
 
 
+def write_percentile_cube(s: DataFrame, path: str) -> str:
+    """A12 sink: the cube, one folder per percentile and method, so that a report on one of
+    them reads that folder alone."""
+    percentile_cube(s).write.mode("overwrite").partitionBy("percentile", "method").parquet(path)
+    return path
+
+
+def read_percentile_cube(spark: SparkSession, path: str, percentile: float | None = None,
+                         method: str | None = None) -> DataFrame:
+    """A12 source: the stored cube, or the part for a percentile and method (pruned folders)."""
+    cube = spark.read.schema(CUBE_SCHEMA).parquet(path)
+    if percentile is not None:
+        cube = cube.where(F.col("percentile") == float(percentile))
+    return cube if method is None else cube.where(F.col("method") == method)
+
+
+def stored_percentile_cube(s: DataFrame) -> DataFrame:
+    """A12 query: the cube written to shared storage and read back."""
+    path = f"{checkpoint_dir(s.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    return read_percentile_cube(s.sparkSession, write_percentile_cube(s, path))
+
+
 def distribution_metadata(s: DataFrame) -> DataFrame:
     """Per service x zone x metric: mean, std, median, min, max, count."""
     long = s.select("service_level", F.col("dest_zone").alias("zone"), F.explode(F.array(

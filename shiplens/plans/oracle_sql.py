@@ -101,6 +101,9 @@ def _a12():
     return percentile_filtered_sql([50, 70, 80, 85, 90, 95], ["median", "mean"], True)
 
 
+ORACLE["stored_percentile_cube"] = ORACLE["percentile_cube"]
+
+
 @oracle("distribution_metadata")
 def _a13():
     return f"""SELECT service_level, zone, metric, {r(eavg('v'))} AS mean, {r('stddev_samp(v)')} AS std,
@@ -195,6 +198,11 @@ def _e14():
     return hist_sql(" AND service_level = 'STANDARD' AND dest_zone = 5", [], 30)
 
 
+@oracle("histogram_cost")
+def _e14_cost():
+    return hist_sql(" AND service_level = 'EXPRESS' AND dest_zone = 2", [], 12, C)
+
+
 @oracle("histogram_all_cells")
 def _e15():
     return hist_sql("", ["service_level", "zone"], 30)
@@ -216,18 +224,31 @@ SELECT h.zone, h.service_level, CAST(h.n AS BIGINT) AS n, {r('mean')} AS mean, {
 FROM h LEFT JOIN w ON h.zone = w.zone"""
 
 
-CARRIER_STATS = f"""SELECT dest_zone AS zone, service_level, carrier, count({T}) AS sample_size, {eavg(T)} AS mean,
-  {q(T, 0.5)} AS median, stddev_samp({T}) AS std, {q(T, 0.25)} AS q25, {q(T, 0.75)} AS q75,
-  {eavg(T)} - 2e0 * stddev_samp({T}) AS lower_2sigma, {eavg(T)} + 2e0 * stddev_samp({T}) AS upper_2sigma,
-  1e0 / (stddev_samp({T}) + 1e-1) AS reliability_score
-FROM shipments GROUP BY dest_zone, service_level, carrier HAVING count({T}) > 5"""
+def carrier_stats_sql(v: str, where: str = "") -> str:
+    return f"""SELECT dest_zone AS zone, service_level, carrier, count({v}) AS sample_size, {eavg(v)} AS mean,
+  {q(v, 0.5)} AS median, stddev_samp({v}) AS std, {q(v, 0.25)} AS q25, {q(v, 0.75)} AS q75,
+  {eavg(v)} - 2e0 * stddev_samp({v}) AS lower_2sigma, {eavg(v)} + 2e0 * stddev_samp({v}) AS upper_2sigma,
+  1e0 / (stddev_samp({v}) + 1e-1) AS reliability_score
+FROM shipments {where} GROUP BY dest_zone, service_level, carrier HAVING count({v}) > 5"""
 
 
-@oracle("compare_carriers")
-def _e9():
+CARRIER_STATS = carrier_stats_sql(T)
+
+
+def _compare_sql(stats: str) -> str:
     cols = ", ".join(f"{r(c)} AS {c}" for c in ("mean", "median", "std", "q25", "q75", "lower_2sigma",
                                                  "upper_2sigma", "reliability_score"))
-    return f"SELECT zone, service_level, carrier, CAST(sample_size AS BIGINT) AS sample_size, {cols} FROM ({CARRIER_STATS}) c"
+    return f"SELECT zone, service_level, carrier, CAST(sample_size AS BIGINT) AS sample_size, {cols} FROM ({stats}) c"
+
+
+@oracle("compare_carriers")
+def _e9():
+    return _compare_sql(CARRIER_STATS)
+
+
+@oracle("compare_carriers_cost_zones")
+def _e9_cost():
+    return _compare_sql(carrier_stats_sql(C, "WHERE dest_zone IN (2, 5, 7)"))
 
 
 CARRIER_WINNERS = f"""WITH c AS ({CARRIER_STATS}),

@@ -41,6 +41,7 @@ register("carrier_service_summary")(su.carrier_service_summary)
 register("carrier_zone_summary")(su.carrier_zone_summary)
 register("carrier_zone_percentile")(su.carrier_zone_percentile)
 register("percentile_cube")(su.percentile_cube)
+register("stored_percentile_cube")(su.stored_percentile_cube)
 register("distribution_metadata")(su.distribution_metadata)
 register("summary_rollup")(su.summary_rollup)
 
@@ -52,6 +53,7 @@ register("all_distributions")(di.all_distributions)
 register("jarque_bera")(di.jarque_bera)
 register("shapiro_wilk")(di.shapiro_wilk)
 register("histogram")(di.histogram)
+register("histogram_cost")(lambda s: di.histogram(s, "EXPRESS", 2, "shipping_cost", 12))
 register("histogram_all_cells")(di.histogram_all_cells)
 
 # comparisons and winners
@@ -59,6 +61,7 @@ from shiplens.operators import comparisons as co  # noqa: E402
 
 register("compare_services_2sigma")(co.compare_services_2sigma)
 register("compare_carriers")(co.compare_carriers)
+register("compare_carriers_cost_zones")(lambda s: co.compare_carriers(s, [2, 5, 7], "shipping_cost_usd"))
 register("carrier_winners")(co.carrier_winners)
 register("zone_overall_winners")(co.zone_overall_winners)
 register("carrier_win_tally")(co.carrier_win_tally)

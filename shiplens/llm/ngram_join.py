@@ -16,12 +16,14 @@ per document with the smallest ``doc_id`` that links lead to.
    whose nodes hold OR-combined token bitmaps and size ranges.  A dual traversal
    from the root against itself drops node pairs whose sizes are too far apart or
    whose largest possible overlap, popcount(OR_x & OR_y) plus the tokens that share a
-   bit, is below what the threshold needs.  The bitmaps (4 to 8 bits a token) are all
-   that moves to the chunk.  Only sets of pairs that survive the leaves are fetched in
-   full; a second tree of them, with one bit per token that two sets of the chunk hold,
-   counts overlaps exactly and decides the threshold.
-4. Links become components; a block of several chunks whose sets are not all in one
-   component yet gets its remaining chunk pairs (of compatible sizes) joined too.
+   bit, is below what the threshold needs.  The bitmaps (1 to 2 bits a token) are all
+   that moves to the chunk.  Pairs that survive the leaves form groups.
+4. *Exact trees.*  Only sets of such groups are fetched in full, once each.  A group is
+   dealt into chunks like a block; its trees have one bit per token that two sets of the
+   chunk hold, so a leaf pair's count is its exact overlap and decides the threshold.
+5. Links become components.  In steps 3 and 4 alike, a block of several chunks whose sets
+   are not all in one component yet gets its remaining chunk pairs (of compatible sizes)
+   joined too.
 
 Nothing is emitted per pair of a group: a chunk yields a spanning forest of its
 links.  Sets are compared by 64-bit shingle hashes; classes by 128-bit digests.
@@ -44,7 +46,7 @@ CHUNK = 256            # sets in one signature tree
 CHUNK_TOKENS = 1 << 21  # tokens in one signature tree, about (one set at least)
 FANOUT = 8             # children of a tree node
 CELLS = 1 << 22        # cells of the count table that finds frequent tokens
-SMALL = 250_000        # rows of a broadcast list of documents (8 MB)
+SMALL = 200_000        # rows of a broadcast list of documents (about 64 bytes each)
 HOT = 64               # a token whose cell is seen this often is ordered last
 
 
@@ -77,8 +79,11 @@ def digest(s: np.ndarray) -> tuple[int, int]:
 
 
 def bitmap(s: np.ndarray) -> np.ndarray:
-    """Hashed token bitmap of a set, 4 to 8 bits a token (a power of two, 64 at least)."""
-    width = max(64, 1 << (4 * len(s) - 1).bit_length())
+    """Hashed token bitmap of a set, 1 to 2 bits a token (a power of two, 64 at least).
+
+    At one bit a token unrelated sets of n tokens still differ in about 0.23 n bits.
+    """
+    width = max(64, 1 << (len(s) - 1).bit_length())
     out = np.zeros(width >> 6, dtype=np.uint64)
     at = ((s >> np.uint64(20)) & np.uint64(width - 1)).astype(np.int64)
     np.bitwise_or.at(out, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
@@ -160,7 +165,7 @@ def _prefixer(k: int, num: int, den: int, hot):
 
 
 def _setter(k: int):
-    """(node, tokens) of the rows whose text really is the class's (a doc_id may repeat)."""
+    """(unit, node, tokens) of the rows whose text really is the class's (a doc_id may repeat)."""
     def run(batches):
         for batch in batches:
             for part in tx.slices(batch, "text"):
@@ -172,9 +177,9 @@ def _setter(k: int):
                         out.append(s.view(np.int64))
                 flat = np.concatenate(out) if out else np.zeros(0, dtype=np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [tx.column(part, "node").take(pa.array(rows, pa.int64())),
+                    [tx.column(part, "unit").take(pa.array(rows, pa.int64())), tx.column(part, "node").take(pa.array(rows, pa.int64())),
                      tx.list_array(flat, np.array([len(x) for x in out], dtype=np.int64), pa.int64())],
-                    names=["node", "tokens"])
+                    names=["unit", "node", "tokens"])
     return run
 
 
@@ -258,23 +263,22 @@ def fold(m: np.ndarray, words: int) -> np.ndarray:
     return np.bitwise_or.reduce(m.reshape(-1, words), axis=0)
 
 
-def likely(sizes: np.ndarray, maps: list[np.ndarray], num: int, den: int) -> set[int]:
-    """Positions of the sets that have a possible partner.  Bitmaps are compared by width:
-    one tree for every width, of its sets and the next wider ones folded to it."""
+def likely(sizes: np.ndarray, maps: list[np.ndarray], num: int, den: int) -> np.ndarray:
+    """Pairs (positions) of sets that may link.  Bitmaps are compared by width: one tree for
+    every width, of its sets and the wider ones in reach folded to it."""
     width = np.array([len(m) for m in maps])
-    out: set[int] = set()
+    out = [np.zeros((0, 2), dtype=np.int64)]
     for w in np.unique(width).tolist():
         own = np.flatnonzero(width == w)
-        # sizes a partner of these can have (the narrowest width holds a wide range of sizes)
+        # wider sets that can be partners of these
         more = np.flatnonzero((width > w) & (num * sizes <= den * sizes[own].max()))
         at = np.concatenate([own, more])
         if len(at) < 2:
             continue
         tree = SignatureTree(np.stack([fold(maps[i], w) for i in at.tolist()]), sizes[at])
-        for i, j in tree.pairs(num, den).tolist():
-            if i < len(own) or j < len(own):
-                out.update((int(at[i]), int(at[j])))
-    return out
+        pairs = tree.pairs(num, den)
+        out.append(at[pairs[(pairs < len(own)).any(axis=1)]])
+    return np.concatenate(out)
 
 
 def forest(m: int, pairs: np.ndarray) -> list[tuple[int, int]]:
@@ -313,22 +317,25 @@ def _by_unit(batches, read, solve, out):
     yield out(answers)
 
 
+def _links_out(links):
+    return pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()),
+                                       pa.array([b for _, b in links], pa.int64())], names=["a", "b"])
+
+
 def _pruner(num: int, den: int):
-    """Rows (unit, node, n, bits) in order of unit -> (unit, node) of the sets that may link there."""
+    """Rows (unit, node, n, bits) in order of unit -> possible links (a, b), a spanning forest a unit."""
     def read(batch):
         n, bits = tx.column(batch, "n").to_pylist(), tx.column(batch, "bits")
         return lambda i: (n[i], np.frombuffer(bits[i].as_buffer(), np.uint64).copy())
 
     def solve(unit, nodes, values):
+        nodes, at = np.unique(np.array(nodes, dtype=np.int64), return_index=True)
         if len(nodes) < 2:
             return []
-        sizes = np.array([n for n, _ in values], dtype=np.int64)
-        return [(unit, nodes[i]) for i in sorted(likely(sizes, [m for _, m in values], num, den))]
-
-    def out(rows):
-        return pa.RecordBatch.from_arrays([pa.array([u for u, _ in rows], pa.string()),
-                                           pa.array([n for _, n in rows], pa.int64())], names=["unit", "node"])
-    return lambda batches: _by_unit(batches, read, solve, out)
+        sizes = np.array([values[i][0] for i in at], dtype=np.int64)
+        pairs = likely(sizes, [values[i][1] for i in at], num, den)
+        return [(int(nodes[i]), int(nodes[j])) for i, j in forest(len(nodes), pairs)]
+    return lambda batches: _by_unit(batches, read, solve, _links_out)
 
 
 def _joiner(num: int, den: int):
@@ -344,25 +351,49 @@ def _joiner(num: int, den: int):
             return []
         pairs = SignatureTree.of_sets([sets[i] for i in at]).pairs(num, den)
         return [(int(nodes[i]), int(nodes[j])) for i, j in forest(len(nodes), pairs)]
+    return lambda batches: _by_unit(batches, read, solve, _links_out)
 
-    def out(links):
-        return pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()),
-                                           pa.array([b for _, b in links], pa.int64())], names=["a", "b"])
-    return lambda batches: _by_unit(batches, read, solve, out)
 
+def _connect(blocks: DataFrame, classes: DataFrame, num: int, den: int, solve) -> DataFrame:
+    """(node, root) of the components that ``solve`` finds inside the ``blocks``.
 
-def _links(units: DataFrame, bitmaps: DataFrame, classes: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Links among the members (unit, node) of every unit."""
-    left = materialize(units.join(bitmaps, "node").repartition("unit").sortWithinPartitions("unit")
-                       .mapInArrow(_pruner(num, den), "unit string, node long"))
-    need = materialize(left.select("node").distinct().join(classes, "node")
-                       .select("node", "hi", "lo", F.col("first_id").alias("doc_id")))
-    if need.count() <= SMALL:  # 32 bytes a row: text stays where it is; beyond that both sides shuffle
-        need = F.broadcast(need)
-    sets = docs.join(need, "doc_id").select("node", "hi", "lo", "text").mapInArrow(
-        _setter(k), "node long, tokens array<long>")
-    dealt = left.join(sets, "node").repartition("unit").sortWithinPartitions("unit")
-    return materialize(dealt.mapInArrow(_joiner(num, den), "a long, b long"))
+    ``blocks`` (lead, node, n) has every member but the lead; ``solve`` turns members
+    (unit, node) into links (a, b).  All pairs of a block end up examined or connected.
+    """
+    # written, so that joins with it shuffle both sides and a large block's partition can be split
+    sizes = materialize(blocks.groupBy("lead").agg(
+        F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("n") / CHUNK_TOKENS)).alias("chunks")))
+    dealt = blocks.join(sizes, "lead").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
+    name = F.concat_ws("/", "lead", "chunk").alias("unit")
+    found = solve(dealt.select(name, "node").unionAll(dealt.select("lead", "chunk").distinct().select(name, F.col("lead"))))
+    parts = components(found)
+    # blocks of several chunks that are not one component yet: the pairs of their chunks
+    big = dealt.filter("chunks > 1").select("lead", "node", "n", "chunks")
+    leads = sizes.filter("chunks > 1").join(classes.select(F.col("node").alias("lead"), "n"), "lead")
+    big = big.unionAll(leads.select("lead", F.col("lead").alias("node"), "n", "chunks"))
+    big = big.join(parts, "node", "left").withColumn("part", F.coalesce("root", "node"))
+    mixed = big.groupBy("lead").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("lead")
+    big = materialize(big.join(mixed, "lead").select(
+        "lead", "node", "n", F.pmod(F.xxhash64("node"), "chunks").alias("chunk"),
+        F.floor(F.log(F.col("n") + 0.5) / F.log(F.lit(den / num))).alias("band")))
+    if big.limit(1).count():
+        pieces = big.groupBy("lead", "band", "chunk").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+        a, b = pieces.alias("a"), pieces.alias("b")
+        pairs = a.join(b, (F.col("a.lead") == F.col("b.lead"))
+                       & (F.struct("a.band", "a.chunk") <= F.struct("b.band", "b.chunk"))
+                       & (F.col("b.band") - F.col("a.band") <= 2)
+                       & (den * F.col("a.high") >= num * F.col("b.low"))).select(
+            F.col("a.lead").alias("lead"),
+            F.concat_ws("/", "a.lead", "a.band", "a.chunk", "b.band", "b.chunk").alias("unit"),
+            F.array_distinct(F.array(F.struct("a.band", "a.chunk"), F.struct("b.band", "b.chunk"))).alias("sides"))
+        pairs = pairs.select("lead", "unit", F.explode("sides").alias("s")).select("lead", "unit", "s.band", "s.chunk")
+        more = solve(big.join(pairs, ["lead", "band", "chunk"]).select("unit", "node"))
+        release(parts)
+        parts = components(found.unionAll(more))
+        release(more)
+    for x in (big, sizes, found):
+        release(x)
+    return parts
 
 
 # --------------------------------------------------------------------- operator
@@ -399,39 +430,25 @@ def jaccard_classes(documents: DataFrame, k: int = 4, num: int = 85, den: int =
         .filter("lead <> last").select("token", "lead")
     stars = materialize(tokens.join(shared, "token").filter("lead <> node").select("lead", "node").distinct()
                         .join(classes.select("node", "n"), "node"))
-    sizes = stars.groupBy("lead").agg(F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("n") / CHUNK_TOKENS)).alias("chunks"))
-    dealt = stars.join(sizes, "lead").withColumn(
-        "chunk", F.when(F.col("chunks") > 1, F.pmod(F.xxhash64("node"), "chunks")).otherwise(F.lit(0)))
-    members = dealt.select(F.concat_ws("/", "lead", "chunk").alias("unit"), "node").unionAll(
-        dealt.select("lead", "chunk").distinct().select(F.concat_ws("/", "lead", "chunk"), F.col("lead")))
-    found = _links(members, bitmaps, classes, docs, k, num, den)
-    parts = components(found)
-    # blocks of several chunks that are not one component yet: the pairs of their chunks
-    big = dealt.filter("chunks > 1").select("lead", "node", "n", "chunks")
-    big = big.unionAll(big.select("lead", "chunks").distinct().join(
-        classes.select(F.col("node").alias("lead"), "n"), "lead").select("lead", F.col("lead").alias("node"), "n", "chunks"))
-    big = big.join(parts, "node", "left").withColumn("part", F.coalesce("root", "node"))
-    mixed = big.groupBy("lead").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("lead")
-    big = materialize(big.join(mixed, "lead").select(
-        "lead", "node", "n", F.pmod(F.xxhash64("node"), "chunks").alias("chunk"),
-        F.floor(F.log(F.col("n") + 0.5) / F.log(F.lit(den / num))).alias("band")))
-    if big.limit(1).count():
-        pieces = big.groupBy("lead", "band", "chunk").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-        a, b = pieces.alias("a"), pieces.alias("b")
-        pairs = a.join(b, (F.col("a.lead") == F.col("b.lead"))
-                       & (F.struct("a.band", "a.chunk") <= F.struct("b.band", "b.chunk"))
-                       & (F.col("b.band") - F.col("a.band") <= 2)
-                       & (den * F.col("a.high") >= num * F.col("b.low"))).select(
-            F.col("a.lead").alias("lead"),
-            F.concat_ws("/", "a.lead", "a.band", "a.chunk", "b.band", "b.chunk").alias("unit"),
-            F.array_distinct(F.array(F.struct("a.band", "a.chunk"), F.struct("b.band", "b.chunk"))).alias("sides"))
-        pairs = pairs.select("lead", "unit", F.explode("sides").alias("s")).select("lead", "unit", "s.band", "s.chunk")
-        more = _links(big.join(pairs, ["lead", "band", "chunk"]).select("unit", "node"), bitmaps, classes, docs, k, num, den)
-        release(parts)
-        parts = components(found.unionAll(more))
+
+    def possible(members):
+        return materialize(members.join(bitmaps, "node").repartition("unit").sortWithinPartitions("unit")
+                           .mapInArrow(_pruner(num, den), "a long, b long"))
+
+    def exact(members):
+        need = materialize(members.join(classes, "node").select("unit", "node", "hi", "lo", F.col("first_id").alias("doc_id")))
+        if need.count() <= SMALL:  # text stays where it is; beyond that both sides shuffle
+            need = F.broadcast(need)
+        sets = docs.join(need, "doc_id").select("unit", "node", "hi", "lo", "text").mapInArrow(
+            _setter(k), "unit string, node long, tokens array<long>")
+        return materialize(sets.repartition("unit").sortWithinPartitions("unit").mapInArrow(_joiner(num, den), "a long, b long"))
+
+    groups = _connect(stars, classes, num, den, possible)
     release(prefixes)
     release(stars)
-    release(big)
+    blocks = groups.filter("node <> root").select(F.col("root").alias("lead"), "node").join(classes.select("node", "n"), "node")
+    parts = _connect(blocks, classes, num, den, exact)
+    release(groups)
     whole = classes.join(parts, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = whole.groupBy("root").agg(F.min("first_id").alias("component_id"))
     labels = whole.join(least, "root").select("hi", "lo", "component_id")

@@ -81,7 +81,7 @@ def test_tree_finds_exactly_the_linked_pairs():
     assert got == want and want
     maps = [ngram_join.bitmap(s.astype(np.uint64)) for s in sets]
     kept = likely(np.array([len(s) for s in sets]), maps, 85, 100)
-    assert {i for p in want for i in p} <= kept
+    assert want <= {tuple(sorted(p)) for p in kept.tolist()} and len(kept) < 400  # of 4005 pairs
 
 
 def test_forest_connects_with_few_links():

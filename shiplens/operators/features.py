@@ -359,18 +359,28 @@ def feature_matrix_cost(s: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------- M13
-def zone_only_features(req: DataFrame, enc: DataFrame) -> DataFrame:
+def zone_only_features(req: DataFrame, enc: DataFrame, history: DataFrame | None = None) -> DataFrame:
     """M13 core: serving features of requests that carry one ``zone``: route 'z->z',
-    origin = dest = z, rolling medians fixed, encodings with prior fallback."""
+    origin = dest = z, encodings with prior fallback.
+
+    With a shipment ``history`` the rolling medians are those of M4 (an undated request is
+    dated by P19, a route without history gets the global medians); without, they are
+    the fixed serving values.
+    """
     q = req.select("*", sc.route_key(F.col("zone"), F.col("zone")).alias("route"),
                    F.col("zone").alias("origin_zone"), F.col("zone").alias("dest_zone"),
                    F.concat(F.col("zone").cast("string"), F.lit("::"), F.col("service_level")).alias("origin_service"),
                    F.concat(F.col("carrier"), F.lit("::"), F.col("service_level")).alias("carrier_service"),
                    F.weekday("ship_date").alias("dow"), F.month("ship_date").alias("month"))
     q = q.select("*", *sc.cyclical(F.col("dow"), 7, "dow"), *sc.cyclical(F.col("month"), 12, "month"),
-                 *sc.package_columns(),
-                 F.lit(rd.ZONE_ONLY_MEDIAN_TIME).alias("route_30d_median_time"),
-                 F.lit(rd.ZONE_ONLY_MEDIAN_COST).alias("route_30d_median_cost"))
+                 *sc.package_columns())
+    if history is None:
+        q = q.select("*", F.lit(rd.ZONE_ONLY_MEDIAN_TIME).alias("route_30d_median_time"),
+                     F.lit(rd.ZONE_ONLY_MEDIAN_COST).alias("route_30d_median_cost"))
+    else:
+        history = materialize(history)
+        q = q.withColumn("ship_date", sc.default_ship_date(F.col("ship_date"), AS_OF_DATE))
+        q = with_route_medians(q, history, with_keys(history).select("route", "ship_date", TIME, COST))
     return apply_encodings(q, enc)
 
 

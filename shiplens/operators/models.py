@@ -134,19 +134,24 @@ def fit_all(s: DataFrame, ft: DataFrame | None = None, **overrides) -> dict:
     GBT_PARAMS), quantile trees."""
     ft = training_table(s) if ft is None else ft
     enc = fe.encodings(fe.with_keys(ft.where(~F.col("is_valid"))), 200, 20)
-    out = {"encodings": enc}
+    # what serving uses: softer smoothing, fitted on all history (M5)
+    out = {"encodings": enc, "serving": fe.encodings(fe.with_keys(ft), 100, 10)}
     for t in ("time", "cost"):
         out[f"model_{t}"] = fit_regressor(ft, t, **overrides)
         out[f"qmodel_{t}"], out[f"qtable_{t}"] = fit_quantile_tree(ft, t)
     return out
 
 
-def batch_predict(req: DataFrame, models: dict, quantiles: bool = False) -> DataFrame:
-    """M10 (and M12 with ``quantiles``): validate every request, build zone-only serving
-    features, score both targets (rounded to 2 decimals); invalid rows get success = false."""
+def batch_predict(req: DataFrame, models: dict, quantiles: bool = False, history: DataFrame | None = None) -> DataFrame:
+    """M10 (and M12 with ``quantiles``): validate every request, build serving features, score
+    both targets (rounded to 2 decimals); invalid rows get success = false.
+
+    With a shipment ``history``: trailing route medians of M4 and the serving encodings of M5.
+    Without (also on a stream): the zone-only features of M13.
+    """
     from shiplens.operators.quality import validation_reasons
     x = req.withColumn("reasons", validation_reasons())
-    f = fe.zone_only_features(x, models["encodings"])
+    f = fe.zone_only_features(x, models["encodings" if history is None else "serving"], history)
     f = f.withColumn("is_valid", F.lit(False))
     for t in ("time", "cost"):
         f = models[f"model_{t}"].transform(f).drop("features")
@@ -235,4 +240,5 @@ def fitted_for(spark, sf_dir: str) -> dict:
 def model_predictions_query(spark, sf_dir: str, quantiles: bool = False) -> DataFrame:
     """Score the requests of ``sf_dir`` with models trained on its shipments (M10 / M12 query)."""
     from shiplens.sources import tables as tb
-    return batch_predict(tb.requests(spark, sf_dir), fitted_for(spark, sf_dir), quantiles)
+    return batch_predict(tb.requests(spark, sf_dir), fitted_for(spark, sf_dir), quantiles,
+                         history=tb.shipments(spark, sf_dir))

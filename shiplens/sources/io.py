@@ -72,7 +72,7 @@ def save_models(models: dict, path: str) -> None:
             v.write.mode("overwrite").parquet(target)
 
 
-def load_models(spark: SparkSession, path: str, keys=("encodings", "model_time", "model_cost", "qmodel_time",
+def load_models(spark: SparkSession, path: str, keys=("encodings", "serving", "model_time", "model_cost", "qmodel_time",
                                                       "qtable_time", "qmodel_cost", "qtable_cost")) -> dict:
     """A5 source: the artefacts written by :func:`save_models`."""
     out = {}

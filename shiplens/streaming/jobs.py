@@ -218,6 +218,17 @@ def start_stream_score(spark: SparkSession, sf_dir: str, out_dir: str, base: str
     return (w.trigger(availableNow=True) if available_now else w).start()
 
 
+def start_model_score(spark: SparkSession, sf_dir: str, out_dir: str, models: dict, base: str | None = None,
+                      available_now: bool = True):
+    """S3 stream with a fitted pipeline (``models`` of fit_all or load_models): requests are
+    validated and scored by the trained regressors on zone-only features -> Parquet (append)."""
+    from shiplens.operators.models import batch_predict
+    req = tb.requests(spark, sf_dir, tb.stream_table(spark, sf_dir, "lineitem"))
+    w = (batch_predict(req, models).writeStream.outputMode("append").format("parquet").option("path", out_dir)
+         .option("checkpointLocation", _ckpt(spark, "model_score", base)))
+    return (w.trigger(availableNow=True) if available_now else w).start()
+
+
 def start_service_summary(spark: SparkSession, sf_dir: str, out_dir: str, base: str | None = None,
                           available_now: bool = True):
     """S4 stream: lineitem arrivals joined to the static dimensions, per-service running

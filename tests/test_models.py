@@ -54,6 +54,28 @@ def test_save_load_same_predictions(spark, sf_dir, fitted, tmp_dir):
     assert a == b
 
 
+def test_scoring_uses_history(spark, sf_dir, fitted):
+    """With a history the route medians feed the scorer: other predictions, same outcomes."""
+    s, models = fitted
+    req = tb.requests(spark, sf_dir)
+    cols = ["request_id", "l_linenumber", "success", "reasons"]
+    a, b = mo.batch_predict(req, models), mo.batch_predict(req, models, history=s)
+    assert sorted(map(tuple, a.select(*cols).collect())) == sorted(map(tuple, b.select(*cols).collect()))
+    assert b.where("success AND (predicted_cost_usd IS NULL OR predicted_transit_days IS NULL)").count() == 0
+    cost = [sorted(r[0] for r in x.where("success").select("predicted_cost_usd").collect()) for x in (a, b)]
+    assert len(cost[0]) == len(cost[1]) and cost[0] != cost[1]
+
+
+def test_stream_scores_with_the_pipeline(spark, sf_dir, fitted, tmp_dir):
+    from shiplens.streaming import jobs as sj
+    _, models = fitted
+    q = sj.start_model_score(spark, sf_dir, tmp_dir + "/scored", models, base=tmp_dir)
+    q.awaitTermination(300)
+    got = spark.read.parquet(tmp_dir + "/scored")
+    want = mo.batch_predict(tb.requests(spark, sf_dir), models)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
 def test_lane_segments(spark, sf_dir):
     seg = mo.lane_segments(tb.shipments(spark, sf_dir))
     rows = seg.collect()

@@ -25,8 +25,8 @@ from shiplens.session import materialize
 
 QUANTILES = (0.1, 0.5, 0.9)
 # fixed values: objective, tree and sampling settings of the boosted models
-GBT_PARAMS = dict(lossType="absolute", maxDepth=6, stepSize=0.1, featureSubsetStrategy="0.8",
-                  subsamplingRate=0.8, minInstancesPerNode=100, maxIter=60, seed=42, maxBins=64)
+GBT_PARAMS = dict(lossType="absolute", maxDepth=6, stepSize=0.15, featureSubsetStrategy="0.8",
+                  subsamplingRate=0.8, minInstancesPerNode=100, maxIter=40, seed=42, maxBins=64)
 
 
 def _features(target: str):
@@ -129,7 +129,7 @@ def baseline_eval(s: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ scoring
-def fit_all(s: DataFrame, ft: DataFrame | None = None, **overrides) -> dict:
+def fit_all(s: DataFrame | None, ft: DataFrame | None = None, **overrides) -> dict:
     """Train everything the scorer needs: encodings, both regressors (``overrides`` of
     GBT_PARAMS), quantile trees."""
     ft = training_table(s) if ft is None else ft
@@ -221,20 +221,32 @@ def segment_summary(s: DataFrame) -> DataFrame:
                                       cnt().alias("lanes"))
 
 
+_TABLES: dict = {}
 _FITTED: dict = {}
 
 
+def _once(cache: dict, spark, sf_dir: str, make):
+    """``make()`` once per (application, data folder); what an earlier session left is forgotten."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in cache:
+        cache.clear()
+        cache[key] = make()
+    return cache[key]
+
+
+def training_table_for(spark, sf_dir: str) -> DataFrame:
+    """The feature table of ``sf_dir``, written once per application."""
+    from shiplens.sources import tables as tb
+    return _once(_TABLES, spark, sf_dir, lambda: training_table(tb.shipments(spark, sf_dir)))
+
+
 def fitted_for(spark, sf_dir: str) -> dict:
     """Artefacts trained once per (application, data folder) and reused by the scoring queries:
     train once, score many.  They are models and written tables; nothing stays persisted."""
-    from shiplens.sources import tables as tb
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _FITTED:
-        _FITTED.clear()  # of an earlier session or folder
-        s = tb.shipments(spark, sf_dir)
-        ft = training_table(s)
-        _FITTED[key] = dict(fit_all(s, ft=ft), training_table=ft)
-    return _FITTED[key]
+    def make():
+        ft = training_table_for(spark, sf_dir)
+        return dict(fit_all(None, ft=ft), training_table=ft)
+    return _once(_FITTED, spark, sf_dir, make)
 
 
 def model_predictions_query(spark, sf_dir: str, quantiles: bool = False) -> DataFrame:

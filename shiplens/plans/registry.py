@@ -137,7 +137,7 @@ register("segment_summary")(mo.segment_summary)
 @register_raw("train_time_model")
 def _train_time(spark, d):
     """M7: time regressor fitted on the train split; predictions for every row."""
-    ft = mo.training_table(tb.shipments(spark, d))
+    ft = mo.training_table_for(spark, d)
     return mo.fit_regressor(ft, "time").transform(ft).select(
         "l_orderkey", "l_linenumber", "split", "transit_time_days", "pred_time")
 
@@ -145,7 +145,7 @@ def _train_time(spark, d):
 @register_raw("train_cost_model")
 def _train_cost(spark, d):
     """M7: cost regressor fitted on the train split; predictions for every row."""
-    ft = mo.training_table(tb.shipments(spark, d))
+    ft = mo.training_table_for(spark, d)
     return mo.fit_regressor(ft, "cost").transform(ft).select(
         "l_orderkey", "l_linenumber", "split", "shipping_cost_usd", "pred_cost")
 

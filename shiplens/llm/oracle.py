@@ -18,7 +18,7 @@ s AS (
 n AS (SELECT doc_id, CAST(len(g) AS BIGINT) AS n FROM s),
 x AS (SELECT doc_id, unnest(g) AS g FROM s),
 p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
-l AS (SELECT p.a, p.b FROM p JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b
+l AS MATERIALIZED (SELECT p.a, p.b FROM p JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b
   WHERE 100 * p.o >= 85 * (na.n + nb.n - p.o)),
 r(doc_id, c) AS (SELECT doc_id, doc_id FROM n UNION SELECT l.a, r.c FROM r JOIN l ON l.b = r.doc_id)
 SELECT n.doc_id, n.n AS n_shingles, min(r.c) AS component_id FROM n JOIN r ON r.doc_id = n.doc_id GROUP BY 1, 2

@@ -26,7 +26,7 @@ from shiplens.llm import textops as tx
 BUCKETS = 1 << 18
 SEGMENT = 64              # words of a chain; longer texts are several chains
 SAMPLE_DOCS = 3000
-SAMPLE_CHARS = 20_000
+SAMPLE_CHARS = 10_000
 EPOCHS, BATCH, RATE, L2 = 5, 1024, 0.05, 1e-6
 UNKNOWN = "und"
 
@@ -73,6 +73,29 @@ def chains(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start, np.minimum(SEGMENT, first[row + 1] - start)
 
 
+def _vocabulary(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct word of every word, buckets of the distinct words, their offsets, word offsets of
+    the texts), a slice of the texts at a time."""
+    known = np.zeros(0, np.uint64)
+    words, counts, flats, sizes = [], [], [], []
+    for part in tx.slices(pa.RecordBatch.from_arrays([texts], names=["text"]), "text"):
+        w = tx.Words(_lowered(tx.column(part, "text")), tx.IS_LETTER)
+        h = w.hashes()
+        u, at = np.unique(h, return_index=True)
+        new = ~np.isin(u, known)
+        flat, off = features(w, at[new])
+        known = np.concatenate([known, u[new]])
+        words.append(h)
+        counts.append(np.diff(w.first))
+        flats.append(flat)
+        sizes.append(np.diff(off))
+    cat = lambda x, t: np.concatenate(x).astype(t) if x else np.zeros(0, t)
+    order = np.argsort(known)
+    word = order[np.searchsorted(known[order], cat(words, np.uint64))]
+    return word, cat(flats, np.int64), np.concatenate([[0], np.cumsum(cat(sizes, np.int64))]), \
+        np.concatenate([[0], np.cumsum(cat(counts, np.int64))])
+
+
 class ChainField:
     """Weights of the field: word features (BUCKETS x K), transitions (K x K), starts (K)."""
 
@@ -120,13 +143,11 @@ class ChainField:
 
     def fit(self, texts: pa.Array, labels: np.ndarray, seed: int = 5) -> "ChainField":
         """Adam on the mean log-likelihood of the words' labels (every word has its text's)."""
-        w = tx.Words(_lowered(texts), tx.IS_LETTER)
-        if not len(w):
+        word, flat, off, first = _vocabulary(texts)
+        if not len(word):
             return self
-        _, at, word = np.unique(w.hashes(), return_index=True, return_inverse=True)
-        flat, off = features(w, at)
-        start, length = chains(w.first)
-        gold = labels[w.row]
+        start, length = chains(first)
+        gold = labels[np.repeat(np.arange(len(first) - 1), np.diff(first))]
         rng, k = np.random.default_rng(seed), len(self.labels)
         params = [self.weights, self.trans, self.begin]
         m1, m2 = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]

@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from shiplens.session import materialize, release
 
 
+def _mark(links: DataFrame) -> tuple:
+    """Count and XOR of row hashes: equal for equal sets of distinct rows."""
+    return tuple(links.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a").cast("decimal(38,0)"))).first())
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node that links lead to, for every node of ``links`` (a, b long).
 
@@ -19,6 +24,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     cur = materialize(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                       .filter("a <> b").distinct())
+    mark = _mark(cur)
     while True:
         both = cur.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(
             cur.select(F.col("b").alias("u"), F.col("a").alias("v")))
@@ -31,12 +37,12 @@ def components(links: DataFrame) -> DataFrame:
                               F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
             .select("e.a", "e.b").filter("a <> b").distinct())
         new = materialize(small)
-        changed = new.join(cur, ["a", "b"], "left_anti").limit(1).count() + \
-            cur.join(new, ["a", "b"], "left_anti").limit(1).count()
         release(cur)
-        cur = new
-        if not changed:
+        cur, last, mark = new, mark, _mark(new)
+        if mark == last:
             break
     stars = cur.groupBy("a").agg(F.min("b").alias("root"))
     roots = cur.select(F.col("b").alias("a")).distinct().select("a", F.col("a").alias("root"))
-    return materialize(stars.unionAll(roots).select(F.col("a").alias("node"), "root"))
+    out = materialize(stars.unionAll(roots).select(F.col("a").alias("node"), "root"))
+    release(cur)
+    return out

@@ -29,7 +29,7 @@ from shiplens.session import materialize
 WEIGHTS = (1, 2, 3)
 CAP = 3
 BLOCK = 32                 # words of a block
-SHARD_WORDS = 1 << 22      # words of a shard, about
+SHARD_WORDS = 1 << 19      # words of a shard, about
 SEED = 17
 
 

@@ -186,8 +186,9 @@ def dedup_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     filt = spark.sparkContext.broadcast(twice_filter(docs, min_chars))
     suspects = materialize(docs.filter("doc_id IS NOT NULL").mapInArrow(
         _suspecter(filt, min_chars), "doc_id long, k1 long, k2 long"))
-    repeats = suspects.groupBy("k1", "k2").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last")) \
-        .filter("keeper < last").select("k1", "k2", "keeper")
+    # written, so that the join below shuffles both of its sides and a frequent line's partition can be split
+    repeats = materialize(suspects.groupBy("k1", "k2").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last"))
+                          .filter("keeper < last").select("k1", "k2", "keeper"))
     drops = suspects.join(repeats, ["k1", "k2"]).filter("doc_id <> keeper") \
         .groupBy("doc_id").agg(F.collect_set(F.struct("k1", "k2")).alias("drops"))
     schema = T.StructType([T.StructField("row", packed.schema["row"].dataType),

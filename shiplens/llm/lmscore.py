@@ -10,9 +10,9 @@ classes of neighbours in frequency.  A document's pseudo-log-likelihood is the s
 the log-probabilities of all its tokens, each with the token itself masked.
 
 1. Word counts are taken over all documents (per task, then a shuffle of counts).
-2. Every task trains a copy of the network in numpy on a seeded share (``TRAIN_RATE``)
-   of the windows of all its documents; the copies are averaged by the windows they
-   saw, in a shuffle of weight pieces that holds one piece at a time.  ``ROUNDS`` rounds.
+2. Every task trains a copy of the network in numpy on all windows of all its documents
+   (``TRAIN_RATE`` 1); the copies are averaged by the windows they saw, in a shuffle of
+   weight pieces that holds one piece at a time.  ``ROUNDS`` rounds.
 3. One scan scores every token of every document.
 
 What moves (counts, one network a task) grows with the input; the network does not.
@@ -33,7 +33,7 @@ from shiplens.llm import textops as tx
 CLASSES, PER_CLASS = 32, 64
 VOCAB = CLASSES * PER_CLASS          # ids 0 .. VOCAB - 1; id 0 is the unknown token
 DIM, WINDOW = 24, 2
-TRAIN_RATE, ROUNDS = 0.1, 2
+TRAIN_RATE, ROUNDS = 1.0, 1
 BATCH, RATE = 4096, 0.1
 PIECE = 1 << 13                      # weights of one piece in the shuffle
 FLUSH = 1 << 20                      # distinct words a task keeps before it sends counts on
@@ -86,6 +86,7 @@ class WindowNetwork:
         rng = np.random.default_rng(seed)
         self.vocab = np.sort(vocab)
         self.ids = np.argsort(vocab, kind="stable") + 1  # id of each sorted hash: its frequency rank
+        self.windows = 0                                 # windows the last round was trained on
         small = lambda *s: (rng.standard_normal(s) * 0.1).astype(np.float32)
         self.p = {"E": small(VOCAB + 1, DIM), "C": np.ones((2 * WINDOW, DIM), np.float32), "b": np.zeros(DIM, np.float32),
                   "Wc": small(DIM, CLASSES), "bc": np.zeros(CLASSES, np.float32),
@@ -246,6 +247,7 @@ def train(documents: DataFrame, rate: float = TRAIN_RATE, rounds: int = ROUNDS,
         rows = sorted(mean.collect(), key=lambda x: x["piece"])  # one network
         if rows:
             net.load(np.concatenate([np.frombuffer(x["weights"], np.float32) for x in rows]))
+            net.windows = rows[0]["windows"]
         shared.unpersist()
     return net
 

@@ -85,3 +85,8 @@ def test_edges(docs, wide_docs, no_docs):
     assert all(x == 0 for _, n, x in got if n == 0) and any(n == 0 for _, n, _ in got)
     empty = train(no_docs)
     assert table(score(no_docs, empty), "n_tokens") == []
+
+
+def test_default_trains_on_every_window(spark):
+    df = spark.createDataFrame(text_rows(20), SCHEMA).repartition(3)
+    assert train(df).windows == 20 * 150

@@ -5,17 +5,20 @@ A small window network predicts every token from the tokens on both of its sides
     hidden = tanh(sum over offsets o of  E[token at t + o] * C[o]  + b)
     p(token) = softmax over classes(hidden) * softmax within the class(hidden)
 
-with the ``VOCAB`` most frequent words (all others are one unknown token) in ``CLASSES``
-classes of neighbours in frequency.  A document's pseudo-log-likelihood is the sum of
-the log-probabilities of all its tokens, each with the token itself masked.
+with the most frequent words in classes of neighbours in frequency.  Their number grows
+with the square root of the corpus's tokens, from ``VOCAB`` up.  All other words share id 0,
+and each has its own probability: p(id 0) times the probability of its spelling under a
+byte-pair model counted over all such words.  A document's pseudo-log-likelihood is the sum
+of the log-probabilities of all its tokens, each with the token itself masked.
 
 1. Word counts are taken over all documents (per task, then a shuffle of counts).
 2. Every task trains a copy of the network in numpy on all windows of all its documents
    (``TRAIN_RATE`` 1); the copies are averaged by the windows they saw, in a shuffle of
-   weight pieces that holds one piece at a time.  ``ROUNDS`` rounds.
+   weight pieces that holds one piece at a time.  ``ROUNDS`` rounds.  The byte pairs of
+   the words of id 0 are counted in the same scan and travel as further pieces.
 3. One scan scores every token of every document.
 
-What moves (counts, one network a task) grows with the input; the network does not.
+What moves (counts, one network a task) grows with the input; the network with its root.
 """
 
 from __future__ import annotations
@@ -29,13 +32,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shiplens.llm import textops as tx
+from shiplens.session import materialize, release
 
 CLASSES, PER_CLASS = 32, 64
-VOCAB = CLASSES * PER_CLASS          # ids 0 .. VOCAB - 1; id 0 is the unknown token
+VOCAB = CLASSES * PER_CLASS          # ids of the smallest network; id 0 is any word without an id
 DIM, WINDOW = 24, 2
 TRAIN_RATE, ROUNDS = 1.0, 1
 BATCH, RATE = 4096, 0.1
 PIECE = 1 << 13                      # weights of one piece in the shuffle
+EDGE = 256                           # stands before and after the bytes of a word
+PAIRS = (EDGE + 1) ** 2
 FLUSH = 1 << 20                      # distinct words a task keeps before it sends counts on
 
 
@@ -70,11 +76,43 @@ def _count_words(batches):
         yield out(*merge(hs, ns))
 
 
+def vocabulary_size(tokens: int) -> int:
+    """Ids of a network for so many tokens: a power of two near their square root, VOCAB at least."""
+    return max(VOCAB, 1 << round(np.log2(max(tokens, 1)) / 2))
+
+
 def vocabulary(docs: DataFrame) -> np.ndarray:
-    """Hashes of the VOCAB - 1 most frequent words, most frequent first (ties by hash)."""
-    counts = docs.mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(VOCAB - 1).collect()
-    return np.array([r["word"] for r in top], dtype=np.int64).view(np.uint64)
+    """Hashes of the most frequent words that get an id, most frequent first (ties by hash)."""
+    counts = materialize(docs.mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    size = vocabulary_size(counts.agg(F.sum("n")).first()[0] or 0)
+    top = counts.orderBy(F.desc("n"), "word").limit(size - 1).select("word").toArrow()
+    release(counts)
+    return top["word"].to_numpy().astype(np.int64).view(np.uint64)
+
+
+# -------------------------------------------------------------------- spelling
+
+def _pairs(w: tx.Words, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Byte pairs of the words ``which``, edges included, and the row of each pair."""
+    if not len(which):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    n = (w.end - w.start)[which]
+    at = np.arange(int((n + 1).sum())) - np.repeat(np.cumsum(n + 1) - n - 1, n + 1)
+    pos = np.repeat(w.start[which], n + 1) + at
+    code = _byte(w, pos - 1, at == 0) * (EDGE + 1) + _byte(w, pos, at == np.repeat(n, n + 1))
+    return code, np.repeat(w.row[which], n + 1)
+
+
+def _byte(w: tx.Words, pos: np.ndarray, edge: np.ndarray) -> np.ndarray:
+    return np.where(edge, EDGE, w.data[np.clip(pos, 0, len(w.data) - 1)].astype(np.int64))
+
+
+def spelling_table(pairs: np.ndarray) -> np.ndarray | None:
+    """log p(byte | byte before), each count raised by one; None when no word was counted."""
+    if not pairs.any():
+        return None
+    n = pairs.reshape(EDGE + 1, EDGE + 1) + 1.0
+    return np.log(n / n.sum(axis=1, keepdims=True)).ravel()
 
 
 # --------------------------------------------------------------------- network
@@ -87,10 +125,18 @@ class WindowNetwork:
         self.vocab = np.sort(vocab)
         self.ids = np.argsort(vocab, kind="stable") + 1  # id of each sorted hash: its frequency rank
         self.windows = 0                                 # windows the last round was trained on
+        self.spelling = None                             # see spelling_table()
+        self.classes, self.per = CLASSES, PER_CLASS
+        while self.classes * self.per <= len(vocab):
+            if self.classes < self.per:
+                self.classes *= 2
+            else:
+                self.per *= 2
+        self.size = self.classes * self.per              # ids 0 .. size - 1; size is 'outside the document'
         small = lambda *s: (rng.standard_normal(s) * 0.1).astype(np.float32)
-        self.p = {"E": small(VOCAB + 1, DIM), "C": np.ones((2 * WINDOW, DIM), np.float32), "b": np.zeros(DIM, np.float32),
-                  "Wc": small(DIM, CLASSES), "bc": np.zeros(CLASSES, np.float32),
-                  "Wt": small(CLASSES, DIM, PER_CLASS), "bt": np.zeros((CLASSES, PER_CLASS), np.float32)}
+        self.p = {"E": small(self.size + 1, DIM), "C": np.ones((2 * WINDOW, DIM), np.float32), "b": np.zeros(DIM, np.float32),
+                  "Wc": small(DIM, self.classes), "bc": np.zeros(self.classes, np.float32),
+                  "Wt": small(self.classes, DIM, self.per), "bt": np.zeros((self.classes, self.per), np.float32)}
 
     def flat(self) -> np.ndarray:
         return np.concatenate([v.ravel() for v in self.p.values()])
@@ -102,7 +148,7 @@ class WindowNetwork:
             at += v.size
 
     def tokens(self, w: tx.Words) -> np.ndarray:
-        """Ids of a slice's words; VOCAB stands for 'outside the document'."""
+        """Ids of a slice's words."""
         h = w.hashes()
         if not len(self.vocab):
             return np.zeros(len(h), np.int64)
@@ -110,15 +156,14 @@ class WindowNetwork:
         at[at == len(self.vocab)] = 0
         return np.where(self.vocab[at] == h, self.ids[at], 0)
 
-    @staticmethod
-    def contexts(ids: np.ndarray, w: tx.Words, at: np.ndarray) -> np.ndarray:
+    def contexts(self, ids: np.ndarray, w: tx.Words, at: np.ndarray) -> np.ndarray:
         """Neighbour ids of the tokens ``at``, left to right, the token itself left out."""
         row = w.row[at]
         out = np.empty((len(at), 2 * WINDOW), np.int64)
         for j, o in enumerate([*range(-WINDOW, 0), *range(1, WINDOW + 1)]):
             p = at + o
             ok = (p >= w.first[row]) & (p < w.first[row + 1])
-            out[:, j] = np.where(ok, ids[np.clip(p, 0, len(ids) - 1)], VOCAB)
+            out[:, j] = np.where(ok, ids[np.clip(p, 0, len(ids) - 1)], self.size)
         return out
 
     def hidden(self, ctx: np.ndarray) -> np.ndarray:
@@ -130,11 +175,11 @@ class WindowNetwork:
 
     def log_prob(self, ctx: np.ndarray, target: np.ndarray) -> np.ndarray:
         p, h = self.p, self.hidden(ctx)
-        cls, item = target // PER_CLASS, target % PER_CLASS
+        cls, item = target // self.per, target % self.per
         out = _log_softmax(h @ p["Wc"] + p["bc"])[np.arange(len(target)), cls]
         order = np.argsort(cls, kind="stable")
-        cut = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
+        cut = np.searchsorted(cls[order], np.arange(self.classes + 1))
+        for c in range(self.classes):
             at = order[cut[c]:cut[c + 1]]
             if len(at):
                 out[at] += _log_softmax(h[at] @ p["Wt"][c] + p["bt"][c])[np.arange(len(at)), item[at]]
@@ -144,33 +189,34 @@ class WindowNetwork:
         """One Adagrad step on a batch; ``seen`` keeps the squared gradients."""
         p, n = self.p, len(target)
         h = self.hidden(ctx)
-        cls, item = target // PER_CLASS, target % PER_CLASS
+        cls, item = target // self.per, target % self.per
         g = np.exp(_log_softmax(h @ p["Wc"] + p["bc"]))
         g[np.arange(n), cls] -= 1
-        grads = {"Wc": h.T @ g, "bc": g.sum(axis=0), "Wt": np.zeros_like(p["Wt"]), "bt": np.zeros_like(p["bt"])}
+        grads = {"Wc": (..., h.T @ g), "bc": (..., g.sum(axis=0))}
         dh = g @ p["Wc"].T
         order = np.argsort(cls, kind="stable")
-        cut = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
+        cut = np.searchsorted(cls[order], np.arange(self.classes + 1))
+        used = np.flatnonzero(np.diff(cut))  # only what the batch meets has gradients
+        wt, bt = np.empty((len(used), *p["Wt"].shape[1:]), p["Wt"].dtype), np.empty((len(used), self.per), p["bt"].dtype)
+        for i, c in enumerate(used):
             at = order[cut[c]:cut[c + 1]]
-            if len(at):
-                g = np.exp(_log_softmax(h[at] @ p["Wt"][c] + p["bt"][c]))
-                g[np.arange(len(at)), item[at]] -= 1
-                grads["Wt"][c], grads["bt"][c] = h[at].T @ g, g.sum(axis=0)
-                dh[at] += g @ p["Wt"][c].T
+            g = np.exp(_log_softmax(h[at] @ p["Wt"][c] + p["bt"][c]))
+            g[np.arange(len(at)), item[at]] -= 1
+            wt[i], bt[i] = h[at].T @ g, g.sum(axis=0)
+            dh[at] += g @ p["Wt"][c].T
+        grads["Wt"], grads["bt"] = (used, wt), (used, bt)
         dz = dh * (1 - h * h)
-        grads["b"] = dz.sum(axis=0)
-        grads["C"] = np.stack([(dz * p["E"][ctx[:, j]]).sum(axis=0) for j in range(2 * WINDOW)])
+        grads["b"] = (..., dz.sum(axis=0))
+        grads["C"] = (..., np.stack([(dz * p["E"][ctx[:, j]]).sum(axis=0) for j in range(2 * WINDOW)]))
         token = ctx.T.ravel()
         de = np.concatenate([dz * p["C"][j] for j in range(2 * WINDOW)])
-        order = np.argsort(token, kind="stable")
+        order = np.argsort(token.astype(np.uint16) if self.size < 1 << 16 else token, kind="stable")
         used, first = np.unique(token[order], return_index=True)
-        grads["E"] = np.zeros_like(p["E"])
-        grads["E"][used] = np.add.reduceat(de[order], first, axis=0)
-        for k, g in grads.items():
+        grads["E"] = (used, np.add.reduceat(de[order], first, axis=0))
+        for k, (at, g) in grads.items():
             g = (g / n).astype(np.float32)
-            seen[k] += g * g
-            p[k] -= RATE * g / (np.sqrt(seen[k]) + 1e-6)
+            seen[k][at] += g * g
+            p[k][at] -= RATE * g / (np.sqrt(seen[k][at]) + 1e-6)
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -185,11 +231,12 @@ def _trainer(network, rate: float, seed: int):
     def run(batches):
         net = copy.deepcopy(network.value)
         seen = {k: np.full_like(v, 1e-4) for k, v in net.p.items()}
-        trained, held = 0, []
+        trained, held, pairs = 0, [], np.zeros(PAIRS)
         for batch in batches:
             for part in tx.slices(batch, "text"):
                 w = _words(tx.column(part, "text"))
                 ids = net.tokens(w)
+                pairs += np.bincount(_pairs(w, np.flatnonzero(ids == 0))[0], minlength=PAIRS)
                 # which windows: by the words around and their place in the document, not by the plan
                 draw = tx.mix64(w.hashes() + (np.arange(len(w)) - w.first[w.row]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
                 at = np.flatnonzero(draw < np.uint64(min(int(rate * 2 ** 64), 2 ** 64 - 1)))
@@ -206,7 +253,7 @@ def _trainer(network, rate: float, seed: int):
             net.step(ctx, target, seen)
             trained += len(target)
         if trained:
-            flat = net.flat()
+            flat = np.concatenate([net.flat(), (pairs / trained).astype(np.float32)])  # by windows, as the mean weighs
             cuts = range(0, len(flat), PIECE)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(len(cuts)), pa.int32()), pa.array([trained] * len(cuts), pa.int64()),
@@ -240,14 +287,16 @@ def train(documents: DataFrame, rate: float = TRAIN_RATE, rounds: int = ROUNDS,
     net = WindowNetwork(vocabulary(docs), seed)
     schema = "piece int, windows long, weights binary"
     for r in range(rounds):
-        shared = docs.sparkSession.sparkContext.broadcast(net)  # VOCAB * DIM * 2 floats, about
+        shared = docs.sparkSession.sparkContext.broadcast(net)  # size * DIM * 2 floats, about
         pieces = docs.mapInArrow(_trainer(shared, rate, seed + r), schema)
         # by windows within a piece too: the sum's order, and so its rounding, does not hang on the plan
         mean = pieces.repartition("piece").sortWithinPartitions("piece", "windows", "weights").mapInArrow(_average, schema)
         rows = sorted(mean.collect(), key=lambda x: x["piece"])  # one network
         if rows:
-            net.load(np.concatenate([np.frombuffer(x["weights"], np.float32) for x in rows]))
+            flat = np.concatenate([np.frombuffer(x["weights"], np.float32) for x in rows])
+            net.load(flat[:-PAIRS])
             net.windows = rows[0]["windows"]
+            net.spelling = spelling_table(np.rint(flat[-PAIRS:].astype(np.float64) * net.windows))
         shared.unpersist()
     return net
 
@@ -263,6 +312,9 @@ def _scorer(network):
                 for s in range(0, len(w), 1 << 15):
                     at = np.arange(s, min(s + (1 << 15), len(w)))
                     total += np.bincount(w.row[at], net.log_prob(net.contexts(ids, w, at), ids[at]), n)
+                if net.spelling is not None:
+                    code, row = _pairs(w, np.flatnonzero(ids == 0))
+                    total += np.bincount(row, net.spelling[code], n)
                 yield pa.RecordBatch.from_arrays(
                     [tx.column(part, "row"), pa.array(np.diff(w.first), pa.int64()),
                      pa.array(np.bincount(w.row[ids == 0], minlength=n)[:n], pa.int64()), pa.array(total, pa.float64())],
@@ -273,7 +325,9 @@ def _scorer(network):
 def score(documents: DataFrame, network: WindowNetwork) -> DataFrame:
     """Rows (row, n_tokens, n_unknown, log_likelihood) for every row of ``documents``.
 
-    ``log_likelihood`` sums the natural log-probabilities of all tokens of the whole text.
+    ``log_likelihood`` sums the natural log-probabilities of all tokens of the whole text;
+    ``n_unknown`` counts the tokens whose probability is that of their spelling within id 0
+    (within a network whose corpus had no such word, id 0 is one event, of share 1).
     Defined cases: a null, empty or wordless text has 0 tokens and likelihood 0; repeated
     rows score alike; an empty table gives no rows; further columns may have any name.
     """

@@ -90,3 +90,30 @@ def test_edges(docs, wide_docs, no_docs):
 def test_default_trains_on_every_window(spark):
     df = spark.createDataFrame(text_rows(20), SCHEMA).repartition(3)
     assert train(df).windows == 20 * 150
+
+
+def test_vocabulary_grows_and_sums_to_one():
+    assert lmscore.vocabulary_size(10 ** 4) == lmscore.VOCAB and lmscore.vocabulary_size(10 ** 8) == 8192
+    net = WindowNetwork(np.arange(1, 8192, dtype=np.uint64))
+    assert net.size == 8192
+    ctx = np.repeat(np.array([[3, 5, net.size, 0]]), net.size, axis=0)
+    assert np.isclose(np.exp(net.log_prob(ctx, np.arange(net.size))).sum(), 1, atol=1e-4)
+    table = lmscore.spelling_table(np.arange(lmscore.PAIRS, dtype=float)).reshape(lmscore.EDGE + 1, -1)
+    assert np.allclose(np.exp(table).sum(axis=1), 1)
+
+
+def test_words_without_an_id_are_told_apart(spark):
+    rng = random.Random(4)
+    rare = ["".join(rng.choice("bdglmnr") + rng.choice("aeiou") for _ in range(4)) for _ in range(4000)]
+    df = spark.createDataFrame([(i, " ".join(rare[20 * i:20 * i + 20]), "", "", 0) for i in range(200)], SCHEMA).repartition(3)
+    net = train(df)
+    unseen = [("".join(rng.choice("bdglmnr") + rng.choice("aeiou") for _ in range(5)) + " ") * 6 for _ in range(2)]
+    texts = [*unseen, "xq9zkwvhtq " * 6]
+    got = table(score(spark.createDataFrame([(i, t, "", "", 0) for i, t in enumerate(texts)], SCHEMA), net),
+                "row.doc_id", "n_tokens", "n_unknown", "log_likelihood")
+    assert [r[1:3] for r in got] == [(6, 6)] * 3
+    assert got[0][3] != got[1][3] and min(got[0][3], got[1][3]) > got[2][3] + 50
+    net.spelling, spelt = None, net.spelling
+    flat = table(score(spark.createDataFrame([(0, texts[0], "", "", 0)], SCHEMA), net), "log_likelihood")[0][0]
+    word = [256, *texts[0].split()[0].encode(), 256]
+    assert np.isclose(got[0][3] - flat, 6 * sum(spelt[a * 257 + b] for a, b in zip(word, word[1:])))

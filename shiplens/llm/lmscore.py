@@ -174,34 +174,42 @@ class WindowNetwork:
         return np.tanh(z)
 
     def log_prob(self, ctx: np.ndarray, target: np.ndarray) -> np.ndarray:
-        p, h = self.p, self.hidden(ctx)
-        cls, item = target // self.per, target % self.per
-        out = _log_softmax(h @ p["Wc"] + p["bc"])[np.arange(len(target)), cls]
-        order = np.argsort(cls, kind="stable")
-        cut = np.searchsorted(cls[order], np.arange(self.classes + 1))
-        for c in range(self.classes):
-            at = order[cut[c]:cut[c + 1]]
-            if len(at):
-                out[at] += _log_softmax(h[at] @ p["Wt"][c] + p["bt"][c])[np.arange(len(at)), item[at]]
+        p = self.p
+        order, cls, item, cut = self._by_class(target)
+        h = self.hidden(ctx[order])
+        x = _shifted(h @ p["Wc"] + p["bc"])
+        got = x[np.arange(len(cls)), cls] - np.log(np.exp(x, out=x).sum(axis=1))
+        for c in np.flatnonzero(np.diff(cut)):
+            at = slice(cut[c], cut[c + 1])
+            x = _shifted(h[at] @ p["Wt"][c] + p["bt"][c])
+            got[at] += x[np.arange(len(x)), item[at]] - np.log(np.exp(x, out=x).sum(axis=1))
+        out = np.empty_like(got)
+        out[order] = got
         return out
 
+    def _by_class(self, target: np.ndarray):
+        """Order by class, then the classes and places in it in that order, and where each class begins."""
+        cls = target // self.per
+        order = np.argsort(cls.astype(np.uint16) if self.classes < 1 << 16 else cls, kind="stable")
+        cls = cls[order]
+        return order, cls, target[order] % self.per, np.searchsorted(cls, np.arange(self.classes + 1))
+
     def step(self, ctx: np.ndarray, target: np.ndarray, seen: dict[str, np.ndarray]) -> None:
         """One Adagrad step on a batch; ``seen`` keeps the squared gradients."""
         p, n = self.p, len(target)
+        order, cls, item, cut = self._by_class(target)
+        ctx = ctx[order]
         h = self.hidden(ctx)
-        cls, item = target // self.per, target % self.per
-        g = np.exp(_log_softmax(h @ p["Wc"] + p["bc"]))
+        g = _softmax(h @ p["Wc"] + p["bc"])
         g[np.arange(n), cls] -= 1
         grads = {"Wc": (..., h.T @ g), "bc": (..., g.sum(axis=0))}
         dh = g @ p["Wc"].T
-        order = np.argsort(cls, kind="stable")
-        cut = np.searchsorted(cls[order], np.arange(self.classes + 1))
         used = np.flatnonzero(np.diff(cut))  # only what the batch meets has gradients
         wt, bt = np.empty((len(used), *p["Wt"].shape[1:]), p["Wt"].dtype), np.empty((len(used), self.per), p["bt"].dtype)
         for i, c in enumerate(used):
-            at = order[cut[c]:cut[c + 1]]
-            g = np.exp(_log_softmax(h[at] @ p["Wt"][c] + p["bt"][c]))
-            g[np.arange(len(at)), item[at]] -= 1
+            at = slice(cut[c], cut[c + 1])
+            g = _softmax(h[at] @ p["Wt"][c] + p["bt"][c])
+            g[np.arange(len(g)), item[at]] -= 1
             wt[i], bt[i] = h[at].T @ g, g.sum(axis=0)
             dh[at] += g @ p["Wt"][c].T
         grads["Wt"], grads["bt"] = (used, wt), (used, bt)
@@ -219,9 +227,15 @@ class WindowNetwork:
             p[k][at] -= RATE * g / (np.sqrt(seen[k][at]) + 1e-6)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _shifted(x: np.ndarray) -> np.ndarray:
+    x -= x.max(axis=1, keepdims=True)
+    return x
+
+
+def _softmax(x: np.ndarray) -> np.ndarray:
+    x = np.exp(_shifted(x), out=x)
+    x /= x.sum(axis=1, keepdims=True)
+    return x
 
 
 # -------------------------------------------------------------------- training

@@ -68,6 +68,7 @@ PATTERNS = {
     "person": re.compile(rf"(?<!\w)(?:(?P<title>{_TITLE})\.?\s+(?:(?P<first>{_CAP})\s+)?(?P<last>{_CAP})"
                          rf"|(?P<first2>{_FIRST})\s+(?P<last2>{_CAP}))(?!\w)"),
 }
+_GROUPS, _DIGITS = re.compile(r"\d+(?:[ -]\d+)*"), re.compile(r"\d+")
 _LEXICON = [w.encode() for w in [*TITLES, *_GENDER]]
 
 
@@ -80,6 +81,40 @@ def luhn_ok(d: str) -> bool:
     return (sum(back[0::2]) + sum(sum(divmod(2 * x, 10)) for x in back[1::2])) % 10 == 0
 
 
+def _cards(text: str, free):
+    """Spans of valid card numbers.
+
+    Where a run of digit groups as a whole is none (a card next to an expiry date, a CVV,
+    a count), its parts of whole groups are tried, left to right and the longest first;
+    groups but the last have three digits at least, so lists of small numbers stay alone.
+    """
+    at = 0
+    while m := PATTERNS["card"].search(text, at):
+        at = m.end()
+        if free(*m.span()) and luhn_ok(_digits(m.group())):
+            yield m.span()
+            continue
+        run = _GROUPS.match(text, m.start())  # the match may end inside of a card
+        groups = [g.span() for g in _DIGITS.finditer(text, m.start(), run.end())]
+        for i, (a, _) in enumerate(groups):
+            if a >= m.end():
+                break
+            ends, n = [], 0
+            for x, b in groups[i:]:
+                n += b - x
+                if n > 19:
+                    break
+                if n >= 13:
+                    ends.append(b)
+                if b - x < 3:
+                    break
+            end = next((b for b in reversed(ends) if free(a, b) and luhn_ok(_digits(text[a:b]))), None)
+            if end:
+                yield a, end
+                at = end
+                break
+
+
 def _iban_check(country: str, body: str) -> str:
     value = int("".join(str(int(c, 36)) for c in body + country + "00"))
     return f"{98 - value % 97:02d}"
@@ -103,6 +138,11 @@ def find(text: str, lettered: bool = True) -> list[tuple[int, int, str, str]]:
     for kind, pattern in PATTERNS.items():
         if kind == "email" and "@" not in text or kind == "person" and not lettered:
             continue
+        if kind == "card":
+            for a, b in _cards(text, free):
+                found.append((a, b, kind, _digits(text[a:b])))
+                taken.append((a, b))
+            continue
         for m in pattern.finditer(text):
             a, b = m.span()
             if not free(a, b):
@@ -118,11 +158,6 @@ def find(text: str, lettered: bool = True) -> list[tuple[int, int, str, str]]:
             elif kind == "secret" and not s.startswith("AKIA"):
                 v = re.search(r"[A-Za-z0-9+/_-]+$", s)
                 found.append((a + v.start(), b, kind, v.group()))
-            elif kind == "card":
-                d = _digits(s)
-                if not luhn_ok(d):
-                    continue
-                found.append((a, b, kind, d))
             elif kind == "iban":
                 d = s.replace(" ", "")
                 if _iban_check(d[:2], d[4:]) != d[2:4]:

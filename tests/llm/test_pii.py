@@ -76,3 +76,16 @@ def test_edges(docs, wide_docs, no_docs):
     got = table(replace_pii(docs), "row.doc_id", "clean", "n_replaced")
     assert len(got) == docs.count() and got == table(replace_pii(wide_docs), "row.doc_id", "clean", "n_replaced")
     assert table(replace_pii(no_docs), "clean") == []
+
+
+@pytest.mark.parametrize("text, cards", [
+    ("4111 1111 1111 1111 12/27", ["4111 1111 1111 1111"]),
+    ("4111111111111111 123", ["4111111111111111"]),
+    ("order 12 4111111111111111", ["4111111111111111"]),
+    ("1234 5678 4111 1111 1111 1111 12", ["4111 1111 1111 1111"]),
+    ("7 4111-1111-1111-1111 4532 0151 1283 0366 99", ["4111-1111-1111-1111", "4532 0151 1283 0366"]),
+    ("4532015112830367 12 is none", []),
+    (" ".join(str(i) for i in range(2, 60)), []),
+])
+def test_cards_next_to_other_numbers(text, cards):
+    assert [text[a:b] for a, b, k, _ in find(text) if k == "card"] == cards

@@ -24,9 +24,12 @@ from shiplens.operators.reports import LANE_FEATURES, _lane_means
 from shiplens.session import materialize
 
 QUANTILES = (0.1, 0.5, 0.9)
-# fixed values: objective, tree and sampling settings of the boosted models
+# fixed values: objective, tree and sampling settings of the boosted models; maxIter and
+# PATIENCE are the reference's bound and early stop
 GBT_PARAMS = dict(lossType="absolute", maxDepth=6, stepSize=0.15, featureSubsetStrategy="0.8",
-                  subsamplingRate=0.8, minInstancesPerNode=100, maxIter=40, seed=42, maxBins=64)
+                  subsamplingRate=0.8, minInstancesPerNode=100, maxIter=5000, seed=42, maxBins=64)
+PATIENCE = 150
+FIRST_ROUNDS = 50    # rounds of the first fit beyond the patience
 
 
 def _features(target: str):
@@ -38,12 +41,14 @@ def training_table(s: DataFrame) -> DataFrame:
     return materialize(fe.feature_table(s).withColumn("is_valid", F.col("split") == "valid"))
 
 
-def fit_regressor(ft: DataFrame, target: str = "time", **overrides) -> PipelineModel:
+def fit_regressor(ft: DataFrame, target: str = "time", patience: int = PATIENCE, **overrides) -> PipelineModel:
     """M7: gradient-boosted trees with absolute loss, all rounds fitted on the train rows.
 
-    The rounds kept are those with the least validation error (every prefix of the ensemble
-    is evaluated).  The seed makes a shorter fit the prefix of a longer one, so the best
-    prefix is fitted again when it is not the whole.
+    The number of rounds is doubled until the validation error has not improved for
+    ``patience`` rounds, or to ``maxIter``; the rounds kept are those with the least error
+    (every prefix of the ensemble is evaluated).  The seed makes a shorter fit the prefix of
+    a longer one, so the best prefix is fitted again when it is not the whole.  Without
+    validation rows nothing can be judged, and the first fit is kept.
     """
     params = dict(GBT_PARAMS, **overrides)
     label = fe.TARGETS[target]
@@ -54,10 +59,16 @@ def fit_regressor(ft: DataFrame, target: str = "time", **overrides) -> PipelineM
     def fit(rounds):
         return GBTRegressor(featuresCol="features", labelCol=label, predictionCol=f"pred_{target}",
                             **dict(params, maxIter=rounds)).fit(train)
-    model = fit(params["maxIter"])
+    rounds = min(patience + FIRST_ROUNDS, params["maxIter"])
+    model = fit(rounds)
     if valid.limit(1).count():
-        errors = model.evaluateEachIteration(valid, params["lossType"])
-        best = min(range(len(errors)), key=errors.__getitem__) + 1
+        while True:
+            errors = model.evaluateEachIteration(valid, params["lossType"])
+            best = min(range(len(errors)), key=errors.__getitem__) + 1
+            if len(errors) - best >= patience or rounds == params["maxIter"]:
+                break
+            rounds = min(2 * rounds, params["maxIter"])
+            model = fit(rounds)
         if best < len(errors):
             model = fit(best)
     return PipelineModel([asm, model])

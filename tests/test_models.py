@@ -84,3 +84,14 @@ def test_lane_segments(spark, sf_dir):
     assert sorted({r["segment"] for r in rows}) == [0, 1, 2, 3]
     means = {r["segment"]: r["shipping_cost_usd"] for r in mo.segment_summary(tb.shipments(spark, sf_dir)).collect()}
     assert [means[k] for k in sorted(means)] == sorted(means.values())
+
+
+def test_boosting_goes_on_while_the_error_falls(spark):
+    """Stumps on a steep line: 0.15 a round is far from enough in 40 rounds."""
+    from shiplens.operators import features as fe
+    x = spark.range(400).select(F.col("id"), (F.col("id") % 4 == 0).alias("is_valid"), (F.col("id") / 400).alias("x"))
+    ft = x.select("is_valid", (60 * F.col("x")).alias(fe.TARGETS["time"]), *[F.col("x").alias(c) for c in fe.TIME_FEATURES]).coalesce(1)
+    model = mo.fit_regressor(ft, "time", patience=10, maxDepth=1, minInstancesPerNode=1, maxIter=130)
+    errors = model.stages[-1].evaluateEachIteration(model.stages[0].transform(ft.where("is_valid")), "absolute")
+    assert len(errors) > 60 and errors[-1] < 0.8 * errors[39]
+    assert mo.GBT_PARAMS["maxIter"] == 5000 and mo.PATIENCE == 150

@@ -7,8 +7,8 @@ code-switched text get labels of their own; a document's language is the one wit
 largest summed marginal, its score that sum's share.
 
 Training takes a bounded sample of labelled rows (``SAMPLE_DOCS`` in all, spread evenly
-over the languages, texts up to ``SAMPLE_CHARS`` characters), fitted in numpy by Adam on
-the log-likelihood.  Prediction is one scan without a shuffle: all words of a slice of
+over the languages, texts up to ``SAMPLE_CHARS`` characters where a language has any),
+fitted in numpy by Adam on the log-likelihood.  Prediction is one scan without a shuffle: all words of a slice of
 the batch are scored at once, each distinct word's features once.
 """
 
@@ -188,16 +188,22 @@ class ChainField:
         return w, self.marginals(e, *chains(w.first))
 
 
-def train(documents: DataFrame, sample_docs: int = SAMPLE_DOCS, seed: int = 5) -> ChainField:
-    """Fit a field on ``documents`` (doc_id, text, lang), all of whose rows may be learned from."""
-    rows = documents.filter("text IS NOT NULL AND lang IS NOT NULL AND lang <> ''").filter(F.length("text") <= SAMPLE_CHARS) \
+def train(documents: DataFrame, sample_docs: int = SAMPLE_DOCS, seed: int = 5, sample_chars: int = SAMPLE_CHARS) -> ChainField:
+    """Fit a field on ``documents`` (doc_id, text, lang), all of whose rows may be learned from.
+
+    Texts up to ``sample_chars`` characters are drawn; of a language that has none, longer ones.
+    """
+    rows = documents.filter("text IS NOT NULL AND lang IS NOT NULL AND lang <> ''") \
         .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
+    short = F.length("text") <= sample_chars
+    found = rows.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(short).alias("short")).collect()  # one row a language
+    counts = {r["lang"]: r["short"] or r["n"] for r in found}
+    long_only = [r["lang"] for r in found if not r["short"]]
     if not counts:
         return ChainField([])
     each = max(20, sample_docs // len(counts))
     keep = F.coalesce(*[F.when(F.col("lang") == k, F.lit(each / n)) for k, n in sorted(counts.items())])
-    drawn = rows.filter(F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1 << 30)) < keep * (1 << 30)).toArrow()
+    drawn = rows.filter(short | F.col("lang").isin(long_only)).filter(F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1 << 30)) < keep * (1 << 30)).toArrow()
     drawn = drawn.take(pc.sort_indices(drawn, [("doc_id", "ascending"), ("text", "ascending")]))  # any plan, same order
     labels = sorted(set(drawn["lang"].to_pylist()))
     text = pc.cast(drawn["text"], pa.large_string()).combine_chunks()

@@ -82,3 +82,10 @@ def test_edges(spark, docs, wide_docs, no_docs):
     assert table(predict(no_docs, field), "lang_pred") == []
     none = train(no_docs)
     assert {r[0] for r in table(predict(docs, none), "lang_pred")} == {"und"}
+
+
+def test_a_language_of_long_texts_only_is_learned(spark):
+    from shiplens.llm.langid import train
+    from tests.llm.conftest import SCHEMA
+    rows = [(i, "the cat and the dog", "en", "a", 0) for i in range(20)] + [(50 + i, "der hund und die katze " * 9, "de", "a", 0) for i in range(20)]
+    assert train(spark.createDataFrame(rows, SCHEMA), sample_chars=50).labels == ["de", "en"]

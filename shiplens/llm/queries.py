@@ -112,8 +112,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document; one in ten is given a periodic end."""
+    from shiplens.llm.periods import digests, periodic_runs
+    return digests(periodic_runs(table(spark, sf_dir, "documents"), least=24, power=3, change=True))
+
+
 QUERIES = {f.__name__: _op(f) for f in (
     op1_ngram_jaccard, op2_mix_sources, op3_language_id, op4_decontaminate, op5_nearest_neighbours, op6_quality,
-    op7_pii_surrogates, op8_line_dedup, op9_lm_score, op10_warc,
+    op7_pii_surrogates, op8_line_dedup, op9_lm_score, op10_warc, op11_periodic_runs,
 )}
 ORACLE = {k: v for k, v in oracle.SQL.items() if k in QUERIES}

@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from shiplens.llm import oracle
 from shiplens.sources.tables import table
 
+#: folder of the public tokenizer files, the same on every executor
+TOKENIZERS = os.environ.get("SHIPLENS_TOKENIZERS", "/opt/tokenizers")
+
 
 def share_package(spark: SparkSession) -> None:
     """Let local Python workers import this package whatever their working folder is.
@@ -118,8 +121,26 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(periodic_runs(table(spark, sf_dir, "documents"), least=24, power=3, change=True))
 
 
+def op12_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the tokens of two tokenizers, with their document counts."""
+    from shiplens.llm.align import link_counts
+    return link_counts(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text, learned from the labels of four of five folds."""
+    from shiplens.llm import toxicity
+    from shiplens.llm.langid import held_out
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = held_out(5, 0)
+    model = toxicity.train(docs, labels.filter(F.col("doc_id").isNotNull() & ~out))
+    return toxicity.score(docs, model).select("row.doc_id", "score", "predicted").select(
+        "doc_id", out.alias("held_out"), "score", "predicted")
+
+
 QUERIES = {f.__name__: _op(f) for f in (
     op1_ngram_jaccard, op2_mix_sources, op3_language_id, op4_decontaminate, op5_nearest_neighbours, op6_quality,
     op7_pii_surrogates, op8_line_dedup, op9_lm_score, op10_warc, op11_periodic_runs,
+    op12_align_tokenizers, op13_toxicity,
 )}
 ORACLE = {k: v for k, v in oracle.SQL.items() if k in QUERIES}

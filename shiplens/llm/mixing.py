@@ -4,7 +4,10 @@
    times its source's size and the excess is shared again by weight.
 2. The mix is made of equal blocks of ``block`` words.  Sainte-Lague gives every source an
    integer number of blocks: seat by seat to the highest quotient target / (2 * seats + 1).
-   The same rule splits a source's blocks over its shards by their size.
+   Targets below ``FINE`` blocks, and those of capped sources, are apportioned by the same rule
+   in single words.
+   The same rule splits a source's quota over ranges of its shards, then over the shards of each
+   range, by size: no task sees more than ``RANGE`` shards or all ranges of one source.
 3. A shard (a bounded part of one source, documents in seeded order) lays its documents
    end to end and takes the words of its quota: whole passes while they exceed its own,
    then blocks in the order of their seeded hashes, the last one up to the word that fills
@@ -31,6 +34,8 @@ CAP = 3
 BLOCK = 32                 # words of a block
 SHARD_WORDS = 1 << 19      # words of a shard, about
 SEED = 17
+FINE = 16                  # blocks; smaller targets are apportioned word by word
+RANGE = 1 << 12            # shards of a range
 
 
 def sainte_lague(weights, seats: int, most=None) -> np.ndarray:
@@ -75,14 +80,16 @@ def _counter(batches):
         for part in tx.slices(batch, "text"):
             w = tx.Words(tx.column(part, "text"))
             yield pa.RecordBatch.from_arrays([tx.column(part, "doc_id"), tx.column(part, "source"),
-                                              pa.array(np.diff(w.first), pa.int64())], names=["doc_id", "source", "size"])
+                                              pa.array(np.diff(w.first), pa.int64()),
+                                              pa.array(w.hash_ranges(w.offsets[:-1], w.offsets[1:]).view(np.int64), pa.int64())],
+                                             names=["doc_id", "source", "size", "mark"])
 
 
 def sized(documents: DataFrame) -> DataFrame:
-    """(doc_id, source, size): words [^\\x20\\x09-\\x0D]+ of every text, 0 for null."""
+    """(doc_id, source, size, mark): words [^\\x20\\x09-\\x0D]+ of every text, 0 for null, and a hash of the text."""
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                             F.col("text").cast("string").alias("text")).mapInArrow(
-        _counter, "doc_id long, source string, size long")
+        _counter, "doc_id long, source string, size long, mark long")
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, cap: int = CAP) -> DataFrame:
@@ -124,7 +131,7 @@ def _taker(block: int, seed: int):
         end = np.cumsum(size)
         total = int(end[-1])
         n = -(-total // block)
-        passes, rest = divmod(int(pdf["quota"].iloc[0]) * block, total) if total else (0, 0)
+        passes, rest = divmod(int(pdf["quota"].iloc[0]), total) if total else (0, 0)
         got = np.zeros(n, np.int64)  # words taken of each block, from its beginning
         if rest:
             width = np.full(n, block, np.int64)
@@ -152,34 +159,48 @@ def mix_sources(documents: DataFrame, weights=WEIGHTS, cap: int = CAP, block: in
     no rows.  Columns beyond doc_id, text and source are not read.  Reruns give the same
     rows (order aside): places and blocks depend on ids, sizes and the seed alone.
     """
-    sizes = materialize(sized(documents))
-    targets = source_targets(sizes, weights, cap)
-    # shards of about shard_words words; a document's shard and place follow from its id alone
-    sized_docs = sizes.withColumn("h", F.xxhash64(F.lit(seed), "doc_id"))
-    targets = materialize(targets.withColumn("shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words))))
+    # rows alike in all (a null doc_id may stand in many) are told apart by their number, so that they spread
+    alike = sized(documents).groupBy("doc_id", "source", "size", "mark").agg(F.count("*").alias("n"))
+    sizes = materialize(alike.select("doc_id", "source", "size", "mark", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("copy")))
+    full = F.col("target") >= cap * F.col("source_size")
+    unit = F.when(full | (F.col("target") < FINE * block), 1).otherwise(block)
+    # shards of about shard_words words; a document's shard and place follow from its content alone
+    targets = materialize(source_targets(sizes, weights, cap).withColumn("shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)))
+                          .withColumn("unit", unit))
 
     def apportion(pdf):
         pdf = pdf.sort_values("source", na_position="last", kind="stable").reset_index(drop=True)
-        most = cap * pdf["source_size"].to_numpy(np.int64) // block
-        pdf["blocks"] = sainte_lague(pdf["target"], round(pdf["target"].sum() / block), most)
-        return pdf[["source", "source_size", "target", "shards", "blocks"]]
-
-    quotas = targets.withColumn("every", F.lit(0)).groupBy("every").applyInPandas(  # one row per source
-        apportion, "source string, source_size long, target double, shards long, blocks long")
-    dealt = sized_docs.join(targets.select(F.col("source").alias("s"), "shards"), F.col("source").eqNullSafe(F.col("s"))) \
-        .select("doc_id", "source", "size", F.pmod("h", "shards").alias("shard"),
-                F.xxhash64(F.lit(seed + 1), "doc_id").alias("place"))
-    per_shard = dealt.groupBy("source", "shard").agg(F.sum("size").alias("shard_size"))
-
-    def split(pdf):
-        pdf = pdf.sort_values("shard").reset_index(drop=True)
-        size = pdf["shard_size"].to_numpy(np.int64)
-        pdf["quota"] = sainte_lague(size, int(pdf["blocks"].iloc[0]), cap * size // block)
-        return pdf[["source", "shard", "source_size", "target", "quota"]]
-
-    shard_quotas = per_shard.join(quotas.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))) \
-        .select("source", "shard", "shard_size", "source_size", "target", "blocks") \
-        .groupBy("source").applyInPandas(split, "source string, shard long, source_size long, target double, quota long")
+        u = int(pdf["unit"].iloc[0])
+        most = cap * pdf["source_size"].to_numpy(np.int64) // u
+        pdf["words"] = u * sainte_lague(pdf["target"], round(pdf["target"].sum() / u), most)
+        return pdf[["source", "source_size", "target", "unit", "words"]]
+
+    quotas = targets.groupBy("unit").applyInPandas(  # one row per source
+        apportion, "source string, source_size long, target double, unit int, words long")
+    ids = ["doc_id", "size", "mark", "copy"]
+    dealt = sizes.join(targets.select(F.col("source").alias("s"), "shards"), F.col("source").eqNullSafe(F.col("s"))) \
+        .select("doc_id", "source", "size", F.pmod(F.xxhash64(F.lit(seed), *ids), "shards").alias("shard"),
+                F.xxhash64(F.lit(seed + 1), *ids).alias("place"))
+    per_shard = materialize(dealt.groupBy("source", "shard").agg(F.sum("size").alias("shard_size")).join(
+        quotas.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
+        .select("source", "shard", F.floor(F.col("shard") / RANGE).alias("part"), "shard_size", F.floor(cap * F.col("shard_size") / F.col("unit")).alias("most"),
+                "source_size", "target", "unit", "words"))
+
+    def split(by, size, of):
+        def run(pdf):
+            pdf = pdf.sort_values(by).reset_index(drop=True)
+            u = int(pdf["unit"].iloc[0])
+            pdf["quota"] = u * sainte_lague(pdf[size].to_numpy(np.int64), int(pdf[of].iloc[0]) // u, pdf["most"].to_numpy(np.int64))
+            return pdf[["source", by, *(["source_size", "target"] if by == "shard" else []), "quota"]]
+        return run
+
+    per_part = per_shard.groupBy("source", "part").agg(F.sum("shard_size").alias("part_size"), F.sum("most").alias("most"),
+                                                       F.first("unit").alias("unit"), F.first("words").alias("words")) \
+        .groupBy("source").applyInPandas(split("part", "part_size", "words"), "source string, part long, quota long")
+    shard_quotas = per_shard.join(per_part.select(F.col("source").alias("s"), F.col("part").alias("p"), F.col("quota").alias("part_words")),
+                                  F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p"))) \
+        .groupBy("source", "part").applyInPandas(split("shard", "shard_size", "part_words"),
+                                                 "source string, shard long, source_size long, target double, quota long")
     shard_quotas = materialize(shard_quotas).select(F.col("source").alias("s"), F.col("shard").alias("d"),
                                                     "source_size", "target", "quota")
     return dealt.join(shard_quotas, F.col("source").eqNullSafe(F.col("s")) & (F.col("shard") == F.col("d"))) \

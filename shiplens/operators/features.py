@@ -29,6 +29,7 @@ from shiplens.operators.rules import AS_OF_DATE
 from shiplens.session import materialize, materialize_small
 
 TARGETS = {"time": TIME, "cost": COST}
+LABELS = dict(TARGETS, zones=TIME)   # of each model: the zones-only one predicts transit days too
 ENC_COLUMNS = ["route", "origin_zone", "dest_zone", "carrier", "service_level", "origin_service",
                "carrier_service"]
 # total order of the fact rows used by the positional split (the full row is unique)
@@ -206,69 +207,110 @@ def _epoch_day(d) -> Column:
     return F.datediff(d, F.lit("1970-01-01").cast("date"))
 
 
-# value buckets of a route: a frame's median is read from one or two of them
-MEDIAN_BUCKETS = 32
+# quantiles at which the count tree cuts a route's values (most medians of a frame are near the
+# route's own), those of the nodes below, and the rows up to which a bucket is read and ranked
+ROOT_CUTS = (.1, .2, .3, .35, .4, .43, .46, .48, .5, .52, .54, .57, .6, .65, .7, .8, .9)
+NODE_CUTS = tuple(i / 16 for i in range(1, 16))
+MEDIAN_LEAF = 8192
+MAX_BROADCAST_ROUTES = 100_000
+
+
+def _middle(pos, counts) -> Column:
+    """(bucket, rank inside it) of a rank: walk the bucket counts until they pass it."""
+    start = F.struct(F.lit(0).alias("b"), F.lit(0).cast("long").alias("cum"), F.lit(False).alias("done"))
+    return F.aggregate(counts, start, lambda a, x: F.when(
+        a["done"] | (a["cum"] + x > pos), F.struct(a["b"].alias("b"), a["cum"].alias("cum"), F.lit(True).alias("done")))
+        .otherwise(F.struct((a["b"] + 1).alias("b"), (a["cum"] + x).alias("cum"), F.lit(False).alias("done"))))
+
+
+def _level(vals: DataFrame, ask: DataFrame, days: int, probs) -> tuple[DataFrame, DataFrame]:
+    """One level of the count tree: cut every node's values into buckets, and send each asked rank to its bucket.
+
+    A value that is a cut has a bucket of its own, so values that repeat do not stay together with others.
+
+    ``vals`` (_r, _m, _p, _d, _x): the values of the nodes ``_p``; ``ask`` (_r, _m, _p, _td and ``_pos``,
+    the rank within the node's values of the frame, or NULL at the root, where both middle ranks are
+    made).  Returns the values with their new nodes, and the asked ranks with theirs and with the
+    node's least and greatest value and rows.
+    """
+    node = ["_r", "_m", "_p"]
+    cuts = materialize(vals.groupBy(*node).agg(
+        F.array_distinct(F.percentile_approx("_x", list(probs), 1000)).alias("_cuts")))
+    buckets = 2 * len(probs) + 1
+    few = cuts.count() <= MAX_BROADCAST_ROUTES     # a row a node; otherwise AQE joins by a shuffle
+    binned = materialize(vals.join(F.broadcast(cuts) if few else cuts, node).select(
+        "_r", "_m", "_d", "_x", "_p", (2 * F.size(F.filter("_cuts", lambda c: c < F.col("_x")))
+                                           + F.array_contains("_cuts", F.col("_x")).cast("int")).alias("_b")))
+    names = [f"_c{i}" for i in range(buckets)]
+    daily = binned.groupBy(*node, "_d").agg(*[F.count_if(F.col("_b") == i).alias(n) for i, n in enumerate(names)])
+    cal = daily.withColumn("_t", F.lit(False)).unionByName(ask.select(*node, F.col("_td").alias("_d")).distinct().select(
+        "*", F.lit(True).alias("_t"), *[F.lit(0).cast("long").alias(n) for n in names]))
+    frame = Window.partitionBy(*node).orderBy("_d").rangeBetween(-days, -1)
+    sums = cal.select(*node, F.col("_d").alias("_td"), "_t",
+                      F.array(*[F.coalesce(F.sum(n).over(frame), F.lit(0)) for n in names]).alias("_s")).where("_t").drop("_t")
+    asked = ask.join(sums, [*node, "_td"]).withColumn("_n", F.coalesce("_n", F.aggregate("_s", F.lit(0).cast("long"), lambda a, x: a + x))) \
+        .where("_n > 0")
+    half = (F.col("_n") - 1).cast("double") * F.lit(5e-1)
+    asked = asked.withColumn("_pos", F.explode(F.when(F.col("_pos").isNull(), F.array(
+        F.struct(F.lit(0).alias("hi"), F.floor(half).alias("at")), F.struct(F.lit(1).alias("hi"), F.ceil(half).alias("at"))))
+        .otherwise(F.array("_pos")))).withColumn("_to", _middle(F.col("_pos.at"), F.col("_s")))
+    below = binned.withColumn("_p", F.col("_p") * buckets + F.col("_b")).drop("_b")
+    span = below.groupBy(*node).agg(F.min("_x").alias("_least"), F.max("_x").alias("_most"), F.count(F.lit(1)).alias("_rows"))
+    asked = asked.select("_r", "_m", "_td", "_n", (F.col("_p") * buckets + F.col("_to.b")).alias("_p"),
+                         F.struct(F.col("_pos.hi").alias("hi"), (F.col("_pos.at") - F.col("_to.cum")).alias("at")).alias("_pos"))
+    return below, materialize(asked.join(span, node))
 
 
 def rolling_route_medians(targets: DataFrame, history: DataFrame | None = None, route_col: str = "route",
-                          days: int = WINDOW_DAYS, buckets: int = MEDIAN_BUCKETS) -> DataFrame:
+                          days: int = WINDOW_DAYS, cuts=ROOT_CUTS, leaf: int = MEDIAN_LEAF) -> DataFrame:
     """Add the trailing ``days``-day median of history time / cost on the same route,
     excluding the target's own day (NULL when there is no history), to every target row.
 
     ``history`` = None means the targets are their own history (they then carry the
     time / cost columns).  All rows of one (route, day) share the same frame, so medians are
-    taken per distinct (route, day) and equi-joined back.  One path at every size:
-
-    1. a sketch per route cuts its values into buckets (any cut gives the same result);
-    2. rows are counted per (route, day, bucket), one row a day, and the counts are summed
-       over the trailing days: a window over calendar days, not over history rows;
-    3. the summed counts name the bucket of each middle rank and the rank inside it;
-    4. only that bucket's values in the frame are read and ranked.
+    taken per distinct (route, day) and equi-joined back, from a tree of value counts:
+
+    1. a sketch per route cuts its values into buckets (any cut gives the same result), and
+       rows are counted per (route, day, bucket), one row a day;
+    2. a window over calendar days, not over history rows, sums the trailing days; the sums
+       name the bucket of each middle rank and the rank inside it;
+    3. a bucket that holds a single value answers at once; one of more than ``leaf`` rows is
+       cut again like a route of its own (a level further down, as often as it takes);
+    4. only what is left, buckets of at most ``leaf`` rows, is read and ranked.
     """
     hist = targets if history is None else history
     km = ["_r", "_m"]
-    long = hist.where(F.col(route_col).isNotNull() & F.col("ship_date").isNotNull()).select(
+    vals = hist.where(F.col(route_col).isNotNull() & F.col("ship_date").isNotNull()).select(
         F.col(route_col).alias("_r"), _epoch_day(F.col("ship_date")).alias("_d"), F.explode(F.array(
             F.struct(F.lit("time").alias("m"), F.col(TIME).cast("double").alias("x")),
             F.struct(F.lit("cost").alias("m"), F.col(COST).cast("double").alias("x")))).alias("_v")) \
-        .select("_r", "_d", F.col("_v.m").alias("_m"), F.col("_v.x").alias("_x")).where(F.col("_x").isNotNull())
-    cuts = long.groupBy(*km).agg(F.percentile_approx("_x", [i / buckets for i in range(1, buckets)], 1000).alias("_cuts"))
-    binned = materialize(long.join(cuts, km).withColumn(
-        "_b", F.size(F.filter("_cuts", lambda c: c < F.col("_x")))).drop("_cuts"))
-
-    names = [f"_c{i}" for i in range(buckets)]
-    daily = binned.groupBy(*km, "_d").agg(*[F.sum((F.col("_b") == i).cast("long")).alias(n) for i, n in enumerate(names)])
-    wanted = targets.where(F.col(route_col).isNotNull() & F.col("ship_date").isNotNull()).select(
-        F.col(route_col).alias("_r"), _epoch_day(F.col("ship_date")).alias("_d")).distinct() \
-        .withColumn("_m", F.explode(F.array(F.lit("time"), F.lit("cost"))))
-    cal = daily.withColumn("_t", F.lit(False)).unionByName(wanted.select(
-        "*", F.lit(True).alias("_t"), *[F.lit(0).cast("long").alias(n) for n in names]))
-    frame = Window.partitionBy(*km).orderBy("_d").rangeBetween(-days, -1)
-    sums = cal.select(*km, "_d", "_t", F.array(*[F.coalesce(F.sum(n).over(frame), F.lit(0)) for n in names]).alias("_s")).where("_t")
-    sums = sums.withColumn("_n", F.aggregate("_s", F.lit(0).cast("long"), lambda a, x: a + x)).where("_n > 0") \
-        .withColumn("_h", (F.col("_n") - 1).cast("double") * F.lit(5e-1))
-
-    def place(pos):
-        """(bucket, rank inside it) of a rank: walk the counts until they pass it."""
-        start = F.struct(F.lit(0).alias("b"), F.lit(0).cast("long").alias("cum"), F.lit(False).alias("done"))
-        end = F.aggregate("_s", start, lambda a, x: F.when(
-            a["done"] | (a["cum"] + x > pos), F.struct(a["b"].alias("b"), a["cum"].alias("cum"), F.lit(True).alias("done")))
-            .otherwise(F.struct((a["b"] + 1).alias("b"), (a["cum"] + x).alias("cum"), F.lit(False).alias("done"))))
-        return end
-    lo, hi = F.floor("_h"), F.ceil("_h")
-    ranks = sums.select(*km, F.col("_d").alias("_td"), "_h", F.explode(F.array(*[
-        F.struct(F.lit(k).alias("hi"), place(p).alias("at"), p.alias("pos")) for k, p in ((0, lo), (1, hi))])).alias("_p")) \
-        .groupBy(*km, "_td", "_h", F.col("_p.at.b").alias("_b")).agg(F.collect_list(F.struct(  # one or two ranks
-            F.col("_p.hi").alias("hi"), (F.col("_p.pos") - F.col("_p.at.cum")).alias("pos"))).alias("_want")) \
-        .withColumn("_blk", F.floor(F.col("_td") / days))
-    # a day's values serve targets of its own block of days and of the next
-    values = binned.withColumn("_blk", F.explode(F.array(F.floor(F.col("_d") / days), F.floor(F.col("_d") / days) + 1)))
-    near = values.join(ranks, [*km, "_b", "_blk"]).where((F.col("_td") - F.col("_d")).between(1, days))
-    w = Window.partitionBy(*km, "_td", "_b").orderBy("_x")
-    hits = near.withColumn("_rank", F.row_number().over(w) - 1).select(*km, "_td", "_h", "_x", F.explode(
-        F.filter("_want", lambda t: t["pos"] == F.col("_rank"))).alias("_t"))
-    mid = hits.groupBy(*km, "_td", "_h").agg(*[F.max(F.when(F.col("_t.hi") == k, F.col("_x"))).alias(n) for k, n in ((0, "_xl"), (1, "_xh"))])
-    part = F.col("_h") - F.floor("_h")
+        .select("_r", "_d", F.col("_v.m").alias("_m"), F.col("_v.x").alias("_x"), F.lit(0).cast("long").alias("_p")).where(F.col("_x").isNotNull())
+    ask = targets.where(F.col(route_col).isNotNull() & F.col("ship_date").isNotNull()).select(
+        F.col(route_col).alias("_r"), _epoch_day(F.col("ship_date")).alias("_td")).distinct().select(
+        "*", F.explode(F.array(F.lit("time"), F.lit("cost"))).alias("_m"), F.lit(0).cast("long").alias("_p"), F.lit(None).cast("long").alias("_n"),
+        F.lit(None).cast("struct<hi:int,at:long>").alias("_pos"))
+    answers = []
+    while True:
+        vals, asked = _level(vals, ask, days, cuts)
+        cuts = NODE_CUTS
+        one = F.col("_least") == F.col("_most")
+        answers.append(asked.where(one).select(*km, "_td", "_n", F.col("_pos.hi").alias("_hi"), F.col("_least").alias("_x")))
+        open_ = asked.where(~one)
+        nodes = open_.groupBy(*km, "_p").agg(F.max("_rows").alias("_rows"))
+        vals = vals.join(nodes, [*km, "_p"])
+        if (nodes.agg(F.max("_rows")).first()[0] or 0) <= leaf:
+            break
+        # small buckets are ranked now, large ones go down a level
+        answers.append(_ranked(vals.where(F.col("_rows") <= leaf), open_.where(F.col("_rows") <= leaf), days))
+        vals = vals.where(F.col("_rows") > leaf).drop("_rows")
+        ask = open_.where(F.col("_rows") > leaf).select(*km, "_p", "_td", "_n", "_pos")
+    answers.append(_ranked(vals, open_, days))
+    mid = answers[0]
+    for more in answers[1:]:
+        mid = mid.unionByName(more)
+    mid = mid.groupBy(*km, "_td").agg(F.max("_n").alias("_n"), *[F.max(F.when(F.col("_hi") == k, F.col("_x"))).alias(n) for k, n in ((0, "_xl"), (1, "_xh"))])
+    half = (F.col("_n") - 1).cast("double") * F.lit(5e-1)
+    part = half - F.floor(half)
     mid = mid.withColumn("_med", F.col("_xl") * (F.lit(1e0) - part) + F.col("_xh") * part)
     med = mid.groupBy("_r", "_td").agg(*[F.max(F.when(F.col("_m") == t, F.col("_med"))).alias(f"route_30d_median_{t}")
                                          for t in ("time", "cost")])
@@ -277,6 +319,19 @@ def rolling_route_medians(targets: DataFrame, history: DataFrame | None = None,
     return targets.join(med, [route_col, "ship_date"], "left")
 
 
+def _ranked(vals: DataFrame, asked: DataFrame, days: int) -> DataFrame:
+    """Read the asked nodes' values in each frame and rank them: (_r, _m, _td, _n, _hi, _x)."""
+    node = ["_r", "_m", "_p"]
+    ranks = asked.groupBy(*node, "_td", "_n").agg(F.collect_list("_pos").alias("_want")).withColumn(  # one or two ranks
+        "_blk", F.floor(F.col("_td") / days))
+    # a day's values serve targets of its own block of days and of the next
+    near = vals.drop("_rows").withColumn("_blk", F.explode(F.array(F.floor(F.col("_d") / days), F.floor(F.col("_d") / days) + 1))) \
+        .join(ranks, [*node, "_blk"]).where((F.col("_td") - F.col("_d")).between(1, days))
+    w = Window.partitionBy(*node, "_td").orderBy("_x")
+    return near.withColumn("_rank", F.row_number().over(w) - 1).select("_r", "_m", "_td", "_n", "_x", F.explode(F.filter(
+        "_want", lambda t: t["at"] == F.col("_rank"))).alias("_t")).select("_r", "_m", "_td", "_n", F.col("_t.hi").alias("_hi"), "_x")
+
+
 def _global_medians(s: DataFrame) -> DataFrame:
     return percentiles_multi(s, [], [(TIME, [0.5], ["_gt"]), (COST, [0.5], ["_gc"])])
 
@@ -328,6 +383,10 @@ TIME_FEATURES = ["dow_sin", "dow_cos", "month_sin", "month_cos", "package_weight
                  "route_te_time", "origin_zone_te_time", "dest_zone_te_time", "carrier_te_time",
                  "service_level_te_time", "origin_service_te_time", "carrier_service_te_time"]
 COST_FEATURES = [f.replace("_time", "_cost") for f in TIME_FEATURES]
+# fixed values: what the zones-only model sees, calendar, route history and encodings, no package
+ZONE_FEATURES = ["dow_sin", "dow_cos", "month_sin", "month_cos", "route_30d_median_time", "route_te_time", "origin_zone_te_time",
+                 "dest_zone_te_time", "carrier_te_time", "service_level_te_time", "origin_service_te_time", "carrier_service_te_time"]
+FEATURES = {"time": TIME_FEATURES, "cost": COST_FEATURES, "zones": ZONE_FEATURES}
 
 
 def feature_table(s: DataFrame) -> DataFrame:
@@ -342,12 +401,11 @@ def feature_table(s: DataFrame) -> DataFrame:
     return apply_encodings(x, enc)
 
 
-def feature_matrix(s: DataFrame, target: str = "time") -> DataFrame:
-    """M6: the 17 ordered features of the time (or cost) model, target and split."""
-    cols = TIME_FEATURES if target == "time" else COST_FEATURES
+def feature_matrix(s: DataFrame, model: str = "time") -> DataFrame:
+    """M6: the ordered features of the time, cost (17) or zones-only (12) model, target and split."""
     f = feature_table(s)
-    return f.select("l_orderkey", "l_linenumber", "split", *[r6(c).alias(c) for c in cols],
-                    F.col(TARGETS[target]).alias("label"))
+    return f.select("l_orderkey", "l_linenumber", "split", *[r6(c).alias(c) for c in FEATURES[model]],
+                    F.col(LABELS[model]).alias("label"))
 
 
 def feature_matrix_time(s: DataFrame) -> DataFrame:
@@ -358,6 +416,10 @@ def feature_matrix_cost(s: DataFrame) -> DataFrame:
     return feature_matrix(s, "cost")
 
 
+def feature_matrix_zones(s: DataFrame) -> DataFrame:
+    return feature_matrix(s, "zones")
+
+
 # --------------------------------------------------------------------- M13
 def zone_only_features(req: DataFrame, enc: DataFrame, history: DataFrame | None = None) -> DataFrame:
     """M13 core: serving features of requests that carry one ``zone``: route 'z->z',

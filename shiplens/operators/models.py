@@ -1,11 +1,9 @@
 """Models: transit / cost regressors, quantile bounds, evaluation, scoring, lane segments
 (M7-M12, E31, E32).
 
-Training uses Spark ML (tree aggregation across executors) over a feature table
-that is written once.  Quantile bounds follow the quantile
-regression forest idea (Meinshausen 2006): the rows of each leaf of a
-regression tree form an empirical conditional distribution; its exact
-percentiles (distributed helper) are joined back by leaf id.
+Regressors and quantile bounds are boosted trees (``operators/boosting.py``) fitted over a
+feature table that is written once.  The bounds of one target are three ensembles with pinball
+loss, as long as that target's regressor; a row's three values are put in order.
 """
 
 from __future__ import annotations
@@ -13,27 +11,21 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiplens.functions.quantiles import percentiles
 from shiplens.functions.stats import COST, cnt, r6
 from shiplens.operators import features as fe
+from shiplens.operators.boosting import BoostedTrees, Head, boost
 from shiplens.operators.reports import LANE_FEATURES, _lane_means
 from shiplens.session import materialize
 
 QUANTILES = (0.1, 0.5, 0.9)
-# fixed values: objective, tree and sampling settings of the boosted models; maxIter and
-# PATIENCE are the reference's bound and early stop
-GBT_PARAMS = dict(lossType="absolute", maxDepth=6, stepSize=0.15, featureSubsetStrategy="0.8",
-                  subsamplingRate=0.8, minInstancesPerNode=100, maxIter=5000, seed=42, maxBins=64)
-PATIENCE = 150
-FIRST_ROUNDS = 50    # rounds of the first fit beyond the patience
-
-
-def _features(target: str):
-    return fe.TIME_FEATURES if target == "time" else fe.COST_FEATURES
+# fixed values: leaves, sampling, bound and early stop of the boosted models
+BOOST_PARAMS = dict(step=0.15, depth=6, min_rows=100, max_rounds=5000, patience=150, feature_share=0.8,
+                    row_share=0.8, bag_every=5, seed=42)
 
 
 def training_table(s: DataFrame) -> DataFrame:
@@ -41,44 +33,29 @@ def training_table(s: DataFrame) -> DataFrame:
     return materialize(fe.feature_table(s).withColumn("is_valid", F.col("split") == "valid"))
 
 
-def fit_regressor(ft: DataFrame, target: str = "time", patience: int = PATIENCE, **overrides) -> PipelineModel:
-    """M7: gradient-boosted trees with absolute loss, all rounds fitted on the train rows.
+def fit_regressors(ft: DataFrame, targets=("time", "cost"), **overrides) -> dict[str, BoostedTrees]:
+    """M7: boosted trees with absolute loss, by target; all targets share the passes over ``ft``.
 
-    The number of rounds is doubled until the validation error has not improved for
-    ``patience`` rounds, or to ``maxIter``; the rounds kept are those with the least error
-    (every prefix of the ensemble is evaluated).  The seed makes a shorter fit the prefix of
-    a longer one, so the best prefix is fitted again when it is not the whole.  Without
-    validation rows nothing can be judged, and the first fit is kept.
+    A target's rounds go on until the validation error has not improved for ``patience`` of
+    them, ``max_rounds`` at most; the trees up to the best round are kept.
     """
-    params = dict(GBT_PARAMS, **overrides)
-    label = fe.TARGETS[target]
-    asm = VectorAssembler(inputCols=_features(target), outputCol="features", handleInvalid="keep")
-    x = asm.transform(ft).select(label, "features", "is_valid")
-    train, valid = x.where(~F.col("is_valid")), x.where("is_valid")
-
-    def fit(rounds):
-        return GBTRegressor(featuresCol="features", labelCol=label, predictionCol=f"pred_{target}",
-                            **dict(params, maxIter=rounds)).fit(train)
-    rounds = min(patience + FIRST_ROUNDS, params["maxIter"])
-    model = fit(rounds)
-    if valid.limit(1).count():
-        while True:
-            errors = model.evaluateEachIteration(valid, params["lossType"])
-            best = min(range(len(errors)), key=errors.__getitem__) + 1
-            if len(errors) - best >= patience or rounds == params["maxIter"]:
-                break
-            rounds = min(2 * rounds, params["maxIter"])
-            model = fit(rounds)
-        if best < len(errors):
-            model = fit(best)
-    return PipelineModel([asm, model])
+    heads = [Head(t, fe.LABELS[t], fe.FEATURES[t]) for t in targets]
+    return dict(zip(targets, boost(ft, heads, **dict(BOOST_PARAMS, **overrides))))
+
+
+def fit_quantiles(ft: DataFrame, rounds: dict[str, int], **overrides) -> dict[str, list[BoostedTrees]]:
+    """M8: ensembles with pinball loss for q10 / q50 / q90, by target, of ``rounds[target]`` trees each."""
+    heads = [Head(f"q{int(q * 100)}_{t}", fe.LABELS[t], fe.FEATURES[t], quantile=q, rounds=n) for t, n in rounds.items() for q in QUANTILES]
+    found = iter(boost(ft, heads, **dict(BOOST_PARAMS, **overrides)))
+    return {t: [next(found) for _ in QUANTILES] for t in rounds}
 
 
 def fit_quantile_tree(ft: DataFrame, target: str = "time", max_depth: int = 6,
                       min_rows: int = 100) -> tuple[PipelineModel, DataFrame]:
-    """M8: a regression tree on the train rows plus the exact q10/q50/q90 of the target per leaf."""
+    """The simpler bounds M8 is judged against: one regression tree on the train rows and the
+    exact q10/q50/q90 of the target in each leaf (Meinshausen 2006)."""
     label = fe.TARGETS[target]
-    asm = VectorAssembler(inputCols=_features(target), outputCol="features", handleInvalid="keep")
+    asm = VectorAssembler(inputCols=fe.FEATURES[target], outputCol="features", handleInvalid="keep")
     dt = DecisionTreeRegressor(featuresCol="features", labelCol=label, maxDepth=max_depth,
                                minInstancesPerNode=min_rows, leafCol=f"leaf_{target}", seed=42,
                                predictionCol=f"tree_{target}")
@@ -90,10 +67,15 @@ def fit_quantile_tree(ft: DataFrame, target: str = "time", max_depth: int = 6,
     return model, table
 
 
-def quantile_predictions(ft: DataFrame, qmodel: PipelineModel, qtable: DataFrame, target: str) -> DataFrame:
-    """q10/q50/q90 for every row of ``ft`` from its leaf (small per-leaf table, broadcast)."""
-    x = qmodel.transform(ft).drop("features", f"tree_{target}")
-    return x.join(F.broadcast(qtable), f"leaf_{target}", "left")
+def point_predictions(x: DataFrame, model: BoostedTrees, target: str) -> DataFrame:
+    """``x`` with the column pred_<target>."""
+    return x.withColumn(f"pred_{target}", model.column())
+
+
+def quantile_predictions(x: DataFrame, models: list[BoostedTrees], target: str) -> DataFrame:
+    """q10/q50/q90 of ``target`` for every row of ``x``, in order."""
+    raw = F.array_sort(F.array(*[m.column() for m in models]))
+    return x.withColumn("_q", raw).select(*x.columns, *[F.col("_q")[i].alias(f"q{int(q * 100)}_{target}") for i, q in enumerate(QUANTILES)])
 
 
 def model_eval(s: DataFrame, **overrides) -> DataFrame:
@@ -103,16 +85,16 @@ def model_eval(s: DataFrame, **overrides) -> DataFrame:
     return evaluate(dict(fit_all(s, ft=ft, **overrides), training_table=ft))
 
 
-def evaluate(f: dict) -> DataFrame:
+def evaluate(f: dict, targets=("time", "cost")) -> DataFrame:
     """M9 on fitted artefacts (see :func:`fit_all`): every row is scored once, all figures come
     from one aggregate."""
     x = f["training_table"].where("is_valid")
-    for t in ("time", "cost"):
-        x = f[f"model_{t}"].transform(x).drop("features")
-        x = quantile_predictions(x, f[f"qmodel_{t}"], f[f"qtable_{t}"], t)
+    for t in targets:
+        x = point_predictions(x, f[f"model_{t}"], t)
+        x = quantile_predictions(x, f[f"qmodel_{t}"], t)
     cells = []
-    for t in ("time", "cost"):
-        label = F.col(fe.TARGETS[t])
+    for t in targets:
+        label = F.col(fe.LABELS[t])
         for name, col, q in [("point", f"pred_{t}", None), *[(f"q{int(q * 100)}", f"q{int(q * 100)}_{t}", q) for q in QUANTILES]]:
             e = label - F.col(col)
             none = F.lit(None).cast("double")
@@ -140,17 +122,28 @@ def baseline_eval(s: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ scoring
-def fit_all(s: DataFrame | None, ft: DataFrame | None = None, **overrides) -> dict:
+def fit_all(s: DataFrame | None, ft: DataFrame | None = None, quantiles: bool = True, **overrides) -> dict:
     """Train everything the scorer needs: encodings, both regressors (``overrides`` of
-    GBT_PARAMS), quantile trees."""
+    BOOST_PARAMS) and, with ``quantiles``, the bounds of both."""
     ft = training_table(s) if ft is None else ft
     enc = fe.encodings(fe.with_keys(ft.where(~F.col("is_valid"))), 200, 20)
     # what serving uses: softer smoothing, fitted on all history (M5)
     out = {"encodings": enc, "serving": fe.encodings(fe.with_keys(ft), 100, 10)}
-    for t in ("time", "cost"):
-        out[f"model_{t}"] = fit_regressor(ft, t, **overrides)
-        out[f"qmodel_{t}"], out[f"qtable_{t}"] = fit_quantile_tree(ft, t)
-    return out
+    out |= {f"model_{t}": m for t, m in fit_regressors(ft, **overrides).items()}
+    return out | (fit_bounds(ft, out, **overrides) if quantiles else {})
+
+
+def fit_bounds(ft: DataFrame, models: dict, targets=("time", "cost"), **overrides) -> dict:
+    """The quantile ensembles that belong to fitted regressors (at least one tree each)."""
+    found = fit_quantiles(ft, {t: max(1, len(models[f"model_{t}"])) for t in targets}, **overrides)
+    return {f"qmodel_{t}": m for t, m in found.items()}
+
+
+def fit_zones(ft: DataFrame, **overrides) -> dict:
+    """M6-M8 for requests without a package: transit days and their bounds from calendar, route
+    history and encodings alone (12 features)."""
+    out = {"model_zones": fit_regressors(ft, ["zones"], **overrides)["zones"]}
+    return dict(out, **fit_bounds(ft, out, ["zones"], **overrides), training_table=ft)
 
 
 def batch_predict(req: DataFrame, models: dict, quantiles: bool = False, history: DataFrame | None = None) -> DataFrame:
@@ -163,11 +156,10 @@ def batch_predict(req: DataFrame, models: dict, quantiles: bool = False, history
     from shiplens.operators.quality import validation_reasons
     x = req.withColumn("reasons", validation_reasons())
     f = fe.zone_only_features(x, models["encodings" if history is None else "serving"], history)
-    f = f.withColumn("is_valid", F.lit(False))
     for t in ("time", "cost"):
-        f = models[f"model_{t}"].transform(f).drop("features")
+        f = point_predictions(f, models[f"model_{t}"], t)
         if quantiles:
-            f = quantile_predictions(f, models[f"qmodel_{t}"], models[f"qtable_{t}"], t)
+            f = quantile_predictions(f, models[f"qmodel_{t}"], t)
     ok = F.col("reasons") == ""
     cols = [F.when(ok, F.round("pred_time", 2)).alias("predicted_transit_days"),
             F.when(ok, F.round("pred_cost", 2)).alias("predicted_cost_usd")]
@@ -177,11 +169,13 @@ def batch_predict(req: DataFrame, models: dict, quantiles: bool = False, history
     return f.select("request_id", "l_linenumber", ok.alias("success"), "reasons", *cols)
 
 
-def batch_outcomes(pred: DataFrame) -> DataFrame:
-    """Which requests were scored, and why not; the parts of M10 that do not hang on a model."""
-    return pred.select("request_id", "l_linenumber", "success", "reasons",
-                       F.col("predicted_transit_days").isNotNull().alias("has_transit"),
-                       F.col("predicted_cost_usd").isNotNull().alias("has_cost"))
+def batch_outcomes(req: DataFrame) -> DataFrame:
+    """Which requests are scored, and why not.  Every valid request gets both predictions,
+    so validation alone decides; no model is needed."""
+    from shiplens.operators.quality import validation_reasons
+    ok = F.col("reasons") == ""
+    return req.withColumn("reasons", validation_reasons()).select(
+        "request_id", "l_linenumber", ok.alias("success"), "reasons", ok.alias("has_transit"), ok.alias("has_cost"))
 
 
 def predict_transit_only(pred: DataFrame) -> DataFrame:
@@ -194,9 +188,9 @@ def predict_cost_only(pred: DataFrame) -> DataFrame:
     return pred.select("request_id", "l_linenumber", "success", "predicted_cost_usd")
 
 
-def batch_summary(pred: DataFrame) -> DataFrame:
-    """M10 envelope: count and successful count of a scored batch."""
-    return pred.agg(cnt().alias("count"), F.sum(F.col("success").cast("long")).alias("successful_count"))
+def batch_summary(req: DataFrame) -> DataFrame:
+    """M10 envelope: count and successful count of a batch (see :func:`batch_outcomes`)."""
+    return batch_outcomes(req).agg(cnt().alias("count"), F.sum(F.col("success").cast("long")).alias("successful_count"))
 
 
 # ----------------------------------------------------------------- segments
@@ -234,6 +228,7 @@ def segment_summary(s: DataFrame) -> DataFrame:
 
 _TABLES: dict = {}
 _FITTED: dict = {}
+_ZONES: dict = {}
 
 
 def _once(cache: dict, spark, sf_dir: str, make):
@@ -251,17 +246,26 @@ def training_table_for(spark, sf_dir: str) -> DataFrame:
     return _once(_TABLES, spark, sf_dir, lambda: training_table(tb.shipments(spark, sf_dir)))
 
 
-def fitted_for(spark, sf_dir: str) -> dict:
+def fitted_for(spark, sf_dir: str, quantiles: bool = False) -> dict:
     """Artefacts trained once per (application, data folder) and reused by the scoring queries:
-    train once, score many.  They are models and written tables; nothing stays persisted."""
+    train once, score many; the quantile ensembles when first asked for.  They are models and
+    written tables; nothing stays persisted."""
     def make():
         ft = training_table_for(spark, sf_dir)
-        return dict(fit_all(None, ft=ft), training_table=ft)
-    return _once(_FITTED, spark, sf_dir, make)
+        return dict(fit_all(None, ft=ft, quantiles=False), training_table=ft)
+    found = _once(_FITTED, spark, sf_dir, make)
+    if quantiles and "qmodel_time" not in found:
+        found.update(fit_bounds(found["training_table"], found))
+    return found
 
 
 def model_predictions_query(spark, sf_dir: str, quantiles: bool = False) -> DataFrame:
     """Score the requests of ``sf_dir`` with models trained on its shipments (M10 / M12 query)."""
     from shiplens.sources import tables as tb
-    return batch_predict(tb.requests(spark, sf_dir), fitted_for(spark, sf_dir), quantiles,
+    return batch_predict(tb.requests(spark, sf_dir), fitted_for(spark, sf_dir, quantiles), quantiles,
                          history=tb.shipments(spark, sf_dir))
+
+
+def zones_for(spark, sf_dir: str) -> dict:
+    """The zones-only model and its bounds, trained once per (application, data folder)."""
+    return _once(_ZONES, spark, sf_dir, lambda: fit_zones(training_table_for(spark, sf_dir)))

@@ -937,6 +937,7 @@ TIME_F = ["dow_sin", "dow_cos", "month_sin", "month_cos", "package_weight_lbs",
           "route_te_time", "origin_zone_te_time", "dest_zone_te_time", "carrier_te_time",
           "service_level_te_time", "origin_service_te_time", "carrier_service_te_time"]
 COST_F = [f.replace("_time", "_cost") for f in TIME_F]
+FEATURES = {"time": TIME_F, "cost": COST_F, "zones": TIME_F[:4] + TIME_F[9:]}
 
 
 def _row_feats(src: str) -> str:
@@ -953,9 +954,9 @@ def _row_feats(src: str) -> str:
 
 
 def feature_matrix_sql(target: str) -> str:
-    feats = TIME_F if target == "time" else COST_F
+    feats = FEATURES[target]
     joins, sel = apply_enc_sql("ks", {})
-    label = T if target == "time" else C
+    label = C if target == "cost" else T
     return f"""WITH {SPLIT}, {KEYS}, {GLOBAL_MED}, tr AS (SELECT * FROM ks WHERE split = 'train'),
 {enc_sql('tr', 200, 20)},
 md AS (SELECT l_orderkey, l_linenumber, ship_date, route, {', '.join(c for c in ORDER_COLS.split(', ') if c not in ('l_orderkey', 'l_linenumber', 'ship_date'))},
@@ -977,6 +978,11 @@ def _m6c():
     return feature_matrix_sql("cost")
 
 
+@oracle("feature_matrix_zones")
+def _m6z():
+    return feature_matrix_sql("zones")
+
+
 @oracle("serving_features_zone_only")
 def _m13():
     cats = {"route": "CAST(rq.zone AS VARCHAR) || '->' || CAST(rq.zone AS VARCHAR)", "origin_zone": "rq.zone",

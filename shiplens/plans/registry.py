@@ -108,7 +108,7 @@ from shiplens.operators import features as fe  # noqa: E402
 
 register("time_split")(fe.time_split_summary)
 for _n in ("target_encoding serving_encodings target_encoded_rows route_30d_median feature_matrix_time "
-           "feature_matrix_cost").split():
+           "feature_matrix_cost feature_matrix_zones").split():
     register(_n)(getattr(fe, _n))
 register("carrier_quotes", tb.requests)(fe.carrier_quotes)
 register_raw("request_history_features")(
@@ -129,7 +129,8 @@ register("stream_score", tb.requests)(sj.score_requests)
 from shiplens.operators import models as mo  # noqa: E402
 
 register("baseline_eval")(mo.baseline_eval)
-register_raw("model_eval")(lambda spark, d: mo.evaluate(mo.fitted_for(spark, d)))
+register_raw("model_eval")(lambda spark, d: mo.evaluate(mo.fitted_for(spark, d, quantiles=True)))
+register_raw("zones_model_eval")(lambda spark, d: mo.evaluate(mo.zones_for(spark, d), ["zones"]))
 register("lane_segments")(mo.lane_segments)
 register("segment_summary")(mo.segment_summary)
 
@@ -137,26 +138,26 @@ register("segment_summary")(mo.segment_summary)
 @register_raw("train_time_model")
 def _train_time(spark, d):
     """M7: time regressor fitted on the train split; predictions for every row."""
-    ft = mo.training_table_for(spark, d)
-    return mo.fit_regressor(ft, "time").transform(ft).select(
+    f = mo.fitted_for(spark, d)
+    return mo.point_predictions(f["training_table"], f["model_time"], "time").select(
         "l_orderkey", "l_linenumber", "split", "transit_time_days", "pred_time")
 
 
 @register_raw("train_cost_model")
 def _train_cost(spark, d):
     """M7: cost regressor fitted on the train split; predictions for every row."""
-    ft = mo.training_table_for(spark, d)
-    return mo.fit_regressor(ft, "cost").transform(ft).select(
+    f = mo.fitted_for(spark, d)
+    return mo.point_predictions(f["training_table"], f["model_cost"], "cost").select(
         "l_orderkey", "l_linenumber", "split", "shipping_cost_usd", "pred_cost")
 
 
 @register_raw("quantile_predictions")
 def _quantiles(spark, d):
-    """M8: leaf-quantile q10/q50/q90 of both targets for the validation rows."""
-    f = mo.fitted_for(spark, d)
+    """M8: q10/q50/q90 of both targets for the validation rows."""
+    f = mo.fitted_for(spark, d, quantiles=True)
     out = f["training_table"].where("is_valid")
     for t in ("time", "cost"):
-        out = mo.quantile_predictions(out, f[f"qmodel_{t}"], f[f"qtable_{t}"], t)
+        out = mo.quantile_predictions(out, f[f"qmodel_{t}"], t)
     return out.select("l_orderkey", "l_linenumber", *[f"q{int(q * 100)}_{t}" for t in ("time", "cost")
                                                       for q in mo.QUANTILES])
 
@@ -167,6 +168,5 @@ register_raw("predict_transit_only")(
     lambda spark, d: mo.predict_transit_only(mo.model_predictions_query(spark, d)))
 register_raw("predict_cost_only")(
     lambda spark, d: mo.predict_cost_only(mo.model_predictions_query(spark, d)))
-register_raw("batch_outcomes")(lambda spark, d: mo.batch_outcomes(mo.model_predictions_query(spark, d)))
-register_raw("batch_summary")(
-    lambda spark, d: mo.batch_summary(mo.model_predictions_query(spark, d)))
+register("batch_outcomes", tb.requests)(mo.batch_outcomes)
+register("batch_summary", tb.requests)(mo.batch_summary)

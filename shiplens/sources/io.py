@@ -6,7 +6,6 @@ from __future__ import annotations
 import os
 
 from pyspark.errors import AnalysisException
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -63,20 +62,25 @@ def read_profile(spark: SparkSession, path: str) -> DataFrame:
 
 
 def save_models(models: dict, path: str) -> None:
-    """A5 sink: pipelines via ML persistence, encoding / leaf-quantile tables as Parquet."""
+    """A5 sink: everything as Parquet, one row per tree of an ensemble (``qmodel_*`` hold three each) and
+    the encoding tables as they are."""
     for k, v in models.items():
         target = os.path.join(path, k)
-        if isinstance(v, PipelineModel):
-            v.write().overwrite().save(target)
-        else:
+        if isinstance(v, DataFrame):
             v.write.mode("overwrite").parquet(target)
+            continue
+        spark = SparkSession.getActiveSession()
+        for i, m in enumerate(v if isinstance(v, list) else [v]):
+            m.to_frame(spark).coalesce(1).write.mode("overwrite").parquet(os.path.join(target, str(i)))
 
 
 def load_models(spark: SparkSession, path: str, keys=("encodings", "serving", "model_time", "model_cost", "qmodel_time",
-                                                      "qtable_time", "qmodel_cost", "qtable_cost")) -> dict:
+                                                      "qmodel_cost")) -> dict:
     """A5 source: the artefacts written by :func:`save_models`."""
+    from shiplens.operators.boosting import BoostedTrees
     out = {}
     for k in keys:
         target = os.path.join(path, k)
-        out[k] = PipelineModel.load(target) if k.startswith(("model_", "qmodel_")) else spark.read.parquet(target)
+        one = lambda i: BoostedTrees.from_frame(spark.read.parquet(os.path.join(target, str(i))))
+        out[k] = [one(i) for i in range(3)] if k.startswith("qmodel_") else one(0) if k.startswith("model_") else spark.read.parquet(target)
     return out

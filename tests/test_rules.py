@@ -101,7 +101,7 @@ def test_time_split_boundary_day(spark):
 
 
 def test_rolling_median_equals_brute_force(spark):
-    """Ties, sparse days, a hot day, a missing value and different bucket counts."""
+    """Ties, sparse days, a hot day, a missing value, different cuts and depths of the count tree."""
     import random
     import statistics
     random.seed(3)
@@ -116,7 +116,23 @@ def test_rolling_median_equals_brute_force(spark):
         mid = [statistics.median(v) if v else None for v in ([r[k] for r in near if r[k] is not None] for k in (2, 3))]
         want.append((route, day, t, c, *mid))
     key = lambda r: tuple((x is not None, x) for x in r)
-    for buckets in (32, 3):
-        got = fe.rolling_route_medians(ks, buckets=buckets).select(
+    for cuts, leaf in ((fe.ROOT_CUTS, 8192), ((.3, .6), 8192), ((.5,), 9), (fe.ROOT_CUTS, 0)):   # the last two go several levels down
+        got = fe.rolling_route_medians(ks, cuts=cuts, leaf=leaf).select(
             "route", "ship_date", "transit_time_days", "shipping_cost_usd", "route_30d_median_time", "route_30d_median_cost").collect()
         assert [tuple(r) for r in sorted(got, key=key)] == sorted(want, key=key)
+
+
+def test_hot_route_is_bounded(spark):
+    """Half of all values of a route are one and the same: buckets shrink level by level, whatever repeats."""
+    from pyspark.sql import functions as F
+    x = spark.range(20_000).select(
+        F.lit("1->2").alias("route"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 40).cast("int")).alias("ship_date"),
+        F.when(F.col("id") % 2 == 0, 3.0).otherwise(F.pmod(F.hash("id"), F.lit(9)).cast("double")).alias("transit_time_days"),
+        (F.pmod(F.xxhash64("id"), F.lit(100_000)) / 100).alias("shipping_cost_usd"))
+    days = x.select("route", "ship_date").distinct()
+    got = {r["ship_date"]: (r[2], r[3]) for r in fe.rolling_route_medians(days, x, leaf=200).collect()}
+    rows = [tuple(r)[1:] for r in x.collect()]
+    import statistics
+    for d in sorted(got)[::7]:
+        near = [r for r in rows if 1 <= (d - r[0]).days <= 30]
+        assert got[d] == ((statistics.median(r[1] for r in near), statistics.median(r[2] for r in near)) if near else (None, None))

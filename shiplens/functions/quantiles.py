@@ -47,27 +47,29 @@ def null_safe_join(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "
 
 
 def percentiles(df: DataFrame, keys: Sequence[str], value, probs: Sequence[float],
-                names: Sequence[str] | None = None) -> DataFrame:
-    """Exact percentiles of ``value`` per group of ``keys``.
+                names: Sequence[str] | None = None, weight: str | None = None) -> DataFrame:
+    """Exact percentiles of ``value`` per group of ``keys`` (``weight``: a column of row counts).
 
     Returns one row per group with at least one non-NULL value: the key
     columns plus one DOUBLE column per probability (``names``).
     """
     names = list(names) if names else [f"p{int(round(p * 100))}" for p in probs]
-    return percentiles_multi(df, keys, [(value, probs, names)])
+    return percentiles_multi(df, keys, [(value, probs, names)], weight)
 
 
-def percentiles_multi(df: DataFrame, keys: Sequence[str], specs) -> DataFrame:
+def percentiles_multi(df: DataFrame, keys: Sequence[str], specs, weight: str | None = None) -> DataFrame:
     """Percentiles of several columns per group in one pass: ``specs`` is a list of
     (value column, probabilities, output names); a group has a row when one of the
-    columns has a non-NULL value in it."""
+    columns has a non-NULL value in it.  ``weight`` names a column that says how many equal
+    rows each row stands for."""
     keys = list(keys)
     values = [(F.col(v) if isinstance(v, str) else v).cast("double") for v, _, _ in specs]
-    long = df.select(*keys, F.explode(F.array(*[
+    one = F.lit(1).cast("long") if weight is None else F.col(weight).cast("long")
+    long = df.select(*keys, one.alias("_w"), F.explode(F.array(*[
         F.struct(F.lit(m).alias("m"), x.alias("x")) for m, x in enumerate(values)])).alias("_v")) \
-        .select(*keys, F.col("_v.m").alias("_m"), F.col("_v.x").alias("_x")).where(F.col("_x").isNotNull())
+        .select(*keys, "_w", F.col("_v.m").alias("_m"), F.col("_v.x").alias("_x")).where(F.col("_x").isNotNull())
     km = keys + ["_m"]
-    counted = materialize(long.groupBy(*km, "_x").agg(F.count(F.lit(1)).alias("_f")))
+    counted = materialize(long.groupBy(*km, "_x").agg(F.sum("_w").alias("_f")))
     ranged = materialize(counted.repartitionByRange(*km, "_x").withColumn("_slice", F.spark_partition_id()))
 
     # rows per group and slice: slices are in order of value

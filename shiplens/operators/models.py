@@ -8,11 +8,12 @@ loss, as long as that target's regressor; a row's three values are put in order.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiplens.functions.quantiles import percentiles
@@ -194,29 +195,48 @@ def batch_summary(req: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------- segments
-def lane_segments(s: DataFrame, k: int = 4, seeds: int = 10, base_seed: int = 42) -> DataFrame:
-    """K-means (k=4) on the population-standardised lane features; the best of
-    ``seeds`` runs by training cost; segments relabelled 0..k-1 by ascending mean cost."""
-    lp = _lane_means(s)
+SEGMENTS, RESTARTS, LLOYD_ROUNDS = 4, 10, 40
+
+
+def _lloyd(k: int, rounds: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        """One restart: its starting lanes follow from its number, then Lloyd's rounds until no lane moves."""
+        pdf = pdf.sort_values(["origin_zone", "dest_zone"], kind="stable").reset_index(drop=True)
+        x, n, r = pdf[[f"z_{c}" for c in LANE_FEATURES]].to_numpy(), len(pdf), int(pdf["restart"].iloc[0])
+        centres, label = x[[(7 * r + j * n // min(k, n)) % n for j in range(min(k, n))]], None
+        for _ in range(rounds):
+            d = ((x[:, None, :] - centres) ** 2).sum(axis=2)
+            moved = d.argmin(axis=1)                      # ties to the first centre
+            if label is not None and (moved == label).all():
+                break
+            label = moved
+            centres = np.array([x[label == j].mean(axis=0) if (label == j).any() else c for j, c in enumerate(centres)])
+        d = ((x[:, None, :] - centres) ** 2).sum(axis=2)
+        return pdf[["restart", "origin_zone", "dest_zone"]].assign(raw=d.argmin(axis=1).astype("int32"), inertia=float(d.min(axis=1).sum()))
+    return run
+
+
+def lane_segments(s: DataFrame, k: int = SEGMENTS, restarts: int = RESTARTS) -> DataFrame:
+    """K-means on the population-standardised lane features (a feature without spread counts as 0).
+
+    The restarts are keys of one job; each starts from lanes that its number names and sees one
+    row per pair of zones.  The one with the least sum of squares (first of equals) is kept, and its
+    segments are numbered 0..k-1 by ascending mean cost.
+    """
+    lp = materialize(_lane_means(s))                  # one row per pair of zones
     st = lp.agg(*[F.avg(c).alias(f"_m_{c}") for c in LANE_FEATURES],
                 *[F.stddev_pop(c).alias(f"_s_{c}") for c in LANE_FEATURES])
     z = lp.crossJoin(F.broadcast(st)).select(
-        "origin_zone", "dest_zone", *LANE_FEATURES,
-        *[((F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}")).alias(f"z_{c}") for c in LANE_FEATURES])
-    z = VectorAssembler(inputCols=[f"z_{c}" for c in LANE_FEATURES], outputCol="features").transform(z)
-    z = materialize(z.coalesce(1))  # one row per pair of zones: ten fits scan one small file
-    best = None
-    for i in range(seeds):
-        m = KMeans(k=k, seed=base_seed + i, featuresCol="features", predictionCol="raw_segment").fit(z)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[0]:
-            best = (cost, m)
-    lab = best[1].transform(z)
-    order = lab.groupBy("raw_segment").agg(F.avg(COST).alias("_mc"))
-    from pyspark.sql import Window
-    order = order.withColumn("segment", (F.row_number().over(Window.orderBy("_mc", "raw_segment")) - 1).cast("int"))
-    return lab.join(F.broadcast(order.select("raw_segment", "segment")), "raw_segment").select(
-        "origin_zone", "dest_zone", "segment", *LANE_FEATURES)
+        "origin_zone", "dest_zone", F.explode(F.sequence(F.lit(0), F.lit(restarts - 1))).alias("restart"),
+        *[F.when(F.col(f"_s_{c}") > 0, (F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}")).otherwise(0.0).alias(f"z_{c}") for c in LANE_FEATURES])
+    runs = z.groupBy("restart").applyInPandas(
+        _lloyd(k, LLOYD_ROUNDS), "restart int, origin_zone int, dest_zone int, raw int, inertia double")
+    best = runs.withColumn("_first", F.rank().over(Window.partitionBy(F.lit(0)).orderBy(F.round("inertia", 9), "restart"))).where("_first = 1")
+    lab = lp.join(F.broadcast(best.select("origin_zone", "dest_zone", "raw")), ["origin_zone", "dest_zone"])
+    mean = lab.groupBy("raw").agg(F.avg(COST).alias("_mc"))
+    order = mean.withColumn("segment", (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("_mc", "raw")) - 1).cast("int"))
+    return lab.join(F.broadcast(order.select("raw", "segment")), "raw").select(
+        "origin_zone", "dest_zone", "segment", *[r6(c).alias(c) for c in LANE_FEATURES])
 
 
 def segment_summary(s: DataFrame) -> DataFrame:

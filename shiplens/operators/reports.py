@@ -8,14 +8,13 @@ zones) are products of the distinct key values, never of fact rows.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiplens.functions.quantiles import null_safe_join, percentiles, percentiles_multi
 from shiplens.functions.scalars import day_name, package_category, weight_bins
 from shiplens.functions.stats import COST, TIME, cnt, exact_avg, r6, r9
-from shiplens.session import materialize_small
+from shiplens.session import materialize, materialize_small
 from shiplens.sources.tables import union_all
 
 SIZE_CATEGORIES = ["Small", "Medium", "Large", "XLarge"]
@@ -304,11 +303,11 @@ def top_shipping_days(s: DataFrame, k: int = 3) -> DataFrame:
 def comprehensive_report(s: DataFrame) -> DataFrame:
     """Headline figures of the reports as one long table (section, metric, key, value).
 
-    The narrow projection the sections share is persisted (memory, spilling to
-    disk), so the fact join is computed once for all sections.
+    The narrow projection the sections share is written once, so the fact join is
+    computed once for all sections and nothing stays persisted.
     """
-    base = s.select("ship_date", "origin_zone", "dest_zone", "carrier", "insurance_value", TIME, COST
-                    ).persist(StorageLevel.MEMORY_AND_DISK)
+    from shiplens.operators.models import segment_summary
+    base = materialize(s.select("ship_date", "carrier", *dict.fromkeys(["origin_zone", "dest_zone", "insurance_value", TIME, COST, *LANE_FEATURES])))
     dbl = lambda c: F.col(c).cast("double")
     days = top_shipping_days(base).select(F.lit("temporal").alias("section"),
                                           F.lit("top_shipping_day").alias("metric"),
@@ -329,10 +328,16 @@ def comprehensive_report(s: DataFrame) -> DataFrame:
                   F.lit(None).cast("string").alias("key"), dbl("outlier_count").alias("value")),
         io.select(F.lit("anomalies").alias("section"), F.lit("transit_outlier_pct").alias("metric"),
                   F.lit(None).cast("string").alias("key"), dbl("outlier_pct").alias("value"))])
+    seg = segment_summary(base).select("segment", "lanes")
+    segm = union_all([
+        seg.agg(cnt().alias("n")).select(F.lit("segmentation").alias("section"), F.lit("segments").alias("metric"),
+                                         F.lit(None).cast("string").alias("key"), dbl("n").alias("value")),
+        seg.select(F.lit("segmentation").alias("section"), F.lit("zone_pairs").alias("metric"),
+                   F.col("segment").cast("string").alias("key"), dbl("lanes").alias("value"))])
     tr = performance_trend(base)
     trend = union_all([
         tr.select(F.lit("insights").alias("section"), F.lit("trend_slope").alias("metric"),
                   F.col("trend").alias("key"), F.col("trend_slope").alias("value")),
         tr.select(F.lit("insights").alias("section"), F.lit("degradation_risk").alias("metric"),
                   F.col("degradation_risk").alias("key"), F.col("trend_slope").alias("value"))])
-    return union_all([days, dist, val, fast, outl, trend])
+    return union_all([days, dist, val, fast, segm, outl, trend])

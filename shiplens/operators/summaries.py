@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiplens.functions.quantiles import null_safe_join, percentiles, percentiles_multi
-from shiplens.functions.stats import COST, TIME, cnt, exact_avg, r6, sorted_list
-from shiplens.session import checkpoint_dir, materialize
+from shiplens.functions.stats import COST, TIME, cnt, counted_avg, counted_std, exact_avg, r6, sorted_list
+from shiplens.session import checkpoint_dir, materialize, materialize_small
 
 CELL = ["carrier", "service_level", "dest_zone"]
 
@@ -58,36 +58,46 @@ def carrier_zone_summary(s: DataFrame) -> DataFrame:
     return _with_medians(s, CELL).withColumnRenamed("dest_zone", "zone")
 
 
+def cell_counts(s: DataFrame, keys: Sequence[str] = CELL, extra: Sequence[str] = ()) -> DataFrame:
+    """Rows of ``s`` by cell, transit time and cost: all that the percentile-filtered figures need."""
+    return s.groupBy(*keys, *extra, TIME, COST).agg(cnt().alias("n"))
+
+
 def percentile_filtered(s: DataFrame, percentiles_: Sequence[float] = (50,),
                         methods: Sequence[str] = ("median",), keys: Sequence[str] = CELL) -> DataFrame:
-    """E4 / A12 core: keep rows whose transit time is <= the group's p-th percentile.
+    """E4 / A12 core: keep rows whose transit time is <= the group's p-th percentile."""
+    return percentile_figures(materialize(cell_counts(s, keys)), percentiles_, methods, keys)
+
 
-    The needed columns are written once.  One threshold table for all
-    ``percentiles_`` is joined back, totals are counted per group, and each row is
-    expanded only into the percentile sets that keep it; then one aggregate
-    (+ medians) per (keys, percentile).
+def percentile_figures(c: DataFrame, percentiles_: Sequence[float] = (50,),
+                       methods: Sequence[str] = ("median",), keys: Sequence[str] = CELL) -> DataFrame:
+    """E4 / A12 from the written counts of :func:`cell_counts`.
+
+    One threshold table for all ``percentiles_`` is joined back, totals are counted per
+    group, and each row is expanded only into the percentile sets that keep it; then one
+    aggregate (+ medians) per (keys, percentile).
     """
     keys = list(keys)
-    s = materialize(s.select(*keys, TIME, COST))
     pcts = [float(p) for p in percentiles_]
     names = [f"_t{i}" for i in range(len(pcts))]
-    thr = materialize(percentiles(s, keys, TIME, [p / 100.0 for p in pcts], names))
+    thr = materialize(percentiles(c, keys, TIME, [p / 100.0 for p in pcts], names, weight="n"))
     pk = keys + ["percentile"]
     per = F.explode(F.array(*[F.struct(F.lit(p).alias("percentile"), F.col(n).alias("percentile_threshold"))
                               for p, n in zip(pcts, names)])).alias("_p")
-    tot = null_safe_join(s.groupBy(*keys).agg(cnt().alias("total_shipments")), thr, keys, "left").select(
+    tot = null_safe_join(c.groupBy(*keys).agg(F.sum("n").alias("total_shipments")), thr, keys, "left").select(
         *keys, "total_shipments", per).select(*keys, "total_shipments", "_p.*")
-    kept = null_safe_join(s, thr, keys).select(*keys, TIME, COST, F.explode(F.filter(
+    kept = null_safe_join(c, thr, keys).select(*keys, TIME, COST, "n", F.explode(F.filter(
         F.array(*[F.when(F.col(TIME) <= F.col(n), F.lit(p)) for p, n in zip(pcts, names)]),
         lambda p: p.isNotNull())).alias("percentile"))
-    agg = kept.groupBy(*pk).agg(
-        cnt().alias("records_in_percentile"), exact_avg(TIME).alias("_mean_t"), exact_avg(COST).alias("_mean_c"),
-        F.stddev_samp(TIME).alias("transit_time_std"), F.stddev_samp(COST).alias("cost_std"))
-    out = null_safe_join(tot, agg, pk)
+    mean = materialize(kept.groupBy(*pk).agg(F.sum("n").alias("records_in_percentile"), counted_avg(TIME, "n").alias("_mean_t"),
+                                             counted_avg(COST, "n").alias("_mean_c")))
+    spread = null_safe_join(kept, mean, pk).groupBy(*pk).agg(
+        counted_std(TIME, "n", "_mean_t").alias("transit_time_std"), counted_std(COST, "n", "_mean_c").alias("cost_std"))
+    out = null_safe_join(null_safe_join(tot, mean, pk), spread, pk)
     if "median" in methods:
-        med = percentiles_multi(kept, pk, [(TIME, [0.5], ["_med_t"]), (COST, [0.5], ["_med_c"])])
+        med = percentiles_multi(kept, pk, [(TIME, [0.5], ["_med_t"]), (COST, [0.5], ["_med_c"])], weight="n")
         out = null_safe_join(out, med, pk)
-    meth = s.sparkSession.createDataFrame([(m,) for m in methods], "method string")
+    meth = c.sparkSession.createDataFrame([(m,) for m in methods], "method string")
     out = out.crossJoin(F.broadcast(meth))
     mt = F.when(F.col("method") == "median", F.col("_med_t")) if "median" in methods else None
     mc = F.when(F.col("method") == "median", F.col("_med_c")) if "median" in methods else None
@@ -148,6 +158,63 @@ def stored_percentile_cube(s: DataFrame) -> DataFrame:
     return read_percentile_cube(s.sparkSession, write_percentile_cube(s, path))
 
 
+# ------------------------------------------------- A12 that follows new data
+COUNT_SCHEMA = f"carrier string, service_level string, dest_zone int, ship_date date, {TIME} double, {COST} double, n long, month date"
+
+
+def load_cube_days(s: DataFrame, path: str) -> str:
+    """A12 load: counts of the days in ``s`` into the store at ``path``, one folder a month.
+
+    Of the table only the rows handed in are read, of the store only the months they lie in.  A day
+    that is loaded again is replaced (``s`` then holds all its rows), other days stay as they
+    are, and a load that is run twice changes nothing.
+    """
+    spark = s.sparkSession
+    month = F.trunc("ship_date", "month").alias("month")
+    cols = [c.split()[0] for c in COUNT_SCHEMA.split(", ")]
+    s = s.select(*CELL, "ship_date", TIME, COST)
+    out = cell_counts(s, extra=["ship_date"]).select("*", month).select(*cols)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        days = materialize_small(s.select("ship_date", month).distinct())      # a row a day
+        months = [r["month"] for r in days.select("month").distinct().collect()]
+        held = spark.read.schema(COUNT_SCHEMA).parquet(path).where(F.col("month").isin([m for m in months if m]) | (
+            F.col("month").isNull() & F.lit(None in months)))
+        out = out.unionByName(materialize(null_safe_anti(held, days, "ship_date")))
+    out.repartitionByRange("month", *CELL, COST).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)
+    return path
+
+
+def null_safe_anti(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """Rows of ``a`` whose ``key`` is not in ``b``, NULL being a key like any other."""
+    return a.join(b.select(F.col(key).alias("__k")), a[key].eqNullSafe(F.col("__k")), "left_anti")
+
+
+def cube_from_store(spark: SparkSession, path: str, percentiles_: Sequence[float] = CUBE_PERCENTILES, since=None, until=None) -> DataFrame:
+    """A12 from the stored counts, of all days or those of ``since`` .. ``until`` (other months are not read)."""
+    days = spark.read.schema(COUNT_SCHEMA).parquet(path)
+    if since is not None:
+        days = days.where((F.col("ship_date") >= F.lit(since)) & (F.col("month") >= F.trunc(F.lit(since).cast("date"), "month")))
+    if until is not None:
+        days = days.where((F.col("ship_date") <= F.lit(until)) & (F.col("month") <= F.lit(until).cast("date")))
+    merged = materialize(days.groupBy(*CELL, TIME, COST).agg(F.sum("n").alias("n")))
+    return percentile_figures(merged, percentiles_, ("median", "mean")).withColumnRenamed("dest_zone", "zone")
+
+
+def incremental_percentile_cube(s: DataFrame) -> DataFrame:
+    """A12 query: a store loaded in two steps (all but the last tenth of the days, then those and, once
+    more, the last day before them); equals the cube of the whole table."""
+    path = f"{checkpoint_dir(s.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    s = materialize(s.select(*CELL, "ship_date", TIME, COST))
+    cut = s.agg(F.date_sub(F.max("ship_date"), F.floor(F.datediff(F.max("ship_date"), F.min("ship_date")) / 10).cast("int")).alias("d")).first()["d"]
+    if cut is not None:
+        load_cube_days(s.where((F.col("ship_date") <= F.lit(cut)) | F.col("ship_date").isNull()), path)
+        load_cube_days(s.where(F.col("ship_date") >= F.lit(cut)), path)
+        return cube_from_store(s.sparkSession, path)
+    return percentile_cube(s)
+
+
 def distribution_metadata(s: DataFrame) -> DataFrame:
     """Per service x zone x metric: mean, std, median, min, max, count."""
     long = s.select("service_level", F.col("dest_zone").alias("zone"), F.explode(F.array(

@@ -102,6 +102,7 @@ def _a12():
 
 
 ORACLE["stored_percentile_cube"] = ORACLE["percentile_cube"]
+ORACLE["incremental_percentile_cube"] = ORACLE["percentile_cube"]
 
 
 @oracle("distribution_metadata")
@@ -482,6 +483,41 @@ def _e30():
     return f"SELECT origin_zone, dest_zone, {z} FROM (SELECT origin_zone, dest_zone, {cols} FROM shipments GROUP BY 1, 2) lp"
 
 
+def segments_sql(k: int = 4, restarts: int = 10, rounds: int = 40) -> str:
+    """CTEs up to ``seg`` (origin_zone, dest_zone, segment, features): Lloyd's rounds, one after the other."""
+    x = [f"x{i}" for i in range(len(LANE_F))]
+    cols = ", ".join(f"{eavg(c)} AS {c}" for c in LANE_F)
+    z = ", ".join(f"CASE WHEN stddev_pop({c}) OVER () > 0 THEN ({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () ELSE 0e0 END AS {v}" for c, v in zip(LANE_F, x))
+    dist = " + ".join(f"(z.{v} - c.{v}) * (z.{v} - c.{v})" for v in x)
+    parts = [f"lp AS MATERIALIZED (SELECT origin_zone, dest_zone, {cols} FROM shipments GROUP BY 1, 2)",
+             f"z AS MATERIALIZED (SELECT *, {z}, row_number() OVER (ORDER BY origin_zone, dest_zone) - 1 AS i, count(*) OVER () AS n FROM lp)",
+             f"""c0 AS MATERIALIZED (SELECT r.r, j.j, {', '.join('z.' + v for v in x)} FROM range({restarts}) r(r) CROSS JOIN range({k}) j(j)
+  JOIN z ON z.i = (7 * r.r + j.j * z.n // least({k}, z.n)) % z.n WHERE j.j < z.n)"""]
+    for t in range(rounds + 1):
+        parts.append(f"""a{t} AS MATERIALIZED (SELECT r, j, d, i, {', '.join(x)} FROM (SELECT c.r, c.j, z.i, {', '.join('z.' + v for v in x)}, {dist} AS d,
+  row_number() OVER (PARTITION BY c.r, z.i ORDER BY {dist}, c.j) AS k FROM c{t} c CROSS JOIN z) w WHERE k = 1)""")
+        if t < rounds:
+            parts.append(f"""c{t + 1} AS MATERIALIZED (SELECT c.r, c.j, {', '.join(f'coalesce(m.{v}, c.{v}) AS {v}' for v in x)} FROM c{t} c
+  LEFT JOIN (SELECT r, j, {', '.join(f'avg({v}) AS {v}' for v in x)} FROM a{t} GROUP BY r, j) m ON m.r = c.r AND m.j = c.j)""")
+    parts += [f"best AS (SELECT r FROM a{rounds} GROUP BY r ORDER BY round(sum(d), 9), r LIMIT 1)",
+              f"lab AS (SELECT z.*, a.j FROM a{rounds} a JOIN best ON best.r = a.r JOIN z ON z.i = a.i)",
+              "num AS (SELECT j, row_number() OVER (ORDER BY mc, j) - 1 AS segment FROM (SELECT j, avg(shipping_cost_usd) AS mc FROM lab GROUP BY j) q)",
+              f"seg AS (SELECT origin_zone, dest_zone, CAST(segment AS INTEGER) AS segment, {', '.join(f'{r(c)} AS {c}' for c in LANE_F)} "
+              "FROM lab JOIN num ON num.j = lab.j)"]
+    return ", ".join(parts)
+
+
+@oracle("lane_segments")
+def _e31():
+    return f"WITH {segments_sql()} SELECT * FROM seg"
+
+
+@oracle("segment_summary")
+def _e32():
+    return f"""WITH {segments_sql()} SELECT segment, {', '.join(f'{r(f"avg({c})")} AS {c}' for c in LANE_F)}, count(*) AS lanes
+FROM seg GROUP BY segment"""
+
+
 @oracle("iqr_outliers")
 def _e33():
     return f"""WITH l AS (SELECT 'transit_time' AS metric, {T} AS v FROM shipments UNION ALL
@@ -566,7 +602,7 @@ GROUP BY 1 ORDER BY n DESC, day_of_week LIMIT 3"""
 
 @oracle("comprehensive_report")
 def _e41():
-    return f"""WITH {TREND},
+    return f"""WITH {TREND}, {segments_sql()},
 days AS (SELECT dayname(ship_date) AS k, count(*) AS n FROM shipments GROUP BY 1 ORDER BY n DESC, k LIMIT 3),
 dist AS (SELECT abs(dest_zone - origin_zone) AS k, count(*) AS n FROM shipments GROUP BY 1 ORDER BY n DESC, k LIMIT 1),
 val AS (SELECT {BAND} AS b, count(*) AS n FROM shipments WHERE {BAND} IS NOT NULL GROUP BY 1),
@@ -579,6 +615,8 @@ SELECT 'temporal' AS section, 'top_shipping_day' AS metric, k AS key, CAST(n AS
 UNION ALL SELECT 'geographic', 'most_common_distance', CAST(k AS VARCHAR), CAST(n AS DOUBLE) FROM dist
 UNION ALL SELECT 'package', b || '_count', NULL, CAST(n AS DOUBLE) FROM val
 UNION ALL SELECT 'performance', 'fastest_carrier', k, {r('m')} FROM fast
+UNION ALL SELECT 'segmentation', 'segments', NULL, CAST(count(DISTINCT segment) AS DOUBLE) FROM seg
+UNION ALL SELECT 'segmentation', 'zone_pairs', CAST(segment AS VARCHAR), CAST(count(*) AS DOUBLE) FROM seg GROUP BY segment
 UNION ALL SELECT 'anomalies', 'transit_outliers', NULL, CAST(oc AS DOUBLE) FROM toc
 UNION ALL SELECT 'anomalies', 'transit_outlier_pct', NULL, {r('oc / n * 1e2')} FROM toc
 UNION ALL SELECT 'insights', 'trend_slope', CASE WHEN slope < 0 THEN 'Improving' ELSE 'Declining' END, {r('slope')} FROM tr

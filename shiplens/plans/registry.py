@@ -42,6 +42,7 @@ register("carrier_zone_summary")(su.carrier_zone_summary)
 register("carrier_zone_percentile")(su.carrier_zone_percentile)
 register("percentile_cube")(su.percentile_cube)
 register("stored_percentile_cube")(su.stored_percentile_cube)
+register("incremental_percentile_cube")(su.incremental_percentile_cube)
 register("distribution_metadata")(su.distribution_metadata)
 register("summary_rollup")(su.summary_rollup)
 

@@ -16,7 +16,7 @@ COLS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "g
 
 def brute(rows):
     """(doc_id, text) rows, token by token."""
-    a, b, _ = al.tokenizers_at(A_PATH, B_PATH)
+    a, b = al.ByteLevel(A_PATH, plain=False), al.Pieces(B_PATH)     # the tokenizer file itself
     docs = []
     for doc_id, text in rows:
         groups, ids = [], ([], [])
@@ -114,3 +114,24 @@ def test_registered_query(spark):
     got = QUERIES["op12_align_tokenizers"](spark, "/root/testdata/sf0.001")
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     assert table(got, *COLS) == brute(rows)
+
+
+def test_rank_table_gives_the_ids_of_the_file(rows):
+    """Every code point beside letters, digits and spaces, and the fixture's texts."""
+    fast, slow = al.ByteLevel(A_PATH), al.ByteLevel(A_PATH, plain=False)
+    assert fast.fast is not None and slow.fast is None and fast.pieces == slow.pieces
+    chars = [chr(c) for c in range(0x20000) if not 0xD800 <= c < 0xE000]
+    texts = [f"a{c}1{c} {c}  {c}{c}'s{c}" for c in chars] + [r[1] for r in rows if r[1]]
+    for x, y in zip(fast.encode(texts), slow.encode(texts)):
+        assert np.array_equal(x, y)
+
+
+def test_other_files_are_run_as_they_are(tmp_path):
+    """A file with another cut, or merges out of order, is no rank table."""
+    import json
+    spec = json.loads(open(A_PATH, encoding="utf-8").read())
+    for name, change in (("cut", {"pre_tokenizer": dict(spec["pre_tokenizer"], add_prefix_space=True)}),
+                         ("order", {"model": dict(spec["model"], merges=spec["model"]["merges"][1:] + spec["model"]["merges"][:1])})):
+        p = tmp_path / name
+        p.write_text(json.dumps({**spec, **change}), encoding="utf-8")
+        assert al.ByteLevel(str(p)).fast is None

@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from statistics import NormalDist
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiplens.functions.quantiles import null_safe_join, percentiles
-from shiplens.functions.stats import COST, TIME, cnt, exact_avg, r6, r9
+from shiplens.functions.stats import COST, TIME, cnt, exact_avg, normal_quantile, normal_upper, polynomial, r6, r9
 from shiplens.session import materialize_small
 
 METRIC_NAMES = {"transit_time": TIME, "shipping_cost": COST}
@@ -87,97 +83,58 @@ def jarque_bera(s: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ Shapiro-Wilk
 SW_SAMPLE = 5000
-
-
-def _swilk(x: np.ndarray) -> tuple[float, float]:
-    """Shapiro-Wilk W and p-value, Royston (1995) algorithm AS R94, 3 <= n <= 5000."""
-    x = np.sort(np.asarray(x, dtype=float))
-    n = len(x)
-    if n < 3 or x[-1] - x[0] <= 0:
-        return float("nan"), float("nan")
-    nd = NormalDist()
-    # AS R94 polynomial coefficients (Royston 1995).
-    c1 = [0.0, 0.221157, -0.147981, -2.071190, 4.434685, -2.706056]
-    c2 = [0.0, 0.042981, -0.293762, -1.752461, 5.682633, -3.582633]
-    if n == 3:
-        a = np.array([-math.sqrt(0.5), 0.0, math.sqrt(0.5)])
-    else:
-        m = np.array([nd.inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
-        mm = float(np.dot(m, m))
-        u = 1.0 / math.sqrt(n)
-        c = m / math.sqrt(mm)
-        poly = lambda cs: sum(cs[k] * u ** k for k in range(len(cs)))
-        an = c[-1] + poly(c1)
-        a = m.copy()
-        if n > 5:
-            an1 = c[-2] + poly(c2)
-            phi = (mm - 2 * m[-1] ** 2 - 2 * m[-2] ** 2) / (1 - 2 * an ** 2 - 2 * an1 ** 2)
-            a = m / math.sqrt(phi)
-            a[-1], a[-2], a[0], a[1] = an, an1, -an, -an1
-        else:
-            phi = (mm - 2 * m[-1] ** 2) / (1 - 2 * an ** 2)
-            a = m / math.sqrt(phi)
-            a[-1], a[0] = an, -an
-    xc = x - x.mean()
-    w = float(np.dot(a, x) ** 2 / np.dot(xc, xc))
-    w = min(w, 1.0)
-    if n == 3:
-        p = 6.0 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75)))
-        return w, max(0.0, min(1.0, p))
-    if n <= 11:
-        gamma = -2.273 + 0.459 * n
-        mu = 0.5440 - 0.39978 * n + 0.025054 * n ** 2 - 0.0006714 * n ** 3
-        sig = math.exp(1.3822 - 0.77857 * n + 0.062767 * n ** 2 - 0.0020322 * n ** 3)
-        if 1 - w <= 0 or gamma - math.log(1 - w) <= 0:
-            return w, 0.0 if w < 1 else 1.0
-        z = (-math.log(gamma - math.log(1 - w)) - mu) / sig
-    else:
-        ln = math.log(n)
-        mu = -1.5861 - 0.31082 * ln - 0.083751 * ln ** 2 + 0.0038915 * ln ** 3
-        sig = math.exp(-0.4803 - 0.082676 * ln + 0.0030302 * ln ** 2)
-        if 1 - w <= 0:
-            return w, 1.0
-        z = (math.log(1 - w) - mu) / sig
-    return w, 1.0 - nd.cdf(z)
-
-
-SW_SCHEMA = ("service_level string, zone int, metric string, n_sample long, "
-             "shapiro_wilk_statistic double, shapiro_wilk_p_value double, is_normal_p05 boolean")
-
-
-def _sw_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    w, p = _swilk(pdf["v"].to_numpy())
-    return pd.DataFrame({"service_level": [pdf["service_level"].iloc[0]],
-                         "zone": [int(pdf["zone"].iloc[0])], "metric": [pdf["metric"].iloc[0]],
-                         "n_sample": [len(pdf)], "shapiro_wilk_statistic": [w],
-                         "shapiro_wilk_p_value": [p], "is_normal_p05": [bool(p > 0.05)]})
+# AS R94 polynomial coefficients (Royston 1995) of the last two weights and of the
+# transformed statistic's mean and logarithmic deviation, for 4..11 values and for 12 or more.
+SW_LAST = [0.0, 0.221157, -0.147981, -2.071190, 4.434685, -2.706056]
+SW_SECOND = [0.0, 0.042981, -0.293762, -1.752461, 5.682633, -3.582633]
+SW_GAMMA = [-2.273, 0.459]
+SW_SMALL = ([0.5440, -0.39978, 0.025054, -0.0006714], [1.3822, -0.77857, 0.062767, -0.0020322])
+SW_LARGE = ([-1.5861, -0.31082, -0.083751, 0.0038915], [-0.4803, -0.082676, 0.0030302])
 
 
 def shapiro_wilk(s: DataFrame, sample: int = SW_SAMPLE) -> DataFrame:
-    """Shapiro-Wilk on a deterministic sample of <= ``sample`` rows per group.
-
-    The sample is the ``sample`` rows with the smallest 64-bit hash of the
-    whole fact row (rows are distinct).  A distributed Bernoulli pre-filter
-    on that hash, with a rate sized from the group count plus a wide binomial
-    margin, shrinks every group to about ``sample`` rows before the
-    per-group window, so no task ranks a whole large group and the grouped
-    pandas function sees at most ``sample`` rows.
+    """Shapiro-Wilk on a deterministic sample of <= ``sample`` rows per group, as aggregates.
+
+    The sample is the ``sample`` rows with the smallest md5 of order, line and metric.  A
+    Bernoulli pre-filter on that hash, with a rate sized from the group count plus a wide binomial
+    margin, shrinks every group to about ``sample`` rows before the per-group window.  Ranks give
+    each value its normal score; W follows from sums over scores and values and from the two
+    values at either end, so no group is handed to Python.  Groups of fewer than three values,
+    or of equal ones, have no W.
     """
-    hashed = s.withColumn("_rowhash", F.xxhash64(*s.columns))
-    long = hashed.select("service_level", F.col("dest_zone").alias("zone"), "_rowhash", F.explode(
+    key = F.md5(F.concat_ws("|", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"), F.col("metric")))
+    long = s.select("l_orderkey", "l_linenumber", "service_level", F.col("dest_zone").alias("zone"), F.explode(
         F.array(*[F.struct(F.lit(m).alias("metric"), F.col(c).alias("v"))
                   for m, c in METRIC_NAMES.items()])).alias("_m")
-    ).select("service_level", "zone", "_m.metric", "_m.v", "_rowhash")
-    long = long.where(F.col("v").isNotNull())
-    # uniform in [0, 1) from the hash
-    u = F.col("_rowhash").cast("double") / F.lit(float(2 ** 64)) + F.lit(0.5)
+    ).select("service_level", "zone", "_m.metric", "_m.v", "l_orderkey", "l_linenumber").where("v IS NOT NULL") \
+        .select(*CELL, "v", key.alias("_h"))
+    u = F.conv(F.substring("_h", 1, 8), 16, 10).cast("double") / F.lit(float(2 ** 32))
     n = long.groupBy(*CELL).agg(F.count(F.lit(1)).alias("_n"))
-    keep_rate = F.least(F.lit(1.0), (F.lit(float(sample)) + F.lit(8.0) * F.sqrt(F.lit(float(sample)))
-                                     + F.lit(64.0)) / F.col("_n"))
-    pre = null_safe_join(long, n, CELL).where(u < keep_rate)
-    w = Window.partitionBy(*CELL).orderBy("_rowhash", "v")
-    smp = pre.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= sample)
-    return smp.select(*CELL, "v").groupBy(*CELL).applyInPandas(_sw_group, SW_SCHEMA)
+    rate = F.least(F.lit(1.0), (F.lit(float(sample)) + F.lit(8.0) * F.sqrt(F.lit(float(sample))) + F.lit(64.0)) / F.col("_n"))
+    group = Window.partitionBy(*CELL)
+    taken = null_safe_join(long, n, CELL).where(u < rate).withColumn("_k", F.row_number().over(group.orderBy("_h", "v"))) \
+        .where(F.col("_k") <= sample)
+    ranked = taken.select(*CELL, "v", F.row_number().over(group.orderBy("v", "_h")).alias("i"), F.count(F.lit(1)).over(group).alias("n")) \
+        .withColumn("p", (F.col("i") - F.lit(0.375)) / (F.col("n") + F.lit(0.25))).withColumn("m", F.expr(normal_quantile("p")))
+    at = lambda k, c: F.max(F.when(F.col("i") == k, F.col(c)))
+    g = ranked.groupBy(*CELL).agg(
+        F.max("n").alias("n"), F.sum(F.col("m") * F.col("v")).alias("mx"), F.sum(F.col("m") * F.col("m")).alias("mm"),
+        at(F.col("n"), "m").alias("mn"), at(F.col("n") - 1, "m").alias("mn1"), (at(F.col("n"), "v") - at(F.lit(1), "v")).alias("d1"),
+        (at(F.col("n") - 1, "v") - at(F.lit(2), "v")).alias("d2"), (F.var_pop("v") * F.count("v")).alias("ss"))
+    u_ = "(1e0 / sqrt(n))"
+    g = g.withColumn("an", F.expr(f"mn / sqrt(mm) + {polynomial(SW_LAST, u_)}")).withColumn("an1", F.expr(f"mn1 / sqrt(mm) + {polynomial(SW_SECOND, u_)}"))
+    line = F.expr("""CASE WHEN n = 3 THEN sqrt(0.5e0) * d1
+        WHEN n <= 5 THEN (mx - mn * d1) / sqrt((mm - 2 * mn * mn) / (1 - 2 * an * an)) + an * d1
+        ELSE (mx - mn * d1 - mn1 * d2) / sqrt((mm - 2 * mn * mn - 2 * mn1 * mn1) / (1 - 2 * an * an - 2 * an1 * an1)) + an * d1 + an1 * d2 END""")
+    g = g.withColumn("w", F.when((F.col("n") >= 3) & (F.col("d1") > 0), F.least(F.lit(1.0), line * line / F.col("ss"))))
+    few, many = (f"({y} - {polynomial(c[0], x)}) / exp({polynomial(c[1], x)})" for y, x, c in (
+        (f"-ln({polynomial(SW_GAMMA, 'n')} - ln(1 - w))", "n", SW_SMALL), ("ln(1 - w)", "ln(n)", SW_LARGE)))
+    g = g.withColumn("z", F.expr(f"CASE WHEN w IS NULL OR w >= 1 THEN NULL WHEN n <= 11 THEN {few} ELSE {many} END"))
+    p = F.expr(f"""CASE WHEN w IS NULL THEN NULL WHEN n = 3 THEN least(1e0, greatest(0e0, 6 / pi() * (asin(sqrt(w)) - asin(sqrt(0.75e0)))))
+        WHEN w >= 1 THEN 1e0 WHEN n <= 11 AND {polynomial(SW_GAMMA, 'n')} - ln(1 - w) <= 0 THEN 0e0 ELSE {normal_upper('z')} END""")
+    g = g.withColumn("_p", p)
+    return g.select(*CELL, F.col("n").cast("long").alias("n_sample"), r6("w").alias("shapiro_wilk_statistic"), r6("_p").alias("shapiro_wilk_p_value"),
+                    F.coalesce(F.col("_p") > 0.05, F.lit(False)).alias("is_normal_p05"))
 
 
 def histogram(s: DataFrame, service_level: str = "STANDARD", zone: int = 5,

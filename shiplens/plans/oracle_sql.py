@@ -518,6 +518,37 @@ def _e32():
 FROM seg GROUP BY segment"""
 
 
+@oracle("shapiro_wilk")
+def _e7a():
+    from shiplens.functions.stats import normal_quantile, normal_upper
+    poly = lambda cs, x: " + ".join(f"({float(c)!r}e0) * power({x}, {k})" for k, c in enumerate(cs))
+    # fixed values: AS R94 polynomials
+    last, second = poly([0, .221157, -.147981, -2.07119, 4.434685, -2.706056], "u"), poly([0, .042981, -.293762, -1.752461, 5.682633, -3.582633], "u")
+    gamma = "(-2.273e0 + 0.459e0 * n)"
+    few = f"(-ln({gamma} - ln(1 - w)) - ({poly([.544, -.39978, .025054, -.0006714], 'n')})) / exp({poly([1.3822, -.77857, .062767, -.0020322], 'n')})"
+    many = f"(ln(1 - w) - ({poly([-1.5861, -.31082, -.083751, .0038915], 'ln(n)')})) / exp({poly([-.4803, -.082676, .0030302], 'ln(n)')})"
+    return f"""WITH l AS (SELECT service_level, dest_zone AS zone, 'transit_time' AS metric, {T} AS v, l_orderkey, l_linenumber FROM shipments
+  UNION ALL SELECT service_level, dest_zone, 'shipping_cost', {C}, l_orderkey, l_linenumber FROM shipments),
+h AS (SELECT *, md5(concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), metric)) AS h FROM l WHERE v IS NOT NULL),
+k AS (SELECT *, row_number() OVER (PARTITION BY service_level, zone, metric ORDER BY h, v) AS k FROM h),
+o AS (SELECT *, row_number() OVER (PARTITION BY service_level, zone, metric ORDER BY v, h) AS i,
+        count(*) OVER (PARTITION BY service_level, zone, metric) AS n FROM k WHERE k <= 5000),
+pp AS (SELECT *, (i - 0.375e0) / (n + 0.25e0) AS p FROM o),
+m AS (SELECT *, {normal_quantile('p')} AS m FROM pp),
+a AS (SELECT service_level, zone, metric, max(n) AS n, 1e0 / sqrt(max(n)) AS u, sqrt(sum(m * m)) AS len, list(v ORDER BY i) AS x, list(m ORDER BY i) AS ms,
+        sum(m * m) AS mm, sum(m * v) AS mx, var_pop(v) * count(*) AS ss FROM m GROUP BY 1, 2, 3),
+b AS (SELECT *, x[-1] - x[1] AS d1, x[-2] - x[2] AS d2, ms[-1] AS e1, ms[-2] AS e2, ms[-1] / len + {last} AS an, ms[-2] / len + {second} AS an1 FROM a),
+c AS (SELECT *, CASE WHEN n < 3 OR d1 <= 0 THEN NULL WHEN n = 3 THEN sqrt(0.5e0) * d1
+        WHEN n <= 5 THEN (mx - e1 * d1) * sqrt((1 - 2 * an * an) / (mm - 2 * e1 * e1)) + an * d1
+        ELSE (mx - e1 * d1 - e2 * d2) * sqrt((1 - 2 * an * an - 2 * an1 * an1) / (mm - 2 * e1 * e1 - 2 * e2 * e2)) + an * d1 + an1 * d2 END AS s FROM b),
+w AS (SELECT *, least(1e0, s * s / ss) AS w FROM c),
+z AS (SELECT *, CASE WHEN w IS NULL OR w >= 1 THEN NULL WHEN n <= 11 THEN CASE WHEN {gamma} - ln(1 - w) > 0 THEN {few} END ELSE {many} END AS z FROM w),
+f AS (SELECT *, CASE WHEN s IS NULL THEN NULL WHEN n = 3 THEN least(1e0, greatest(0e0, 6 / pi() * (asin(sqrt(w)) - asin(sqrt(0.75e0)))))
+        WHEN w >= 1 THEN 1e0 WHEN z IS NULL THEN 0e0 ELSE {normal_upper('z')} END AS p FROM z)
+SELECT service_level, zone, metric, CAST(n AS BIGINT) AS n_sample, {r('CASE WHEN s IS NOT NULL THEN w END')} AS shapiro_wilk_statistic,
+  {r('p')} AS shapiro_wilk_p_value, coalesce(p > 0.05, false) AS is_normal_p05 FROM f"""
+
+
 @oracle("iqr_outliers")
 def _e33():
     return f"""WITH l AS (SELECT 'transit_time' AS metric, {T} AS v FROM shipments UNION ALL

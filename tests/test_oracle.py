@@ -15,8 +15,7 @@ def con(sf_dir):
 
 def test_every_query_has_oracle_or_is_model():
     rows_only = {n for n in QUERIES if n not in ORACLE}
-    assert rows_only <= {"shapiro_wilk", "model_eval", "lane_segments", "segment_summary", "train_time_model",
-                         "train_cost_model", "quantile_predictions", "batch_predict", "predict_with_quantiles",
+    assert rows_only <= {"model_eval", "zones_model_eval", "train_time_model", "train_cost_model", "quantile_predictions", "batch_predict", "predict_with_quantiles",
                          "predict_transit_only", "predict_cost_only"}
 
 

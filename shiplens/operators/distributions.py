@@ -122,8 +122,8 @@ def shapiro_wilk(s: DataFrame, sample: int = SW_SAMPLE) -> DataFrame:
         at(F.col("n"), "m").alias("mn"), at(F.col("n") - 1, "m").alias("mn1"), (at(F.col("n"), "v") - at(F.lit(1), "v")).alias("d1"),
         (at(F.col("n") - 1, "v") - at(F.lit(2), "v")).alias("d2"), (F.var_pop("v") * F.count("v")).alias("ss"))
     u_ = "(1e0 / sqrt(n))"
-    g = g.withColumn("an", F.expr(f"mn / sqrt(mm) + {polynomial(SW_LAST, u_)}")).withColumn("an1", F.expr(f"mn1 / sqrt(mm) + {polynomial(SW_SECOND, u_)}"))
-    line = F.expr("""CASE WHEN n = 3 THEN sqrt(0.5e0) * d1
+    g = g.withColumn("an", F.expr(f"mn / nullif(sqrt(mm), 0e0) + {polynomial(SW_LAST, u_)}")).withColumn("an1", F.expr(f"mn1 / nullif(sqrt(mm), 0e0) + {polynomial(SW_SECOND, u_)}"))
+    line = F.expr("""CASE WHEN n < 3 THEN NULL WHEN n = 3 THEN sqrt(0.5e0) * d1
         WHEN n <= 5 THEN (mx - mn * d1) / sqrt((mm - 2 * mn * mn) / (1 - 2 * an * an)) + an * d1
         ELSE (mx - mn * d1 - mn1 * d2) / sqrt((mm - 2 * mn * mn - 2 * mn1 * mn1) / (1 - 2 * an * an - 2 * an1 * an1)) + an * d1 + an1 * d2 END""")
     g = g.withColumn("w", F.when((F.col("n") >= 3) & (F.col("d1") > 0), F.least(F.lit(1.0), line * line / F.col("ss"))))

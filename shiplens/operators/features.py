@@ -345,6 +345,25 @@ def with_route_medians(rows: DataFrame, fallback_from: DataFrame, history: DataF
         "route_30d_median_cost", F.coalesce("route_30d_median_cost", "_gc")).drop("_gt", "_gc")
 
 
+def route_median_table(history: DataFrame, days: int = WINDOW_DAYS) -> tuple[DataFrame, DataFrame]:
+    """M4 as a table: (route, ship_date, trailing medians) for every day a route has a frame on, its last
+    one included, and the one row of global medians (``_gt``, ``_gc``)."""
+    s = materialize(history)
+    h = materialize(with_keys(s).select("route", "ship_date", TIME, COST))
+    served = h.where("route IS NOT NULL AND ship_date IS NOT NULL").select("route", "ship_date").distinct().select(
+        "route", F.explode(F.sequence(F.date_add("ship_date", 1), F.date_add("ship_date", days))).alias("ship_date")).distinct()
+    return rolling_route_medians(served, h, days=days), _global_medians(s)
+
+
+def with_stored_medians(rows: DataFrame, medians: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """The medians of :func:`route_median_table` joined to rows of (route, ship_date); a route without a
+    frame on that day gets the global ones (one-row broadcast)."""
+    known, overall = medians
+    out = rows.join(known, ["route", "ship_date"], "left").crossJoin(F.broadcast(overall))
+    return out.withColumn("route_30d_median_time", F.coalesce("route_30d_median_time", "_gt")).withColumn(
+        "route_30d_median_cost", F.coalesce("route_30d_median_cost", "_gc")).drop("_gt", "_gc")
+
+
 def route_30d_median(s: DataFrame, train_only: bool = False) -> DataFrame:
     """M3: trailing 30-day route medians of time and cost; a row without history gets the
     global median of all rows (``train_only``: of the train split)."""
@@ -421,13 +440,14 @@ def feature_matrix_zones(s: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------- M13
-def zone_only_features(req: DataFrame, enc: DataFrame, history: DataFrame | None = None) -> DataFrame:
+def zone_only_features(req: DataFrame, enc: DataFrame, history: DataFrame | None = None,
+                       medians: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """M13 core: serving features of requests that carry one ``zone``: route 'z->z',
     origin = dest = z, encodings with prior fallback.
 
-    With a shipment ``history`` the rolling medians are those of M4 (an undated request is
-    dated by P19, a route without history gets the global medians); without, they are
-    the fixed serving values.
+    With a shipment ``history``, or its stored ``medians`` (:func:`route_median_table`), the rolling
+    medians are those of M4 (an undated request is dated by P19, a route without history gets the
+    global medians); without, they are the fixed serving values.
     """
     q = req.select("*", sc.route_key(F.col("zone"), F.col("zone")).alias("route"),
                    F.col("zone").alias("origin_zone"), F.col("zone").alias("dest_zone"),
@@ -436,7 +456,9 @@ def zone_only_features(req: DataFrame, enc: DataFrame, history: DataFrame | None
                    F.weekday("ship_date").alias("dow"), F.month("ship_date").alias("month"))
     q = q.select("*", *sc.cyclical(F.col("dow"), 7, "dow"), *sc.cyclical(F.col("month"), 12, "month"),
                  *sc.package_columns())
-    if history is None:
+    if medians is not None:
+        q = with_stored_medians(q.withColumn("ship_date", sc.default_ship_date(F.col("ship_date"), AS_OF_DATE)), medians)
+    elif history is None:
         q = q.select("*", F.lit(rd.ZONE_ONLY_MEDIAN_TIME).alias("route_30d_median_time"),
                      F.lit(rd.ZONE_ONLY_MEDIAN_COST).alias("route_30d_median_cost"))
     else:

@@ -147,16 +147,19 @@ def fit_zones(ft: DataFrame, **overrides) -> dict:
     return dict(out, **fit_bounds(ft, out, ["zones"], **overrides), training_table=ft)
 
 
-def batch_predict(req: DataFrame, models: dict, quantiles: bool = False, history: DataFrame | None = None) -> DataFrame:
+def batch_predict(req: DataFrame, models: dict, quantiles: bool = False, history: DataFrame | None = None,
+                  medians: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """M10 (and M12 with ``quantiles``): validate every request, build serving features, score
     both targets (rounded to 2 decimals); invalid rows get success = false.
 
-    With a shipment ``history``: trailing route medians of M4 and the serving encodings of M5.
-    Without (also on a stream): the zone-only features of M13.
+    With a shipment ``history``, or its stored ``medians`` (``features.route_median_table``; what a
+    stream uses): trailing route medians of M4 and the serving encodings of M5.  Without: the
+    zone-only features of M13.
     """
     from shiplens.operators.quality import validation_reasons
     x = req.withColumn("reasons", validation_reasons())
-    f = fe.zone_only_features(x, models["encodings" if history is None else "serving"], history)
+    plain = history is None and medians is None
+    f = fe.zone_only_features(x, models["encodings" if plain else "serving"], history, medians)
     for t in ("time", "cost"):
         f = point_predictions(f, models[f"model_{t}"], t)
         if quantiles:

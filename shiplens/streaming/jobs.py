@@ -3,10 +3,13 @@
 The same transformation functions run on a static DataFrame (batch twin, the
 oracle-checked query) and on a streaming one (``readStream`` file source):
 
-* S1 daily prediction counts: watermark 30 days, tumbling 1-day windows, update mode,
-  the changed days upserted into a durable table; late rows are counted;
+* S1 daily prediction counts: watermark 30 days, tumbling 1-day windows, ``foreachBatch``
+  adding each batch's days to a durable table; rows behind the watermark of the batch
+  before are left out and counted exactly;
 * S2 response-time stats: ``foreachBatch`` keeping a <= 1000-row tail table;
-* S3 stream scoring: requests validated and scored, appended to a sink;
+* S3 stream scoring: requests validated and scored, appended to a sink; with a fitted
+  pipeline also on route history, from a stored table of trailing medians that is read
+  anew in every micro-batch;
 * S4 incremental service summary: mergeable streaming aggregates, update mode, upserted
   into a durable table.
 
@@ -26,6 +29,7 @@ from pyspark.sql import functions as F
 from shiplens.functions import scalars as sc
 from shiplens.functions.stats import COST, TIME, cnt, exact_avg, r6
 from shiplens.operators.quality import validation_reasons
+from shiplens.session import materialize_small
 from shiplens.sources import tables as tb
 
 KEEP_DAYS = 30
@@ -152,17 +156,37 @@ def _last_days(d: DataFrame, keep_days: int = KEEP_DAYS) -> DataFrame:
 
 def start_daily_counts(spark: SparkSession, sf_dir: str, out_dir: str, base: str | None = None,
                        available_now: bool = True, events: DataFrame | None = None):
-    """S1 stream: success events -> 1-day tumbling windows, watermark 30 days, update mode; each
-    batch upserts its changed days below ``out_dir`` (the last 30 days stay)."""
+    """S1 stream: success events -> 1-day tumbling windows; each batch adds its days to the table
+    below ``out_dir`` (the last 30 days stay).
+
+    A row is late when its day had ended by the watermark: the latest event time of the batches
+    before, less 30 days.  Late rows change no day; their number is kept beside the table.
+    State is the table itself (a few dozen rows and one of totals), so a replayed batch starts
+    from its predecessor's state and a restart goes on where the stream stopped.
+    """
     ev = tb.prediction_events(spark, sf_dir, events if events is not None else tb.stream_table(spark, sf_dir, "events"))
-    # event time must be a session-zone TIMESTAMP for the watermark (the files hold NTZ; zone is UTC)
-    ev = ev.withColumn("ts", F.col("ts").cast("timestamp"))
-    agg = (ev.where("success").withWatermark("ts", f"{KEEP_DAYS} days")
-           .groupBy(F.window("ts", "1 day").alias("w")).agg(cnt().alias("n"))
-           .select(F.to_date(F.col("w.start")).alias("day"), "n"))
-    w = (agg.writeStream.outputMode("update").foreachBatch(_upsert(out_dir, "day", _last_days))
-         .option("checkpointLocation", _ckpt(spark, "daily_counts", base)))
-    return (w.trigger(availableNow=True) if available_now else w).start()
+    ev = ev.where("success").select(F.col("ts").cast("timestamp").alias("ts"))
+
+    def merge(batch: DataFrame, epoch: int):
+        sp = batch.sparkSession
+        days, totals = _read_epoch(sp, out_dir, below=epoch), _read_epoch(sp, f"{out_dir}/late", below=epoch)
+        last = totals.first() if totals is not None else None           # one row
+        edge = None if last is None or last["latest"] is None else last["latest"] - KEEP_DAYS * 86_400_000_000
+        ended = F.unix_micros(F.date_add("day", 1).cast("timestamp"))
+        new = materialize_small(batch.groupBy(F.to_date("ts").alias("day")).agg(cnt().alias("n"), F.max(F.unix_micros("ts")).alias("latest"))
+                                .withColumn("late", F.lit(False) if edge is None else ended <= edge))   # a row a day
+        fresh = new.where("NOT late").select("day", "n")
+        both = fresh if days is None else days.unionByName(fresh).groupBy("day").agg(F.sum("n").alias("n"))
+        _write_epoch(_last_days(both), out_dir, epoch)
+        one = new.agg(F.max("latest").alias("latest"), F.coalesce(F.sum(F.when(F.col("late"), F.col("n"))), F.lit(0)).alias("late"))
+        if last is not None:
+            one = one.select(F.greatest("latest", F.lit(last["latest"]).cast("long")).alias("latest"), (F.col("late") + last["late"]).alias("late"))
+        _write_epoch(one, f"{out_dir}/late", epoch)
+
+    w = ev.writeStream.foreachBatch(merge).option("checkpointLocation", _ckpt(spark, "daily_counts", base))
+    q = (w.trigger(availableNow=True) if available_now else w).start()
+    q.late_dir = f"{out_dir}/late"
+    return q
 
 
 def read_daily_counts(spark: SparkSession, out_dir: str) -> DataFrame:
@@ -171,13 +195,10 @@ def read_daily_counts(spark: SparkSession, out_dir: str) -> DataFrame:
 
 
 def late_rows(query) -> int:
-    """Spark's count of rows dropped because they came after the watermark; 0 means none.
-
-    Rows are summed per task and day before the state operators drop them, and each state
-    operator of the plan counts for itself, so it tells that and where rows were late, not
-    their exact number."""
-    return sum(op.numRowsDroppedByWatermark if hasattr(op, "numRowsDroppedByWatermark") else op["numRowsDroppedByWatermark"]
-               for p in query.recentProgress for op in (p.stateOperators if hasattr(p, "stateOperators") else p["stateOperators"]))
+    """Number of rows that came behind the watermark, over all runs of the stream so far."""
+    spark = SparkSession.getActiveSession()
+    totals = _read_epoch(spark, query.late_dir)
+    return totals.first()["late"] if totals is not None else 0
 
 
 def start_response_tail(spark: SparkSession, sf_dir: str, tail_dir: str, base: str | None = None,
@@ -229,6 +250,33 @@ def start_model_score(spark: SparkSession, sf_dir: str, out_dir: str, models: di
     return (w.trigger(availableNow=True) if available_now else w).start()
 
 
+def store_route_medians(history: DataFrame, table_dir: str, epoch: int = 0) -> None:
+    """S3: the trailing medians of every route and day that ``history`` has a frame for, and the global
+    ones, as the next epoch below ``table_dir``.  Run it again as history grows; streams take
+    the latest complete epoch."""
+    from shiplens.operators import features as fe
+    known, overall = fe.route_median_table(history)
+    _write_epoch(overall, f"{table_dir}/overall", epoch)
+    _write_epoch(known, f"{table_dir}/routes", epoch)
+
+
+def start_history_score(spark: SparkSession, sf_dir: str, out_dir: str, models: dict, table_dir: str, base: str | None = None,
+                        available_now: bool = True):
+    """S3 stream on history: each micro-batch of requests is joined to the stored route medians as of
+    its dates (read anew, so a refreshed table counts from the next batch on) and scored like
+    ``batch_predict`` with a history.  One folder per micro-batch; a replay overwrites its own."""
+    from shiplens.operators.models import batch_predict
+    req = tb.requests(spark, sf_dir, tb.stream_table(spark, sf_dir, "lineitem"))
+
+    def score(batch: DataFrame, epoch: int):
+        sp = batch.sparkSession
+        medians = _read_epoch(sp, f"{table_dir}/routes"), _read_epoch(sp, f"{table_dir}/overall")
+        batch_predict(batch, models, medians=medians).write.mode("overwrite").parquet(f"{out_dir}/epoch={epoch}")
+
+    w = req.writeStream.foreachBatch(score).option("checkpointLocation", _ckpt(spark, "history_score", base))
+    return (w.trigger(availableNow=True) if available_now else w).start()
+
+
 def start_service_summary(spark: SparkSession, sf_dir: str, out_dir: str, base: str | None = None,
                           available_now: bool = True):
     """S4 stream: lineitem arrivals joined to the static dimensions, per-service running

@@ -94,6 +94,21 @@ def test_stream_scores_with_the_pipeline(spark, sf_dir, fitted, tmp_dir):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
 
 
+def test_stream_scores_on_history(spark, sf_dir, fitted, tmp_dir):
+    """The stream with stored route medians equals the batch scorer with the history; a refreshed table
+    counts from the next batch on."""
+    from shiplens.streaming import jobs as sj
+    s, models = fitted
+    some = s.where("ship_date < DATE'1995-01-01'")
+    for epoch, hist in enumerate((some, s)):
+        sj.store_route_medians(hist, tmp_dir + "/medians", epoch)
+        q = sj.start_history_score(spark, sf_dir, tmp_dir + f"/on_history{epoch}", models, tmp_dir + "/medians", base=tmp_dir + f"/h{epoch}")
+        q.awaitTermination(300)
+        got = spark.read.parquet(tmp_dir + f"/on_history{epoch}/epoch=*")
+        want = mo.batch_predict(tb.requests(spark, sf_dir), models, history=hist)
+        assert sorted(map(tuple, got.select(want.columns).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
 def test_lane_segments(spark, sf_dir):
     seg = mo.lane_segments(tb.shipments(spark, sf_dir))
     rows = seg.collect()

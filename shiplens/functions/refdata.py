@@ -126,9 +126,8 @@ REQUEST_RANGES = {
 REQUEST_REQUIRED = ["ship_date", "zone", "carrier", "service_level", "package_weight_lbs",
                     "package_length_in", "package_width_in", "package_height_in", "insurance_value"]
 
-# Zone-only serving defaults (rolling medians and encoding priors).
+# Zone-only serving defaults of the rolling medians.
 ZONE_ONLY_MEDIAN_TIME, ZONE_ONLY_MEDIAN_COST = 4.0, 15.0
-ZONE_ONLY_PRIOR_TIME, ZONE_ONLY_PRIOR_COST = 3.5, 25.0
 
 # Carriers quoted for a request.
 QUOTE_CARRIERS = ["USPS", "UPS", "FedEx"]

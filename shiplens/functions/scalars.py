@@ -60,15 +60,11 @@ def package_columns(weight="package_weight_lbs", length="package_length_in", wid
             (w / (vol + F.lit(1e0))).alias("weight_to_volume_ratio")]
 
 
-# P5 / P6 -----------------------------------------------------------------
+# P5 ---------------------------------------------------------------------
 def zone_distance(o="origin_zone", d="dest_zone") -> Column:
     return F.abs(_c(d) - _c(o))
 
 
-def cost_per_day(cost="shipping_cost_usd", days="transit_time_days") -> Column:
-    """cost / days; a zero-day row gives NULL (the reference yields inf)."""
-    return F.try_divide(_c(cost), _c(days))
-
 
 # P7 / P8 ---------------------------------------------------- ZIP -> zone
 def zip_prefix(z) -> Column:
@@ -111,8 +107,7 @@ def distance_category(origin, dest) -> Column:
     regional = F.lit(False)
     for grp in rd.REGIONAL_GROUPS:
         regional = regional | (o.isin(list(grp)) & d.isin(list(grp)))
-    return (F.when(o == d, "domestic").when(regional | ((o == "EU") & (d == "EU")), "regional")
-            .otherwise("international"))
+    return F.when(o == d, "domestic").when(regional, "regional").otherwise("international")
 
 
 # P10-P12 ---------------------------------------------------- rate cards
@@ -205,11 +200,6 @@ def weight_bins(x, mn, mx, bins: int = 10) -> Column:
     return F.when(w == 0, F.lit(1)).otherwise(F.least(F.lit(bins), F.greatest(F.lit(1), k)))
 
 
-def insurance_band(v="insurance_value") -> Column:
-    """P18: 'high_value' above 500, 'regular_value' otherwise."""
-    return F.when(_c(v) > 500, "high_value").when(_c(v) <= 500, "regular_value")
-
-
 def default_ship_date(d, as_of: str) -> Column:
     """A missing request date becomes the explicit ``as_of`` date."""
     return F.coalesce(_c(d), F.lit(as_of).cast("date"))

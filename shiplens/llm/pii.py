@@ -23,10 +23,11 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+from bisect import bisect_right
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,17 +132,22 @@ def find(text: str, lettered: bool = True) -> list[tuple[int, int, str, str]]:
     ``lettered`` False skips names (the caller knows that no title or first name occurs).
     """
     found: list[tuple[int, int, str, str]] = []
-    taken: list[tuple[int, int]] = []
+    taken: list[int] = []            # starts and ends of the spans so far, in order: no two overlap
 
     def free(a, b):
-        return all(b <= x or y <= a for x, y in taken)
+        at = bisect_right(taken, a)
+        return at % 2 == 0 and (at == len(taken) or b <= taken[at])
+
+    def take(a, b):
+        at = bisect_right(taken, a)
+        taken[at:at] = [a, b]
     for kind, pattern in PATTERNS.items():
         if kind == "email" and "@" not in text or kind == "person" and not lettered:
             continue
         if kind == "card":
             for a, b in _cards(text, free):
                 found.append((a, b, kind, _digits(text[a:b])))
-                taken.append((a, b))
+                take(a, b)
             continue
         for m in pattern.finditer(text):
             a, b = m.span()
@@ -165,7 +171,7 @@ def find(text: str, lettered: bool = True) -> list[tuple[int, int, str, str]]:
                 found.append((a, b, kind, d))
             else:
                 found.append((a, b, kind, s.lower() if kind == "email" else _digits(s) if kind in ("phone", "ssn") else s))
-            taken.append((a, b))
+            take(a, b)
     return sorted(found)
 
 
@@ -272,13 +278,13 @@ def assign(entities: DataFrame, key: bytes = KEY) -> DataFrame:
     settled = None
     while True:
         made = materialize(now.mapInArrow(_surrogater(key), schema))
-        first = Window.partitionBy("kind", "surrogate").orderBy("entity")
-        open_ = made.withColumn("place", F.row_number().over(first))
+        # a minimum is summed map-side: entities that share a surrogate never meet in one task
+        first = made.groupBy("kind", "surrogate").agg(F.min("entity").alias("first"))
         taken = real.select("kind", F.col("entity").alias("surrogate"), F.lit(True).alias("taken"))
         if settled is not None:
             taken = taken.unionAll(settled.select("kind", "surrogate", F.lit(True))).distinct()
-        open_ = open_.join(taken, ["kind", "surrogate"], "left").withColumn(
-            "ok", (F.col("place") == 1) & F.col("taken").isNull())
+        open_ = made.join(first.join(taken, ["kind", "surrogate"], "left"), ["kind", "surrogate"]).withColumn(
+            "ok", (F.col("entity") == F.col("first")) & F.col("taken").isNull())
         open_ = materialize(open_)
         done = open_.filter("ok").select("kind", "entity", "attempt", "surrogate")
         settled = done if settled is None else settled.unionAll(done)

@@ -12,8 +12,8 @@ length are cut.  Digits and signs written for letters inside a word (``1d!ot``)
 
 Each occurrence of a term has a context score: a window of ``WINDOW`` words to both sides and the
 quotation marks of its line separate a quoted or reported term from abuse that speaks to
-somebody.  A document's features are, by term, the logarithm of one plus its summed context
-scores (a misspelled one counts ``MISSPELLED``); a logistic regression weighs the terms.
+somebody.  A document's features are, by term and by group of terms, the logarithm of one plus the summed
+context scores (a misspelled one counts ``MISSPELLED``); a logistic regression weighs them.
 """
 
 from __future__ import annotations
@@ -93,6 +93,7 @@ class Lexicon:
         self.terms = [(t, False) for t in terms] + [(t, True) for t in stems]
         self.long = np.array([len(t) >= EDIT_FROM for t, _ in self.terms], bool)
         self.is_stem = np.array([stem for _, stem in self.terms], bool)
+        self.group = np.array([2 if stem else 0 if t in INSULTS else 1 for t, stem in self.terms], np.int64)
         self.alphabet = np.array(sorted({ord(c) for t, _ in self.terms for c in t}), np.int64)
         code = {int(c): i + 1 for i, c in enumerate(self.alphabet)}
         nodes, self.term_at, self.stem_at, self.stem_above = [{}], [-1], [-1], [-1]
@@ -259,13 +260,22 @@ def occurrences(texts: pa.Array, lexicon: Lexicon, cues: Cues):
     return w.row[at_], k_term[m], k_edit[m], np.repeat(score, many), w.start[at_], w.end[at_]
 
 
-def term_scores(row, term, edits, score, n_terms: int):
-    """Per document and term: log of one plus the context scores; misspellings also by themselves (term + n_terms)."""
+GROUPS = 4                 # listed insults, other terms, stems, misspellings
+
+
+def term_scores(row, term, edits, score, lexicon: "Lexicon"):
+    """Features of each document, sparse: logarithms of one plus summed context scores.
+
+    A column a term, one for its misspellings by themselves, and one for each of ``GROUPS``.
+    """
+    n = len(lexicon.terms)
     share = score * np.where(edits > 0, MISSPELLED, 1.0)
-    key = np.concatenate([row * (2 * n_terms) + term, (row * (2 * n_terms) + term + n_terms)[edits > 0]])
+    wide, wrong = 2 * n + GROUPS, edits > 0
+    group = 2 * n + np.where(wrong, 3, lexicon.group[term])
+    key = np.concatenate([row * wide + term, (row * wide + term + n)[wrong], row * wide + group])
     found, inverse = np.unique(key, return_inverse=True)
-    total = np.bincount(inverse, np.concatenate([share, share[edits > 0]]), len(found))
-    return found // (2 * n_terms), found % (2 * n_terms), np.log1p(total)
+    total = np.bincount(inverse, np.concatenate([share, share[wrong], share]), len(found))
+    return found // wide, found % wide, np.log1p(total)
 
 
 class ToxicityModel:
@@ -275,7 +285,7 @@ class ToxicityModel:
         self.lexicon, self.cues = lexicon, Cues()
         n = len(lexicon.terms)
         known = set(INSULTS)
-        self.w = np.concatenate([[PRIOR * (t in known and not stem) for t, stem in lexicon.terms], np.zeros(n)])
+        self.w = np.concatenate([[PRIOR * (t in known and not stem) for t, stem in lexicon.terms], np.zeros(n + GROUPS)])
         self.bias = -0.2
 
     def fit(self, doc: np.ndarray, col: np.ndarray, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> "ToxicityModel":
@@ -286,12 +296,13 @@ class ToxicityModel:
             self.w, self.bias = np.zeros_like(self.w), 10.0 if y[0] else -10.0
             return self
         prior, w, b, n = self.w, self.w.copy(), float(np.log(weight[y == 1].sum() / weight[y == 0].sum())), len(y)
+        pull = np.where(np.arange(len(w)) < len(w) - GROUPS, L2, L2 / 10)      # groups are few: they may weigh more
         m1, m2 = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
         total = weight.sum()
         for step in range(1, STEPS + 1):
             z = b + np.bincount(doc, w[col] * x, n)
             r = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / total
-            g = np.append(np.bincount(col, r[doc] * x, len(w)) + L2 * (w - prior), r.sum())
+            g = np.append(np.bincount(col, r[doc] * x, len(w)) + pull * (w - prior), r.sum())
             m1, m2 = 0.9 * m1 + 0.1 * g, 0.99 * m2 + 0.01 * g * g
             move = RATE * (m1 / (1 - 0.9 ** step)) / (np.sqrt(m2 / (1 - 0.99 ** step)) + 1e-8)
             w, b = w - move[:-1], b - move[-1]
@@ -300,7 +311,7 @@ class ToxicityModel:
 
     def score(self, texts: pa.Array) -> np.ndarray:
         row, term, edits, score, _, _ = occurrences(texts, self.lexicon, self.cues)
-        doc, col, x = term_scores(row, term, edits, score, len(self.lexicon.terms))
+        doc, col, x = term_scores(row, term, edits, score, self.lexicon)
         z = self.bias + np.bincount(doc, self.w[col] * x, len(texts))
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
@@ -344,7 +355,7 @@ def _rows(model):
         for batch in batches:
             for part in tx.slices(batch, "text"):
                 row, term, edits, score, _, _ = occurrences(tx.column(part, "text"), m.lexicon, m.cues)
-                doc, col, x = term_scores(row, term, edits, score, len(m.lexicon.terms))
+                doc, col, x = term_scores(row, term, edits, score, m.lexicon)
                 many = np.bincount(doc, minlength=part.num_rows)
                 yield pa.RecordBatch.from_arrays(
                     [tx.column(part, "doc_id"), tx.column(part, "toxic"), tx.list_array(col, many, pa.int32()), tx.list_array(x, many, pa.float64())],

@@ -117,3 +117,50 @@ def test_words_without_an_id_are_told_apart(spark):
     flat = table(score(spark.createDataFrame([(0, texts[0], "", "", 0)], SCHEMA), net), "log_likelihood")[0][0]
     word = [256, *texts[0].split()[0].encode(), 256]
     assert np.isclose(got[0][3] - flat, 6 * sum(spelt[a * 257 + b] for a, b in zip(word, word[1:])))
+
+
+def spelled(net, text):
+    """Spelling of the words without an id, byte pair by byte pair."""
+    w = _words(pa.array([text], pa.string()))
+    total = 0.0
+    for i, k in enumerate(net.tokens(w)):
+        if k == 0:
+            b = [lmscore.EDGE, *w.text(i), lmscore.EDGE]
+            total += sum(net.spelling[x * (lmscore.EDGE + 1) + y] for x, y in zip(b, b[1:]))
+    return total
+
+
+def test_words_without_id_by_brute_force(spark):
+    rng = random.Random(6)
+    rows = [(i, " ".join(f"w{rng.randrange(900) if rng.random() < .7 else rng.randrange(9000)}x" for _ in range(300)), "en", "a", 0) for i in range(50)]
+    net = train(spark.createDataFrame(rows, SCHEMA).repartition(2))
+    some = rows[:4] + [(100, "neverseen w1x été w8999x", "en", "a", 0)]
+    got = table(score(spark.createDataFrame(some, SCHEMA), net), "row.doc_id", "n_unknown", "log_likelihood")
+    assert sum(n for _, n, _ in got) > 100
+    for (_, n, x), r in zip(got, some):
+        assert np.isclose(x, brute(net, r[1]) + spelled(net, r[1]), rtol=1e-4)
+
+
+def test_two_splits_order_texts_alike(spark):
+    """Networks of different splits differ in level, not in what they prefer."""
+    rows = text_rows(240)
+    df = spark.createDataFrame(rows, SCHEMA)
+    rng, mixed = random.Random(3), []
+    for i, t, *_ in rows[:30]:
+        w = t.split(" ")
+        rng.shuffle(w)
+        mixed += [(2 * i, t, "", "", 0), (2 * i + 1, " ".join(w), "", "", 0)]
+    for n in (2, 5):
+        got = [r[1] for r in table(score(spark.createDataFrame(mixed, SCHEMA), train(df.repartition(n), rounds=3)), "row.doc_id", "log_likelihood")]
+        assert all(a > b for a, b in zip(got[::2], got[1::2])), n
+
+
+def test_large_scores_do_not_overflow():
+    net = WindowNetwork(np.arange(1, 60, dtype=np.uint64))
+    net.p["bc"][0] = 500.0
+    net.p["bt"][:, 1] = -500.0
+    ctx = np.array([[3, 5, 7, 0]])
+    assert np.isfinite(net.log_prob(ctx, np.array([3]))).all()
+    seen = {k: np.full_like(v, 1e-4) for k, v in net.p.items()}
+    net.step(ctx, np.array([lmscore.PER_CLASS + 1]), seen)
+    assert all(np.isfinite(v).all() for v in net.p.values())

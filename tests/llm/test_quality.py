@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from shiplens.llm.quality import NAMES, PairwiseRanker, score, text_features, train
+from shiplens.llm.quality import NAMES, PairwiseRanker, _cut, score, text_features, train
 from tests.llm.conftest import SCHEMA, table, words
 
 
@@ -92,3 +92,35 @@ def test_score_by_brute_force(spark):
             at += r.edges.shape[1] + 1
         want = 1 / (1 + np.exp(-r.slope * (z - r.cut)))
         assert np.isclose(s, want, rtol=1e-9) and p == int(want >= 0.5)
+
+
+def test_every_labelled_row_counts(spark):
+    """With groups far smaller than the labels, means come from all rows and the cut has the labels' share below it."""
+    rows, labels = labelled(240)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    r = train(df, lab, group=40)
+    again = train(df.repartition(5), lab, group=40)
+    assert np.array_equal(r.w, again.w) and (r.cut, r.slope) == (again.cut, again.slope)
+    x, y = text_features(pa.array([t[1] for t in rows])), np.array([q for _, q, _ in labels])
+    assert np.allclose(r.mean, np.mean([x[y == k].mean(axis=0) for k in (0, 1)], axis=0), atol=0.2 * r.std.max(), rtol=0.5)
+    s = r.strength(x)
+    assert (s < r.cut).sum() == (y == 0).sum() and np.isclose(r.slope, 2 / s.std())
+    assert ((s >= r.cut) == y).mean() >= 0.95
+    # one row of the rarer label fewer or other: a different model, whichever row it is
+    for gone in (0, 100, 236):
+        less = train(df, lab.filter(f"doc_id <> {gone}"), group=40)
+        assert not np.array_equal(less.w, r.w)
+
+
+def test_cut_by_brute_force(spark):
+    rng = np.random.default_rng(4)
+    for n, digits in ((500, 9), (500, 1), (3, 9)):
+        s, y = np.round(rng.normal(size=n), digits), (rng.random(n) < 0.7).astype(int)
+        y[:2] = 0, 1
+        df = spark.createDataFrame([(int(q), float(v)) for q, v in zip(y, s)], "quality int, s double").repartition(3)
+        bad = float((y == 0).mean())
+        at = np.sort(s)
+        k = int((y == 0).sum())
+        want = (at[k - 1] + at[k]) / 2
+        assert np.isclose(_cut(df, {1: 1 / n, 0: 1 / n}, bad, cells=8), want)

@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from shiplens.operators.boosting import _node
+from shiplens.operators.boosting import MOST_ROWS, _node, _partitions
 
 
 def test_places_in_a_level_by_brute_force():
@@ -17,3 +17,9 @@ def test_places_in_a_level_by_brute_force():
                 node = 2 * node + 1 + int(row[tree[0][node]] > tree[1][node])
             want.append(node - (2 ** depth - 1))
         assert _node(bins, tree, depth).tolist() == want
+
+
+def test_one_partition_a_core():
+    """Passes are short: a task a core, more only where a partition would hold too many rows."""
+    assert [_partitions(n, 12) for n in (0, 10, 16_000, 100_000, 3_600_000, 36_000_000, 216_000_000)] == [1, 1, 1, 7, 12, 24, 108]
+    assert all(-(-n // _partitions(n, c)) <= MOST_ROWS for n in (1, 5_000_000, 99_000_001) for c in (1, 8, 12))

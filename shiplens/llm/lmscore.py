@@ -210,13 +210,19 @@ class WindowNetwork:
         dh = g @ p["Wc"].T
         self._move("Wc", ..., h.T @ g, seen)
         self._move("bc", ..., _column_sums(g), seen)
-        for c in np.flatnonzero(np.diff(cut)):  # only what the batch meets has gradients
+        met = np.flatnonzero(np.diff(cut))      # only what the batch meets has gradients
+        gw, gb = np.empty((len(met), DIM, self.per), h.dtype), np.empty((len(met), self.per), h.dtype)
+        for k, c in enumerate(met.tolist()):
             at = slice(cut[c], cut[c + 1])
-            g = _softmax(h[at], p["Wt"][c], p["bt"][c], n)
-            g[np.arange(len(g)), item[at]] -= 1 / n
-            dh[at] += g @ p["Wt"][c].T
-            self._move("Wt", c, h[at].T @ g, seen)
-            self._move("bt", c, _column_sums(g), seen)
+            part, w = h[at], p["Wt"][c]
+            g = _softmax(part, w, p["bt"][c], n)
+            g[_PLACES[:len(g)] if len(g) <= len(_PLACES) else np.arange(len(g)), item[at]] -= 1 / n
+            dh[at] += g @ w.T
+            np.matmul(part.T, g, out=gw[k])
+            np.matmul(_ones(len(g), g.dtype), g, out=gb[k])
+        whole = ... if len(met) == self.classes else met
+        self._move("Wt", whole, gw, seen)
+        self._move("bt", whole, gb, seen)
         dz = dh * (1 - h * h)
         token = ctx.T.ravel()
         de = np.concatenate([dz * p["C"][j] for j in range(2 * WINDOW)])
@@ -241,6 +247,7 @@ class WindowNetwork:
 
 
 _ONES = np.ones(1 << 16, np.float32)
+_PLACES = np.arange(BATCH)
 
 
 def _ones(n: int, dtype) -> np.ndarray:
@@ -294,8 +301,10 @@ def _trainer(network, rate: float, seed: int):
                 ids = net.tokens(w)
                 pairs += np.bincount(_pairs(w, np.flatnonzero(ids == 0))[0], minlength=PAIRS)
                 # which windows: by the words around and their place in the document, not by the plan
-                draw = tx.mix64(w.hashes() + (np.arange(len(w)) - w.first[w.row]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
-                at = np.flatnonzero(draw < np.uint64(min(int(rate * 2 ** 64), 2 ** 64 - 1)))
+                at = np.arange(len(w))
+                if rate < 1:
+                    draw = tx.mix64(w.hashes() + (at - w.first[w.row]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
+                    at = np.flatnonzero(draw < np.uint64(int(rate * 2 ** 64)))
                 held.append((net.contexts(ids, w, at), ids[at]))
                 if sum(len(t) for _, t in held) >= BATCH:
                     ctx, target = (np.concatenate(x) for x in zip(*held))

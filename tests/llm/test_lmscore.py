@@ -164,3 +164,18 @@ def test_large_scores_do_not_overflow():
     seen = {k: np.full_like(v, 1e-4) for k, v in net.p.items()}
     net.step(ctx, np.array([lmscore.PER_CLASS + 1]), seen)
     assert all(np.isfinite(v).all() for v in net.p.values())
+
+
+def test_a_step_moves_each_weight_once(monkeypatch):
+    """The classes' gradients are gathered and moved together, whether a batch meets some of the classes or all."""
+    calls = []
+    move = WindowNetwork._move
+    monkeypatch.setattr(WindowNetwork, "_move", lambda self, k, *a: (calls.append(k), move(self, k, *a)))
+    for met in (np.arange(lmscore.VOCAB), np.arange(lmscore.PER_CLASS, 3 * lmscore.PER_CLASS)):
+        net = WindowNetwork(np.arange(1, 60, dtype=np.uint64))
+        seen, old = {k: np.zeros_like(v) for k, v in net.p.items()}, net.p["Wt"].copy()
+        calls.clear()
+        net.step(np.repeat(met[:, None], 2 * lmscore.WINDOW, axis=1), met, seen)
+        assert sorted(calls) == sorted(net.p)
+        moved = np.flatnonzero((net.p["Wt"] != old).any(axis=(1, 2)))
+        assert moved.tolist() == sorted(set((met // lmscore.PER_CLASS).tolist()))

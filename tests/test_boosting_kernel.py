@@ -1,7 +1,10 @@
 """The arrays behind a boosting pass: bins lie feature by feature."""
 
+import pickle
+
 import numpy as np
 
+from shiplens.operators import boosting as bo
 from shiplens.operators.boosting import MOST_ROWS, _node, _partitions
 
 
@@ -23,3 +26,41 @@ def test_one_partition_a_core():
     """Passes are short: a task a core, more only where a partition would hold too many rows."""
     assert [_partitions(n, 12) for n in (0, 10, 16_000, 100_000, 3_600_000, 36_000_000, 216_000_000)] == [1, 1, 1, 7, 12, 24, 108]
     assert all(-(-n // _partitions(n, c)) <= MOST_ROWS for n in (1, 5_000_000, 99_000_001) for c in (1, 8, 12))
+
+
+def test_small_chunks_are_joined(monkeypatch):
+    """A pass has a cost for each block, so Arrow's batches of 10,000 rows are joined; no row is lost."""
+    monkeypatch.setattr(bo, "BLOCK", 25)
+    sizes, at, rows = [10, 10, 10, 25, 3, 22, 1], 0, []
+    for n in sizes:
+        x = np.arange(at, at + n)
+        rows.append((pickle.dumps({"bins": np.stack([x, x + 1]), "valid": x % 2 == 0}),))
+        at += n
+    got = list(bo._blocks(iter(rows)))
+    assert [len(c["valid"]) for c in got] == [20, 10, 25, 25, 1]
+    assert np.concatenate([c["bins"][1] for c in got]).tolist() == list(range(1, at + 1))
+    assert np.concatenate([c["valid"] for c in got]).tolist() == [i % 2 == 0 for i in range(at)]
+
+
+def test_moves_add_up():
+    """The trees since a partition was last kept give what one tree after the other gives."""
+    rng = np.random.default_rng(3)
+    c = {"bins": rng.integers(0, 64, (4, 200)).astype(np.uint8), "pred": rng.random((2, 200))}
+    moves = [({i: (rng.integers(0, 4, 7), rng.integers(0, 64, 7)) for i in (0, 1)}, {i: rng.random(8) for i in who}) for who in ((0, 1), (1,), (0,))]
+    want = c
+    for m in moves:
+        want = bo._moved(want, [m], 3)
+    assert np.array_equal(bo._moved(c, moves, 3)["pred"], want["pred"]) and not np.array_equal(c["pred"], want["pred"])
+
+
+def test_gradient_sums_are_exact():
+    """Rows and gradients come from one sum, to the last row of a full block."""
+    rng = np.random.default_rng(4)
+    for sign in (rng.integers(-1, 2, bo.BLOCK), np.ones(bo.BLOCK, int), -np.ones(bo.BLOCK, int)):
+        cell = rng.integers(0, 3, len(sign)) if sign.min() < sign.max() else np.zeros(len(sign), int)
+        sums = np.bincount(cell, bo.WEIGHT[sign + 1], 3)
+        n, up, down = (np.bincount(cell[k], minlength=3) for k in (sign < 2, sign > 0, sign < 0))
+        for q in (None, 0.1, 0.9):
+            want = up - down if q is None else (10 * q * up - round(10 - 10 * q) * down) / 10
+            got = bo._unpacked(sums, q)
+            assert np.allclose(got[0], want, rtol=1e-12, atol=1e-9) and got[1].tolist() == n.tolist()
